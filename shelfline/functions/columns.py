@@ -33,9 +33,14 @@ def as_double(c) -> Column:
     return col_(c).cast(T.DoubleType())
 
 
+def rounded_dec(c, scale: int) -> Column:
+    """Half-up rounding through DECIMAL(18,9), kept as DECIMAL (exact sums)."""
+    return F.round(col_(c).cast(RATIO), scale)
+
+
 def rounded(c, scale: int) -> Column:
     """Half-up rounding through DECIMAL(18,9), returned as DOUBLE."""
-    return F.round(col_(c).cast(RATIO), scale).cast(T.DoubleType())
+    return rounded_dec(c, scale).cast(T.DoubleType())
 
 
 def money_out(c, scale: int = 2) -> Column:

@@ -1,14 +1,24 @@
-"""Registry of query keys -> (Spark plan, DuckDB oracle SQL)."""
+"""Registry of query keys -> Spark plan ``(spark, sf_dir) -> DataFrame`` and
+the DuckDB oracle SQL computing the same rows from the same tables."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from shelfline.functions import columns as C
 from shelfline.oracle import sql
-from shelfline.operators import metrics
+from shelfline.operators import inventory, metrics, promo, share
+from shelfline.operators.windows import trailing_weeks
+from shelfline.plans import dashboard
 from shelfline.sources import views as V
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-FLAGSHIP = "sales_by_category"
+FLAGSHIP = "dashboard_payload"
+
+# Fixed query parameters (names present at every scale factor).
+PRODUCT_NAME = "red widget"
+SHARE_BRAND, SHARE_CATEGORY = "Brand#1", "ECONOMY"
 
 
 def register(key: str, oracle: str | None = None):
@@ -20,9 +30,307 @@ def register(key: str, oracle: str | None = None):
     return deco
 
 
+def ratio(num: str, den: str, scale: int) -> str:
+    """SQL twin of ``columns.safe_ratio``."""
+    return (f"CAST(ROUND(CAST(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0) "
+            f"AS DECIMAL(18,9)), {scale}) AS DOUBLE)")
+
+
+RECENT_13 = "week_ending >= (SELECT MAX(week_ending) FROM v_sales) - INTERVAL 13 WEEKS"
+
+# ---------------------------------------------------------------- metrics (F)
+
+
 @register("sales_by_category", sql("""
     SELECT p.category, CAST(ROUND(SUM(s.pos_revenue), 0) AS DOUBLE) AS revenue
     FROM v_sales s JOIN v_products p ON s.product_id = p.product_id
     GROUP BY p.category ORDER BY 2 DESC""", "v_sales", "v_products"))
 def _sales_by_category(spark, sf):
     return metrics.sales_by_category(V.sales(spark, sf), V.products(spark, sf))
+
+
+@register("top_retailers", sql("""
+    SELECT r.retailer_name, CAST(ROUND(SUM(s.pos_revenue), 0) AS DOUBLE) AS revenue
+    FROM v_sales s JOIN v_retailers r ON s.retailer_id = r.retailer_id
+    GROUP BY r.retailer_name ORDER BY 2 DESC, 1 LIMIT 8""", "v_sales", "v_retailers"))
+def _top_retailers(spark, sf):
+    return metrics.top_retailers(V.sales(spark, sf), V.retailers(spark, sf), 8)
+
+
+@register("trailing_13w", sql(f"""
+    SELECT COUNT(DISTINCT week_ending) AS weeks,
+           CAST(ROUND(SUM(pos_revenue), 0) AS DOUBLE) AS revenue,
+           CAST(SUM(units_sold) AS BIGINT) AS units
+    FROM v_sales WHERE {RECENT_13}""", "v_sales"))
+def _trailing_13w(spark, sf):
+    recent = trailing_weeks(V.sales(spark, sf), "week_ending", 13)
+    return recent.agg(F.countDistinct("week_ending").alias("weeks"),
+                      F.round(F.sum("pos_revenue"), 0).cast("double").alias("revenue"),
+                      F.sum("units_sold").cast("bigint").alias("units"))
+
+
+@register("revenue_trend", sql("""
+    SELECT CAST(week_ending AS VARCHAR) AS week, CAST(ROUND(SUM(pos_revenue), 0) AS DOUBLE) AS revenue
+    FROM v_sales
+    WHERE week_ending >= (SELECT MAX(week_ending) FROM v_sales) - INTERVAL 26 WEEKS
+    GROUP BY week_ending ORDER BY 1""", "v_sales"))
+def _revenue_trend(spark, sf):
+    return metrics.revenue_trend(V.sales(spark, sf), 26)
+
+
+@register("kpi_cards", sql(f"""
+    WITH k AS (SELECT COALESCE(CAST(ROUND(SUM(pos_revenue), 0) AS DOUBLE), 0) AS revenue,
+                      COALESCE(CAST(SUM(units_sold) AS BIGINT), 0) AS units
+               FROM v_sales WHERE {RECENT_13})
+    SELECT 1 AS ord, 'Sell-out revenue (13 wk)' AS label,
+           '$' || format('{{:,}}', CAST(revenue AS BIGINT)) AS value FROM k
+    UNION ALL SELECT 2, 'Units sold (13 wk)', format('{{:,}}', units) FROM k
+    UNION ALL SELECT 3, 'Promotions w/ negative ROI', CAST(COUNT(*) AS VARCHAR)
+              FROM v_promos WHERE roi < 0
+    UNION ALL SELECT 4, 'Active SKUs', CAST(COUNT(*) AS VARCHAR) FROM v_products
+    UNION ALL SELECT 5, 'Retail accounts', CAST(COUNT(*) AS VARCHAR) FROM v_retailers""",
+                              "v_sales", "v_promos", "v_products", "v_retailers"))
+def _kpi_cards(spark, sf):
+    return dashboard.kpi_cards(spark, sf)
+
+
+@register("dashboard_payload", sql(f"""
+    WITH k AS (SELECT COALESCE(CAST(ROUND(SUM(pos_revenue), 0) AS DOUBLE), 0) AS revenue,
+                      COALESCE(CAST(SUM(units_sold) AS BIGINT), 0) AS units
+               FROM v_sales WHERE {RECENT_13}),
+    trend AS (SELECT CAST(week_ending AS VARCHAR) AS week,
+                     CAST(ROUND(SUM(pos_revenue), 0) AS DOUBLE) AS revenue
+              FROM v_sales
+              WHERE week_ending >= (SELECT MAX(week_ending) FROM v_sales) - INTERVAL 26 WEEKS
+              GROUP BY week_ending),
+    roi AS (SELECT promo_type, {ratio("SUM(roi)", "COUNT(*)", 3)} AS avg_roi, COUNT(*) AS n
+            FROM v_promos GROUP BY promo_type),
+    cat AS (SELECT p.category, CAST(ROUND(SUM(s.pos_revenue), 0) AS DOUBLE) AS revenue
+            FROM v_sales s JOIN v_products p ON s.product_id = p.product_id GROUP BY p.category),
+    ret AS (SELECT r.retailer_name, CAST(ROUND(SUM(s.pos_revenue), 0) AS DOUBLE) AS revenue
+            FROM v_sales s JOIN v_retailers r ON s.retailer_id = r.retailer_id
+            GROUP BY r.retailer_name ORDER BY 2 DESC, 1 LIMIT 8),
+    shr AS (SELECT brand, {ratio("SUM(dollar_share_pct)", "COUNT(*)", 2)} AS share
+            FROM v_market_share WHERE month = (SELECT MAX(month) FROM v_market_share)
+            GROUP BY brand ORDER BY 2 DESC, 1 LIMIT 10)
+    SELECT 'kpis' AS tile, 1 AS ord, 'revenue_13w' AS label, CAST(revenue AS DOUBLE) AS value FROM k
+    UNION ALL SELECT 'kpis', 2, 'units_13w', CAST(units AS DOUBLE) FROM k
+    UNION ALL SELECT 'kpis', 3, 'negative_roi_promos', CAST(COUNT(*) AS DOUBLE) FROM v_promos WHERE roi < 0
+    UNION ALL SELECT 'kpis', 4, 'active_skus', CAST(COUNT(*) AS DOUBLE) FROM v_products
+    UNION ALL SELECT 'kpis', 5, 'retail_accounts', CAST(COUNT(*) AS DOUBLE) FROM v_retailers
+    UNION ALL SELECT 'revenue_trend', CAST(ROW_NUMBER() OVER (ORDER BY week) AS INTEGER), week, revenue FROM trend
+    UNION ALL SELECT 'roi_by_type', CAST(ROW_NUMBER() OVER (ORDER BY promo_type) AS INTEGER), promo_type, avg_roi FROM roi
+    UNION ALL SELECT 'roi_counts', CAST(ROW_NUMBER() OVER (ORDER BY promo_type) AS INTEGER), promo_type, CAST(n AS DOUBLE) FROM roi
+    UNION ALL SELECT 'sales_by_category', CAST(ROW_NUMBER() OVER (ORDER BY revenue DESC, category) AS INTEGER), category, revenue FROM cat
+    UNION ALL SELECT 'top_retailers', CAST(ROW_NUMBER() OVER (ORDER BY revenue DESC, retailer_name) AS INTEGER), retailer_name, revenue FROM ret
+    UNION ALL SELECT 'share_by_brand', CAST(ROW_NUMBER() OVER (ORDER BY share DESC, brand) AS INTEGER), brand, share FROM shr""",
+                                      "v_sales", "v_promos", "v_products", "v_retailers",
+                                      "v_market_share"))
+def _dashboard_payload(spark, sf):
+    return dashboard.dashboard_payload(spark, sf)
+
+
+SELL_THROUGH_SQL = f"""
+    SELECT p.product_name, r.retailer_name, CAST(SUM(s.units_sold) AS BIGINT) AS units_sold,
+           CAST(SUM(s.units_shipped) AS BIGINT) AS units_shipped,
+           {ratio("SUM(s.units_sold)", "SUM(s.units_shipped)", 3)} AS sell_through_rate
+    FROM v_sales s JOIN v_products p ON s.product_id = p.product_id
+                   JOIN v_retailers r ON s.retailer_id = r.retailer_id
+    WHERE s.{RECENT_13} {{extra}}
+    GROUP BY p.product_name, r.retailer_name"""
+
+
+@register("sell_through", sql(SELL_THROUGH_SQL.format(extra=""),
+                              "v_sales", "v_products", "v_retailers"))
+def _sell_through(spark, sf):
+    return metrics.sell_through(V.sales(spark, sf), V.products(spark, sf),
+                                V.retailers(spark, sf), 13)
+
+
+@register("sell_through_one", sql(SELL_THROUGH_SQL.format(
+    extra=f"AND p.product_name = '{PRODUCT_NAME}'"), "v_sales", "v_products", "v_retailers"))
+def _sell_through_one(spark, sf):
+    return metrics.sell_through(V.sales(spark, sf), V.products(spark, sf),
+                                V.retailers(spark, sf), 13, product_name=PRODUCT_NAME)
+
+
+@register("sales_weekly", sql("""
+    SELECT product_id, retailer_id, CAST(week_ending AS VARCHAR) AS week, units_shipped,
+           CAST(shipment_revenue AS DOUBLE) AS shipment_revenue, units_sold,
+           CAST(pos_revenue AS DOUBLE) AS pos_revenue,
+           CAST(avg_selling_price AS DOUBLE) AS avg_selling_price, on_promo
+    FROM v_sales""", "v_sales"))
+def _sales_weekly(spark, sf):
+    return metrics.sales_weekly(V.sales(spark, sf))
+
+
+# ------------------------------------------------------------ promotions (C/F)
+
+@register("roi_by_type", sql(f"""
+    SELECT promo_type, {ratio("SUM(roi)", "COUNT(*)", 3)} AS avg_roi, COUNT(*) AS n
+    FROM v_promos GROUP BY promo_type ORDER BY promo_type""", "v_promos"))
+def _roi_by_type(spark, sf):
+    return promo.roi_by_type(V.promotions(spark, sf))
+
+
+@register("negative_roi_count", sql("""
+    SELECT promo_type, COUNT(*) AS n_negative FROM v_promos WHERE roi < 0 GROUP BY promo_type""",
+                                    "v_promos"))
+def _negative_roi_count(spark, sf):
+    return promo.negative_roi_count(V.promotions(spark, sf))
+
+
+NEG_PROMOS_SQL = """
+    SELECT t.order_key, t.line_number, t.product_id, t.retailer_id, t.start_date, t.promoted_units,
+           p.product_name, r.retailer_name, t.promo_type,
+           CAST(t.discount_depth_pct AS DOUBLE) AS discount_depth_pct,
+           CAST(t.promo_spend AS DOUBLE) AS promo_spend, CAST(t.lift_pct AS DOUBLE) AS lift_pct,
+           CAST(t.roi AS DOUBLE) AS roi
+    FROM v_promos t JOIN v_products p ON t.product_id = p.product_id
+                    JOIN v_retailers r ON t.retailer_id = r.retailer_id
+    WHERE t.roi < 0
+      AND t.start_date >= (SELECT MAX(start_date) FROM v_promos) - INTERVAL 13 WEEKS"""
+
+
+@register("negative_roi_promos", sql(NEG_PROMOS_SQL + " ORDER BY t.roi",
+                                     "v_promos", "v_products", "v_retailers"))
+def _negative_roi_promos(spark, sf):
+    return promo.negative_roi_promos(V.promotions(spark, sf), V.products(spark, sf),
+                                     V.retailers(spark, sf), 13).orderBy("roi")
+
+
+@register("worst_promos", sql(
+    "SELECT * FROM (" + NEG_PROMOS_SQL + ") x ORDER BY roi, order_key, line_number, product_id, "
+    "retailer_id, start_date, promoted_units, promo_spend LIMIT 5",
+    "v_promos", "v_products", "v_retailers"))
+def _worst_promos(spark, sf):
+    neg = promo.negative_roi_promos(V.promotions(spark, sf), V.products(spark, sf),
+                                    V.retailers(spark, sf), 13)
+    return promo.worst_promos(neg, 5)
+
+
+@register("promo_lift", sql("""
+    SELECT order_key, line_number, product_id, baseline_units, incremental_units, promoted_units,
+           CAST(lift_pct AS DOUBLE) AS lift_pct FROM v_promos""", "v_promos"))
+def _promo_lift(spark, sf):
+    return promo.promo_lift(V.promotions(spark, sf))
+
+
+@register("promo_roi", sql("""
+    SELECT order_key, line_number, promo_type, CAST(promo_spend AS DOUBLE) AS promo_spend,
+           CAST(roi AS DOUBLE) AS roi FROM v_promos""", "v_promos"))
+def _promo_roi(spark, sf):
+    return promo.promo_roi(V.promotions(spark, sf))
+
+
+@register("promo_windows", sql("""
+    SELECT order_key, line_number, start_date, end_date,
+           CAST(end_date - start_date AS BIGINT) AS days FROM v_promos""", "v_promos"))
+def _promo_windows(spark, sf):
+    return promo.promo_windows(V.promotions(spark, sf))
+
+
+# ----------------------------------------------------------------- share (F/D)
+
+MS_COLS = """CAST(month AS VARCHAR) AS month, brand, category,
+           CAST(brand_dollar_sales AS DOUBLE) AS brand_dollar_sales,
+           CAST(category_dollar_sales AS DOUBLE) AS category_dollar_sales,
+           CAST(dollar_share_pct AS DOUBLE) AS dollar_share_pct"""
+
+
+@register("market_share", sql(f"SELECT {MS_COLS} FROM v_market_share", "v_market_share"))
+def _market_share(spark, sf):
+    return share.market_share_out(V.market_share(spark, sf))
+
+
+@register("share_latest_month", sql(f"""
+    SELECT {MS_COLS} FROM v_market_share
+    WHERE month = (SELECT MAX(month) FROM v_market_share)""", "v_market_share"))
+def _share_latest_month(spark, sf):
+    return share.share_latest_month(V.market_share(spark, sf))
+
+
+@register("share_by_brand", sql(f"""
+    SELECT brand, {ratio("SUM(dollar_share_pct)", "COUNT(*)", 2)} AS share
+    FROM v_market_share WHERE month = (SELECT MAX(month) FROM v_market_share)
+    GROUP BY brand ORDER BY 2 DESC, 1 LIMIT 10""", "v_market_share"))
+def _share_by_brand(spark, sf):
+    return share.share_by_brand(V.market_share(spark, sf), 10)
+
+
+@register("share_trend", sql(f"""
+    SELECT CAST(month AS VARCHAR) AS month, CAST(dollar_share_pct AS DOUBLE) AS dollar_share_pct
+    FROM v_market_share WHERE brand = '{SHARE_BRAND}' AND category = '{SHARE_CATEGORY}'
+    ORDER BY month""", "v_market_share"))
+def _share_trend(spark, sf):
+    return share.share_trend(V.market_share(spark, sf), SHARE_BRAND, SHARE_CATEGORY)
+
+
+@register("acv_distribution", sql(f"""
+    WITH s AS (SELECT product_id, retailer_id, CAST(date_trunc('month', week_ending) AS DATE) AS month,
+                      pos_revenue FROM v_sales),
+    acct AS (SELECT retailer_id, month, SUM(pos_revenue) AS acct_vol FROM s GROUP BY 1, 2),
+    market AS (SELECT month, SUM(acct_vol) AS market_vol FROM acct GROUP BY 1),
+    carried AS (SELECT DISTINCT product_id, retailer_id, month FROM s),
+    per_item AS (SELECT c.product_id, c.month, SUM(a.acct_vol) AS sel_vol, COUNT(*) AS stores_selling
+                 FROM carried c JOIN acct a ON c.retailer_id = a.retailer_id AND c.month = a.month
+                 GROUP BY 1, 2)
+    SELECT product_id, CAST(month AS VARCHAR) AS month,
+           {ratio("sel_vol * 100.0", "market_vol", 1)} AS acv_pct, stores_selling
+    FROM per_item JOIN market USING (month)""", "v_sales"))
+def _acv_distribution(spark, sf):
+    return share.acv_distribution(V.sales(spark, sf))
+
+
+# ------------------------------------------------------------- inventory (F/C/B)
+
+def _running_sql(keys: str, src: str = "v_sales") -> str:
+    return f"""
+    wk AS (SELECT {keys}, week_ending, SUM(units_shipped) AS shipped, SUM(units_sold) AS sold
+           FROM {src} GROUP BY {keys}, week_ending),
+    r AS (SELECT *, SUM(shipped - sold) OVER (PARTITION BY {keys} ORDER BY week_ending
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS units_on_hand FROM wk),
+    rw AS (SELECT *, ROUND(CAST(CAST(units_on_hand AS DOUBLE) / CAST(GREATEST(sold, 1) AS DOUBLE)
+                   AS DECIMAL(18,9)), 1) AS wos FROM r)"""
+
+
+@register("inventory_running", sql(f"""
+    WITH {_running_sql("product_id")}
+    SELECT product_id, CAST(week_ending AS VARCHAR) AS week, CAST(shipped AS BIGINT) AS shipped,
+           CAST(sold AS BIGINT) AS sold, CAST(units_on_hand AS BIGINT) AS units_on_hand,
+           CAST(wos AS DOUBLE) AS weeks_of_supply FROM rw""", "v_sales"))
+def _inventory_running(spark, sf):
+    return inventory.inventory_running(V.sales(spark, sf))
+
+
+@register("inventory_snapshots", sql(f"""
+    WITH {_running_sql("product_id")}
+    SELECT product_id, CAST(week_ending AS VARCHAR) AS week, CAST(units_on_hand AS BIGINT) AS units_on_hand,
+           CAST(wos AS DOUBLE) AS weeks_of_supply FROM rw
+    WHERE CAST(FLOOR(date_diff('day', (SELECT MIN(week_ending) FROM v_sales), week_ending) / 7) AS BIGINT) % 4 = 0""",
+                                     "v_sales"))
+def _inventory_snapshots(spark, sf):
+    return inventory.inventory_snapshots(V.sales(spark, sf))
+
+
+@register("weeks_of_supply", sql(f"""
+    WITH {_running_sql("product_id, retailer_id")}
+    SELECT product_id, retailer_id, CAST(week_ending AS VARCHAR) AS week,
+           CAST(units_on_hand AS BIGINT) AS units_on_hand, CAST(sold AS BIGINT) AS sold,
+           CAST(wos AS DOUBLE) AS weeks_of_supply FROM rw""", "v_sales"))
+def _weeks_of_supply(spark, sf):
+    r = inventory.running_on_hand(V.sales(spark, sf), ["product_id", "retailer_id"])
+    return r.select("product_id", "retailer_id", F.col("week_ending").cast("string").alias("week"),
+                    "units_on_hand", "sold", C.as_double("weeks_of_supply").alias("weeks_of_supply"))
+
+
+@register("lowest_supply", sql(f"""
+    WITH s AS (SELECT * FROM v_sales WHERE product_id IN
+                 (SELECT product_id FROM v_products WHERE product_name = '{PRODUCT_NAME}')),
+    {_running_sql("product_id, retailer_id", "s")}
+    SELECT rt.retailer_name, {ratio("SUM(wos)", "COUNT(*)", 3)} AS avg_weeks_of_supply
+    FROM rw JOIN v_retailers rt ON rw.retailer_id = rt.retailer_id
+    GROUP BY rt.retailer_name ORDER BY 2, 1""", "v_sales", "v_products", "v_retailers"))
+def _lowest_supply(spark, sf):
+    return inventory.lowest_supply(V.sales(spark, sf), V.products(spark, sf),
+                                   V.retailers(spark, sf), PRODUCT_NAME)

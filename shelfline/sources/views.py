@@ -17,6 +17,8 @@ Mapping (also documented in FIXTURES.md part B):
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,9 +29,10 @@ from shelfline.sources.tables import Tables
 PROMO_MIN_DISCOUNT = 0.05
 PROMO_TYPES_BY_DEPTH = [(0.05, "TPR"), (0.06, "Display"), (0.07, "Feature"),
                         (0.08, "Feature+Display")]  # 0.09 and deeper: "BOGO"
-SHIP_COST_SHARE = 0.62   # sell-in revenue = gross x 0.62
-COGS_SHARE = 0.45        # unit cost = 0.45 x price
-MARGIN_SHARE = 0.55      # 1 - COGS_SHARE
+SHIP_COST_SHARE = Decimal("0.62")   # sell-in revenue = gross x 0.62
+COGS_SHARE = Decimal("0.45")        # unit cost = 0.45 x price
+MARGIN_SHARE = 0.55                 # 1 - COGS_SHARE (applied to DOUBLE units)
+# Decimal literals keep money arithmetic exact; F.lit(0.62) would be DOUBLE.
 
 
 def products(spark: SparkSession, sf: str) -> DataFrame:
