@@ -334,3 +334,139 @@ def _weeks_of_supply(spark, sf):
 def _lowest_supply(spark, sf):
     return inventory.lowest_supply(V.sales(spark, sf), V.products(spark, sf),
                                    V.retailers(spark, sf), PRODUCT_NAME)
+
+
+# ------------------------------------------------------- spines and panels (B/C)
+
+from shelfline.operators import grid  # noqa: E402
+from shelfline.sources import seed  # noqa: E402
+
+_WE = "CAST(date_trunc('week', {0} + INTERVAL 1 DAY) AS DATE) + 5"
+
+
+@register("week_spine", f"""
+    WITH b AS (SELECT CAST(MIN(l_shipdate) AS DATE) AS lo, CAST(MAX(l_shipdate) AS DATE) AS hi
+               FROM lineitem)
+    SELECT CAST(unnest(generate_series(CAST({_WE.format("lo")} AS TIMESTAMP),
+                                       CAST({_WE.format("hi")} AS TIMESTAMP), INTERVAL 7 DAY))
+                AS DATE) AS week_ending FROM b""")
+def _week_spine(spark, sf):
+    return grid.week_spine(spark, sf)
+
+
+@register("month_spine", """
+    WITH b AS (SELECT CAST(MIN(l_shipdate) AS DATE) AS lo, CAST(MAX(l_shipdate) AS DATE) AS hi
+               FROM lineitem)
+    SELECT CAST(unnest(generate_series(CAST(date_trunc('month', lo) AS TIMESTAMP),
+                                       CAST(date_trunc('month', hi) AS TIMESTAMP), INTERVAL 1 MONTH))
+                AS DATE) AS month FROM b""")
+def _month_spine(spark, sf):
+    return grid.month_spine(spark, sf)
+
+
+@register("carried_pairs", sql("""
+    SELECT product_id, retailer_id, MIN(week_ending) AS first_week, MAX(week_ending) AS last_week,
+           COUNT(*) AS active_weeks FROM v_sales GROUP BY 1, 2""", "v_sales"))
+def _carried_pairs(spark, sf):
+    return grid.carried_pairs(V.sales(spark, sf))
+
+
+@register("sales_grid", sql("""
+    WITH pairs AS (SELECT product_id, retailer_id, MIN(week_ending) AS fw, MAX(week_ending) AS lw
+                   FROM v_sales GROUP BY 1, 2),
+    g AS (SELECT product_id, retailer_id,
+                 CAST(unnest(generate_series(CAST(fw AS TIMESTAMP), CAST(lw AS TIMESTAMP),
+                                             INTERVAL 7 DAY)) AS DATE) AS week_ending FROM pairs)
+    SELECT g.product_id, g.retailer_id, CAST(g.week_ending AS VARCHAR) AS week,
+           COALESCE(s.units_sold, 0) AS units_sold
+    FROM g LEFT JOIN v_sales s ON g.product_id = s.product_id AND g.retailer_id = s.retailer_id
+                              AND g.week_ending = s.week_ending""", "v_sales"))
+def _sales_grid(spark, sf):
+    return grid.sales_grid(V.sales(spark, sf))
+
+
+_FAMILY_SQL = f"""(SELECT v.*, COALESCE(cf.pack_family, '{seed.DEFAULT_PACK_FAMILY}') AS pack_family
+                   FROM v_products v LEFT JOIN {seed.family_values_sql()} ON v.category = cf.category)"""
+
+
+@register("lookup_default", sql(f"""
+    SELECT product_id, category, pack_family FROM {_FAMILY_SQL} p""", "v_products"))
+def _lookup_default(spark, sf):
+    return grid.with_pack_family(spark, V.products(spark, sf)).select(
+        "product_id", "category", "pack_family")
+
+
+@register("sku_expand", sql(f"""
+    SELECT p.product_id, pk.variant_no, pk.variant, pk.pack_family,
+           'NS-' || upper(substr(p.brand, 1, 3)) || '-' || CAST(p.product_id AS VARCHAR) || '-'
+               || CAST(pk.variant_no AS VARCHAR) AS sku,
+           CAST(ROUND(p.list_price * pk.multiplier, 2) AS DOUBLE) AS pack_price
+    FROM {_FAMILY_SQL} p JOIN {seed.pack_values_sql()} ON p.pack_family = pk.pack_family""",
+                                "v_products"))
+def _sku_expand(spark, sf):
+    return grid.sku_expand(spark, V.products(spark, sf))
+
+
+@register("sku_code", sql("""
+    SELECT product_id, 'NS-' || upper(substr(brand, 1, 3)) || '-' || CAST(product_id AS VARCHAR) AS sku
+    FROM v_products""", "v_products"))
+def _sku_code(spark, sf):
+    p = V.products(spark, sf)
+    return p.select("product_id", grid.sku_code("brand", "product_id").alias("sku"))
+
+
+@register("brand_category", sql("""
+    SELECT brand, arg_min(category, product_id) AS first_category,
+           COUNT(DISTINCT category) AS n_categories, COUNT(*) AS n_products
+    FROM v_products GROUP BY brand ORDER BY brand""", "v_products"))
+def _brand_category(spark, sf):
+    return grid.brand_category(V.products(spark, sf))
+
+
+@register("sales_pricing", sql("""
+    SELECT s.product_id, s.retailer_id, CAST(s.week_ending AS VARCHAR) AS week,
+           CAST(ROUND(s.units_shipped * p.list_price * 0.62, 2) AS DOUBLE) AS sell_in_value,
+           CAST(ROUND(s.units_sold * s.avg_selling_price, 2) AS DOUBLE) AS sell_out_value,
+           CAST(ROUND(s.units_sold * p.unit_cogs, 2) AS DOUBLE) AS cogs_value,
+           CAST(ROUND(CASE WHEN s.on_promo THEN ROUND(p.list_price * 0.78, 2) ELSE p.list_price END, 2)
+                AS DOUBLE) AS shelf_price
+    FROM v_sales s JOIN v_products p ON s.product_id = p.product_id""", "v_sales", "v_products"))
+def _sales_pricing(spark, sf):
+    return grid.sales_pricing(V.sales(spark, sf), V.products(spark, sf))
+
+
+@register("seasonality_index", sql(f"""
+    WITH monthly AS (SELECT p.category, CAST(date_trunc('month', s.week_ending) AS DATE) AS month,
+                            SUM(s.pos_revenue) AS rev
+                     FROM v_sales s JOIN v_products p ON s.product_id = p.product_id GROUP BY 1, 2),
+    by_moy AS (SELECT category, CAST(month(month) AS INTEGER) AS month_of_year, SUM(rev) AS s,
+                      COUNT(*) AS n FROM monthly GROUP BY 1, 2),
+    overall AS (SELECT category, SUM(rev) AS s_all, COUNT(*) AS n_all FROM monthly GROUP BY 1)
+    SELECT category, month_of_year,
+           {ratio("CAST(s AS DOUBLE) / n", "CAST(s_all AS DOUBLE) / n_all", 3)} AS seasonality
+    FROM by_moy JOIN overall USING (category)""", "v_sales", "v_products"))
+def _seasonality_index(spark, sf):
+    return grid.seasonality_index(V.sales(spark, sf), V.products(spark, sf))
+
+
+@register("clamped_measures", sql("""
+    SELECT CAST(month AS VARCHAR) AS month, brand, category,
+           CAST(GREATEST(ROUND(CAST(CAST(dollar_share_pct AS DOUBLE) / 100.0 AS DECIMAL(18,9)), 4),
+                         0.005) AS DOUBLE) AS share_floor,
+           CAST(LEAST(dollar_share_pct, 99.5) AS DOUBLE) AS share_cap
+    FROM v_market_share""", "v_market_share"))
+def _clamped_measures(spark, sf):
+    return grid.clamped_measures(V.market_share(spark, sf))
+
+
+@register("account_scale", sql("""
+    WITH acct AS (SELECT retailer_id, CASE WHEN SUM(units_sold) = 0 THEN 1500
+                                           ELSE CAST(SUM(units_sold) AS BIGINT) END AS units
+                  FROM v_sales GROUP BY 1)
+    SELECT retailer_id, units,
+           CAST(ROUND(CAST(CAST(units AS DOUBLE) /
+                (SELECT CAST(SUM(units) AS DOUBLE) / COUNT(*) FROM acct) AS DECIMAL(18,9)), 6)
+                AS DOUBLE) AS scale
+    FROM acct""", "v_sales"))
+def _account_scale(spark, sf):
+    return grid.account_scale(V.sales(spark, sf))
