@@ -470,3 +470,111 @@ def _clamped_measures(spark, sf):
     FROM acct""", "v_sales"))
 def _account_scale(spark, sf):
     return grid.account_scale(V.sales(spark, sf))
+
+
+# ------------------------------------------------------ documents and retrieval
+
+from shelfline.operators import retrieval, text  # noqa: E402
+from shelfline.oracle import WS  # noqa: E402
+from shelfline.sources.tables import Tables  # noqa: E402
+
+SEARCH_DOC_TYPE = "src1"
+
+
+def _cos_sql(a: str, b: str) -> str:
+    da, db = f"CAST({a} AS DOUBLE[])", f"CAST({b} AS DOUBLE[])"
+    return (f"list_dot_product({da}, {db}) / NULLIF(sqrt(list_dot_product({da}, {da})) * "
+            f"sqrt(list_dot_product({db}, {db})), 0)")
+
+
+_Q_FIRST = """q AS (SELECT embedding AS qv FROM v_vectors
+                 WHERE doc_id = (SELECT MIN(doc_id) FROM v_vectors))"""
+_ROUND6 = "CAST(ROUND(CAST({0} AS DECIMAL(18,9)), 6) AS DOUBLE)"
+_TERMS = "string_split(lower(trim(regexp_replace({0}, '[^A-Za-z0-9]+', ' ', 'g'))), ' ')"
+
+
+@register("vector_topk", sql(f"""
+    WITH {_Q_FIRST},
+    s AS (SELECT v.doc_id, {_cos_sql("v.embedding", "q.qv")} AS raw FROM v_vectors v, q)
+    SELECT doc_id, {_ROUND6.format("raw")} AS score FROM s
+    ORDER BY score DESC NULLS LAST, doc_id LIMIT 4""", "v_vectors"))
+def _vector_topk(spark, sf):
+    v = V.vectors(spark, sf)
+    return retrieval.vector_topk(v, retrieval.first_doc_query(v), 4)
+
+
+@register("search_filtered", sql(f"""
+    WITH {_Q_FIRST},
+    s AS (SELECT v.doc_id, d.doc_type, d.category, {_cos_sql("v.embedding", "q.qv")} AS raw
+          FROM v_vectors v JOIN v_documents d ON v.doc_id = d.doc_id, q
+          WHERE d.doc_type = '{SEARCH_DOC_TYPE}')
+    SELECT doc_id, doc_type, category, {_ROUND6.format("raw")} AS score FROM s
+    ORDER BY score DESC NULLS LAST, doc_id LIMIT 4""", "v_vectors", "v_documents"))
+def _search_filtered(spark, sf):
+    v = V.vectors(spark, sf)
+    return retrieval.search_filtered(v, V.documents(spark, sf), retrieval.first_doc_query(v),
+                                     SEARCH_DOC_TYPE, 4)
+
+
+@register("vector_topk_batch", sql(f"""
+    WITH comp AS (SELECT label, pos, AVG(CAST(x AS DOUBLE)) AS m
+                  FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos
+                        FROM v_vectors) t GROUP BY label, pos),
+    q AS (SELECT CAST(label AS BIGINT) AS qid, list(m ORDER BY pos) AS qv FROM comp GROUP BY label),
+    s AS (SELECT q.qid, v.doc_id, {_cos_sql("v.embedding", "q.qv")} AS raw FROM v_vectors v, q),
+    r AS (SELECT qid, doc_id, {_ROUND6.format("raw")} AS score FROM s WHERE raw IS NOT NULL)
+    SELECT qid, CAST(rank AS INTEGER) AS rank, doc_id, score
+    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank
+          FROM r) x WHERE rank <= 5""", "v_vectors"))
+def _vector_topk_batch(spark, sf):
+    v = V.vectors(spark, sf)
+    return retrieval.vector_topk_batch(spark, v, retrieval.label_centroids(v), 5)
+
+
+@register("text_search", sql(f"""
+    WITH qt AS (SELECT DISTINCT t AS term
+                FROM (SELECT unnest({_TERMS.format("text")}) AS t FROM benchmark
+                      WHERE item_id = (SELECT MIN(item_id) FROM benchmark)) x WHERE t <> ''),
+    dt AS (SELECT doc_id, unnest({_TERMS.format("content")}) AS term FROM v_documents),
+    tf AS (SELECT doc_id, term, COUNT(*) AS tf FROM dt WHERE term IN (SELECT term FROM qt)
+           GROUP BY 1, 2),
+    df AS (SELECT term, COUNT(*) AS df FROM tf GROUP BY 1),
+    n AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n FROM v_documents)
+    SELECT doc_id, {_ROUND6.format("SUM(tf * ln(n.n / df))")} AS score
+    FROM tf JOIN df USING (term), n GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 10""",
+                                 "v_documents"))
+def _text_search(spark, sf):
+    b = Tables(spark, sf).benchmark
+    first = b.select(F.min("item_id")).scalar()
+    q = text.query_terms_of(b.filter(F.col("item_id") == first))
+    return text.text_search(V.documents(spark, sf), q, 10)
+
+
+@register("doc_normalize", f"""
+    SELECT doc_id, trim(regexp_replace(text, {WS}, ' ', 'g')) AS content,
+           trim(regexp_replace(text, {WS}, ' ', 'g')) <> text AS changed FROM documents""")
+def _doc_normalize(spark, sf):
+    return text.doc_normalize(Tables(spark, sf).documents)
+
+
+@register("render_spec_docs", sql("""
+    SELECT product_id, 'Product specification: ' || product_name || ' (' || brand || '). Category: '
+           || category || '. List price: $' || CAST(list_price AS VARCHAR) || '. Unit cost: $'
+           || CAST(unit_cogs AS VARCHAR) || '.' AS content FROM v_products""", "v_products"))
+def _render_spec_docs(spark, sf):
+    return text.render_spec_docs(V.products(spark, sf))
+
+
+@register("review_flags", sql("""
+    SELECT d.doc_id, d.doc_type,
+           CASE WHEN l.quality = 1 AND l.toxic = 0 THEN 'Positive' ELSE 'Negative' END AS sentiment,
+           CASE WHEN l.quality = 1 THEN 'Yes' ELSE 'No' END AS would_recommend
+    FROM v_documents d JOIN labels l ON d.doc_id = l.doc_id""", "v_documents"))
+def _review_flags(spark, sf):
+    return text.review_flags(V.documents(spark, sf), Tables(spark, sf).labels)
+
+
+@register("doc_type_counts", sql("""
+    SELECT doc_type, COUNT(*) AS n FROM v_documents GROUP BY doc_type""", "v_documents"))
+def _doc_type_counts(spark, sf):
+    return metrics.value_counts(V.documents(spark, sf), "doc_type")
