@@ -143,6 +143,8 @@ def sql(body: str, *views: str) -> str:
         return body.strip()
     ctes = ",\n".join(f"{n} AS ({VIEWS[n][1]}\n)" for n in names)
     stripped = body.strip()
+    if stripped[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{stripped[14:].lstrip()}"
     if stripped[:4].upper() == "WITH":
         return f"WITH {ctes},\n{stripped[4:].lstrip()}"
     return f"WITH {ctes}\n{stripped}"

@@ -578,3 +578,267 @@ def _review_flags(spark, sf):
     SELECT doc_type, COUNT(*) AS n FROM v_documents GROUP BY doc_type""", "v_documents"))
 def _doc_type_counts(spark, sf):
     return metrics.value_counts(V.documents(spark, sf), "doc_type")
+
+
+# ------------------------------------------------------------- memory (A/C/H)
+
+from shelfline.operators import evals, memory, traces  # noqa: E402
+from shelfline.sources import sinks  # noqa: E402
+from shelfline.streaming import sync  # noqa: E402
+
+MEMORY_QUERY = "purchase click"
+_LATEST = """(SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, key ORDER BY ts DESC, seq DESC) AS rn
+              FROM v_memory_log)"""
+
+
+@register("memory_current", sql(f"""
+    SELECT user_id, key, op AS last_op, value_json, ts, seq FROM {_LATEST} x WHERE rn = 1""",
+                                "v_memory_log"))
+def _memory_current(spark, sf):
+    return memory.latest_state(V.memory_log(spark, sf))
+
+
+@register("memory_after_delete", sql(f"""
+    SELECT user_id, key, value_json, ts FROM {_LATEST} x WHERE rn = 1 AND op = 'put'""",
+                                     "v_memory_log"))
+def _memory_after_delete(spark, sf):
+    return memory.live_memories(V.memory_log(spark, sf))
+
+
+@register("memory_json_validate", sql("""
+    SELECT seq, user_id, key, reason IS NULL AS is_valid, reason
+    FROM (SELECT seq, user_id, key,
+                 CASE WHEN value_json IS NULL THEN 'missing value'
+                      WHEN NOT json_valid(value_json) THEN 'invalid JSON'
+                      WHEN json_type(value_json) <> 'OBJECT' THEN 'not a JSON object' END AS reason
+          FROM v_memory_log WHERE op = 'put') x""", "v_memory_log"))
+def _memory_json_validate(spark, sf):
+    return memory.json_validate(V.memory_log(spark, sf))
+
+
+@register("to_text", sql("""
+    SELECT seq, CASE WHEN json_valid(value_json) AND json_type(value_json) = 'VARCHAR'
+                     THEN value_json ->> '$' ELSE value_json END AS text
+    FROM v_memory_log""", "v_memory_log"))
+def _to_text(spark, sf):
+    return memory.to_text(V.memory_log(spark, sf))
+
+
+@register("resolve_ids", sql("""
+    SELECT seq, COALESCE(user_id, 'session-' || CAST(seq AS VARCHAR), 'default_user') AS user_id,
+           'user_memories/' || replace(COALESCE(user_id, 'session-' || CAST(seq AS VARCHAR),
+                                                'default_user'), '.', '-') AS namespace
+    FROM v_memory_log""", "v_memory_log"))
+def _resolve_ids(spark, sf):
+    return memory.resolve_ids(V.memory_log(spark, sf))
+
+
+_MEM_TERMS = "string_split(lower(trim(regexp_replace(concat_ws(' ', key, value_json), '[^A-Za-z0-9]+', ' ', 'g'))), ' ')"
+_MEM_Q = ", ".join(f"'{t}'" for t in MEMORY_QUERY.split())
+
+
+@register("memory_search", sql(f"""
+    SELECT user_id, key, value_json, ts,
+           CAST(len(list_distinct(list_filter({_MEM_TERMS}, lambda x: x IN ({_MEM_Q})))) AS INTEGER) AS score
+    FROM {_LATEST} x
+    WHERE rn = 1 AND op = 'put' AND user_id = (SELECT MIN(user_id) FROM v_memory_log)
+    ORDER BY score DESC, ts DESC, key LIMIT 5""", "v_memory_log"))
+def _memory_search(spark, sf):
+    log = V.memory_log(spark, sf)
+    return memory.memory_search(log, log.select(F.min("user_id")).scalar(), MEMORY_QUERY, 5)
+
+
+@register("action_items_defaults", sql("""
+    SELECT id AS source_id, session_id, title, COALESCE(status, 'open') AS status, created_ts,
+           ROW_NUMBER() OVER (ORDER BY created_ts, id) AS item_id
+    FROM v_action_items""", "v_action_items"))
+def _action_items_defaults(spark, sf):
+    return memory.action_items_defaults(V.action_items(spark, sf))
+
+
+@register("action_items_open", sql("""
+    SELECT session_id, COUNT(*) AS n_open FROM v_action_items WHERE status = 'open'
+    GROUP BY session_id""", "v_action_items"))
+def _action_items_open(spark, sf):
+    return memory.action_items_open(V.action_items(spark, sf))
+
+
+@register("chat_history", sql("""
+    SELECT session_id, turn, role, content FROM v_chat
+    WHERE session_id = (SELECT MAX(session_id) FROM v_chat) ORDER BY turn""", "v_chat"))
+def _chat_history(spark, sf):
+    chat = V.chat(spark, sf)
+    return memory.chat_history(chat, chat.select(F.max("session_id")).scalar())
+
+
+@register("seed_if_absent", sql(f"""
+    SELECT s.session_id, CAST(-1 AS BIGINT) AS turn, '{memory.SEED_ROLE}' AS role,
+           '{memory.SEED_TEXT}' AS content
+    FROM (SELECT DISTINCT session_id FROM v_chat) s
+    WHERE NOT EXISTS (SELECT 1 FROM v_chat c WHERE c.session_id = s.session_id
+                      AND c.role = '{memory.SEED_ROLE}')""", "v_chat"))
+def _seed_if_absent(spark, sf):
+    return memory.seed_if_absent(V.chat(spark, sf))
+
+
+# ----------------------------------------------------------- traces (E/I/G/D)
+
+_DEPTH_SQL = """
+    walk AS (SELECT trace_id, span_id, parent_id AS cur, 0 AS depth FROM v_spans
+             UNION ALL
+             SELECT w.trace_id, w.span_id, p.parent_id, w.depth + 1
+             FROM walk w JOIN v_spans p ON p.trace_id = w.trace_id AND p.span_id = w.cur),
+    dep AS (SELECT trace_id, span_id, CAST(MAX(depth) AS INTEGER) AS depth FROM walk GROUP BY 1, 2)"""
+
+
+@register("span_depth", sql(f"WITH RECURSIVE {_DEPTH_SQL} SELECT * FROM dep", "v_spans"))
+def _span_depth(spark, sf):
+    return traces.span_depth(V.spans(spark, sf))
+
+
+@register("trace_tree", sql(f"""
+    WITH RECURSIVE {_DEPTH_SQL},
+    cnt AS (SELECT trace_id, COUNT(*) AS num_spans FROM v_spans GROUP BY 1)
+    SELECT s.trace_id, s.span_id, d.depth, c.num_spans,
+           repeat('  ', d.depth) || '- ' || s.name || ' [' || s.span_type || ']' AS line
+    FROM v_spans s JOIN dep d ON s.trace_id = d.trace_id AND s.span_id = d.span_id
+                   JOIN cnt c ON s.trace_id = c.trace_id""", "v_spans"))
+def _trace_tree(spark, sf):
+    s = V.spans(spark, sf)
+    return traces.trace_tree(s, traces.span_depth(s))
+
+
+@register("sessions_with_turns", sql("""
+    SELECT session_id, COUNT(*) AS n_turns, COUNT(*) FILTER (WHERE role = 'assistant') AS n_assistant
+    FROM v_chat GROUP BY session_id HAVING COUNT(*) FILTER (WHERE role = 'assistant') > 0
+    ORDER BY session_id DESC""", "v_chat"))
+def _sessions_with_turns(spark, sf):
+    return traces.sessions_with_turns(V.chat(spark, sf))
+
+
+@register("assistant_messages", sql("""
+    SELECT session_id, turn, content FROM v_chat WHERE role = 'assistant'""", "v_chat"))
+def _assistant_messages(spark, sf):
+    return traces.assistant_messages(V.chat(spark, sf))
+
+
+@register("last_assistant_message", sql("""
+    SELECT session_id, MAX(turn) AS turn, arg_max(content, turn) AS content
+    FROM v_chat WHERE role = 'assistant' GROUP BY session_id""", "v_chat"))
+def _last_assistant_message(spark, sf):
+    return traces.last_assistant_message(V.chat(spark, sf))
+
+
+@register("assemble_deltas", sql("""
+    SELECT item_id, string_agg(text, ' ' ORDER BY seq) AS text
+    FROM v_deltas WHERE type = 'output_text.delta' GROUP BY item_id""", "v_deltas"))
+def _assemble_deltas(spark, sf):
+    return traces.assemble_deltas(V.deltas(spark, sf))
+
+
+@register("latest_traces", """
+    SELECT event_id, ts, user_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 5""")
+def _latest_traces(spark, sf):
+    return traces.latest_traces(Tables(spark, sf).events, 5)
+
+
+# ------------------------------------------------------------------ evals (C/I)
+
+_VERDICT = (f"CASE WHEN lower(trim(value)) IN ({', '.join(repr(v) for v in evals.PASS_VALUES)}) "
+            f"THEN 'pass' WHEN lower(trim(value)) IN ({', '.join(repr(v) for v in evals.FAIL_VALUES)}) "
+            "THEN 'fail' ELSE 'other' END")
+_VERDICTS = f"(SELECT trace_id, name, {_VERDICT} AS verdict FROM v_assessments WHERE value IS NOT NULL)"
+
+
+@register("verdict_normalize", sql(f"SELECT * FROM {_VERDICTS} v", "v_assessments"))
+def _verdict_normalize(spark, sf):
+    return evals.verdict_normalize(V.assessments(spark, sf))
+
+
+@register("eval_pass_rates", sql(f"""
+    SELECT name, COUNT(*) FILTER (WHERE verdict = 'pass') AS pass,
+           COUNT(*) FILTER (WHERE verdict = 'fail') AS fail,
+           COUNT(*) FILTER (WHERE verdict = 'other') AS other,
+           {ratio("COUNT(*) FILTER (WHERE verdict = 'pass')", "COUNT(*)", 3)} AS pass_rate
+    FROM {_VERDICTS} v GROUP BY name""", "v_assessments"))
+def _eval_pass_rates(spark, sf):
+    return evals.eval_pass_rates(V.assessments(spark, sf))
+
+
+@register("eval_by_trace", sql(f"""
+    SELECT trace_id, MAX(CASE WHEN name = 'quality' THEN verdict END) AS quality,
+           MAX(CASE WHEN name = 'toxic' THEN verdict END) AS toxic
+    FROM {_VERDICTS} v GROUP BY trace_id""", "v_assessments"))
+def _eval_by_trace(spark, sf):
+    return evals.eval_by_trace(V.assessments(spark, sf))
+
+
+_NORM = "' ' || lower(trim(regexp_replace({0}, '[^A-Za-z0-9]+', ' ', 'g'))) || ' '"
+
+
+@register("fact_coverage", f"""
+    WITH f AS (SELECT item_id, {_NORM.format("text")} AS t FROM benchmark
+               WHERE trim(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')) <> ''),
+    d AS (SELECT doc_id, {_NORM.format("text")} AS t FROM documents),
+    hits AS (SELECT d.doc_id, COUNT(*) AS n FROM d JOIN f ON contains(d.t, f.t) GROUP BY 1)
+    SELECT d.doc_id, COALESCE(hits.n, 0) AS n_facts_found,
+           {ratio("COALESCE(hits.n, 0)", "(SELECT COUNT(*) FROM f)", 6)} AS coverage
+    FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id""")
+def _fact_coverage(spark, sf):
+    t = Tables(spark, sf)
+    return evals.fact_coverage(t.benchmark, t.documents)
+
+
+# ------------------------------------------------------- sync, sinks, scans (A)
+
+_SNAP = f"""
+    old AS (SELECT * FROM v_documents WHERE doc_id % 10 <> 0),
+    new AS (SELECT doc_id, doc_type, category,
+                   CASE WHEN doc_id % 10 = 2 THEN content || '{sync.REVISION_MARK}' ELSE content END AS content
+            FROM v_documents WHERE doc_id % 10 <> 1)"""
+
+
+@register("docs_change_feed", sql(f"""
+    WITH {_SNAP}
+    SELECT COALESCE(o.doc_id, n.doc_id) AS doc_id,
+           CASE WHEN o.doc_id IS NULL THEN 'insert' WHEN n.doc_id IS NULL THEN 'delete'
+                ELSE 'update' END AS change_type,
+           n.doc_type, n.category, n.content
+    FROM old o FULL OUTER JOIN new n ON o.doc_id = n.doc_id
+    WHERE o.doc_id IS NULL OR n.doc_id IS NULL OR o.doc_type IS DISTINCT FROM n.doc_type
+       OR o.category IS DISTINCT FROM n.category OR o.content IS DISTINCT FROM n.content""",
+                                  "v_documents"))
+def _docs_change_feed(spark, sf):
+    old, new = sync.snapshots(V.documents(spark, sf))
+    return sync.change_feed(old, new)
+
+
+@register("docs_index_sync", sql(f"WITH {_SNAP} SELECT * FROM new", "v_documents"))
+def _docs_index_sync(spark, sf):
+    return sync.docs_index_sync(spark, V.documents(spark, sf))
+
+
+@register("table_counts", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, COUNT(*) AS n FROM {n}" for n in sinks.TABLE_NAMES))
+def _table_counts(spark, sf):
+    return sinks.table_counts(spark, sf)
+
+
+@register("write_audit", "SELECT 'products' AS table_name, COUNT(*) AS n FROM part")
+def _write_audit(spark, sf):
+    from shelfline.session import scratch_path
+    path = scratch_path(spark, "products")
+    sinks.write_table(V.products(spark, sf), path)
+    return (spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
+            .select(F.lit("products").alias("table_name"), "n"))
+
+
+@register("scan_products", """
+    SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS brand, p_type AS category,
+           p_retailprice AS list_price FROM part""")
+def _scan_products(spark, sf):
+    from shelfline.sources.tables import read_table
+    return read_table(spark, sf, "main.cpg.part").select(
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
+        F.col("p_brand").alias("brand"), F.col("p_type").alias("category"),
+        F.col("p_retailprice").alias("list_price"))
