@@ -134,10 +134,11 @@ def vector_topk_batch(spark: SparkSession, vectors: DataFrame, queries: DataFram
                          "embedding")
         # Replicate each query block to every document block and vice versa:
         # n_q * n_db + n_docs * n_qb rows, never n_q * n_docs.
-        q_rep = qb.select(F.explode(F.sequence(F.lit(0), F.lit(n_db - 1))).cast("long").alias("db"),
-                          "qb", "qid", "qvec")
-        d_rep = db.select("db", F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1))).cast("long")
-                          .alias("qb"), "doc_id", "embedding")
+        q_rep = qb.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_db - 1).cast("long")))
+                          .alias("db"), "qb", "qid", "qvec")
+        d_rep = db.select("db", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                     F.lit(n_qb - 1).cast("long"))).alias("qb"),
+                          "doc_id", "embedding")
 
         def per_cell(dpdf, qpdf):
             dm, dn = _unit_rows(list(dpdf["embedding"]))

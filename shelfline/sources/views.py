@@ -120,9 +120,6 @@ def promotions(spark: SparkSession, sf: str) -> DataFrame:
     base = F.coalesce("baseline_units", F.lit(0).cast("bigint"))
     incr = F.greatest(F.col("qty") - base, F.lit(0.0))
     spend = F.col("gross") * F.col("disc")
-    # roi = (incremental x unit_price x margin - spend) / spend with
-    # unit_price = gross / qty reduces to incremental x margin / (qty x disc) - 1.
-    roi_raw = (incr * F.lit(MARGIN_SHARE)) / (F.col("qty") * C.as_double("disc")) - F.lit(1.0)
     return joined.select(
         F.col("order_key"), F.col("line_number"), "product_id", "retailer_id",
         promo_type("disc").alias("promo_type"),
@@ -135,11 +132,20 @@ def promotions(spark: SparkSession, sf: str) -> DataFrame:
         incr.cast("bigint").alias("incremental_units"),
         F.round((incr * F.lit(100.0) / F.when(base > 0, base.cast("double"))).cast(C.RATIO), 1)
         .alias("lift_pct"),
-        F.when(spend > 0, F.round(roi_raw.cast(C.RATIO), 3))
-        .otherwise(F.lit(0).cast(C.RATIO)).cast("decimal(12,3)").alias("roi"),
+        promo_roi_value(incr, F.col("qty"), F.col("disc"), spend).alias("roi"),
     )
 
 
+def promo_roi_value(incremental, qty, disc, spend) -> "F.Column":
+    """Incremental ROI = (incremental x unit_price x margin - spend) / spend,
+    0 when spend is 0.  With unit_price = gross / qty and spend = gross x disc
+    it reduces to incremental x margin / (qty x disc) - 1; rounded to 3."""
+    den = C.col_(qty) * C.as_double(disc)
+    raw = (C.col_(incremental) * F.lit(MARGIN_SHARE)) / F.when(den != 0, den) - F.lit(1.0)
+    return (F.when(C.col_(spend) > 0, F.round(raw.cast(C.RATIO), 3))
+            .otherwise(F.lit(0).cast(C.RATIO)).cast("decimal(12,3)"))
+
+
 def market_share(spark: SparkSession, sf: str) -> DataFrame:
     """brand dollars / category dollars by month."""
     ln = lines(spark, sf).select("product_id", "d", "gross")
