@@ -96,10 +96,13 @@ def chat_history(chat: DataFrame, session_id) -> DataFrame:
     return chat.filter(F.col("session_id") == session_id).orderBy("turn")
 
 
-def chat_history_bulk(chat: DataFrame) -> DataFrame:
-    """H5 (bulk): all sessions, clustered by session and sorted by turn
-    inside partitions — no global sort."""
-    return chat.repartition("session_id").sortWithinPartitions("session_id", "turn")
+def chat_history_bulk(chat: DataFrame, partitions: int | None = None) -> DataFrame:
+    """H5 (bulk): all sessions in (session, turn) order.  Range partitioning
+    on both columns keeps each session's turns contiguous and ordered while
+    letting one huge session span several tasks."""
+    n = partitions or int(chat.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (chat.repartitionByRange(n, "session_id", "turn")
+            .sortWithinPartitions("session_id", "turn"))
 
 
 SEED_ROLE, SEED_TEXT = "system", "You are a helpful sales analytics assistant."

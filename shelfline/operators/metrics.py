@@ -16,17 +16,19 @@ from shelfline.functions import columns as C
 from shelfline.operators.windows import trailing_weeks
 
 
-def kpi_sums(sales: DataFrame, weeks: int = 13) -> DataFrame:
-    """F1 part: revenue and units over the trailing window, one fused scan."""
-    recent = trailing_weeks(sales, "week_ending", weeks)
+def kpi_sums(sales: DataFrame, weeks: int = 13, anchor: DataFrame | None = None) -> DataFrame:
+    """F1 part: revenue and units over the trailing window, one fused scan.
+    ``anchor`` supplies MAX(week_ending) (defaults to ``sales`` itself)."""
+    recent = trailing_weeks(sales, "week_ending", weeks, anchor)
     return recent.agg(
         F.coalesce(F.round(F.sum("pos_revenue"), 0), F.lit(0)).cast("double").alias("revenue"),
         F.coalesce(F.sum("units_sold"), F.lit(0)).cast("bigint").alias("units"))
 
 
-def revenue_trend(sales: DataFrame, weeks: int = 26) -> DataFrame:
+def revenue_trend(sales: DataFrame, weeks: int = 26, anchor: DataFrame | None = None
+                  ) -> DataFrame:
     """F2 + C3: weekly sell-out revenue over the trailing window, ascending."""
-    recent = trailing_weeks(sales, "week_ending", weeks)
+    recent = trailing_weeks(sales, "week_ending", weeks, anchor)
     return (recent.groupBy("week_ending")
             .agg(F.round(F.sum("pos_revenue"), 0).cast("double").alias("revenue"))
             .select(F.col("week_ending").cast("string").alias("week"), "revenue")
@@ -54,10 +56,11 @@ def top_retailers(sales: DataFrame, retailers: DataFrame, k: int = 8) -> DataFra
 
 def sell_through(sales: DataFrame, products: DataFrame, retailers: DataFrame,
                  weeks: int = 13, product_name: str | None = None,
-                 retailer_name: str | None = None) -> DataFrame:
+                 retailer_name: str | None = None, anchor: DataFrame | None = None
+                 ) -> DataFrame:
     """E3 + F7 (+ D3 name filters): sell-out / sell-in by product x retailer
     over the trailing window; ratio of sums, NULLIF-guarded, 3 decimals."""
-    recent = trailing_weeks(sales, "week_ending", weeks)
+    recent = trailing_weeks(sales, "week_ending", weeks, anchor)
     p = products.select("product_id", "product_name")
     r = retailers.select("retailer_id", "retailer_name")
     if product_name is not None:

@@ -63,7 +63,7 @@ def _top_retailers(spark, sf):
            CAST(SUM(units_sold) AS BIGINT) AS units
     FROM v_sales WHERE {RECENT_13}""", "v_sales"))
 def _trailing_13w(spark, sf):
-    recent = trailing_weeks(V.sales(spark, sf), "week_ending", 13)
+    recent = trailing_weeks(V.sales(spark, sf), "week_ending", 13, V.sales_weeks(spark, sf))
     return recent.agg(F.countDistinct("week_ending").alias("weeks"),
                       F.round(F.sum("pos_revenue"), 0).cast("double").alias("revenue"),
                       F.sum("units_sold").cast("bigint").alias("units"))
@@ -75,7 +75,7 @@ def _trailing_13w(spark, sf):
     WHERE week_ending >= (SELECT MAX(week_ending) FROM v_sales) - INTERVAL 26 WEEKS
     GROUP BY week_ending ORDER BY 1""", "v_sales"))
 def _revenue_trend(spark, sf):
-    return metrics.revenue_trend(V.sales(spark, sf), 26)
+    return metrics.revenue_trend(V.sales(spark, sf), 26, V.sales_weeks(spark, sf))
 
 
 @register("kpi_cards", sql(f"""
@@ -144,14 +144,15 @@ SELL_THROUGH_SQL = f"""
                               "v_sales", "v_products", "v_retailers"))
 def _sell_through(spark, sf):
     return metrics.sell_through(V.sales(spark, sf), V.products(spark, sf),
-                                V.retailers(spark, sf), 13)
+                                V.retailers(spark, sf), 13, anchor=V.sales_weeks(spark, sf))
 
 
 @register("sell_through_one", sql(SELL_THROUGH_SQL.format(
     extra=f"AND p.product_name = '{PRODUCT_NAME}'"), "v_sales", "v_products", "v_retailers"))
 def _sell_through_one(spark, sf):
     return metrics.sell_through(V.sales(spark, sf), V.products(spark, sf),
-                                V.retailers(spark, sf), 13, product_name=PRODUCT_NAME)
+                                V.retailers(spark, sf), 13, product_name=PRODUCT_NAME,
+                                anchor=V.sales_weeks(spark, sf))
 
 
 @register("sales_weekly", sql("""

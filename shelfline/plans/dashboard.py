@@ -20,7 +20,7 @@ KPI_LABELS = ["Sell-out revenue (13 wk)", "Units sold (13 wk)", "Promotions w/ n
 
 def _kpi_values(spark: SparkSession, sf: str):
     sales = V.sales(spark, sf)
-    sums = metrics.kpi_sums(sales, 13)
+    sums = metrics.kpi_sums(sales, 13, V.sales_weeks(spark, sf))
     neg = V.promotions(spark, sf).filter(F.col("roi") < 0).agg(F.count(F.lit(1)).alias("v"))
     skus = V.products(spark, sf).agg(F.count(F.lit(1)).alias("v"))
     accts = V.retailers(spark, sf).agg(F.count(F.lit(1)).alias("v"))
@@ -67,7 +67,8 @@ def dashboard_payload(spark: SparkSession, sf: str) -> DataFrame:
     roi = promo.roi_by_type(promos)
     tiles = [
         kpis,
-        _tile(metrics.revenue_trend(sales, 26), "revenue_trend", "week", "revenue", ["week"]),
+        _tile(metrics.revenue_trend(sales, 26, V.sales_weeks(spark, sf)), "revenue_trend", "week",
+              "revenue", ["week"]),
         _tile(roi, "roi_by_type", "promo_type", "avg_roi", ["promo_type"]),
         _tile(roi, "roi_counts", "promo_type", "n", ["promo_type"]),
         _tile(metrics.sales_by_category(sales, products), "sales_by_category", "category",

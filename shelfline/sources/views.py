@@ -101,6 +101,15 @@ def sales(spark: SparkSession, sf: str) -> DataFrame:
         "on_promo")
 
 
+def sales_weeks(spark: SparkSession, sf: str) -> DataFrame:
+    """Week-ending of every shipped line: the anchor source of trailing
+    windows over the sales fact.  MAX(week_ending) of the fact equals the
+    week-ending of the latest line (the mapping is monotone), and taking it
+    from the lines needs a partial max only, not the fact's aggregation
+    shuffle."""
+    return lines(spark, sf).select(C.week_ending("d").alias("week_ending"))
+
+
 def promo_type(disc) -> "F.Column":
     expr = F.when(C.col_(disc) >= F.lit(0.09), F.lit("BOGO"))
     for depth, name in PROMO_TYPES_BY_DEPTH:
