@@ -44,7 +44,13 @@ def eval_by_trace(assess: DataFrame, scorers=SCORERS) -> DataFrame:
     return v.groupBy("trace_id").pivot("name", list(scorers)).agg(F.first("verdict"))
 
 
-def fact_coverage(facts: DataFrame, answers: DataFrame) -> DataFrame:
+def normalized_answers(answers: DataFrame) -> DataFrame:
+    """``(doc_id, at)``: answer text as space-delimited lower-case ASCII terms."""
+    return answers.select("doc_id", C.ascii_terms_text("text").alias("at"))
+
+
+def fact_coverage(facts: DataFrame, answers: DataFrame, index: DataFrame | None = None,
+                  norm: DataFrame | None = None) -> DataFrame:
     """Share of expected facts whose text occurs (word-aligned, case- and
     punctuation-insensitive) in each answer.  A deterministic stand-in for
     an LLM correctness judge; its numbers are not comparable to one.
@@ -52,14 +58,16 @@ def fact_coverage(facts: DataFrame, answers: DataFrame) -> DataFrame:
     Candidate (fact, answer) pairs come from an equi-join on each fact's
     rarest term (an answer containing the fact must contain that term), and
     every candidate is then verified by substring test — exact, with no
-    all-pairs product."""
+    all-pairs product.  ``index`` (a ``text.term_index`` of the answers) and
+    ``norm`` (``normalized_answers``) may be prebuilt tables."""
+    from shelfline.operators.text import term_index
+    a = norm if norm is not None else normalized_answers(answers)
+    idx = index if index is not None else term_index(answers, "text")
     f = (facts.select(F.col("item_id"), C.ascii_terms_text("text").alias("ft"))
          .filter(F.trim("ft") != ""))
-    a = answers.select("doc_id", C.ascii_terms_text("text").alias("at"))
     f_terms = f.select("item_id", F.explode(F.split(F.trim("ft"), " ")).alias("term")).distinct()
     vocab = f_terms.select("term").distinct()
-    a_terms = (a.select("doc_id", F.explode(F.split(F.trim("at"), " ")).alias("term"))
-               .join(vocab, "term", "left_semi").distinct())
+    a_terms = idx.select("doc_id", "term").join(vocab, "term", "left_semi")
     df = a_terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     anchor = (f_terms.join(df, "term", "left")
               .groupBy("item_id")

@@ -32,7 +32,7 @@ def promo_roi(promos: DataFrame) -> DataFrame:
 def promo_windows(promos: DataFrame) -> DataFrame:
     """Promotion window [start, start + 7 x weeks)."""
     return promos.select("order_key", "line_number", "start_date", "end_date",
-                         F.datediff("end_date", "start_date").alias("days"))
+                         F.datediff("end_date", "start_date").cast("bigint").alias("days"))
 
 
 def roi_by_type(promos: DataFrame) -> DataFrame:

@@ -49,16 +49,27 @@ def doc_terms(docs: DataFrame, text_col: str = "content", id_col: str = "doc_id"
             .filter(F.col("term") != ""))
 
 
-def text_search(docs: DataFrame, query_terms: DataFrame, k: int = 10) -> DataFrame:
+def term_index(docs: DataFrame, text_col: str = "content", id_col: str = "doc_id"
+               ) -> DataFrame:
+    """Inverted term index ``(doc_id, term, tf)`` over whole texts: one row
+    per distinct term of a document with its count (map-side partial
+    counts before the shuffle)."""
+    return (doc_terms(docs, text_col, id_col).groupBy(id_col, "term")
+            .agg(F.count(F.lit(1)).alias("tf")))
+
+
+def text_search(docs: DataFrame, query_terms: DataFrame, k: int = 10,
+                index: DataFrame | None = None) -> DataFrame:
     """H2: TF-IDF ranking of documents for one query, top k.
 
     score(d) = sum over distinct query terms t of tf(t, d) * ln(N / df(t)).
-    Document terms are semi-joined to the (small) query term set before any
-    counting, so only matching postings are shuffled."""
+    The term index is semi-joined to the (small) query term set first, so
+    only matching postings are aggregated.  ``index`` is a prebuilt
+    ``term_index(docs)``; without it the index is derived on the fly."""
+    idx = index if index is not None else term_index(docs)
     n_docs = docs.select(F.count(F.lit(1)).cast("double")).scalar()
     q = query_terms.select("term").distinct()
-    hits = doc_terms(docs).join(q, "term", "left_semi")
-    tf = hits.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = idx.join(q, "term", "left_semi")
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     scored = (tf.join(df, "term")
               .groupBy("doc_id")

@@ -10,6 +10,7 @@ from shelfline.oracle import sql
 from shelfline.operators import inventory, metrics, promo, share
 from shelfline.operators.windows import trailing_weeks
 from shelfline.plans import dashboard
+from shelfline.plans.model import Model
 from shelfline.sources import views as V
 
 QUERIES: dict = {}
@@ -46,7 +47,7 @@ RECENT_13 = "week_ending >= (SELECT MAX(week_ending) FROM v_sales) - INTERVAL 13
     FROM v_sales s JOIN v_products p ON s.product_id = p.product_id
     GROUP BY p.category ORDER BY 2 DESC""", "v_sales", "v_products"))
 def _sales_by_category(spark, sf):
-    return metrics.sales_by_category(V.sales(spark, sf), V.products(spark, sf))
+    return metrics.sales_by_category(Model(spark, sf).sales(), V.products(spark, sf))
 
 
 @register("top_retailers", sql("""
@@ -54,7 +55,7 @@ def _sales_by_category(spark, sf):
     FROM v_sales s JOIN v_retailers r ON s.retailer_id = r.retailer_id
     GROUP BY r.retailer_name ORDER BY 2 DESC, 1 LIMIT 8""", "v_sales", "v_retailers"))
 def _top_retailers(spark, sf):
-    return metrics.top_retailers(V.sales(spark, sf), V.retailers(spark, sf), 8)
+    return metrics.top_retailers(Model(spark, sf).sales(), V.retailers(spark, sf), 8)
 
 
 @register("trailing_13w", sql(f"""
@@ -63,7 +64,7 @@ def _top_retailers(spark, sf):
            CAST(SUM(units_sold) AS BIGINT) AS units
     FROM v_sales WHERE {RECENT_13}""", "v_sales"))
 def _trailing_13w(spark, sf):
-    recent = trailing_weeks(V.sales(spark, sf), "week_ending", 13, V.sales_weeks(spark, sf))
+    recent = trailing_weeks(Model(spark, sf).sales(), "week_ending", 13)
     return recent.agg(F.countDistinct("week_ending").alias("weeks"),
                       F.round(F.sum("pos_revenue"), 0).cast("double").alias("revenue"),
                       F.sum("units_sold").cast("bigint").alias("units"))
@@ -75,7 +76,7 @@ def _trailing_13w(spark, sf):
     WHERE week_ending >= (SELECT MAX(week_ending) FROM v_sales) - INTERVAL 26 WEEKS
     GROUP BY week_ending ORDER BY 1""", "v_sales"))
 def _revenue_trend(spark, sf):
-    return metrics.revenue_trend(V.sales(spark, sf), 26, V.sales_weeks(spark, sf))
+    return metrics.revenue_trend(Model(spark, sf).sales(), 26)
 
 
 @register("kpi_cards", sql(f"""
@@ -143,16 +144,15 @@ SELL_THROUGH_SQL = f"""
 @register("sell_through", sql(SELL_THROUGH_SQL.format(extra=""),
                               "v_sales", "v_products", "v_retailers"))
 def _sell_through(spark, sf):
-    return metrics.sell_through(V.sales(spark, sf), V.products(spark, sf),
-                                V.retailers(spark, sf), 13, anchor=V.sales_weeks(spark, sf))
+    return metrics.sell_through(Model(spark, sf).sales(), V.products(spark, sf),
+                                V.retailers(spark, sf), 13)
 
 
 @register("sell_through_one", sql(SELL_THROUGH_SQL.format(
     extra=f"AND p.product_name = '{PRODUCT_NAME}'"), "v_sales", "v_products", "v_retailers"))
 def _sell_through_one(spark, sf):
-    return metrics.sell_through(V.sales(spark, sf), V.products(spark, sf),
-                                V.retailers(spark, sf), 13, product_name=PRODUCT_NAME,
-                                anchor=V.sales_weeks(spark, sf))
+    return metrics.sell_through(Model(spark, sf).sales(), V.products(spark, sf),
+                                V.retailers(spark, sf), 13, product_name=PRODUCT_NAME)
 
 
 @register("sales_weekly", sql("""
@@ -162,7 +162,7 @@ def _sell_through_one(spark, sf):
            CAST(avg_selling_price AS DOUBLE) AS avg_selling_price, on_promo
     FROM v_sales""", "v_sales"))
 def _sales_weekly(spark, sf):
-    return metrics.sales_weekly(V.sales(spark, sf))
+    return metrics.sales_weekly(Model(spark, sf).sales())
 
 
 # ------------------------------------------------------------ promotions (C/F)
@@ -171,14 +171,14 @@ def _sales_weekly(spark, sf):
     SELECT promo_type, {ratio("SUM(roi)", "COUNT(*)", 3)} AS avg_roi, COUNT(*) AS n
     FROM v_promos GROUP BY promo_type ORDER BY promo_type""", "v_promos"))
 def _roi_by_type(spark, sf):
-    return promo.roi_by_type(V.promotions(spark, sf))
+    return promo.roi_by_type(Model(spark, sf).promotions())
 
 
 @register("negative_roi_count", sql("""
     SELECT promo_type, COUNT(*) AS n_negative FROM v_promos WHERE roi < 0 GROUP BY promo_type""",
                                     "v_promos"))
 def _negative_roi_count(spark, sf):
-    return promo.negative_roi_count(V.promotions(spark, sf))
+    return promo.negative_roi_count(Model(spark, sf).promotions())
 
 
 NEG_PROMOS_SQL = """
@@ -196,7 +196,7 @@ NEG_PROMOS_SQL = """
 @register("negative_roi_promos", sql(NEG_PROMOS_SQL + " ORDER BY t.roi",
                                      "v_promos", "v_products", "v_retailers"))
 def _negative_roi_promos(spark, sf):
-    return promo.negative_roi_promos(V.promotions(spark, sf), V.products(spark, sf),
+    return promo.negative_roi_promos(Model(spark, sf).promotions(), V.products(spark, sf),
                                      V.retailers(spark, sf), 13).orderBy("roi")
 
 
@@ -205,7 +205,7 @@ def _negative_roi_promos(spark, sf):
     "retailer_id, start_date, promoted_units, promo_spend LIMIT 5",
     "v_promos", "v_products", "v_retailers"))
 def _worst_promos(spark, sf):
-    neg = promo.negative_roi_promos(V.promotions(spark, sf), V.products(spark, sf),
+    neg = promo.negative_roi_promos(Model(spark, sf).promotions(), V.products(spark, sf),
                                     V.retailers(spark, sf), 13)
     return promo.worst_promos(neg, 5)
 
@@ -214,21 +214,21 @@ def _worst_promos(spark, sf):
     SELECT order_key, line_number, product_id, baseline_units, incremental_units, promoted_units,
            CAST(lift_pct AS DOUBLE) AS lift_pct FROM v_promos""", "v_promos"))
 def _promo_lift(spark, sf):
-    return promo.promo_lift(V.promotions(spark, sf))
+    return promo.promo_lift(Model(spark, sf).promotions())
 
 
 @register("promo_roi", sql("""
     SELECT order_key, line_number, promo_type, CAST(promo_spend AS DOUBLE) AS promo_spend,
            CAST(roi AS DOUBLE) AS roi FROM v_promos""", "v_promos"))
 def _promo_roi(spark, sf):
-    return promo.promo_roi(V.promotions(spark, sf))
+    return promo.promo_roi(Model(spark, sf).promotions())
 
 
 @register("promo_windows", sql("""
     SELECT order_key, line_number, start_date, end_date,
            CAST(end_date - start_date AS BIGINT) AS days FROM v_promos""", "v_promos"))
 def _promo_windows(spark, sf):
-    return promo.promo_windows(V.promotions(spark, sf))
+    return promo.promo_windows(Model(spark, sf).promotions())
 
 
 # ----------------------------------------------------------------- share (F/D)
@@ -241,14 +241,14 @@ MS_COLS = """CAST(month AS VARCHAR) AS month, brand, category,
 
 @register("market_share", sql(f"SELECT {MS_COLS} FROM v_market_share", "v_market_share"))
 def _market_share(spark, sf):
-    return share.market_share_out(V.market_share(spark, sf))
+    return share.market_share_out(Model(spark, sf).market_share())
 
 
 @register("share_latest_month", sql(f"""
     SELECT {MS_COLS} FROM v_market_share
     WHERE month = (SELECT MAX(month) FROM v_market_share)""", "v_market_share"))
 def _share_latest_month(spark, sf):
-    return share.share_latest_month(V.market_share(spark, sf))
+    return share.share_latest_month(Model(spark, sf).market_share())
 
 
 @register("share_by_brand", sql(f"""
@@ -256,7 +256,7 @@ def _share_latest_month(spark, sf):
     FROM v_market_share WHERE month = (SELECT MAX(month) FROM v_market_share)
     GROUP BY brand ORDER BY 2 DESC, 1 LIMIT 10""", "v_market_share"))
 def _share_by_brand(spark, sf):
-    return share.share_by_brand(V.market_share(spark, sf), 10)
+    return share.share_by_brand(Model(spark, sf).market_share(), 10)
 
 
 @register("share_trend", sql(f"""
@@ -264,7 +264,7 @@ def _share_by_brand(spark, sf):
     FROM v_market_share WHERE brand = '{SHARE_BRAND}' AND category = '{SHARE_CATEGORY}'
     ORDER BY month""", "v_market_share"))
 def _share_trend(spark, sf):
-    return share.share_trend(V.market_share(spark, sf), SHARE_BRAND, SHARE_CATEGORY)
+    return share.share_trend(Model(spark, sf).market_share(), SHARE_BRAND, SHARE_CATEGORY)
 
 
 @register("acv_distribution", sql(f"""
@@ -280,7 +280,7 @@ def _share_trend(spark, sf):
            {ratio("sel_vol * 100.0", "market_vol", 1)} AS acv_pct, stores_selling
     FROM per_item JOIN market USING (month)""", "v_sales"))
 def _acv_distribution(spark, sf):
-    return share.acv_distribution(V.sales(spark, sf))
+    return share.acv_distribution(Model(spark, sf).sales())
 
 
 # ------------------------------------------------------------- inventory (F/C/B)
@@ -301,7 +301,7 @@ def _running_sql(keys: str, src: str = "v_sales") -> str:
            CAST(sold AS BIGINT) AS sold, CAST(units_on_hand AS BIGINT) AS units_on_hand,
            CAST(wos AS DOUBLE) AS weeks_of_supply FROM rw""", "v_sales"))
 def _inventory_running(spark, sf):
-    return inventory.inventory_running(V.sales(spark, sf))
+    return inventory.inventory_running(Model(spark, sf).sales())
 
 
 @register("inventory_snapshots", sql(f"""
@@ -311,7 +311,7 @@ def _inventory_running(spark, sf):
     WHERE CAST(FLOOR(date_diff('day', (SELECT MIN(week_ending) FROM v_sales), week_ending) / 7) AS BIGINT) % 4 = 0""",
                                      "v_sales"))
 def _inventory_snapshots(spark, sf):
-    return inventory.inventory_snapshots(V.sales(spark, sf))
+    return inventory.inventory_snapshots(Model(spark, sf).sales())
 
 
 @register("weeks_of_supply", sql(f"""
@@ -320,7 +320,7 @@ def _inventory_snapshots(spark, sf):
            CAST(units_on_hand AS BIGINT) AS units_on_hand, CAST(sold AS BIGINT) AS sold,
            CAST(wos AS DOUBLE) AS weeks_of_supply FROM rw""", "v_sales"))
 def _weeks_of_supply(spark, sf):
-    r = inventory.running_on_hand(V.sales(spark, sf), ["product_id", "retailer_id"])
+    r = inventory.running_on_hand(Model(spark, sf).sales(), ["product_id", "retailer_id"])
     return r.select("product_id", "retailer_id", F.col("week_ending").cast("string").alias("week"),
                     "units_on_hand", "sold", C.as_double("weeks_of_supply").alias("weeks_of_supply"))
 
@@ -333,7 +333,7 @@ def _weeks_of_supply(spark, sf):
     FROM rw JOIN v_retailers rt ON rw.retailer_id = rt.retailer_id
     GROUP BY rt.retailer_name ORDER BY 2, 1""", "v_sales", "v_products", "v_retailers"))
 def _lowest_supply(spark, sf):
-    return inventory.lowest_supply(V.sales(spark, sf), V.products(spark, sf),
+    return inventory.lowest_supply(Model(spark, sf).sales(), V.products(spark, sf),
                                    V.retailers(spark, sf), PRODUCT_NAME)
 
 
@@ -369,7 +369,7 @@ def _month_spine(spark, sf):
     SELECT product_id, retailer_id, MIN(week_ending) AS first_week, MAX(week_ending) AS last_week,
            COUNT(*) AS active_weeks FROM v_sales GROUP BY 1, 2""", "v_sales"))
 def _carried_pairs(spark, sf):
-    return grid.carried_pairs(V.sales(spark, sf))
+    return grid.carried_pairs(Model(spark, sf).sales())
 
 
 @register("sales_grid", sql("""
@@ -383,7 +383,7 @@ def _carried_pairs(spark, sf):
     FROM g LEFT JOIN v_sales s ON g.product_id = s.product_id AND g.retailer_id = s.retailer_id
                               AND g.week_ending = s.week_ending""", "v_sales"))
 def _sales_grid(spark, sf):
-    return grid.sales_grid(V.sales(spark, sf))
+    return grid.sales_grid(Model(spark, sf).sales())
 
 
 _FAMILY_SQL = f"""(SELECT v.*, COALESCE(cf.pack_family, '{seed.DEFAULT_PACK_FAMILY}') AS pack_family
@@ -433,7 +433,7 @@ def _brand_category(spark, sf):
                 AS DOUBLE) AS shelf_price
     FROM v_sales s JOIN v_products p ON s.product_id = p.product_id""", "v_sales", "v_products"))
 def _sales_pricing(spark, sf):
-    return grid.sales_pricing(V.sales(spark, sf), V.products(spark, sf))
+    return grid.sales_pricing(Model(spark, sf).sales(), V.products(spark, sf))
 
 
 @register("seasonality_index", sql(f"""
@@ -447,7 +447,7 @@ def _sales_pricing(spark, sf):
            {ratio("CAST(s AS DOUBLE) / n", "CAST(s_all AS DOUBLE) / n_all", 3)} AS seasonality
     FROM by_moy JOIN overall USING (category)""", "v_sales", "v_products"))
 def _seasonality_index(spark, sf):
-    return grid.seasonality_index(V.sales(spark, sf), V.products(spark, sf))
+    return grid.seasonality_index(Model(spark, sf).sales(), V.products(spark, sf))
 
 
 @register("clamped_measures", sql("""
@@ -457,7 +457,7 @@ def _seasonality_index(spark, sf):
            CAST(LEAST(dollar_share_pct, 99.5) AS DOUBLE) AS share_cap
     FROM v_market_share""", "v_market_share"))
 def _clamped_measures(spark, sf):
-    return grid.clamped_measures(V.market_share(spark, sf))
+    return grid.clamped_measures(Model(spark, sf).market_share())
 
 
 @register("account_scale", sql("""
@@ -470,7 +470,7 @@ def _clamped_measures(spark, sf):
                 AS DOUBLE) AS scale
     FROM acct""", "v_sales"))
 def _account_scale(spark, sf):
-    return grid.account_scale(V.sales(spark, sf))
+    return grid.account_scale(Model(spark, sf).sales())
 
 
 # ------------------------------------------------------ documents and retrieval
@@ -548,7 +548,8 @@ def _text_search(spark, sf):
     b = Tables(spark, sf).benchmark
     first = b.select(F.min("item_id")).scalar()
     q = text.query_terms_of(b.filter(F.col("item_id") == first))
-    return text.text_search(V.documents(spark, sf), q, 10)
+    m = Model(spark, sf)
+    return text.text_search(m.documents(), q, 10, index=m.doc_index())
 
 
 @register("doc_normalize", f"""
@@ -786,8 +787,8 @@ _NORM = "' ' || lower(trim(regexp_replace({0}, '[^A-Za-z0-9]+', ' ', 'g'))) || '
            {ratio("COALESCE(hits.n, 0)", "(SELECT COUNT(*) FROM f)", 6)} AS coverage
     FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id""")
 def _fact_coverage(spark, sf):
-    t = Tables(spark, sf)
-    return evals.fact_coverage(t.benchmark, t.documents)
+    t, m = Tables(spark, sf), Model(spark, sf)
+    return evals.fact_coverage(t.benchmark, t.documents, index=m.doc_index(), norm=m.doc_norm())
 
 
 # ------------------------------------------------------- sync, sinks, scans (A)

@@ -1,9 +1,10 @@
 """The dashboard — KPI cards and five chart series as one
-plan over the shared sales fact.
+plan over the shared model tables.
 
-All tiles are sub-plans of one DataFrame, so the weekly sales aggregate is
-computed once and its exchange reused by every tile (ReusedExchange in the
-physical plan) instead of ten round trips as separate statements.
+The sales fact, promotions and market share are materialised once
+(``plans.model``); every tile is a scan + small aggregation of them, fused
+into one DataFrame instead of ten separate statements that each rebuild the
+fact.
 """
 
 from __future__ import annotations
@@ -12,24 +13,23 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline.operators import metrics, promo, share
-from shelfline.sources import views as V
+from shelfline.plans.model import Model
 
 KPI_LABELS = ["Sell-out revenue (13 wk)", "Units sold (13 wk)", "Promotions w/ negative ROI",
               "Active SKUs", "Retail accounts"]
 
 
-def _kpi_values(spark: SparkSession, sf: str):
-    sales = V.sales(spark, sf)
-    sums = metrics.kpi_sums(sales, 13, V.sales_weeks(spark, sf))
-    neg = V.promotions(spark, sf).filter(F.col("roi") < 0).agg(F.count(F.lit(1)).alias("v"))
-    skus = V.products(spark, sf).agg(F.count(F.lit(1)).alias("v"))
-    accts = V.retailers(spark, sf).agg(F.count(F.lit(1)).alias("v"))
+def _kpi_values(m: Model):
+    sums = metrics.kpi_sums(m.sales(), 13)
+    neg = m.promotions().filter(F.col("roi") < 0).agg(F.count(F.lit(1)).alias("v"))
+    skus = m.products().agg(F.count(F.lit(1)).alias("v"))
+    accts = m.retailers().agg(F.count(F.lit(1)).alias("v"))
     return sums, neg, skus, accts
 
 
 def kpi_cards(spark: SparkSession, sf: str) -> DataFrame:
     """C17 + F1: formatted KPI tiles (``$#,###``; 0 when the window is empty)."""
-    sums, neg, skus, accts = _kpi_values(spark, sf)
+    sums, neg, skus, accts = _kpi_values(Model(spark, sf))
     rows = [
         sums.select(F.lit(1).alias("ord"), F.lit(KPI_LABELS[0]).alias("label"),
                     F.concat(F.lit("$"), F.format_number("revenue", 0)).alias("value")),
@@ -55,9 +55,10 @@ def _tile(df: DataFrame, tile: str, label: str, value: str, order: list) -> Data
 
 def dashboard_payload(spark: SparkSession, sf: str) -> DataFrame:
     """Tidy payload rows ``(tile, ord, label, value)``."""
-    sales, products, retailers = V.sales(spark, sf), V.products(spark, sf), V.retailers(spark, sf)
-    promos, ms = V.promotions(spark, sf), V.market_share(spark, sf)
-    sums, neg, skus, accts = _kpi_values(spark, sf)
+    m = Model(spark, sf)
+    sales, products, retailers = m.sales(), m.products(), m.retailers()
+    promos, ms = m.promotions(), m.market_share()
+    sums, neg, skus, accts = _kpi_values(m)
     kpis = (sums.select(F.lit("kpis").alias("tile"), F.lit(1).alias("ord"),
                         F.lit("revenue_13w").alias("label"), F.col("revenue").cast("double").alias("value"))
             .union(sums.select(F.lit("kpis"), F.lit(2), F.lit("units_13w"), F.col("units").cast("double")))
@@ -67,8 +68,7 @@ def dashboard_payload(spark: SparkSession, sf: str) -> DataFrame:
     roi = promo.roi_by_type(promos)
     tiles = [
         kpis,
-        _tile(metrics.revenue_trend(sales, 26, V.sales_weeks(spark, sf)), "revenue_trend", "week",
-              "revenue", ["week"]),
+        _tile(metrics.revenue_trend(sales, 26), "revenue_trend", "week", "revenue", ["week"]),
         _tile(roi, "roi_by_type", "promo_type", "avg_roi", ["promo_type"]),
         _tile(roi, "roi_counts", "promo_type", "n", ["promo_type"]),
         _tile(metrics.sales_by_category(sales, products), "sales_by_category", "category",

@@ -80,8 +80,13 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def sales(spark: SparkSession, sf: str) -> DataFrame:
     """Weekly sell-in and sell-out by product x retailer (the sales fact)."""
+    return sales_from(lines(spark, sf))
+
+
+def sales_from(ln: DataFrame) -> DataFrame:
+    """The sales fact from shipped lines (see ``lines``)."""
     kept = ~F.col("returned")
-    agg = (lines(spark, sf)
+    agg = (ln
            .groupBy("product_id", "retailer_id", C.week_ending("d").alias("week_ending"))
            .agg(F.sum("qty").cast("bigint").alias("units_shipped"),
                 F.sum(F.col("gross") * F.lit(SHIP_COST_SHARE)).cast(C.MONEY)
@@ -120,7 +125,11 @@ def promo_type(disc) -> "F.Column":
 def promotions(spark: SparkSession, sf: str) -> DataFrame:
     """Trade promotions: lines with a funded discount, measured against the
     product's non-promoted mean quantity (baseline)."""
-    ln = lines(spark, sf)
+    return promotions_from(lines(spark, sf))
+
+
+def promotions_from(ln: DataFrame) -> DataFrame:
+    """Trade promotions from shipped lines (see ``promotions``)."""
     baseline = (ln.filter(F.col("disc") < F.lit(PROMO_MIN_DISCOUNT))
                 .groupBy("product_id")
                 .agg(F.floor(F.avg("qty")).cast("bigint").alias("baseline_units")))
@@ -157,8 +166,13 @@ def promo_roi_value(incremental, qty, disc, spend) -> "F.Column":
 
 def market_share(spark: SparkSession, sf: str) -> DataFrame:
     """brand dollars / category dollars by month."""
-    ln = lines(spark, sf).select("product_id", "d", "gross")
-    p = products(spark, sf).select("product_id", "brand", "category")
+    return market_share_from(lines(spark, sf), products(spark, sf))
+
+
+def market_share_from(lines_df: DataFrame, products_df: DataFrame) -> DataFrame:
+    """Market share from shipped lines and products (see ``market_share``)."""
+    ln = lines_df.select("product_id", "d", "gross")
+    p = products_df.select("product_id", "brand", "category")
     brand_month = (ln.join(p, "product_id")
                    .groupBy(C.month_start("d").alias("month"), "brand", "category")
                    .agg(F.sum("gross").alias("brand_dollar_sales")))
