@@ -22,42 +22,35 @@ MAX_BROADCAST_QUERIES = 4096
 QUERY_BLOCK = 1024
 
 
-def with_query(df: DataFrame, query: DataFrame) -> DataFrame:
-    """Attach a one-row query (``qvec``, ``qnorm``) to every row.
+def first_doc_vector(vectors: DataFrame) -> list[float]:
+    """Query of a "more like this" search: the lowest-id document's vector.
+    One vector reaches the driver (a global ``min_by``), never the table."""
+    row = vectors.agg(F.min_by("embedding", "doc_id").alias("v")).first()
+    return [float(x) for x in row["v"]] if row and row["v"] is not None else []
 
-    ``query`` is a global aggregate, so it has exactly one row; it is
-    broadcast through an equi-join on a constant key (a hash join, not a
-    nested-loop product)."""
-    q = query.select("qvec", VX.norm("qvec").alias("qnorm"), F.lit(1).alias("_qk"))
-    return df.withColumn("_qk", F.lit(1)).join(F.broadcast(q), "_qk").drop("_qk")
 
+def _score(query_vec: list[float]) -> "F.Column":
+    q = F.lit(query_vec).cast("array<double>")
+    qnorm = float(np.linalg.norm(np.asarray(query_vec, dtype=np.float64))) if query_vec else 0.0
+    return C.rounded(VX.cosine("embedding", q, VX.norm("embedding"), F.lit(qnorm)), SCORE_DECIMALS)
 
-def first_doc_query(vectors: DataFrame) -> DataFrame:
-    """Query of a "more like this" search: the lowest-id document's vector
-    (one row: a global ``min_by`` aggregate)."""
-    return vectors.agg(F.min_by("embedding", "doc_id").alias("qvec"))
 
-
-def _score(query_col="qvec") -> "F.Column":
-    return C.rounded(VX.cosine("embedding", query_col, VX.norm("embedding"), F.col("qnorm")),
-                     SCORE_DECIMALS)
-
-
-def vector_topk(vectors: DataFrame, query: DataFrame, k: int = 4) -> DataFrame:
+def vector_topk(vectors: DataFrame, query_vec: list[float], k: int = 4) -> DataFrame:
     """H1: the k nearest documents to one query vector.
 
-    One score per row in the scan; TakeOrderedAndProject keeps k rows per
-    partition before the final merge."""
-    scored = with_query(vectors, query).select("doc_id", _score().alias("score"))
+    The query is a literal in the plan: one score per row in the scan, and
+    TakeOrderedAndProject keeps k rows per partition before the final
+    merge."""
+    scored = vectors.select("doc_id", _score(query_vec).alias("score"))
     return scored.orderBy(F.desc_nulls_last("score"), "doc_id").limit(k)
 
 
-def search_filtered(vectors: DataFrame, docs: DataFrame, query: DataFrame, doc_type: str,
+def search_filtered(vectors: DataFrame, docs: DataFrame, query_vec: list[float], doc_type: str,
                     k: int = 4) -> DataFrame:
     """Metadata filter on the document side, then scoring and top-k."""
     kept = docs.filter(F.col("doc_type") == doc_type).select("doc_id", "doc_type", "category")
-    j = with_query(vectors.join(kept, "doc_id"), query)
-    scored = j.select("doc_id", "doc_type", "category", _score().alias("score"))
+    j = vectors.join(kept, "doc_id")
+    scored = j.select("doc_id", "doc_type", "category", _score(query_vec).alias("score"))
     return scored.orderBy(F.desc_nulls_last("score"), "doc_id").limit(k)
 
 

@@ -501,7 +501,7 @@ _TERMS = "string_split(lower(trim(regexp_replace({0}, '[^A-Za-z0-9]+', ' ', 'g')
     ORDER BY score DESC NULLS LAST, doc_id LIMIT 4""", "v_vectors"))
 def _vector_topk(spark, sf):
     v = V.vectors(spark, sf)
-    return retrieval.vector_topk(v, retrieval.first_doc_query(v), 4)
+    return retrieval.vector_topk(v, retrieval.first_doc_vector(v), 4)
 
 
 @register("search_filtered", sql(f"""
@@ -513,7 +513,7 @@ def _vector_topk(spark, sf):
     ORDER BY score DESC NULLS LAST, doc_id LIMIT 4""", "v_vectors", "v_documents"))
 def _search_filtered(spark, sf):
     v = V.vectors(spark, sf)
-    return retrieval.search_filtered(v, V.documents(spark, sf), retrieval.first_doc_query(v),
+    return retrieval.search_filtered(v, V.documents(spark, sf), retrieval.first_doc_vector(v),
                                      SEARCH_DOC_TYPE, 4)
 
 
