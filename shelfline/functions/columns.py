@@ -73,8 +73,10 @@ def clamp(c, lo=None, hi=None) -> Column:
     return out
 
 
-# ASCII whitespace, spelled out so every regex engine reads it the same way.
-WS_CLASS = r"[\t\n\x0B\f\r ]"
+# Fixed value: the characters Python's str.split() treats as whitespace,
+# spelled with \x{..} escapes so Java regex and RE2 read the class the same way.
+WS_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+            r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 
 
 def collapse_ws(c) -> Column:

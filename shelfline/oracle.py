@@ -8,7 +8,9 @@ dependency order, as a WITH list.  The view texts mirror
 
 from __future__ import annotations
 
-WS = r"'[\t\n\x0B\f\r ]+'"
+from shelfline.functions.columns import WS_CLASS
+
+WS = "'" + WS_CLASS + "+'"
 
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "v_products": ((), """
