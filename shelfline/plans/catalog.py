@@ -844,3 +844,9 @@ def _scan_products(spark, sf):
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
         F.col("p_brand").alias("brand"), F.col("p_type").alias("category"),
         F.col("p_retailprice").alias("list_price"))
+
+
+@register("assemble_deltas_stream", ORACLE["assemble_deltas"])
+def _assemble_deltas_stream(spark, sf):
+    from shelfline.streaming import deltas
+    return deltas.assemble_deltas_stream(spark, V.deltas(spark, sf))

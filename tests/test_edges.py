@@ -215,3 +215,19 @@ def test_sales_grid_fills_gaps(spark):
                               "product_id long, retailer_id long, week_ending date, units_sold bigint")
     got = [(r["week"], r["units_sold"]) for r in grid.sales_grid(s).orderBy("week").collect()]
     assert [u for _, u in got] == [5, 0, 0, 7]
+
+
+def test_delta_stream_waits_for_all_parts(spark):
+    from shelfline.streaming import deltas as D
+    base = tempfile.mkdtemp(prefix="deltas-test-")
+    ev_dir, out, ck = (os.path.join(base, p) for p in ("events", "items", "_ck"))
+    rows = [("a", 0, D.DELTA, "hello"), ("a", 2, D.DELTA, "world"), ("b", 0, D.DELTA, "solo")]
+    late = [("a", 1, D.DELTA, "big")]
+    done = [("a", 3, D.DONE, None), ("b", 1, D.DONE, None)]
+    for batch in (rows, done, late):       # done for "a" arrives before its last part
+        spark.createDataFrame(batch, D.EVENT_SCHEMA).write.mode("append").parquet(ev_dir)
+        D.assemble_stream(spark, ev_dir, out, ck)
+        got = {r["item_id"]: r["text"] for r in spark.read.schema(D.OUT_SCHEMA).parquet(out).collect()}
+        if batch is done:
+            assert got == {"b": "solo"}
+    assert got == {"a": "hello big world", "b": "solo"}
