@@ -20,7 +20,7 @@ from shelfline.sources.tables import Tables
 
 def week_spine(spark: SparkSession, sf: str) -> DataFrame:
     """B1: every week-ending Saturday between the first and last shipment."""
-    li = Tables(spark, sf).lineitem
+    li = Tables(spark, sf, spread=False).lineitem
     b = li.agg(F.min(F.to_date("l_shipdate")).alias("lo"), F.max(F.to_date("l_shipdate")).alias("hi"))
     return b.select(F.explode(F.sequence(C.week_ending("lo"), C.week_ending("hi"),
                                          F.expr("INTERVAL 7 DAYS"))).alias("week_ending"))
@@ -28,7 +28,7 @@ def week_spine(spark: SparkSession, sf: str) -> DataFrame:
 
 def month_spine(spark: SparkSession, sf: str) -> DataFrame:
     """B1: first day of every month between the first and last shipment."""
-    li = Tables(spark, sf).lineitem
+    li = Tables(spark, sf, spread=False).lineitem
     b = li.agg(F.min(F.to_date("l_shipdate")).alias("lo"), F.max(F.to_date("l_shipdate")).alias("hi"))
     return b.select(F.explode(F.sequence(C.month_start("lo"), C.month_start("hi"),
                                          F.expr("INTERVAL 1 MONTH"))).alias("month"))

@@ -16,9 +16,11 @@ from shelfline.functions import columns as C
 from shelfline.functions import vectors as VX
 
 SCORE_DECIMALS = 6
-# A batch of at most this many query vectors is shipped to every task;
-# larger batches take the blocked path (no broadcast at all).
+# A batch of at most this many query vectors, and at most this many bytes of
+# float64 query matrix, is shipped to every task; a larger batch takes the
+# blocked path (no broadcast at all).
 MAX_BROADCAST_QUERIES = 4096
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 QUERY_BLOCK = 1024
 
 
@@ -104,9 +106,10 @@ def vector_topk_batch(spark: SparkSession, vectors: DataFrame, queries: DataFram
     table is ever materialised.  A batch that passes the size check is
     shipped to every task (documents are not shuffled); a larger batch is
     split into blocks and co-grouped with document blocks."""
-    n_q = queries.count()
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("qvec")).alias("dim")).first()
+    n_q, dim = int(size["n"]), int(size["dim"] or 0)
     docs = vectors.select("doc_id", "embedding")
-    if n_q <= MAX_BROADCAST_QUERIES:
+    if n_q <= MAX_BROADCAST_QUERIES and n_q * dim * 8 <= MAX_BROADCAST_BYTES:
         qp = queries.toPandas()  # bounded by the check above
         qids = qp["qid"].to_numpy(dtype=np.int64)
         qmat, qnorm = _unit_rows(list(qp["qvec"]))

@@ -741,7 +741,7 @@ def _assemble_deltas(spark, sf):
 @register("latest_traces", """
     SELECT event_id, ts, user_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 5""")
 def _latest_traces(spark, sf):
-    return traces.latest_traces(Tables(spark, sf).events, 5)
+    return traces.latest_traces(Tables(spark, sf, spread=False).events, 5)
 
 
 # ------------------------------------------------------------------ evals (C/I)

@@ -37,7 +37,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "16g")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="shelfline-wh-")))
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -32,7 +32,7 @@ def write_table(df: DataFrame, path: str, date_cols=(), partition_by=None) -> in
 
 def table_counts(spark: SparkSession, sf: str, names=TABLE_NAMES) -> DataFrame:
     """One ``(table_name, n)`` row per table, as one union plan."""
-    parts = [read_table(spark, sf, n).agg(F.count(F.lit(1)).alias("n"))
+    parts = [read_table(spark, sf, n, spread=False).agg(F.count(F.lit(1)).alias("n"))
              .select(F.lit(n).alias("table_name"), "n") for n in names]
     out = parts[0]
     for p in parts[1:]:

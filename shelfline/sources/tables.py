@@ -57,11 +57,12 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one table; ``name`` may be qualified (``catalog.schema.table``)."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Scan one table; ``name`` may be qualified (``catalog.schema.table``).
+    ``spread=False`` for scans that only feed a global count/min/max."""
     short = name.split(".")[-1]
     df = spark.read.schema(SCHEMAS[short]).parquet(table_path(sf_dir, short))
-    return spread_small_scan(df) if short in FACT_TABLES else df
+    return spread_small_scan(df) if spread and short in FACT_TABLES else df
 
 
 def spread_small_scan(df: DataFrame) -> DataFrame:
@@ -87,10 +88,10 @@ def register_tables(spark: SparkSession, sf_dir: str) -> None:
 class Tables:
     """Lazy accessor: ``Tables(spark, sf_dir).lineitem`` is a DataFrame."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = True):
+        self.spark, self.sf_dir, self.spread = spark, sf_dir, spread
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:
             raise AttributeError(name)
-        return read_table(self.spark, self.sf_dir, name)
+        return read_table(self.spark, self.sf_dir, name, self.spread)

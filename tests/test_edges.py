@@ -231,3 +231,24 @@ def test_delta_stream_waits_for_all_parts(spark):
         if batch is done:
             assert got == {"b": "solo"}
     assert got == {"a": "hello big world", "b": "solo"}
+
+
+def test_seed_rows_and_namespace(spark):
+    from shelfline.sources import seed, sinks
+    r = seed.seed_retailers(spark)
+    assert r.count() == 10 and r.schema["retailer_id"].dataType.typeName() == "long"
+    assert [x["retailer_id"] for x in r.orderBy("retailer_id").collect()] == list(range(1, 11))
+    packs = seed.pack_variants(spark)
+    assert packs.groupBy("pack_family").count().count() == 3 and packs.count() == 12
+    sinks.ensure_namespace(spark, "shelfline_test_ns")
+    sinks.ensure_namespace(spark, "shelfline_test_ns")  # idempotent
+    assert "shelfline_test_ns" in [d.name for d in spark.catalog.listDatabases()]
+
+
+def test_write_table_counts_in_same_job(spark):
+    from shelfline.sources import sinks
+    path = os.path.join(tempfile.mkdtemp(prefix="write-test-"), "t")
+    df = spark.createDataFrame([("2024-01-0%d" % i, i) for i in range(1, 6)], "d string, v int")
+    assert sinks.write_table(df, path, date_cols=["d"]) == 5
+    back = spark.read.parquet(path)
+    assert dict(back.dtypes)["d"] == "date" and back.count() == 5
