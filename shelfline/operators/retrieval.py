@@ -56,12 +56,37 @@ def search_filtered(vectors: DataFrame, docs: DataFrame, query_vec: list[float],
     return scored.orderBy(F.desc_nulls_last("score"), "doc_id").limit(k)
 
 
+PARTIAL_SCHEMA = "label int, n long, s array<double>"
+
+
+def _partial_sums(it):
+    """Per-partition (label -> vector sum, count): pre-aggregation before
+    the shuffle, so a label holding a third of all rows still leaves each
+    task as one row."""
+    acc: dict = {}
+    for pdf in it:
+        for label, grp in pdf.groupby("label", dropna=False):
+            m = np.stack([np.asarray(v, dtype=np.float64) for v in grp["embedding"]])
+            n0, s0 = acc.get(label, (0, 0.0))
+            acc[label] = (n0 + len(grp), s0 + m.sum(axis=0))
+    yield pd.DataFrame({"label": pd.Series([None if pd.isna(k) else int(k) for k in acc],
+                                           dtype="Int32"),
+                        "n": [v[0] for v in acc.values()],
+                        "s": [v[1].tolist() for v in acc.values()]})
+
+
 def label_centroids(vectors: DataFrame) -> DataFrame:
-    """Mean vector per label: one query per label (qid = label)."""
-    comp = (vectors.select("label", F.posexplode("embedding").alias("pos", "x"))
-            .groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m")))
+    """Mean vector per label: one query per label (qid = label).
+
+    Partial vector sums per partition (NumPy), then the few partials per
+    label are summed component-wise — no per-component row explosion of
+    the full table."""
+    parts = vectors.select("label", "embedding").mapInPandas(_partial_sums, PARTIAL_SCHEMA)
+    comp = (parts.select("label", "n", F.posexplode("s").alias("pos", "x"))
+            .groupBy("label", "pos").agg(F.sum("x").alias("sx"), F.sum("n").alias("n")))
     return (comp.groupBy("label")
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("c"))
+            .agg(F.sort_array(F.collect_list(F.struct("pos", (F.col("sx") / F.col("n")).alias("m"))))
+                 .alias("c"))
             .select(F.col("label").cast("long").alias("qid"),
                     F.transform("c", lambda s: s["m"]).alias("qvec")))
 

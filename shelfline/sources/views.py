@@ -3,7 +3,8 @@
 Each function returns one logical table of the consumer-goods model as a
 DataFrame.  They are plain projections, joins and aggregations, so Catalyst
 prunes columns and pushes filters into the parquet scans of whatever query
-uses them, and identical sub-plans inside one query share one exchange.
+uses them.  ``plans.model`` materialises the expensive ones (lines, sales,
+promotions, market share) once per session so queries do not rebuild them.
 
 Mapping (also documented in FIXTURES.md part B):
   products   <- part          retailers <- customer, nation, region

@@ -252,3 +252,13 @@ def test_write_table_counts_in_same_job(spark):
     assert sinks.write_table(df, path, date_cols=["d"]) == 5
     back = spark.read.parquet(path)
     assert dict(back.dtypes)["d"] == "date" and back.count() == 5
+
+
+def test_dashboard_json_orders_labels(spark):
+    import json
+    from shelfline.plans.dashboard import dashboard_json
+    payload = spark.createDataFrame([("t", 2, "b", 2.0), ("t", 1, "a", 1.5), ("u", 1, "x", 9.0)],
+                                    "tile string, ord int, label string, value double")
+    got = {r["tile"]: json.loads(r["json"]) for r in dashboard_json(payload).collect()}
+    assert got == {"t": {"labels": ["a", "b"], "values": [1.5, 2.0]},
+                   "u": {"labels": ["x"], "values": [9.0]}}
