@@ -32,10 +32,17 @@ PATTERNS = {
 
 def summarise(plan: str) -> dict:
     out = {k: len(re.findall(p, plan)) for k, p in PATTERNS.items()}
-    scans = re.findall(r"FileScan parquet \[[^\]]*\][^\n]*?Location: \w+ \[([^\]]*)\][^\n]*?"
+    scans = re.findall(r"FileScan parquet [^\n]*?Location: [^\[\n]*\[([^\]]*)\][^\n]*?"
                        r"PushedFilters: \[([^\]]*)\]", plan)
-    out["scans"] = [(os.path.basename(loc.split(",")[0]).replace(".parquet", ""),
-                     pf if len(pf) < 90 else pf[:87] + "...") for loc, pf in scans]
+    names = []
+    for loc, pf in scans:
+        base = os.path.basename(loc.split(",")[0].rstrip("/")).replace(".parquet", "")
+        base = re.sub(r"-[0-9a-f]{12}$", "", base)
+        pf = ", ".join(f for f in pf.split(", ") if not f.startswith("IsNotNull"))
+        item = (base, pf if len(pf) < 80 else pf[:77] + "...")
+        if item not in names:
+            names.append(item)
+    out["scans"] = names
     return out
 
 
