@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shelfline.operators import metrics, promo, share
 from shelfline.plans.model import Model
 
+# KPI card labels, in display order.
 KPI_LABELS = ["Sell-out revenue (13 wk)", "Units sold (13 wk)", "Promotions w/ negative ROI",
               "Active SKUs", "Retail accounts"]
 
