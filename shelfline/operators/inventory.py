@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions import columns as C
-from shelfline.operators.windows import period_max  # noqa: F401  (re-export)
 
 
 def weeks_of_supply(on_hand, sold) -> "F.Column":

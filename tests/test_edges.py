@@ -262,3 +262,27 @@ def test_dashboard_json_orders_labels(spark):
     got = {r["tile"]: json.loads(r["json"]) for r in dashboard_json(payload).collect()}
     assert got == {"t": {"labels": ["a", "b"], "values": [1.5, 2.0]},
                    "u": {"labels": ["x"], "values": [9.0]}}
+
+
+def test_lines_anchor_equals_fact_anchor(spark):
+    from tests.conftest import SMALL
+    a = V.sales(spark, SMALL).agg(F.max("week_ending")).first()[0]
+    b = V.sales_weeks(spark, SMALL).agg(F.max("week_ending")).first()[0]
+    assert a == b
+
+
+def test_chat_history_bulk_is_ordered_per_session(spark):
+    chat = spark.createDataFrame([(s, t, "user", f"{s}-{t}") for s in (3, 1, 2) for t in (2, 0, 1)]
+                                 + [(1, t, "user", f"1-{t}") for t in range(3, 60)],
+                                 "session_id long, turn long, role string, content string")
+    out = memory.chat_history_bulk(chat, partitions=4)
+    rows = [(r["session_id"], r["turn"]) for r in out.collect()]
+    assert rows == sorted(rows) and len(rows) == chat.count()
+
+
+def test_registered_tables_answer_sql(spark):
+    from shelfline.sources.tables import register_tables
+    from tests.conftest import SMALL
+    register_tables(spark, SMALL)
+    n = spark.sql("SELECT COUNT(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey").first()[0]
+    assert n == spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
