@@ -18,10 +18,23 @@ from shelfline.operators.ids import sequential_ids
 NAMESPACE_PREFIX = "user_memories"
 
 
+def is_json_object(c) -> "F.Column":
+    """True when the text parses as JSON and its top level is an object."""
+    v = F.try_parse_json(C.col_(c))
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+
+def accepted(log: DataFrame) -> DataFrame:
+    """Writes the store accepts: deletes, and puts whose value is a JSON
+    object (a rejected put leaves the stored value unchanged)."""
+    return log.filter((F.col("op") == "delete") | is_json_object("value_json"))
+
+
 def latest_state(log: DataFrame, keys=("user_id", "key")) -> DataFrame:
-    """Last row per key (ts, then seq breaks ties), tombstones kept."""
+    """Last accepted row per key (ts, then seq breaks ties), tombstones
+    kept."""
     last = F.max(F.struct("ts", "seq", "op", "value_json")).alias("last")
-    return (log.groupBy(*keys).agg(last)
+    return (accepted(log).groupBy(*keys).agg(last)
             .select(*keys, F.col("last.op").alias("last_op"),
                     F.col("last.value_json").alias("value_json"),
                     F.col("last.ts").alias("ts"), F.col("last.seq").alias("seq")))

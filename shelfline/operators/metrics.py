@@ -16,7 +16,7 @@ from shelfline.functions import columns as C
 from shelfline.operators.windows import trailing_weeks
 
 
-def kpi_sums(sales: DataFrame, weeks: int = 13, anchor: DataFrame | None = None) -> DataFrame:
+def kpi_sums(sales: DataFrame, weeks: int = 13, anchor=None) -> DataFrame:
     """F1 part: revenue and units over the trailing window, one fused scan.
     ``anchor`` supplies MAX(week_ending) (defaults to ``sales`` itself)."""
     recent = trailing_weeks(sales, "week_ending", weeks, anchor)
@@ -25,7 +25,7 @@ def kpi_sums(sales: DataFrame, weeks: int = 13, anchor: DataFrame | None = None)
         F.coalesce(F.sum("units_sold"), F.lit(0)).cast("bigint").alias("units"))
 
 
-def revenue_trend(sales: DataFrame, weeks: int = 26, anchor: DataFrame | None = None
+def revenue_trend(sales: DataFrame, weeks: int = 26, anchor=None
                   ) -> DataFrame:
     """F2 + C3: weekly sell-out revenue over the trailing window, ascending."""
     recent = trailing_weeks(sales, "week_ending", weeks, anchor)
@@ -56,7 +56,7 @@ def top_retailers(sales: DataFrame, retailers: DataFrame, k: int = 8) -> DataFra
 
 def sell_through(sales: DataFrame, products: DataFrame, retailers: DataFrame,
                  weeks: int = 13, product_name: str | None = None,
-                 retailer_name: str | None = None, anchor: DataFrame | None = None
+                 retailer_name: str | None = None, anchor=None
                  ) -> DataFrame:
     """E3 + F7 (+ D3 name filters): sell-out / sell-in by product x retailer
     over the trailing window; ratio of sums, NULLIF-guarded, 3 decimals."""

@@ -49,10 +49,10 @@ def negative_roi_count(promos: DataFrame) -> DataFrame:
 
 
 def negative_roi_promos(promos: DataFrame, products: DataFrame, retailers: DataFrame,
-                        weeks: int = 13) -> DataFrame:
+                        weeks: int = 13, anchor=None) -> DataFrame:
     """F8: money-losing promotions that started in the last ``weeks`` weeks
     (anchored on the latest promotion start), worst first."""
-    recent = trailing_weeks(promos, "start_date", weeks).filter(F.col("roi") < 0)
+    recent = trailing_weeks(promos, "start_date", weeks, anchor).filter(F.col("roi") < 0)
     j = (recent.join(products.select("product_id", "product_name"), "product_id")
          .join(retailers.select("retailer_id", "retailer_name"), "retailer_id"))
     return j.select(

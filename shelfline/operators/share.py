@@ -17,14 +17,14 @@ def market_share_out(ms: DataFrame) -> DataFrame:
                      C.as_double("dollar_share_pct").alias("dollar_share_pct"))
 
 
-def share_latest_month(ms: DataFrame) -> DataFrame:
+def share_latest_month(ms: DataFrame, anchor=None) -> DataFrame:
     """Rows of the latest month."""
-    return market_share_out(latest_period(ms, "month"))
+    return market_share_out(latest_period(ms, "month", anchor))
 
 
-def share_by_brand(ms: DataFrame, k: int = 10) -> DataFrame:
+def share_by_brand(ms: DataFrame, k: int = 10, anchor=None) -> DataFrame:
     """mean share per brand in the latest month, top k (brand tie-break)."""
-    g = (latest_period(ms, "month").groupBy("brand")
+    g = (latest_period(ms, "month", anchor).groupBy("brand")
          .agg(F.sum("dollar_share_pct").alias("s"), F.count(F.lit(1)).alias("n")))
     return (g.select("brand", C.rounded(C.as_double("s") / C.as_double("n"), 2).alias("share"))
             .orderBy(F.desc("share"), "brand").limit(k))

@@ -1,12 +1,16 @@
 """Trailing-period and latest-period filters.
 
-The anchor (MAX of the period column) is an uncorrelated scalar subquery:
-Catalyst evaluates it once per query, shares it between uses of the same
-plan (ReuseSubquery) and keeps the whole thing one declarative plan.
+The anchor (MAX of the period column) is either an uncorrelated scalar
+subquery — evaluated once per query inside the plan — or, when the caller
+already knows it (the model records it once per table), a literal date.  A
+literal is pushed into the parquet scan, so files and row groups of a
+week-ordered fact outside the window are skipped.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,14 +27,22 @@ def trailing_cutoff(df: DataFrame, col: str, weeks: int) -> Column:
     return F.date_sub(period_max(df, col), 7 * weeks)
 
 
-def trailing_weeks(df: DataFrame, col: str, weeks: int, anchor_df: DataFrame | None = None
-                   ) -> DataFrame:
-    """Rows with ``col >= MAX(col) - weeks`` (inclusive: 13 weeks keeps 14
-    weekly dates).  ``anchor_df`` defaults to ``df`` itself."""
-    anchor = anchor_df if anchor_df is not None else df
-    return df.filter(col_(col) >= trailing_cutoff(anchor, col, weeks))
+Anchor = DataFrame | dt.date | None
 
 
-def latest_period(df: DataFrame, col: str) -> DataFrame:
-    """Rows of the most recent period, ``col = MAX(col)``."""
-    return df.filter(col_(col) == period_max(df, col))
+def trailing_weeks(df: DataFrame, col: str, weeks: int, anchor: Anchor = None) -> DataFrame:
+    """Rows with ``col >= MAX(col) - weeks`` (inclusive: 13 weeks keeps 14
+    weekly dates).  ``anchor``: None (MAX over ``df``), a DataFrame (MAX of
+    ``col`` over it), or the known MAX as a date."""
+    if isinstance(anchor, dt.date):
+        cutoff = F.lit(anchor - dt.timedelta(days=7 * weeks))
+    else:
+        cutoff = trailing_cutoff(anchor if anchor is not None else df, col, weeks)
+    return df.filter(col_(col) >= cutoff)
+
+
+def latest_period(df: DataFrame, col: str, anchor: dt.date | None = None) -> DataFrame:
+    """Rows of the most recent period, ``col = MAX(col)`` (``anchor`` is
+    the known MAX, if any)."""
+    value = F.lit(anchor) if isinstance(anchor, dt.date) else period_max(df, col)
+    return df.filter(col_(col) == value)

@@ -64,7 +64,8 @@ def _top_retailers(spark, sf):
            CAST(SUM(units_sold) AS BIGINT) AS units
     FROM v_sales WHERE {RECENT_13}""", "v_sales"))
 def _trailing_13w(spark, sf):
-    recent = trailing_weeks(Model(spark, sf).sales(), "week_ending", 13)
+    m = Model(spark, sf)
+    recent = trailing_weeks(m.sales(), "week_ending", 13, m.max_of("sales", "week_ending"))
     return recent.agg(F.countDistinct("week_ending").alias("weeks"),
                       F.round(F.sum("pos_revenue"), 0).cast("double").alias("revenue"),
                       F.sum("units_sold").cast("bigint").alias("units"))
@@ -76,7 +77,8 @@ def _trailing_13w(spark, sf):
     WHERE week_ending >= (SELECT MAX(week_ending) FROM v_sales) - INTERVAL 26 WEEKS
     GROUP BY week_ending ORDER BY 1""", "v_sales"))
 def _revenue_trend(spark, sf):
-    return metrics.revenue_trend(Model(spark, sf).sales(), 26)
+    m = Model(spark, sf)
+    return metrics.revenue_trend(m.sales(), 26, m.max_of("sales", "week_ending"))
 
 
 @register("kpi_cards", sql(f"""
@@ -144,15 +146,17 @@ SELL_THROUGH_SQL = f"""
 @register("sell_through", sql(SELL_THROUGH_SQL.format(extra=""),
                               "v_sales", "v_products", "v_retailers"))
 def _sell_through(spark, sf):
-    return metrics.sell_through(Model(spark, sf).sales(), V.products(spark, sf),
-                                V.retailers(spark, sf), 13)
+    m = Model(spark, sf)
+    return metrics.sell_through(m.sales(), m.products(), m.retailers(), 13,
+                                anchor=m.max_of("sales", "week_ending"))
 
 
 @register("sell_through_one", sql(SELL_THROUGH_SQL.format(
     extra=f"AND p.product_name = '{PRODUCT_NAME}'"), "v_sales", "v_products", "v_retailers"))
 def _sell_through_one(spark, sf):
-    return metrics.sell_through(Model(spark, sf).sales(), V.products(spark, sf),
-                                V.retailers(spark, sf), 13, product_name=PRODUCT_NAME)
+    m = Model(spark, sf)
+    return metrics.sell_through(m.sales(), m.products(), m.retailers(), 13,
+                                product_name=PRODUCT_NAME, anchor=m.max_of("sales", "week_ending"))
 
 
 @register("sales_weekly", sql("""
@@ -196,8 +200,9 @@ NEG_PROMOS_SQL = """
 @register("negative_roi_promos", sql(NEG_PROMOS_SQL + " ORDER BY t.roi",
                                      "v_promos", "v_products", "v_retailers"))
 def _negative_roi_promos(spark, sf):
-    return promo.negative_roi_promos(Model(spark, sf).promotions(), V.products(spark, sf),
-                                     V.retailers(spark, sf), 13).orderBy("roi")
+    m = Model(spark, sf)
+    return promo.negative_roi_promos(m.promotions(), m.products(), m.retailers(), 13,
+                                     m.max_of("promotions", "start_date")).orderBy("roi")
 
 
 @register("worst_promos", sql(
@@ -205,8 +210,9 @@ def _negative_roi_promos(spark, sf):
     "retailer_id, start_date, promoted_units, promo_spend LIMIT 5",
     "v_promos", "v_products", "v_retailers"))
 def _worst_promos(spark, sf):
-    neg = promo.negative_roi_promos(Model(spark, sf).promotions(), V.products(spark, sf),
-                                    V.retailers(spark, sf), 13)
+    m = Model(spark, sf)
+    neg = promo.negative_roi_promos(m.promotions(), m.products(), m.retailers(), 13,
+                                    m.max_of("promotions", "start_date"))
     return promo.worst_promos(neg, 5)
 
 
@@ -248,7 +254,8 @@ def _market_share(spark, sf):
     SELECT {MS_COLS} FROM v_market_share
     WHERE month = (SELECT MAX(month) FROM v_market_share)""", "v_market_share"))
 def _share_latest_month(spark, sf):
-    return share.share_latest_month(Model(spark, sf).market_share())
+    m = Model(spark, sf)
+    return share.share_latest_month(m.market_share(), m.max_of("market_share", "month"))
 
 
 @register("share_by_brand", sql(f"""
@@ -256,7 +263,8 @@ def _share_latest_month(spark, sf):
     FROM v_market_share WHERE month = (SELECT MAX(month) FROM v_market_share)
     GROUP BY brand ORDER BY 2 DESC, 1 LIMIT 10""", "v_market_share"))
 def _share_by_brand(spark, sf):
-    return share.share_by_brand(Model(spark, sf).market_share(), 10)
+    m = Model(spark, sf)
+    return share.share_by_brand(m.market_share(), 10, m.max_of("market_share", "month"))
 
 
 @register("share_trend", sql(f"""
@@ -590,7 +598,8 @@ from shelfline.streaming import sync  # noqa: E402
 
 MEMORY_QUERY = "purchase click"
 _LATEST = """(SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, key ORDER BY ts DESC, seq DESC) AS rn
-              FROM v_memory_log)"""
+              FROM v_memory_log
+              WHERE op = 'delete' OR COALESCE(json_valid(value_json) AND json_type(value_json) = 'OBJECT', FALSE))"""
 
 
 @register("memory_current", sql(f"""

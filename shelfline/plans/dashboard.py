@@ -21,7 +21,7 @@ KPI_LABELS = ["Sell-out revenue (13 wk)", "Units sold (13 wk)", "Promotions w/ n
 
 
 def _kpi_values(m: Model):
-    sums = metrics.kpi_sums(m.sales(), 13)
+    sums = metrics.kpi_sums(m.sales(), 13, m.max_of("sales", "week_ending"))
     neg = m.promotions().filter(F.col("roi") < 0).agg(F.count(F.lit(1)).alias("v"))
     skus = m.products().agg(F.count(F.lit(1)).alias("v"))
     accts = m.retailers().agg(F.count(F.lit(1)).alias("v"))
@@ -69,14 +69,16 @@ def dashboard_payload(spark: SparkSession, sf: str) -> DataFrame:
     roi = promo.roi_by_type(promos)
     tiles = [
         kpis,
-        _tile(metrics.revenue_trend(sales, 26), "revenue_trend", "week", "revenue", ["week"]),
+        _tile(metrics.revenue_trend(sales, 26, m.max_of("sales", "week_ending")), "revenue_trend",
+              "week", "revenue", ["week"]),
         _tile(roi, "roi_by_type", "promo_type", "avg_roi", ["promo_type"]),
         _tile(roi, "roi_counts", "promo_type", "n", ["promo_type"]),
         _tile(metrics.sales_by_category(sales, products), "sales_by_category", "category",
               "revenue", [F.desc("revenue"), "category"]),
         _tile(metrics.top_retailers(sales, retailers, 8), "top_retailers", "retailer_name",
               "revenue", [F.desc("revenue"), "retailer_name"]),
-        _tile(share.share_by_brand(ms, 10), "share_by_brand", "brand", "share",
+        _tile(share.share_by_brand(ms, 10, m.max_of("market_share", "month")), "share_by_brand",
+              "brand", "share",
               [F.desc("share"), "brand"]),
     ]
     out = tiles[0]

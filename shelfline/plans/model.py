@@ -17,6 +17,7 @@ cache key includes their sizes and modification times.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfline.session import scratch_path
 from shelfline.sources import views as V
@@ -39,11 +40,19 @@ def _signature(spark: SparkSession, sf: str) -> tuple:
     return tuple(sig)
 
 
-def materialize(df: DataFrame, name: str, sort_by: str | None = None) -> tuple[str, object]:
+def materialize(df: DataFrame, name: str, order_by: tuple[str, ...] = ()) -> tuple[str, object]:
     """Write ``df`` as parquet under the shared checkpoint folder; returns
-    the folder and the schema to read it back with."""
-    path = scratch_path(df.sparkSession, name)
-    out = df.sortWithinPartitions(sort_by) if sort_by else df
+    the folder and the schema to read it back with.
+
+    With ``order_by`` the rows are range-partitioned and sorted on those
+    columns first, so each file (and each row group) covers a narrow range
+    of the leading column and range filters on it skip whole files."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    out = df
+    if order_by:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        out = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
     out.write.mode("overwrite").parquet(path)
     return path, df.schema
 
@@ -56,26 +65,35 @@ class Model:
         key = (spark.sparkContext.applicationId, sf.rstrip("/"), _signature(spark, sf))
         self._paths = _CACHE.setdefault(key, {})
 
-    def _table(self, name: str, build, sort_by: str | None = None) -> DataFrame:
+    def _table(self, name: str, build, order_by: tuple[str, ...] = ()) -> DataFrame:
         if name not in self._paths:
-            self._paths[name] = materialize(build(), f"model-{name}", sort_by)
+            self._paths[name] = materialize(build(), f"model-{name}", order_by)
         path, schema = self._paths[name]
         return self.spark.read.schema(schema).parquet(path)
 
+    def max_of(self, table: str, col: str):
+        """MAX(col) of a model table, computed once per built table (one
+        value to the driver) so window filters can use it as a literal."""
+        key = f"max:{table}:{col}"
+        if key not in self._paths:
+            self._paths[key] = getattr(self, table)().agg(F.max(col)).first()[0]
+        return self._paths[key]
+
     def lines(self) -> DataFrame:
         return self._table("lines", lambda: V.lines(self.spark, self.sf))
 
     def sales(self) -> DataFrame:
-        return self._table("sales", lambda: V.sales_from(self.lines()), sort_by="week_ending")
+        return self._table("sales", lambda: V.sales_from(self.lines()),
+                           order_by=("week_ending", "product_id"))
 
     def promotions(self) -> DataFrame:
         return self._table("promotions", lambda: V.promotions_from(self.lines()),
-                           sort_by="start_date")
+                           order_by=("start_date", "product_id"))
 
     def market_share(self) -> DataFrame:
         return self._table("market_share",
                            lambda: V.market_share_from(self.lines(), self.products()),
-                           sort_by="month")
+                           order_by=("month", "brand"))
 
     def documents(self) -> DataFrame:
         return V.documents(self.spark, self.sf)
@@ -83,7 +101,7 @@ class Model:
     def doc_index(self) -> DataFrame:
         """Inverted term index ``(doc_id, term, tf)`` of the documents."""
         from shelfline.operators.text import term_index
-        return self._table("doc_index", lambda: term_index(self.documents()), sort_by="term")
+        return self._table("doc_index", lambda: term_index(self.documents()), order_by=("term",))
 
     def doc_norm(self) -> DataFrame:
         """Documents as normalised term text ``(doc_id, at)``."""

@@ -286,3 +286,10 @@ def test_registered_tables_answer_sql(spark):
     register_tables(spark, SMALL)
     n = spark.sql("SELECT COUNT(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey").first()[0]
     assert n == spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+
+
+def test_rejected_put_keeps_previous_value(spark):
+    log = _log(spark, [("u", "k", '{"v": 1}', "put", 1, 1), ("u", "k", "[2]", "put", 2, 2),
+                       ("u", "k", "{oops", "put", 3, 3), ("u", "only_bad", '"x"', "put", 1, 4)])
+    live = {r["key"]: r["value_json"] for r in memory.live_memories(log).collect()}
+    assert live == {"k": '{"v": 1}'}
