@@ -68,9 +68,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
-        # Unset: local runs and tests only.
+    elif sc.master.startswith("local"):
+        # Unset in a local run (tests, bench): a private folder is fine.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="shelfline-ckpt-"))
+    else:
+        # On a cluster a machine-local folder is not visible to executors.
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     return sc.getCheckpointDir()
 
 
