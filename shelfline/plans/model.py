@@ -51,8 +51,9 @@ def materialize(df: DataFrame, name: str, order_by: tuple[str, ...] = ()) -> tup
     path = scratch_path(spark, name)
     out = df
     if order_by:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        out = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+        # No explicit partition count: AQE coalesces the range partitions
+        # toward the advisory size (about 128 MB files at scale).
+        out = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     out.write.mode("overwrite").parquet(path)
     return path, df.schema
 
