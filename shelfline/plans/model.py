@@ -51,9 +51,10 @@ def materialize(df: DataFrame, name: str, order_by: tuple[str, ...] = ()) -> tup
     path = scratch_path(spark, name)
     out = df
     if order_by:
-        # No explicit partition count: AQE coalesces the range partitions
-        # toward the advisory size (about 128 MB files at scale).
-        out = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+        # One range per core: every later scan uses the whole cluster, and
+        # at 100 TB each file holds a narrow slice of the ordering column.
+        n = spark.sparkContext.defaultParallelism
+        out = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
     out.write.mode("overwrite").parquet(path)
     return path, df.schema
 
