@@ -521,7 +521,7 @@ def _vector_topk(spark, sf):
     ORDER BY score DESC NULLS LAST, doc_id LIMIT 4""", "v_vectors", "v_documents"))
 def _search_filtered(spark, sf):
     v = V.vectors(spark, sf)
-    return retrieval.search_filtered(v, V.documents(spark, sf), retrieval.first_doc_vector(v),
+    return retrieval.search_filtered(v, Model(spark, sf).documents(), retrieval.first_doc_vector(v),
                                      SEARCH_DOC_TYPE, 4)
 
 
@@ -581,13 +581,13 @@ def _render_spec_docs(spark, sf):
            CASE WHEN l.quality = 1 THEN 'Yes' ELSE 'No' END AS would_recommend
     FROM v_documents d JOIN labels l ON d.doc_id = l.doc_id""", "v_documents"))
 def _review_flags(spark, sf):
-    return text.review_flags(V.documents(spark, sf), Tables(spark, sf).labels)
+    return text.review_flags(Model(spark, sf).documents(), Tables(spark, sf).labels)
 
 
 @register("doc_type_counts", sql("""
     SELECT doc_type, COUNT(*) AS n FROM v_documents GROUP BY doc_type""", "v_documents"))
 def _doc_type_counts(spark, sf):
-    return metrics.value_counts(V.documents(spark, sf), "doc_type")
+    return metrics.value_counts(Model(spark, sf).documents(), "doc_type")
 
 
 # ------------------------------------------------------------- memory (A/C/H)
@@ -820,13 +820,13 @@ _SNAP = f"""
        OR o.category IS DISTINCT FROM n.category OR o.content IS DISTINCT FROM n.content""",
                                   "v_documents"))
 def _docs_change_feed(spark, sf):
-    old, new = sync.snapshots(V.documents(spark, sf))
+    old, new = sync.snapshots(Model(spark, sf).documents())
     return sync.change_feed(old, new)
 
 
 @register("docs_index_sync", sql(f"WITH {_SNAP} SELECT * FROM new", "v_documents"))
 def _docs_index_sync(spark, sf):
-    return sync.docs_index_sync(spark, V.documents(spark, sf))
+    return sync.docs_index_sync(spark, Model(spark, sf).documents())
 
 
 @register("table_counts", " UNION ALL ".join(

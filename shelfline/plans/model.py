@@ -98,7 +98,9 @@ class Model:
                            order_by=("month", "brand"))
 
     def documents(self) -> DataFrame:
-        return V.documents(self.spark, self.sf)
+        """Documents with whitespace-collapsed content, ordered by id."""
+        return self._table("documents", lambda: V.documents(self.spark, self.sf),
+                           order_by=("doc_id",))
 
     def doc_index(self) -> DataFrame:
         """Inverted term index ``(doc_id, term, tf)`` of the documents."""
