@@ -6,12 +6,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfline.functions import columns as C
-from shelfline.oracle import sql
-from shelfline.operators import inventory, metrics, promo, share
+from shelfline.operators import (evals, grid, inventory, memory, metrics, promo, retrieval, share,
+                                 text, traces)
 from shelfline.operators.windows import trailing_weeks
+from shelfline.oracle import WS, sql
 from shelfline.plans import dashboard
 from shelfline.plans.model import Model
+from shelfline.sources import seed, sinks
 from shelfline.sources import views as V
+from shelfline.sources.tables import Tables
+from shelfline.streaming import sync
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -347,8 +351,6 @@ def _lowest_supply(spark, sf):
 
 # ------------------------------------------------------- spines and panels (B/C)
 
-from shelfline.operators import grid  # noqa: E402
-from shelfline.sources import seed  # noqa: E402
 
 _WE = "CAST(date_trunc('week', {0} + INTERVAL 1 DAY) AS DATE) + 5"
 
@@ -483,9 +485,6 @@ def _account_scale(spark, sf):
 
 # ------------------------------------------------------ documents and retrieval
 
-from shelfline.operators import retrieval, text  # noqa: E402
-from shelfline.oracle import WS  # noqa: E402
-from shelfline.sources.tables import Tables  # noqa: E402
 
 SEARCH_DOC_TYPE = "src1"
 
@@ -592,9 +591,6 @@ def _doc_type_counts(spark, sf):
 
 # ------------------------------------------------------------- memory (A/C/H)
 
-from shelfline.operators import evals, memory, traces  # noqa: E402
-from shelfline.sources import sinks  # noqa: E402
-from shelfline.streaming import sync  # noqa: E402
 
 MEMORY_QUERY = "purchase click"
 _LATEST = """(SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, key ORDER BY ts DESC, seq DESC) AS rn

@@ -7,7 +7,6 @@ import tempfile
 from decimal import Decimal
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from shelfline.functions import columns as C
