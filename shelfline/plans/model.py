@@ -27,19 +27,27 @@ _CACHE: dict[tuple, dict[str, tuple]] = {}
 SOURCES = ("lineitem", "orders", "part", "documents")
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _signature(spark: SparkSession, sf: str) -> tuple:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Sizes and modification times of the source files (Hadoop FileSystem,
+    so it works for any shared storage the cluster uses)."""
     sig = []
     for name in SOURCES:
-        path = jvm.org.apache.hadoop.fs.Path(table_path(sf, name))
-        fs = path.getFileSystem(conf)
-        summary = fs.getContentSummary(path)
-        status = fs.getFileStatus(path)
-        sig.append((name, summary.getLength(), status.getModificationTime()))
+        path, fs = _hadoop_path(spark, table_path(sf, name))
+        sig.append((name, fs.getContentSummary(path).getLength(),
+                    fs.getFileStatus(path).getModificationTime()))
     return tuple(sig)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return bool(fs.exists(p))
+
+
 def materialize(df: DataFrame, name: str, order_by: tuple[str, ...] = ()) -> tuple[str, object]:
     """Write ``df`` as parquet under the shared checkpoint folder; returns
     the folder and the schema to read it back with.
@@ -68,7 +76,11 @@ class Model:
         self._paths = _CACHE.setdefault(key, {})
 
     def _table(self, name: str, build, order_by: tuple[str, ...] = ()) -> DataFrame:
-        if name not in self._paths:
+        if name not in self._paths or not _exists(self.spark, self._paths[name][0]):
+            # Built tables are immutable; a table removed from the shared
+            # folder is simply rebuilt (with its recorded maxima).
+            for k in [k for k in self._paths if k.startswith(f"max:{name}:")]:
+                del self._paths[k]
             self._paths[name] = materialize(build(), f"model-{name}", order_by)
         path, schema = self._paths[name]
         return self.spark.read.schema(schema).parquet(path)

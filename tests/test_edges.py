@@ -292,3 +292,15 @@ def test_rejected_put_keeps_previous_value(spark):
                        ("u", "k", "{oops", "put", 3, 3), ("u", "only_bad", '"x"', "put", 1, 4)])
     live = {r["key"]: r["value_json"] for r in memory.live_memories(log).collect()}
     assert live == {"k": '{"v": 1}'}
+
+
+def test_model_rebuilds_a_missing_table(spark):
+    from shelfline.plans.model import Model
+    from tests.conftest import SMALL
+    m = Model(spark, SMALL)
+    n = m.promotions().count()
+    _, schema = m._paths["promotions"]
+    missing = os.path.join(tempfile.mkdtemp(prefix="model-test-"), "never-written")
+    m._paths["promotions"] = (missing, schema)   # as if the folder had vanished
+    assert Model(spark, SMALL).promotions().count() == n
+    assert m._paths["promotions"][0] != missing
