@@ -110,10 +110,12 @@ def sales_pricing(sales: DataFrame, products: DataFrame) -> DataFrame:
 def seasonality_index(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Per category and calendar month, mean monthly sell-out in that
     month over the category's mean monthly sell-out (3 decimals)."""
-    monthly = (sales.select("product_id", "week_ending", "pos_revenue")
-               .join(products.select("product_id", "category"), "product_id")
-               .groupBy("category", C.month_start("week_ending").alias("month"))
-               .agg(F.sum("pos_revenue").alias("rev")))
+    # Reduce the fact to product x month before joining the dimension.
+    by_product = (sales.groupBy("product_id", C.month_start("week_ending").alias("month"))
+                  .agg(F.sum("pos_revenue").alias("prev")))
+    monthly = (by_product.join(products.select("product_id", "category"), "product_id")
+               .groupBy("category", "month")
+               .agg(F.sum("prev").alias("rev")))
     by_moy = (monthly.groupBy("category", F.month("month").alias("month_of_year"))
               .agg(F.sum("rev").alias("s"), F.count(F.lit(1)).alias("n")))
     overall = monthly.groupBy("category").agg(F.sum("rev").alias("s_all"),

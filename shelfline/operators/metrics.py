@@ -35,21 +35,30 @@ def revenue_trend(sales: DataFrame, weeks: int = 26, anchor=None
             .orderBy("week"))
 
 
-def sales_by_category(sales: DataFrame, products: DataFrame) -> DataFrame:
+def revenue_by(sales: DataFrame, key: str) -> DataFrame:
+    """Sell-out revenue per dimension key (exact decimal sum).  Aggregating
+    the fact to the key before joining the dimension means the join sees
+    one row per product/account instead of every fact row."""
+    return sales.groupBy(key).agg(F.sum("pos_revenue").alias("rev"))
+
+
+def sales_by_category(sales: DataFrame, products: DataFrame,
+                      by_product: DataFrame | None = None) -> DataFrame:
     """E1 + F4: revenue by category, descending."""
-    return (sales.select("product_id", "pos_revenue")
-            .join(products.select("product_id", "category"), "product_id")
+    rev = by_product if by_product is not None else revenue_by(sales, "product_id")
+    return (rev.join(products.select("product_id", "category"), "product_id")
             .groupBy("category")
-            .agg(F.round(F.sum("pos_revenue"), 0).cast("double").alias("revenue"))
+            .agg(F.round(F.sum("rev"), 0).cast("double").alias("revenue"))
             .orderBy(F.desc("revenue"), "category"))
 
 
-def top_retailers(sales: DataFrame, retailers: DataFrame, k: int = 8) -> DataFrame:
+def top_retailers(sales: DataFrame, retailers: DataFrame, k: int = 8,
+                  by_retailer: DataFrame | None = None) -> DataFrame:
     """E2 + F5: top-k accounts by revenue (TakeOrderedAndProject), key tie-break."""
-    return (sales.select("retailer_id", "pos_revenue")
-            .join(retailers.select("retailer_id", "retailer_name"), "retailer_id")
+    rev = by_retailer if by_retailer is not None else revenue_by(sales, "retailer_id")
+    return (rev.join(retailers.select("retailer_id", "retailer_name"), "retailer_id")
             .groupBy("retailer_name")
-            .agg(F.round(F.sum("pos_revenue"), 0).cast("double").alias("revenue"))
+            .agg(F.round(F.sum("rev"), 0).cast("double").alias("revenue"))
             .orderBy(F.desc("revenue"), "retailer_name")
             .limit(k))
 
@@ -67,11 +76,12 @@ def sell_through(sales: DataFrame, products: DataFrame, retailers: DataFrame,
         p = p.filter(F.col("product_name") == product_name)
     if retailer_name is not None:
         r = r.filter(F.col("retailer_name") == retailer_name)
-    j = (recent.select("product_id", "retailer_id", "units_sold", "units_shipped")
-         .join(p, "product_id").join(r, "retailer_id"))
+    # One row per product x account before the dimension joins.
+    pairs = (recent.groupBy("product_id", "retailer_id")
+             .agg(F.sum("units_sold").alias("sold"), F.sum("units_shipped").alias("shipped")))
+    j = pairs.join(p, "product_id").join(r, "retailer_id")
     g = (j.groupBy("product_name", "retailer_name")
-         .agg(F.sum("units_sold").alias("units_sold"),
-              F.sum("units_shipped").alias("units_shipped")))
+         .agg(F.sum("sold").alias("units_sold"), F.sum("shipped").alias("units_shipped")))
     return g.select("product_name", "retailer_name", "units_sold", "units_shipped",
                     C.safe_ratio("units_sold", "units_shipped", 3).alias("sell_through_rate"))
 

@@ -172,11 +172,14 @@ def market_share(spark: SparkSession, sf: str) -> DataFrame:
 
 def market_share_from(lines_df: DataFrame, products_df: DataFrame) -> DataFrame:
     """Market share from shipped lines and products (see ``market_share``)."""
-    ln = lines_df.select("product_id", "d", "gross")
+    # Lines are reduced to product x month before the product join, so the
+    # join sees one row per product-month instead of every shipped line.
+    by_product = (lines_df.groupBy("product_id", C.month_start("d").alias("month"))
+                  .agg(F.sum("gross").alias("g")))
     p = products_df.select("product_id", "brand", "category")
-    brand_month = (ln.join(p, "product_id")
-                   .groupBy(C.month_start("d").alias("month"), "brand", "category")
-                   .agg(F.sum("gross").alias("brand_dollar_sales")))
+    brand_month = (by_product.join(p, "product_id")
+                   .groupBy("month", "brand", "category")
+                   .agg(F.sum("g").alias("brand_dollar_sales")))
     # At most one row per brand inside a (month, category) partition.
     w = Window.partitionBy("month", "category")
     with_cat = brand_month.withColumn("category_dollar_sales",
