@@ -66,13 +66,22 @@ def dashboard_payload(spark: SparkSession, sf: str) -> DataFrame:
             .union(neg.select(F.lit("kpis"), F.lit(3), F.lit("negative_roi_promos"), F.col("v").cast("double")))
             .union(skus.select(F.lit("kpis"), F.lit(4), F.lit("active_skus"), F.col("v").cast("double")))
             .union(accts.select(F.lit("kpis"), F.lit(5), F.lit("retail_accounts"), F.col("v").cast("double"))))
-    roi = promo.roi_by_type(promos)
+    # Both promotion tiles from one aggregation: each mechanic row becomes
+    # one row per tile.
+    roi = promo.roi_by_type(promos).select("promo_type", F.explode(F.array(
+        F.struct(F.lit("roi_by_type").alias("tile"), F.col("avg_roi").cast("double").alias("v")),
+        F.struct(F.lit("roi_counts").alias("tile"), F.col("n").cast("double").alias("v"))))
+        .alias("t"))
+    roi_tiles = roi.select(
+        F.col("t.tile").alias("tile"),
+        F.row_number().over(Window.partitionBy("t.tile").orderBy("promo_type")).cast("int")
+        .alias("ord"),
+        F.col("promo_type").alias("label"), F.col("t.v").alias("value"))
     tiles = [
         kpis,
         _tile(metrics.revenue_trend(sales, 26, m.max_of("sales", "week_ending")), "revenue_trend",
               "week", "revenue", ["week"]),
-        _tile(roi, "roi_by_type", "promo_type", "avg_roi", ["promo_type"]),
-        _tile(roi, "roi_counts", "promo_type", "n", ["promo_type"]),
+        roi_tiles,
         _tile(metrics.sales_by_category(sales, products), "sales_by_category", "category",
               "revenue", [F.desc("revenue"), "category"]),
         _tile(metrics.top_retailers(sales, retailers, 8), "top_retailers", "retailer_name",
