@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import columns as C
 from shelfline.functions import vectors as VX
+from shelfline.session import ship_package
 
 SCORE_DECIMALS = 6
 # A batch of at most this many query vectors, and at most this many bytes of
@@ -81,6 +82,7 @@ def label_centroids(vectors: DataFrame) -> DataFrame:
     Partial vector sums per partition (NumPy), then the few partials per
     label are summed component-wise — no per-component row explosion of
     the full table."""
+    ship_package(vectors.sparkSession)
     parts = vectors.select("label", "embedding").mapInPandas(_partial_sums, PARTIAL_SCHEMA)
     comp = (parts.select("label", "n", F.posexplode("s").alias("pos", "x"))
             .groupBy("label", "pos").agg(F.sum("x").alias("sx"), F.sum("n").alias("n")))
@@ -131,6 +133,7 @@ def vector_topk_batch(spark: SparkSession, vectors: DataFrame, queries: DataFram
     table is ever materialised.  A batch that passes the size check is
     shipped to every task (documents are not shuffled); a larger batch is
     split into blocks and co-grouped with document blocks."""
+    ship_package(spark)
     size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("qvec")).alias("dim")).first()
     n_q, dim = int(size["n"]), int(size["dim"] or 0)
     docs = vectors.select("doc_id", "embedding")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from shelfline.session import scratch_path
+from shelfline.session import scratch_path, ship_package
 
 EVENT_SCHEMA = "item_id string, seq long, type string, text string"
 OUT_SCHEMA = "item_id string, text string"
@@ -48,6 +48,7 @@ def _assemble(key, pdfs, state):
 
 def assemble_stream(spark: SparkSession, events_dir: str, out_dir: str, checkpoint: str) -> None:
     """One triggered run: consume unseen event files, emit finished items."""
+    ship_package(spark)
     events = spark.readStream.schema(EVENT_SCHEMA).parquet(events_dir)
     done_items = (events.groupBy("item_id")
                   .applyInPandasWithState(_assemble, OUT_SCHEMA, STATE_SCHEMA, "append",

@@ -304,3 +304,21 @@ def test_model_rebuilds_a_missing_table(spark):
     m._paths["promotions"] = (missing, schema)   # as if the folder had vanished
     assert Model(spark, SMALL).promotions().count() == n
     assert m._paths["promotions"][0] != missing
+
+
+def test_python_operators_work_from_another_working_directory():
+    """Executor Python workers must import the package even when the driver
+    runs elsewhere (the package is shipped with addPyFile)."""
+    import subprocess
+    import sys
+    from tests.conftest import ROOT, SMALL
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = (SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+        ".config('spark.sql.shuffle.partitions', '2').getOrCreate())\n"
+        "import __spark_entry__ as E\n"
+        "print('ROWS', E.queries()['vector_topk_batch'](s, %r).count())\n" % (ROOT, SMALL))
+    out = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(prefix="cwd-test-"),
+                         capture_output=True, text=True, timeout=600)
+    assert "ROWS 50" in out.stdout, out.stderr[-2000:]
