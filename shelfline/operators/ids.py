@@ -20,7 +20,7 @@ def sequential_ids(df: DataFrame, order_cols: list[str], id_col: str = "row_id",
                    partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or spark.sparkContext.defaultParallelism  # one range per core
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     frozen = ranged.checkpoint(eager=True)
     # monotonically_increasing_id = (partition id << 33) + position in partition
