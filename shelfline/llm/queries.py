@@ -3,11 +3,13 @@ of it is ``QUERIES`` and ``ORACLE``."""
 
 from __future__ import annotations
 
-from shelfline.llm import compression_bands, external_shuffle
+from shelfline.llm import compression_bands, digest_array, external_shuffle, token_efficiency
 
 QUERIES = {f.__name__: f for f in (
+    token_efficiency.op4_token_efficiency,
     compression_bands.op7_compression_bands,
     external_shuffle.op8_external_shuffle,
+    digest_array.op9_digest_array,
 )}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_digest_array": digest_array.ORACLE_SQL}
