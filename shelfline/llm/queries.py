@@ -3,9 +3,10 @@ of it is ``QUERIES`` and ``ORACLE``."""
 
 from __future__ import annotations
 
-from shelfline.llm import compression_bands, digest_array, external_shuffle, token_efficiency
+from shelfline.llm import compression_bands, cutting_stock, digest_array, external_shuffle, token_efficiency
 
 QUERIES = {f.__name__: f for f in (
+    cutting_stock.op1_cutting_stock,
     token_efficiency.op4_token_efficiency,
     compression_bands.op7_compression_bands,
     external_shuffle.op8_external_shuffle,
