@@ -3,11 +3,14 @@ of it is ``QUERIES`` and ``ORACLE``."""
 
 from __future__ import annotations
 
-from shelfline.llm import compression_bands, cutting_stock, digest_array, external_shuffle, token_efficiency
+from shelfline.llm import (compression_bands, cutting_stock, digest_array, external_shuffle,
+                           license_tfidf, spaced_seeds, token_efficiency)
 
 QUERIES = {f.__name__: f for f in (
     cutting_stock.op1_cutting_stock,
+    license_tfidf.op3_license_tfidf,
     token_efficiency.op4_token_efficiency,
+    spaced_seeds.op5_spaced_seeds,
     compression_bands.op7_compression_bands,
     external_shuffle.op8_external_shuffle,
     digest_array.op9_digest_array,
