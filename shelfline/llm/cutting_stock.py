@@ -48,7 +48,7 @@ CACHE_WORDS = 1_000_000
 #: A table of pieces a task and class is broadcast up to this many rows.
 BROADCAST_ROWS = 200_000
 
-PIECE_SCHEMA = ("doc_id long, start long, length long, doc_tokens long, cls int, part int, "
+PIECE_SCHEMA = ("doc_id string, start long, length long, doc_tokens long, cls int, part int, "
                 "local long, tokens binary")
 
 
@@ -164,8 +164,9 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH)
     """Pieces of all documents, with the task that made a piece and the piece's
     place among those of its class there.  Write it before reading it twice."""
     prepare_python(docs.sparkSession)
-    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInPandas(_pieces_fn(tokenizer, standard_lengths(length)), PIECE_SCHEMA))
+    return (docs.select(F.col("doc_id").cast("string"), F.col("text").cast("string"))
+            .mapInPandas(_pieces_fn(tokenizer, standard_lengths(length)), PIECE_SCHEMA)
+            .withColumn("doc_id", F.col("doc_id").cast("long")))  # a text in between: pandas has no null long
 
 
 # ---- patterns

@@ -4,7 +4,7 @@ of it is ``QUERIES`` and ``ORACLE``."""
 from __future__ import annotations
 
 from shelfline.llm import (compression_bands, cutting_stock, digest_array, external_shuffle,
-                           license_tfidf, spaced_seeds, token_efficiency)
+                           license_tfidf, ngram_join, spaced_seeds, token_efficiency)
 
 QUERIES = {f.__name__: f for f in (
     cutting_stock.op1_cutting_stock,
@@ -14,6 +14,7 @@ QUERIES = {f.__name__: f for f in (
     compression_bands.op7_compression_bands,
     external_shuffle.op8_external_shuffle,
     digest_array.op9_digest_array,
+    ngram_join.op10_ngram_join,
 )}
 
 ORACLE: dict[str, str] = {"op9_digest_array": digest_array.ORACLE_SQL}
