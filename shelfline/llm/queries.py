@@ -4,10 +4,11 @@ of it is ``QUERIES`` and ``ORACLE``."""
 from __future__ import annotations
 
 from shelfline.llm import (compression_bands, cutting_stock, digest_array, external_shuffle,
-                           license_tfidf, ngram_join, spaced_seeds, token_efficiency)
+                           license_tfidf, nbsvm, ngram_join, spaced_seeds, token_efficiency)
 
 QUERIES = {f.__name__: f for f in (
     cutting_stock.op1_cutting_stock,
+    nbsvm.op2_nbsvm,
     license_tfidf.op3_license_tfidf,
     token_efficiency.op4_token_efficiency,
     spaced_seeds.op5_spaced_seeds,
