@@ -44,24 +44,25 @@ BITS = 18
 #: A picked form occurs in so many toxic training documents that no form
 #: before explained, and so large a share of its documents is toxic.
 MIN_EXPLAINED = 4
-MIN_PRECISION = 0.85
-BEGINNINGS = (4, 5, 6, 7)
+MIN_PRECISION = 0.6
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
 #: Sentences longer than this are cut for the chain (no token is left out).
 MAX_CHAIN = 64
 #: Clean sentences trained on for each toxic one.
-CLEAN_PER_TOXIC = 8
-EPOCHS, BATCH, RATE, L2 = 12, 256, 0.3, 1e-5
+CLEAN_PER_TOXIC = 5
+EPOCHS, BATCH, RATE, L2 = 8, 256, 0.3, 1e-5
 THRESHOLD = 0.5
 #: Marginal from which a token's offsets are reported.
 SPAN_MARGINAL = 0.5
 CACHE_WORDS = 500_000
 
 _TOKEN = re.compile(r"\S+")
-_CORE = re.compile(r"^\W+|\W+$")
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¡¿«»“”‘’…–—"
+_MASK = (1 << BITS) - 1
 
 
 def core(token: str) -> str:
-    return _CORE.sub("", token).lower()
+    return token.strip(_SIGNS).lower()
 
 
 def forms(token: str) -> list[str]:
@@ -71,19 +72,21 @@ def forms(token: str) -> list[str]:
 
 
 def state_features(token: str) -> list[int]:
+    """Feature numbers: form, beginnings, ending, kind, bias."""
     c = core(token)
-    kind = "upper" if token.isupper() and len(token) > 1 else "digit" if any(x.isdigit() for x in token) else "word"
-    found = [*forms(token), f"k={kind}", f"e={c[-3:]}", "bias"]
-    return [zlib.crc32(f.encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1) for f in found]
+    found = [zlib.crc32(c.encode("utf-8", "surrogatepass"), 1) & _MASK]
+    found += [zlib.crc32(c[:k].encode("utf-8", "surrogatepass"), 2) & _MASK for k in BEGINNINGS if len(c) > k]
+    found.append(zlib.crc32(c[-3:].encode("utf-8", "surrogatepass"), 3) & _MASK)
+    found.append(4 if c.isalpha() else 5)
+    found.append(7 if len(token) > 1 and token.isupper() else 6)
+    return found
 
 
 def sentence_ends(tokens: list[str]) -> np.ndarray:
     """Positions after which a chain ends: at a full stop, or after MAX_CHAIN."""
     n = len(tokens)
-    stop = np.fromiter((t[-1] in ".!?" for t in tokens), bool, n)
-    stop[-1] = True
     ends, last = [], -1
-    for e in np.flatnonzero(stop):
+    for e in [*(i for i, t in enumerate(tokens) if t[-1] in ".!?"), n - 1]:
         while e - last > MAX_CHAIN:
             last += MAX_CHAIN
             ends.append(last)
@@ -121,12 +124,14 @@ def pick_forms(docs: list[list[str]], y: np.ndarray) -> set[str]:
             good[f] = at
     picked: set[str] = set()
     open_ = set(np.flatnonzero(y).tolist())
+    # a longer and purer form counts a little more, so a beginning is picked only
+    # if it covers more documents than any one word with it
+    pure = {f: (len(at) / (len(at) + clean[f])) ** 2 * (1 + 0.03 * len(f)) for f, at in good.items()}
     gain = {f: len(at) for f, at in good.items()}
     while gain:
-        # lazily refreshed gains; ties go to the longer form, then by name
-        f = max(gain, key=lambda g: (gain[g], g.startswith("w="), len(g), g))
+        f = max(gain, key=lambda g: (gain[g] * pure[g], g))
         now = sum(i in open_ for i in good[f])
-        if now < gain[f]:
+        if now < gain[f]:                                # gains are refreshed when they come first
             if now < MIN_EXPLAINED:
                 del gain[f]
             else:
@@ -164,31 +169,42 @@ def pad(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.n
     return index, mask
 
 
-def forward_backward(emit: np.ndarray, mask: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Marginals of the toxic state (rows, time), expected transitions and the
-    log partition; ``emit`` is the toxic state's score, the clean one's is 0;
-    ``trans[i, j]`` scores a step from i to j."""
+def forward_backward(emit: np.ndarray, mask: np.ndarray, trans: np.ndarray, pairs: bool = False):
+    """Marginals of the toxic state (rows, time) and, if asked for, expected
+    transitions.  ``emit`` is the toxic state's score, the clean one's is 0;
+    ``trans[i, j]`` scores a step from i to j.  Messages are scaled to sum 1."""
     rows, width = emit.shape
-    alpha = np.empty((width, rows, 2))
-    beta = np.zeros((width, rows, 2))
-    score = np.stack([np.zeros_like(emit), emit], -1)
-    alpha[0] = score[:, 0]
-    for t in range(1, width):
-        step = np.logaddexp(alpha[t - 1, :, :1] + trans[0], alpha[t - 1, :, 1:] + trans[1]) + score[:, t]
-        alpha[t] = np.where(mask[:, t, None], step, alpha[t - 1])
-    z = np.logaddexp(alpha[-1, :, 0], alpha[-1, :, 1])
-    for t in range(width - 2, -1, -1):
-        ahead = score[:, t + 1] + beta[t + 1]
-        step = np.logaddexp(trans[:, 0] + ahead[:, :1], trans[:, 1] + ahead[:, 1:])
-        beta[t] = np.where(mask[:, t + 1, None], step, 0.0)
-    with np.errstate(over="ignore"):
-        marginal = np.exp(alpha[:, :, 1] + beta[:, :, 1] - z).T
-        pair = np.zeros((2, 2))
-        for i in range(2):
-            for j in range(2):
-                e = alpha[:-1, :, i] + trans[i, j] + score[:, 1:, j].T + beta[1:, :, j] - z
-                pair[i, j] = np.exp(e)[mask[:, 1:].T].sum()
-    return np.where(mask, marginal, 0.0), pair, z
+    step = np.exp(trans - trans.max())
+    odds = np.exp(np.clip(emit, -30, 30)).T.copy()       # (time, rows)
+    live = mask.T
+    clean, toxic = np.empty((width, rows)), np.empty((width, rows))
+    a0, a1 = np.ones(rows), odds[0]
+    for t in range(width):
+        if t:
+            n0, n1 = a0 * step[0, 0] + a1 * step[1, 0], (a0 * step[0, 1] + a1 * step[1, 1]) * odds[t]
+            a0, a1 = np.where(live[t], n0, a0), np.where(live[t], n1, a1)
+        total = a0 + a1
+        a0, a1 = a0 / total, a1 / total
+        clean[t], toxic[t] = a0, a1
+    b0, b1 = np.ones(rows), np.ones(rows)
+    marginal = np.empty((width, rows))
+    expected = np.zeros((2, 2))
+    for t in range(width - 1, -1, -1):
+        m0, m1 = clean[t] * b0, toxic[t] * b1
+        marginal[t] = m1 / (m0 + m1)
+        if t:
+            w1 = odds[t] * b1
+            if pairs:
+                p = [[clean[t - 1] * step[0, 0] * b0, clean[t - 1] * step[0, 1] * w1],
+                     [toxic[t - 1] * step[1, 0] * b0, toxic[t - 1] * step[1, 1] * w1]]
+                z = p[0][0] + p[0][1] + p[1][0] + p[1][1]
+                for i in range(2):
+                    for j in range(2):
+                        expected[i, j] += (p[i][j] / z)[live[t]].sum()
+            n0, n1 = step[0, 0] * b0 + step[0, 1] * w1, step[1, 0] * b0 + step[1, 1] * w1
+            total = n0 + n1
+            b0, b1 = np.where(live[t], n0 / total, 1.0), np.where(live[t], n1 / total, 1.0)
+    return np.where(mask, marginal.T, 0.0), expected
 
 
 def fit(sentences: list[np.ndarray], marks: list[np.ndarray], words: list[list[int]], seed: int = 5
@@ -208,15 +224,15 @@ def fit(sentences: list[np.ndarray], marks: list[np.ndarray], words: list[list[i
     gold = np.concatenate(marks).astype(float)
     starts = np.r_[0, np.cumsum(lengths)[:-1]]
     for _ in range(EPOCHS):
-        order = rng.permutation(len(sentences))
-        for lo in range(0, len(order), BATCH):
-            rows = order[lo:lo + BATCH]
+        # batches of like lengths, in random order
+        order = np.argsort(lengths + 4 * rng.random(len(sentences)), kind="stable")
+        for k in rng.permutation(-(-len(order) // BATCH)):
+            rows = order[k * BATCH:(k + 1) * BATCH]
             index, mask = pad(flat, starts[rows], lengths[rows])
             ids, y = flat[index], gold[index] * mask
-            marginal, pair, _ = forward_backward(theta[table[ids]].sum(-1), mask, trans)
+            marginal, pair = forward_backward(theta[table[ids]].sum(-1), mask, trans, pairs=True)
             diff = (marginal - y) * mask / len(rows)
-            grad = np.zeros_like(theta)
-            np.add.at(grad, table[ids[mask]].ravel(), np.repeat(diff[mask], width))
+            grad = np.bincount(table[ids[mask]].ravel(), np.repeat(diff[mask], width), minlength=len(theta))
             grad[-1] = 0
             grad += L2 * theta
             seen = np.zeros((2, 2))
@@ -236,12 +252,12 @@ class Emissions(dict):
 
     def __init__(self, theta: np.ndarray):
         super().__init__()
-        self.theta = theta
+        self.theta = theta.tolist()
 
     def __missing__(self, token: str) -> float:
         if len(self) > CACHE_WORDS:
             self.clear()
-        found = self[token] = float(self.theta[state_features(token)].sum())
+        found = self[token] = sum([self.theta[i] for i in state_features(token)])
         return found
 
 
@@ -264,7 +280,7 @@ def marginals(texts_tokens: list[list[str]], emissions: Emissions, trans: np.nda
         for lo in range(a, b, 4096):
             rows = order[lo:min(lo + 4096, b)]
             index, mask = pad(flat, starts[rows], lengths[rows])
-            found, _, _ = forward_backward(np.where(mask, flat[index], 0.0), mask, trans)
+            found, _ = forward_backward(np.where(mask, flat[index], 0.0), mask, trans)
             out[index[mask]] = found[mask]
     return [out[i:j] for i, j in zip(base, base[1:])]
 

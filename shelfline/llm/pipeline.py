@@ -1,17 +1,74 @@
-"""Stages of the corpus pipeline."""
+"""Stages of the corpus pipeline.
+
+Each takes (spark, docs, sf_dir) and returns the documents that go on, with the
+columns of ``docs``; the last returns the packed pieces.
+
+1. toxicity: documents that the conditional random field rejects go.
+2. near duplicates: of each component of the n-gram Jaccard join the document
+   with the least doc_id stays.
+3. decontamination: documents that overlap a benchmark item go.
+4. secrets: secrets are masked in the text; every document stays.
+5. packing: the tokens' places in sequences.
+
+Rows with a null doc_id cannot be labelled or linked; they are judged by their
+text in stages 1, 3 and 4 and stay in stage 2.  Of rows with one doc_id (repeated
+rows) stage 2 keeps one.
+"""
 
 from __future__ import annotations
 
-from shelfline.llm.common import Scratch, documents
+from pyspark.sql import functions as F
+
+from shelfline.llm import crf, cutting_stock, ngram_join, spaced_seeds, token_efficiency
+from shelfline.llm.common import Scratch, documents, labels
+from shelfline.sources.tables import table_path
+
+
+def toxicity(spark, docs, sf_dir):
+    return crf.drop_toxic(docs, crf.train_on(docs, labels(spark, sf_dir)))
+
+
+def near_duplicates(spark, docs, sf_dir):
+    scratch = Scratch(spark, "near-duplicates")
+    first = (ngram_join.jaccard_classes(docs).where("component_id = doc_id")
+             .groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")))
+    first = scratch.write(first, "kept")
+    kept = docs.join(first.where("_rows = 1").select("doc_id"), "doc_id", "left_semi")
+    repeated = first.where("_rows > 1").select("doc_id")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(docs.columns)
+
+
+def decontamination(spark, docs, sf_dir):
+    return spaced_seeds.decontaminate(docs, spark.read.parquet(table_path(sf_dir, "benchmark")))
+
+
+def secrets(spark, docs, sf_dir):
+    masked = token_efficiency.mask_secrets(docs.withColumn("_text", F.col("text")), "_text")
+    if "n_chars" in docs.columns:
+        changed = ~F.col("_text").eqNullSafe(F.col("text"))
+        masked = masked.withColumn("n_chars", F.when(changed, F.length("_text").cast("long"))
+                                   .otherwise(F.col("n_chars")))
+    return masked.withColumn("text", F.col("_text")).select(docs.columns)
+
+
+def packing(spark, docs, sf_dir):
+    return cutting_stock.placements(docs)
+
 
-STAGES: list = []
+STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("secrets", secrets), ("packing", packing)]
 
 
 def run(spark, sf_dir):
     """Apply the stages to ``documents``; what each returns is written and
     read again as the next one's input."""
     scratch = Scratch(spark, "pipeline")
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
         docs = scratch.write(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+        if before:
+            scratch.drop(before)
+        before = name
+    return STAGES[-1][1](spark, docs, sf_dir)

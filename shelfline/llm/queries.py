@@ -3,7 +3,7 @@ of it is ``QUERIES`` and ``ORACLE``."""
 
 from __future__ import annotations
 
-from shelfline.llm import (compression_bands, cutting_stock, digest_array, external_shuffle,
+from shelfline.llm import (compression_bands, crf, cutting_stock, digest_array, external_shuffle,
                            license_tfidf, nbsvm, ngram_join, spaced_seeds, token_efficiency)
 
 QUERIES = {f.__name__: f for f in (
@@ -12,6 +12,7 @@ QUERIES = {f.__name__: f for f in (
     license_tfidf.op3_license_tfidf,
     token_efficiency.op4_token_efficiency,
     spaced_seeds.op5_spaced_seeds,
+    crf.op6_crf,
     compression_bands.op7_compression_bands,
     external_shuffle.op8_external_shuffle,
     digest_array.op9_digest_array,
