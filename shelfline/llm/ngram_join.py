@@ -12,8 +12,9 @@ a count sketch of the whole corpus shows to lie clearly above the average
    classes under one shingle are candidates if their sizes and places in the
    order allow the threshold.  Not all pairs of a shingle are made: each class
    is paired with the shingle's centre (the class that comes first).
-3. Overlaps.  The sets of the candidates are cut vertically into ``FRAGMENTS``
-   ranges of the order.  A pair's overlap is counted in each fragment on its own
+3. Overlaps.  A pair's overlap in the first fragment bounds the whole one, and
+   most candidates end there.  The sets of the others are cut vertically into
+   ranges of the order; a pair's overlap is counted in each fragment on its own
    and the counts are summed; the sum decides exactly.
 4. Links join classes into components.  Candidates of one shingle that lie in
    different components, and were not compared yet, are compared in the same way,
@@ -51,6 +52,9 @@ SKETCH_PARTS = 16
 RANGE_SHINGLES = 1_000_000
 FLUSH = 1_000_000
 CACHE_WORDS = 1_000_000
+#: Ids of candidates are broadcast up to this many (8 bytes each); beyond, both
+#: sides are shuffled.
+BROADCAST_IDS = 1_000_000
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F], np.uint64)
@@ -291,30 +295,61 @@ def _fragments_fn(common_bytes, bits: int):
 _FRAGMENT_SCHEMA = "rep long, own long, fragment int, n int, items array<long>"
 
 
-class Sets:
-    """Fragments of the classes that are candidates, added as rounds need them."""
+def _only(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is among the ids (a written table with column id)."""
+    ids = ids.withColumnRenamed("id", key)
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, "left_semi")
 
-    def __init__(self, docs: DataFrame, scratch: Scratch, common, bits: int):
-        self.docs, self.scratch, self.common, self.bits, self.round = docs, scratch, common, bits, 0
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
+
+def first_fragment(pairs: DataFrame, classes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs that can still link by their overlap in the first fragment: what
+    they share up to the place where the shorter first fragment ends, plus the
+    smaller rest."""
+    ids = scratch.write(_ids(pairs), f"first-{name}")
+    sets = scratch.write(_only(classes.select("rep", "n", "prefix"), ids, "rep"), f"prefixes-{name}")
+    a, b = (sets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("n", "prefix")], F.col("rep").alias(x)) for x in "ab")
+    joined = pairs.join(a, "a").join(b, "b")
+    top = F.lit(-(1 << 63))                             # unsigned order by flipping the top bit
+    last = F.least(*[F.element_at(f"prefix_{x}", -1).bitwiseXOR(top) for x in "ab"])
+    joined = joined.withColumn("end", last)
+    rest = [F.col(f"n_{x}") - F.size(F.filter(f"prefix_{x}", lambda v: v.bitwiseXOR(top) <= F.col("end"))) for x in "ab"]
+    most = F.size(F.array_intersect("prefix_a", "prefix_b")) + F.least(*rest)
+    out = scratch.write(joined.where(most * (100 + PERCENT) >= PERCENT * (F.col("n_a") + F.col("n_b"))).select("a", "b"),
+                        f"possible-{name}")
+    scratch.drop(f"first-{name}", f"prefixes-{name}")
+    return out
+
+
+class Overlaps:
+    """Exact decisions on pairs, from the texts of the classes' documents."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, scratch: Scratch, common, bits: int):
+        self.docs, self.classes, self.scratch = docs, classes, scratch
+        self.common, self.bits, self.round = common, bits, 0
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that reach the threshold: overlaps are counted in
         each fragment and summed."""
         self.round += 1
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        texts = self.docs.join(ids, "doc_id", "left_semi")
-        sets = self.scratch.write(
-            texts.mapInPandas(_fragments_fn(self.common, self.bits), _FRAGMENT_SCHEMA),
-            f"fragments-{self.round}")
-        a = sets.select(F.col("rep").alias("a"), F.col("own").alias("own_a"), "fragment", F.col("n").alias("n_a"), F.col("items").alias("items_a"))
-        b = sets.select(F.col("rep").alias("b"), F.col("own").alias("own_b"), "fragment", F.col("n").alias("n_b"), F.col("items").alias("items_b"))
+        pairs = first_fragment(pairs, self.classes, self.scratch, str(self.round))
+        ids = self.scratch.write(_ids(pairs), f"ids-{self.round}")
+        texts = _only(self.docs, ids, "doc_id")
+        sets = self.scratch.write(texts.mapInPandas(_fragments_fn(self.common, self.bits), _FRAGMENT_SCHEMA),
+                                  f"fragments-{self.round}")
+        a, b = (sets.select(F.col("rep").alias(x), "fragment", *[F.col(c).alias(f"{c}_{x}") for c in ("own", "n", "items")])
+                for x in "ab")
         joined = pairs.join(a, "a").join(b, ["b", "fragment"])
         key = ["a", "own_a", "n_a", "b", "own_b", "n_b"]
         partial = joined.select(*key, F.size(F.array_intersect("items_a", "items_b")).alias("shared"))
         summed = partial.groupBy(*key).agg(F.sum("shared").alias("shared"))
         out = self.scratch.write(
-            summed.where(f"100 * shared >= {PERCENT} * (n_a + n_b - shared)").select("a", "b").distinct(), f"links-{self.round}")
-        self.scratch.drop(f"fragments-{self.round}")
+            summed.where(f"100 * shared >= {PERCENT} * (n_a + n_b - shared)").select("a", "b").distinct(),
+            f"links-{self.round}")
+        self.scratch.drop(f"fragments-{self.round}", f"possible-{self.round}", f"ids-{self.round}")
         return out
 
 
@@ -340,7 +375,7 @@ def jaccard_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     found = scratch.write(found.unionByName(_common_candidates(classes.select("rep", "n", "prefix"))), "candidates")
     members = found.where("kind = 1").select(F.col("a").alias("rep"), "h", "place", "n")
 
-    verifier = Sets(docs, scratch, common, bits)
+    verifier = Overlaps(docs, classes, scratch, common, bits)
     compared = scratch.write(found.where("kind = 0").select("a", "b").distinct(), "pairs-0")
     links = verifier.links(compared)
     same = _equal_ids(keyed, classes)
