@@ -31,11 +31,11 @@ SPACES = " \t\n\x0b\x0c\r"
 
 #: (bytes from, least ratio, largest ratio); ratio: compressed / raw.
 #: Below the first length compression says nothing, so any ratio passes.
-BANDS = ((0, 0.0, 9.0), (200, 0.35, 0.95), (1000, 0.32, 0.80), (4096, 0.30, 0.72),
-         (32768, 0.25, 0.70))
+BANDS = ((0, 0.0, 9.0), (200, 0.35, 0.95), (1000, 0.32, 0.70), (4096, 0.30, 0.62),
+         (32768, 0.25, 0.60))
 #: The same for chunks of ``CHUNK`` bytes (the last, shorter one is judged by
 #: its own length in BANDS).
-CHUNK_BAND = (0.28, 0.75)
+CHUNK_BAND = (0.28, 0.65)
 
 SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
           "n_repeat_words long, base_failed boolean, ratio double, chunk_low double, "
