@@ -379,7 +379,7 @@ def spans_of(text: str | None, found: np.ndarray) -> list[dict]:
     return out
 
 
-def toxicity(docs: DataFrame, model: Model, text: str = "text", column: str = "_toxic") -> DataFrame:
+def toxicity(docs: DataFrame, model: Model, text: str = "text", column: str = "_crf_toxic") -> DataFrame:
     """All rows and columns with a struct (score, spans)."""
     spark = docs.sparkSession
     prepare_python(spark)
@@ -398,12 +398,12 @@ def toxicity(docs: DataFrame, model: Model, text: str = "text", column: str = "_
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows scored below the threshold, all columns."""
-    return toxicity(docs, model, text, "_toxic").where(F.col("_toxic.score") < THRESHOLD).drop("_toxic")
+    return toxicity(docs, model, text).where(F.col("_crf_toxic.score") < THRESHOLD).drop("_crf_toxic")
 
 
 def op6_crf(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     scored = toxicity(docs, train_on(docs, labels(spark, sf_dir)))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_toxic.score").alias("score"),
-                         (F.col("_toxic.score") >= THRESHOLD).cast("int").alias("predicted"),
-                         F.size("_toxic.spans").alias("n_spans"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_crf_toxic.score").alias("score"),
+                         (F.col("_crf_toxic.score") >= THRESHOLD).cast("int").alias("predicted"),
+                         F.size("_crf_toxic.spans").alias("n_spans"))

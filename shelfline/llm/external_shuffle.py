@@ -65,15 +65,15 @@ def external_shuffle(df: DataFrame, key: str = "doc_id", text: str = "text",
     total, n = rows.agg(F.coalesce(F.sum(size), F.lit(0)), F.count(F.lit(1))).first()
     n_buckets = max(MIN_BUCKETS, -(-total // bucket_bytes))
 
-    place = F.monotonically_increasing_id()
-    mixed = F.xxhash64(F.lit(seed), F.col(key), F.xxhash64(F.col(text)), F.col("_place"))
-    scattered = (rows.withColumn("_place", place).withColumn("_mixed", mixed)
+    payload = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    mixed = F.xxhash64(F.lit(seed), F.col(f"_row.{key}"), F.xxhash64(f"_row.{text}"), F.col("_place"))
+    scattered = (rows.select(payload.alias("_row"), F.monotonically_increasing_id().alias("_place"))
+                 .select("_row", mixed.alias("_mixed"))
                  .withColumn("_bucket", F.pmod(F.col("_mixed"), F.lit(n_buckets)))
                  .repartition(n_buckets, "_bucket")
                  .sortWithinPartitions("_bucket", "_mixed"))
-    payload = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
     shuffled = (scattered.groupBy("_bucket")
-                .agg(F.shuffle(F.collect_list(payload), seed).alias("_rows"))
+                .agg(F.shuffle(F.collect_list("_row"), seed).alias("_rows"))
                 .select("_bucket", F.posexplode("_rows").alias("_pos", "_row")))
     written = scratch.write(shuffled, "buckets")
 

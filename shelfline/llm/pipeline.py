@@ -45,12 +45,12 @@ def decontamination(spark, docs, sf_dir):
 
 
 def secrets(spark, docs, sf_dir):
-    masked = token_efficiency.mask_secrets(docs.withColumn("_text", F.col("text")), "_text")
+    old = "_text_before_masking"
+    masked = token_efficiency.mask_secrets(docs.withColumn(old, F.col("text")))
     if "n_chars" in docs.columns:
-        changed = ~F.col("_text").eqNullSafe(F.col("text"))
-        masked = masked.withColumn("n_chars", F.when(changed, F.length("_text").cast("long"))
-                                   .otherwise(F.col("n_chars")))
-    return masked.withColumn("text", F.col("_text")).select(docs.columns)
+        same = F.col(old).eqNullSafe(F.col("text"))
+        masked = masked.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return masked.select(docs.columns)
 
 
 def packing(spark, docs, sf_dir):
