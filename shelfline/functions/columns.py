@@ -63,16 +63,6 @@ def month_start(d) -> Column:
     return F.trunc(col_(d), "month")
 
 
-def clamp(c, lo=None, hi=None) -> Column:
-    """greatest/least clamps."""
-    out = col_(c)
-    if lo is not None:
-        out = F.greatest(out, F.lit(lo))
-    if hi is not None:
-        out = F.least(out, F.lit(hi))
-    return out
-
-
 # Fixed value: the characters Python's str.split() treats as whitespace,
 # spelled with \x{..} escapes so Java regex and RE2 read the class the same way.
 WS_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
@@ -84,14 +74,20 @@ def collapse_ws(c) -> Column:
     return F.trim(F.regexp_replace(col_(c), WS_CLASS + "+", " "))
 
 
-def ascii_terms_text(c) -> Column:
-    """Text reduced to lower-case ASCII alphanumeric terms separated by one
-    space, with a space on each side, so containment is word-aligned."""
-    return F.concat(F.lit(" "),
-                    F.lower(F.trim(F.regexp_replace(col_(c), "[^A-Za-z0-9]+", " "))),
-                    F.lit(" "))
+# Anything but letters, marks and digits of any script separates terms.
+TERM_SEPARATORS = r"[^\p{L}\p{M}\p{N}]+"
+
+
+def _term_line(c) -> Column:
+    return F.lower(F.trim(F.regexp_replace(col_(c), TERM_SEPARATORS, " ")))
+
+
+def terms_text(c) -> Column:
+    """Text reduced to lower-case terms separated by one space, with a space
+    on each side, so containment is word-aligned."""
+    return F.concat(F.lit(" "), _term_line(c), F.lit(" "))
 
 
 def terms(c) -> Column:
-    """Array of lower-case ASCII alphanumeric terms of a text (may hold '')."""
-    return F.split(F.lower(F.trim(F.regexp_replace(col_(c), "[^A-Za-z0-9]+", " "))), " ")
+    """Array of the lower-case terms of a text, in any script (may hold '')."""
+    return F.split(_term_line(c), " ")

@@ -11,7 +11,6 @@ from shelfline.functions import columns as C
 # Verdict vocabularies.
 PASS_VALUES = ["yes", "true", "pass", "1", "1.0"]
 FAIL_VALUES = ["no", "false", "fail", "0", "0.0"]
-SCORERS = ["quality", "toxic"]
 
 
 def verdict(value) -> "F.Column":
@@ -37,16 +36,19 @@ def eval_pass_rates(assess: DataFrame) -> DataFrame:
                     .alias("pass_rate"))
 
 
-def eval_by_trace(assess: DataFrame, scorers=SCORERS) -> DataFrame:
-    """One row per trace, one verdict column per scorer (pivot on a
-    fixed value list, so no extra job to discover the names)."""
-    v = verdict_normalize(assess)
-    return v.groupBy("trace_id").pivot("name", list(scorers)).agg(F.first("verdict"))
+def eval_by_trace(assess: DataFrame) -> DataFrame:
+    """One row per trace with the verdicts of all its scorers, whatever
+    they are called, as a JSON object with the names in order.  Of several
+    verdicts of one scorer the last in sort order counts."""
+    v = verdict_normalize(assess).groupBy("trace_id", "name").agg(F.max("verdict").alias("verdict"))
+    pairs = F.sort_array(F.collect_list(F.struct("name", "verdict")))
+    return (v.filter(F.col("name").isNotNull()).groupBy("trace_id")
+            .agg(F.count(F.lit(1)).alias("n_scorers"), F.to_json(F.map_from_entries(pairs)).alias("verdicts")))
 
 
 def normalized_answers(answers: DataFrame) -> DataFrame:
-    """``(doc_id, at)``: answer text as space-delimited lower-case ASCII terms."""
-    return answers.select("doc_id", C.ascii_terms_text("text").alias("at"))
+    """``(doc_id, at)``: answer text as space-delimited lower-case terms."""
+    return answers.select("doc_id", C.terms_text("text").alias("at"))
 
 
 def fact_coverage(facts: DataFrame, answers: DataFrame, index: DataFrame | None = None,
@@ -63,7 +65,7 @@ def fact_coverage(facts: DataFrame, answers: DataFrame, index: DataFrame | None
     from shelfline.operators.text import term_index
     a = norm if norm is not None else normalized_answers(answers)
     idx = index if index is not None else term_index(answers, "text")
-    f = (facts.select(F.col("item_id"), C.ascii_terms_text("text").alias("ft"))
+    f = (facts.select(F.col("item_id"), C.terms_text("text").alias("ft"))
          .filter(F.trim("ft") != ""))
     f_terms = f.select("item_id", F.explode(F.split(F.trim("ft"), " ")).alias("term")).distinct()
     vocab = f_terms.select("term").distinct()

@@ -20,8 +20,9 @@ def sequential_ids(df: DataFrame, order_cols: list[str], id_col: str = "row_id",
                    partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or spark.sparkContext.defaultParallelism  # one range per core
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # without a number of ranges, adaptive execution merges them by bytes
+    ranged = (df.repartitionByRange(partitions, *order_cols) if partitions
+              else df.repartitionByRange(*order_cols)).sortWithinPartitions(*order_cols)
     frozen = ranged.checkpoint(eager=True)
     # monotonically_increasing_id = (partition id << 33) + position in partition
     local = (frozen.withColumn("_p", F.spark_partition_id())

@@ -1,10 +1,11 @@
 """Keyed long-term memory on an append-only log.
 
 ``put`` and ``delete`` are log rows; the current state of a key is its
-latest row by (ts, seq).  Latest-wins is a hash aggregate of
-``max(struct(ts, seq, ...))`` — partial aggregation runs map-side, so a key
-with a third of all rows still reduces to one row per task before the
-shuffle (a window sort would put the whole key in one task).
+latest row by (ts, seq).  Latest-wins is ``max(struct(ts, seq, ...))``:
+Spark runs it as a sort aggregate (a struct of texts is no hash-aggregate
+buffer), with a partial aggregation map-side, so a key with a third of all
+rows still reduces to one row per task before the shuffle (a window sort would
+put the whole key in one task).
 """
 
 from __future__ import annotations
@@ -68,10 +69,9 @@ def to_text(log: DataFrame) -> DataFrame:
 
 
 def resolve_ids(log: DataFrame) -> DataFrame:
-    """C20: first non-null id source, and the memory namespace with '.'
-    replaced by '-'."""
-    uid = F.coalesce(F.col("user_id"), F.concat(F.lit("session-"), F.col("seq").cast("string")),
-                     F.lit("default_user"))
+    """C20: the first id that is known (user, e-mail, session, then a default),
+    and the memory namespace with '.' replaced by '-'."""
+    uid = F.coalesce("user_id", "email", "session_id", F.lit("default_user"))
     return log.select("seq", uid.alias("user_id"),
                       F.concat_ws("/", F.lit(NAMESPACE_PREFIX), F.translate(uid, ".", "-"))
                       .alias("namespace"))
@@ -81,9 +81,9 @@ def memory_search(log: DataFrame, user_id, query: str, k: int = 5) -> DataFrame:
     """H4: recall inside one namespace — live memories ranked by how many
     query terms occur in key + value, newest first on ties; top k."""
     live = live_memories(log).filter(F.col("user_id") == user_id)
-    q_terms = [t for t in query.lower().split() if t]
     doc = C.terms(F.concat_ws(" ", "key", "value_json"))
-    score = F.size(F.array_distinct(F.filter(doc, lambda t: t.isin(q_terms))))
+    shared = F.array_intersect(doc, C.terms(F.lit(query)))   # one tokeniser for both
+    score = F.size(F.array_remove(shared, ""))
     return (live.select("user_id", "key", "value_json", "ts", score.alias("score"))
             .orderBy(F.desc("score"), F.desc("ts"), "key").limit(k))
 
@@ -99,8 +99,8 @@ def action_items_defaults(items: DataFrame) -> DataFrame:
 
 
 def action_items_open(items: DataFrame) -> DataFrame:
-    """H6: open items per session."""
-    return (items.filter(F.col("status") == "open").groupBy("session_id")
+    """H6: open items per session (an item without a status is open, as A10 fills it)."""
+    return (items.filter(F.coalesce("status", F.lit("open")) == "open").groupBy("session_id")
             .agg(F.count(F.lit(1)).alias("n_open")))
 
 
@@ -109,15 +109,6 @@ def chat_history(chat: DataFrame, session_id) -> DataFrame:
     return chat.filter(F.col("session_id") == session_id).orderBy("turn")
 
 
-def chat_history_bulk(chat: DataFrame, partitions: int | None = None) -> DataFrame:
-    """H5 (bulk): all sessions in (session, turn) order.  Range partitioning
-    on both columns keeps each session's turns contiguous and ordered while
-    letting one huge session span several tasks."""
-    n = partitions or int(chat.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (chat.repartitionByRange(n, "session_id", "turn")
-            .sortWithinPartitions("session_id", "turn"))
-
-
 SEED_ROLE, SEED_TEXT = "system", "You are a helpful sales analytics assistant."
 
 

@@ -14,15 +14,14 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import columns as C
 from shelfline.functions import vectors as VX
-from shelfline.session import ship_package
+from shelfline.operators.ids import sequential_ids
+from shelfline.session import scratch_path, ship_package
 
 SCORE_DECIMALS = 6
-# A batch of at most this many query vectors, and at most this many bytes of
-# float64 query matrix, is shipped to every task; a larger batch takes the
-# blocked path (no broadcast at all).
-MAX_BROADCAST_QUERIES = 4096
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-QUERY_BLOCK = 1024
+# Queries shipped to the tasks at once, and documents scored at once against
+# them: a product of at most QUERY_BLOCK x DOC_BLOCK scores is in memory.
+QUERY_BLOCK = 2048
+DOC_BLOCK = 1024
 
 
 def first_doc_vector(vectors: DataFrame) -> list[float]:
@@ -66,7 +65,7 @@ def _partial_sums(it):
     task as one row."""
     acc: dict = {}
     for pdf in it:
-        for label, grp in pdf.groupby("label", dropna=False):
+        for label, grp in pdf[pdf["embedding"].notna()].groupby("label", dropna=False):
             m = np.stack([np.asarray(v, dtype=np.float64) for v in grp["embedding"]])
             n0, s0 = acc.get(label, (0, 0.0))
             acc[label] = (n0 + len(grp), s0 + m.sum(axis=0))
@@ -128,50 +127,35 @@ def vector_topk_batch(spark: SparkSession, vectors: DataFrame, queries: DataFram
                       k: int = 5) -> DataFrame:
     """H3: top-k documents for every query of a batch.
 
-    Pair scores are computed inside tasks with NumPy on Arrow batches and
-    only per-block candidates leave a task, so no (query, document) pair
-    table is ever materialised.  A batch that passes the size check is
-    shipped to every task (documents are not shuffled); a larger batch is
-    split into blocks and co-grouped with document blocks."""
+    The queries are written once and taken in blocks; each block is shipped to
+    the tasks, which score it against their own documents (never shuffled) with
+    NumPy and emit only candidates, so no (query, document) pair table is
+    materialised.  A larger batch takes more blocks of the same kind.  Null
+    vectors, and vectors of another dimension than the queries', score nothing."""
     ship_package(spark)
-    size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("qvec")).alias("dim")).first()
-    n_q, dim = int(size["n"]), int(size["dim"] or 0)
-    docs = vectors.select("doc_id", "embedding")
-    if n_q <= MAX_BROADCAST_QUERIES and n_q * dim * 8 <= MAX_BROADCAST_BYTES:
-        qp = queries.toPandas()  # bounded by the check above
-        qids = qp["qid"].to_numpy(dtype=np.int64)
+    path = scratch_path(spark, "topk-queries")
+    numbered = sequential_ids(queries.filter(F.col("qvec").isNotNull()).select("qid", "qvec"), ["qid"], "_no")
+    numbered.withColumn("_block", F.floor((F.col("_no") - 1) / QUERY_BLOCK)).write.partitionBy("_block").parquet(path)
+    written = spark.read.parquet(path)
+    n_blocks = (written.agg(F.max("_block")).first()[0] or 0) + 1
+    docs = vectors.filter(F.col("embedding").isNotNull()).select("doc_id", "embedding")
+    cand = None
+    for block in range(n_blocks):
+        qp = written.filter(F.col("_block") == block).toPandas()  # at most QUERY_BLOCK rows
         qmat, qnorm = _unit_rows(list(qp["qvec"]))
-        bq = spark.sparkContext.broadcast((qids, qmat, qnorm))
+        shared = spark.sparkContext.broadcast((qp["qid"].to_numpy(dtype=np.int64), qmat, qnorm))
 
-        def per_batch(it):
-            qi, qm, qn = bq.value
+        def per_batch(it, shared=shared):
+            qi, qm, qn = shared.value
             for pdf in it:
-                dm, dn = _unit_rows(list(pdf["embedding"]))
-                yield _local_topk(pdf["doc_id"].to_numpy(), dm, dn, qi, qm, qn, k)
-
-        cand = docs.mapInPandas(per_batch, CAND_SCHEMA)
-    else:
-        n_qb = -(-n_q // QUERY_BLOCK)
-        n_db = max(1, docs.rdd.getNumPartitions())
-        qb = queries.select(F.pmod(F.xxhash64("qid"), F.lit(n_qb)).alias("qb"), "qid", "qvec")
-        db = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(n_db)).alias("db"), "doc_id",
-                         "embedding")
-        # Replicate each query block to every document block and vice versa:
-        # n_q * n_db + n_docs * n_qb rows, never n_q * n_docs.
-        q_rep = qb.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_db - 1).cast("long")))
-                          .alias("db"), "qb", "qid", "qvec")
-        d_rep = db.select("db", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                     F.lit(n_qb - 1).cast("long"))).alias("qb"),
-                          "doc_id", "embedding")
-
-        def per_cell(dpdf, qpdf):
-            dm, dn = _unit_rows(list(dpdf["embedding"]))
-            qm, qn = _unit_rows(list(qpdf["qvec"]))
-            return _local_topk(dpdf["doc_id"].to_numpy(), dm, dn, qpdf["qid"].to_numpy(),
-                               qm, qn, k)
-
-        cand = (d_rep.groupBy("db", "qb").cogroup(q_rep.groupBy("db", "qb"))
-                .applyInPandas(per_cell, CAND_SCHEMA))
+                pdf = pdf[pdf["embedding"].map(len) == qm.shape[1]]
+                for lo in range(0, len(pdf), DOC_BLOCK):
+                    some = pdf.iloc[lo:lo + DOC_BLOCK]
+                    dm, dn = _unit_rows(list(some["embedding"]))
+                    yield _local_topk(some["doc_id"].to_numpy(), dm, dn, qi, qm, qn, k)
+
+        found = docs.mapInPandas(per_batch, CAND_SCHEMA)
+        cand = found if cand is None else cand.unionByName(found)
     # Candidates per query are at most (k + ties) per block.
     ranked = cand.select("qid", "doc_id", C.rounded("raw", SCORE_DECIMALS).alias("score"))
     w = Window.partitionBy("qid").orderBy(F.desc("score"), "doc_id")

@@ -16,11 +16,6 @@ def doc_normalize(raw_docs: DataFrame) -> DataFrame:
                            (content != F.col("text")).alias("changed"))
 
 
-# The specification-sheet template.
-SPEC_TEMPLATE = ("Product specification: {name} ({brand}). Category: {category}. "
-                 "List price: ${price}. Unit cost: ${cogs}.")
-
-
 def render_spec_docs(products: DataFrame) -> DataFrame:
     """One specification document per product rendered from its row."""
     return products.select(
@@ -58,18 +53,25 @@ def term_index(docs: DataFrame, text_col: str = "content", id_col: str = "doc_id
             .agg(F.count(F.lit(1)).alias("tf")))
 
 
+#: Distinct terms of one query that become literals.
+PUSHED_TERMS = 1000
+
+
 def text_search(docs: DataFrame, query_terms: DataFrame, k: int = 10,
                 index: DataFrame | None = None) -> DataFrame:
     """H2: TF-IDF ranking of documents for one query, top k.
 
     score(d) = sum over distinct query terms t of tf(t, d) * ln(N / df(t)).
-    The term index is semi-joined to the (small) query term set first, so
-    only matching postings are aggregated.  ``index`` is a prebuilt
+    The terms of a query of up to ``PUSHED_TERMS`` distinct terms are literals
+    of an ``IN`` filter, which the scan of a term-ordered index uses to skip files
+    and row groups; a longer one is semi-joined.  ``index`` is a prebuilt
     ``term_index(docs)``; without it the index is derived on the fly."""
     idx = index if index is not None else term_index(docs)
     n_docs = docs.select(F.count(F.lit(1)).cast("double")).scalar()
     q = query_terms.select("term").distinct()
-    tf = idx.join(q, "term", "left_semi")
+    few = [r["term"] for r in q.limit(PUSHED_TERMS + 1).collect()]
+    tf = (idx.filter(F.col("term").isin(few)) if len(few) <= PUSHED_TERMS
+          else idx.join(q, "term", "left_semi"))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     scored = (tf.join(df, "term")
               .groupBy("doc_id")

@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfline.session import checkpoint_dir
 
-MAX_JUMPS = 64  # 2**64 ancestors: any chain still open after this is a cycle
-
-
-def span_depth(spans: DataFrame, max_jumps: int = MAX_JUMPS) -> DataFrame:
+def span_depth(spans: DataFrame) -> DataFrame:
     """Depth of every span = number of existing ancestors above it.
 
     Pointer jumping: each round replaces a span's pointer with its
@@ -20,27 +17,30 @@ def span_depth(spans: DataFrame, max_jumps: int = MAX_JUMPS) -> DataFrame:
     L resolves in about log2(L) equi-joins on (trace_id, span_id) — no
     recursion per level and no per-trace grouping.  A parent that does not
     exist ends the climb (orphan = depth 0).  Each round is checkpointed to
-    the shared checkpoint folder to cut lineage.  Spans still pointing
-    after ``max_jumps`` rounds sit on a cycle and get a null depth."""
+    the shared checkpoint folder to cut lineage.  While any chain is open, each
+    round closes at least one of its spans; a round that closes none leaves
+    only spans on or below a cycle, which get a null depth."""
     checkpoint_dir(spans.sparkSession)
     nodes = spans.select("trace_id", "span_id", "parent_id")
     exists = nodes.select("trace_id", F.col("span_id").alias("parent_id"),
-                          F.lit(True).alias("_ok"))
+                          F.lit(True).alias("_ok")).distinct()
     cur = (nodes.join(exists, ["trace_id", "parent_id"], "left")
            .select("trace_id", "span_id",
                    F.when(F.col("_ok"), F.col("parent_id")).alias("ptr"),
-                   F.when(F.col("_ok"), F.lit(1)).otherwise(F.lit(0)).alias("depth")))
-    cur = cur.checkpoint(eager=True)
-    for _ in range(max_jumps):
-        if cur.filter(F.col("ptr").isNotNull()).isEmpty():
-            return cur.select("trace_id", "span_id", F.col("depth").cast("int").alias("depth"))
+                   F.when(F.col("_ok"), F.lit(1)).otherwise(F.lit(0)).cast("long").alias("depth")))
+    open_before = None
+    while True:
+        cur = cur.checkpoint(eager=True)
+        still_open = cur.filter(F.col("ptr").isNotNull()).count()
+        if still_open == 0 or still_open == open_before:
+            break
+        open_before = still_open
         a, b = cur.alias("a"), cur.alias("b")
-        step = (a.join(b, (F.col("a.trace_id") == F.col("b.trace_id")) &
-                       (F.col("a.ptr") == F.col("b.span_id")), "left")
-                .select(F.col("a.trace_id").alias("trace_id"), F.col("a.span_id").alias("span_id"),
-                        F.when(F.col("a.ptr").isNotNull(), F.col("b.ptr")).alias("ptr"),
-                        (F.col("a.depth") + F.coalesce(F.col("b.depth"), F.lit(0))).alias("depth")))
-        cur = step.checkpoint(eager=True)
+        cur = (a.join(b, (F.col("a.trace_id") == F.col("b.trace_id")) &
+                      (F.col("a.ptr") == F.col("b.span_id")), "left")
+               .select(F.col("a.trace_id").alias("trace_id"), F.col("a.span_id").alias("span_id"),
+                       F.when(F.col("a.ptr").isNotNull(), F.col("b.ptr")).alias("ptr"),
+                       (F.col("a.depth") + F.coalesce(F.col("b.depth"), F.lit(0))).alias("depth")))
     return cur.select("trace_id", "span_id",
                       F.when(F.col("ptr").isNull(), F.col("depth")).cast("int").alias("depth"))
 
@@ -71,19 +71,35 @@ def assistant_messages(chat: DataFrame) -> DataFrame:
     return chat.filter(F.col("role") == "assistant").select("session_id", "turn", "content")
 
 
+def message_text(parts) -> "F.Column":
+    """Text of a message given as an array of parts (type, text): its text
+    parts joined in order; parts of other types and null texts are skipped."""
+    kept = F.filter(parts, lambda p: p["type"].isin(*TEXT_PARTS) & p["text"].isNotNull())
+    return F.array_join(F.transform(kept, lambda p: p["text"]), "")
+
+
+# Part types that carry message text.
+TEXT_PARTS = ("output_text", "text")
+
+
 def last_assistant_message(chat: DataFrame) -> DataFrame:
     """Per session, the text of its last assistant message (max_by is a
-    partial aggregate: no per-session sort)."""
+    partial aggregate: no per-session sort).  A chat with a ``parts`` column has
+    its message texts put together from them first."""
+    if "parts" in chat.columns:
+        chat = chat.withColumn("content", message_text(F.col("parts")))
     a = chat.filter(F.col("role") == "assistant")
     return a.groupBy("session_id").agg(F.max("turn").alias("turn"),
                                        F.max_by("content", "turn").alias("content"))
 
 
 def assemble_deltas(deltas: DataFrame) -> DataFrame:
-    """Final text per item from its text deltas in sequence order."""
+    """Final text per item from its text deltas in sequence order.  A part
+    delivered twice counts once (of differing texts the least)."""
+    once = (deltas.filter(F.col("type") == "output_text.delta")
+            .groupBy("item_id", "seq").agg(F.min("text").alias("text")))
     parts = F.sort_array(F.collect_list(F.struct("seq", "text")))
-    return (deltas.filter(F.col("type") == "output_text.delta")
-            .groupBy("item_id").agg(parts.alias("p"))
+    return (once.groupBy("item_id").agg(parts.alias("p"))
             .select("item_id", F.array_join(F.transform("p", lambda x: x["text"]), " ")
                     .alias("text")))
 

@@ -60,7 +60,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN disc >= 0.09 THEN 'BOGO' WHEN disc = 0.05 THEN 'TPR'
                     WHEN disc = 0.06 THEN 'Display' WHEN disc = 0.07 THEN 'Feature'
                     WHEN disc = 0.08 THEN 'Feature+Display' END AS promo_type,
-               d AS start_date, d + 7 AS end_date,
+               d AS start_date,
+               d + 7 * CAST(CASE order_key % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 4 END AS INTEGER) AS end_date,
                CAST(spend AS DECIMAL(18,2)) AS promo_spend,
                CAST(disc * 100 AS DECIMAL(5,1)) AS discount_depth_pct,
                CAST(base AS BIGINT) AS baseline_units,
@@ -97,9 +98,15 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM events"""),
     "v_action_items": ((), """
         SELECT event_id AS id, CAST(user_id AS VARCHAR) AS session_id, event_type AS title,
-               COALESCE(CASE WHEN event_id % 3 = 0 THEN 'closed' END, 'open') AS status,
+               CASE WHEN event_id % 3 = 0 THEN 'closed' END AS status,
                ts AS created_ts
         FROM events"""),
+    "v_id_sources": ((), """
+        SELECT event_id AS seq, CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS VARCHAR) END AS user_id,
+               CASE WHEN event_id % 3 = 1
+                    THEN event_type || '.u' || CAST(user_id AS VARCHAR) || '@example.org' END AS email,
+               CASE WHEN event_id % 6 = 2 THEN 'session.' || CAST(user_id AS VARCHAR) END AS session_id
+        FROM events"""),
     "v_chat": ((), """
         SELECT conv_id AS session_id, turn, role, text AS content FROM conversations"""),
     "v_spans": ((), """
@@ -110,7 +117,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "v_assessments": ((), """
         SELECT doc_id AS trace_id, 'quality' AS name, CAST(quality AS VARCHAR) AS value FROM labels
         UNION ALL
-        SELECT doc_id AS trace_id, 'toxic' AS name, CAST(toxic AS VARCHAR) AS value FROM labels"""),
+        SELECT doc_id AS trace_id, 'toxic' AS name, CAST(toxic AS VARCHAR) AS value FROM labels
+        UNION ALL
+        SELECT doc_id AS trace_id, 'usable' AS name,
+               CASE WHEN quality = 1 AND toxic = 0 THEN 'Yes' ELSE ' no ' END AS value FROM labels"""),
     "v_deltas": ((), f"""
         SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS item_id,
                CAST(pos - 1 AS BIGINT) AS seq, 'output_text.delta' AS type, w AS text

@@ -14,7 +14,7 @@ from shelfline.plans import dashboard
 from shelfline.plans.model import Model
 from shelfline.sources import seed, sinks
 from shelfline.sources import views as V
-from shelfline.sources.tables import Tables
+from shelfline.sources.tables import Tables, read_named, table_path
 from shelfline.streaming import sync
 
 QUERIES: dict = {}
@@ -137,6 +137,16 @@ def _dashboard_payload(spark, sf):
     return dashboard.dashboard_payload(spark, sf)
 
 
+@register("dashboard_json", f"""
+    SELECT '{{' || string_agg('"' || tile || '":{{"labels":[' || labels || '],"values":[' || vals || ']}}', ','
+                             ORDER BY tile) || '}}' AS payload
+    FROM (SELECT tile, string_agg('"' || label || '"', ',' ORDER BY ord) AS labels,
+                 string_agg('"' || printf('%.3f', value) || '"', ',' ORDER BY ord) AS vals
+          FROM ({ORACLE["dashboard_payload"]}) p GROUP BY tile) t""")
+def _dashboard_json(spark, sf):
+    return dashboard.dashboard_json(dashboard.dashboard_payload(spark, sf))
+
+
 SELL_THROUGH_SQL = f"""
     SELECT p.product_name, r.retailer_name, CAST(SUM(s.units_sold) AS BIGINT) AS units_sold,
            CAST(SUM(s.units_shipped) AS BIGINT) AS units_shipped,
@@ -498,7 +508,8 @@ def _cos_sql(a: str, b: str) -> str:
 _Q_FIRST = """q AS (SELECT embedding AS qv FROM v_vectors
                  WHERE doc_id = (SELECT MIN(doc_id) FROM v_vectors))"""
 _ROUND6 = "CAST(ROUND(CAST({0} AS DECIMAL(18,9)), 6) AS DOUBLE)"
-_TERMS = "string_split(lower(trim(regexp_replace({0}, '[^A-Za-z0-9]+', ' ', 'g'))), ' ')"
+# Terms of any script; the class is spelled out here, not taken from the code.
+_TERMS = r"string_split(lower(trim(regexp_replace({0}, '[^\p{{L}}\p{{M}}\p{{N}}]+', ' ', 'g'))), ' ')"
 
 
 @register("vector_topk", sql(f"""
@@ -592,7 +603,7 @@ def _doc_type_counts(spark, sf):
 # ------------------------------------------------------------- memory (A/C/H)
 
 
-MEMORY_QUERY = "purchase click"
+MEMORY_QUERY = "Purchase, click?"
 _LATEST = """(SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, key ORDER BY ts DESC, seq DESC) AS rn
               FROM v_memory_log
               WHERE op = 'delete' OR COALESCE(json_valid(value_json) AND json_type(value_json) = 'OBJECT', FALSE))"""
@@ -632,21 +643,19 @@ def _to_text(spark, sf):
 
 
 @register("resolve_ids", sql("""
-    SELECT seq, COALESCE(user_id, 'session-' || CAST(seq AS VARCHAR), 'default_user') AS user_id,
-           'user_memories/' || replace(COALESCE(user_id, 'session-' || CAST(seq AS VARCHAR),
-                                                'default_user'), '.', '-') AS namespace
-    FROM v_memory_log""", "v_memory_log"))
+    SELECT seq, COALESCE(user_id, email, session_id, 'default_user') AS user_id,
+           'user_memories/' || replace(COALESCE(user_id, email, session_id, 'default_user'), '.', '-') AS namespace
+    FROM v_id_sources""", "v_id_sources"))
 def _resolve_ids(spark, sf):
-    return memory.resolve_ids(V.memory_log(spark, sf))
+    return memory.resolve_ids(V.id_sources(spark, sf))
 
 
-_MEM_TERMS = "string_split(lower(trim(regexp_replace(concat_ws(' ', key, value_json), '[^A-Za-z0-9]+', ' ', 'g'))), ' ')"
-_MEM_Q = ", ".join(f"'{t}'" for t in MEMORY_QUERY.split())
+_MEM_TERMS = _TERMS.format("concat_ws(' ', key, value_json)")
 
 
 @register("memory_search", sql(f"""
     SELECT user_id, key, value_json, ts,
-           CAST(len(list_distinct(list_filter({_MEM_TERMS}, lambda x: x IN ({_MEM_Q})))) AS INTEGER) AS score
+           CAST(len(list_distinct(list_filter({_MEM_TERMS}, lambda x: x IN ('purchase', 'click')))) AS INTEGER) AS score
     FROM {_LATEST} x
     WHERE rn = 1 AND op = 'put' AND user_id = (SELECT MIN(user_id) FROM v_memory_log)
     ORDER BY score DESC, ts DESC, key LIMIT 5""", "v_memory_log"))
@@ -664,7 +673,7 @@ def _action_items_defaults(spark, sf):
 
 
 @register("action_items_open", sql("""
-    SELECT session_id, COUNT(*) AS n_open FROM v_action_items WHERE status = 'open'
+    SELECT session_id, COUNT(*) AS n_open FROM v_action_items WHERE COALESCE(status, 'open') = 'open'
     GROUP BY session_id""", "v_action_items"))
 def _action_items_open(spark, sf):
     return memory.action_items_open(V.action_items(spark, sf))
@@ -746,7 +755,7 @@ def _assemble_deltas(spark, sf):
 @register("latest_traces", """
     SELECT event_id, ts, user_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 5""")
 def _latest_traces(spark, sf):
-    return traces.latest_traces(Tables(spark, sf, spread=False).events, 5)
+    return traces.latest_traces(Tables(spark, sf).events, 5)
 
 
 # ------------------------------------------------------------------ evals (C/I)
@@ -773,19 +782,20 @@ def _eval_pass_rates(spark, sf):
 
 
 @register("eval_by_trace", sql(f"""
-    SELECT trace_id, MAX(CASE WHEN name = 'quality' THEN verdict END) AS quality,
-           MAX(CASE WHEN name = 'toxic' THEN verdict END) AS toxic
-    FROM {_VERDICTS} v GROUP BY trace_id""", "v_assessments"))
+    SELECT trace_id, COUNT(*) AS n_scorers,
+           '{{' || string_agg('"' || name || '":"' || verdict || '"', ',' ORDER BY name) || '}}' AS verdicts
+    FROM (SELECT trace_id, name, MAX(verdict) AS verdict FROM {_VERDICTS} v GROUP BY 1, 2) w
+    GROUP BY trace_id""", "v_assessments"))
 def _eval_by_trace(spark, sf):
     return evals.eval_by_trace(V.assessments(spark, sf))
 
 
-_NORM = "' ' || lower(trim(regexp_replace({0}, '[^A-Za-z0-9]+', ' ', 'g'))) || ' '"
+_NORM = r"' ' || lower(trim(regexp_replace({0}, '[^\p{{L}}\p{{M}}\p{{N}}]+', ' ', 'g'))) || ' '"
 
 
 @register("fact_coverage", f"""
     WITH f AS (SELECT item_id, {_NORM.format("text")} AS t FROM benchmark
-               WHERE trim(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')) <> ''),
+               WHERE trim({_NORM.format("text")}) <> ''),
     d AS (SELECT doc_id, {_NORM.format("text")} AS t FROM documents),
     hits AS (SELECT d.doc_id, COUNT(*) AS n FROM d JOIN f ON contains(d.t, f.t) GROUP BY 1)
     SELECT d.doc_id, COALESCE(hits.n, 0) AS n_facts_found,
@@ -822,7 +832,7 @@ def _docs_change_feed(spark, sf):
 
 @register("docs_index_sync", sql(f"WITH {_SNAP} SELECT * FROM new", "v_documents"))
 def _docs_index_sync(spark, sf):
-    return sync.docs_index_sync(spark, Model(spark, sf).documents())
+    return sync.docs_index_sync(spark, *sync.snapshots(Model(spark, sf).documents()))
 
 
 @register("table_counts", " UNION ALL ".join(
@@ -834,18 +844,15 @@ def _table_counts(spark, sf):
 @register("write_audit", "SELECT 'products' AS table_name, COUNT(*) AS n FROM part")
 def _write_audit(spark, sf):
     from shelfline.session import scratch_path
-    path = scratch_path(spark, "products")
-    sinks.write_table(V.products(spark, sf), path)
-    return (spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
-            .select(F.lit("products").alias("table_name"), "n"))
+    return sinks.write_audit(V.products(spark, sf), "products", scratch_path(spark, "products"))
 
 
 @register("scan_products", """
     SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS brand, p_type AS category,
            p_retailprice AS list_price FROM part""")
 def _scan_products(spark, sf):
-    from shelfline.sources.tables import read_table
-    return read_table(spark, sf, "main.cpg.part").select(
+    name = sinks.publish(spark, "shelfline_cpg", "part", table_path(sf, "part"))
+    return read_named(spark, name).select(
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
         F.col("p_brand").alias("brand"), F.col("p_type").alias("category"),
         F.col("p_retailprice").alias("list_price"))

@@ -97,9 +97,14 @@ def dashboard_payload(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dashboard_json(payload: DataFrame) -> DataFrame:
-    """The payload as one JSON document per tile (labels/values in order)."""
-    return (payload.groupBy("tile")
-            .agg(F.sort_array(F.collect_list(F.struct("ord", "label", "value"))).alias("items"))
-            .select("tile", F.to_json(F.struct(
-                F.transform("items", lambda x: x["label"]).alias("labels"),
-                F.transform("items", lambda x: x["value"]).alias("values"))).alias("json")))
+    """The payload as one JSON document: an object of tiles, each with its
+    labels and values in display order.  A tile holds a bounded number of rows
+    (weeks of the window, mechanics, top-k), so the document is small whatever
+    the facts' size."""
+    tiles = (payload.groupBy("tile")
+             .agg(F.sort_array(F.collect_list(F.struct("ord", "label", F.format_string("%.3f", "value")
+                                                       .alias("value")))).alias("items"))
+             .select("tile", F.struct(F.transform("items", lambda x: x["label"]).alias("labels"),
+                                      F.transform("items", lambda x: x["value"]).alias("values")).alias("series")))
+    entries = F.sort_array(F.collect_list(F.struct("tile", "series")))
+    return tiles.agg(F.to_json(F.map_from_entries(entries)).alias("payload"))

@@ -59,10 +59,9 @@ def materialize(df: DataFrame, name: str, order_by: tuple[str, ...] = ()) -> tup
     path = scratch_path(spark, name)
     out = df
     if order_by:
-        # One range per core: every later scan uses the whole cluster, and
-        # at 100 TB each file holds a narrow slice of the ordering column.
-        n = spark.sparkContext.defaultParallelism
-        out = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+        # No fixed number of ranges: adaptive execution merges them by bytes
+        # (spark.sql.adaptive.advisoryPartitionSizeInBytes).
+        out = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     out.write.mode("overwrite").parquet(path)
     return path, df.schema
 
@@ -117,7 +116,7 @@ class Model:
     def doc_index(self) -> DataFrame:
         """Inverted term index ``(doc_id, term, tf)`` of the documents."""
         from shelfline.operators.text import term_index
-        return self._table("doc_index", lambda: term_index(self.documents()), order_by=("term",))
+        return self._table("doc_index", lambda: term_index(self.documents()), order_by=("term", "doc_id"))
 
     def doc_norm(self) -> DataFrame:
         """Documents as normalised term text ``(doc_id, at)``."""

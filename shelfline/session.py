@@ -30,19 +30,6 @@ SCALE_CONF = {
 }
 
 
-# Suggested settings for a large cluster (the platform's session carries
-# them; nothing here overrides a running session).  Start with many shuffle
-# partitions and let AQE coalesce them to ~128 MB each; split skewed join
-# partitions; keep file splits at 128 MB.
-CLUSTER_CONF = {
-    **SCALE_CONF,
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
-    "spark.sql.shuffle.partitions": "4000",
-}
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "shelfline") -> SparkSession:
     """A local session for tests and the bench (UI off, AQE on)."""

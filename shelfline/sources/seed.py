@@ -10,15 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Retail accounts (name, channel, region, store count).
-RETAILERS = [
-    ("Walmart", "Mass", "National", 4700), ("Target", "Mass", "National", 1950),
-    ("Kroger", "Grocery", "Midwest", 2750), ("Albertsons", "Grocery", "West", 2200),
-    ("Publix", "Grocery", "Southeast", 1350), ("Costco", "Club", "National", 590),
-    ("Walgreens", "Drug", "National", 8500), ("7-Eleven", "Convenience", "National", 13000),
-    ("Amazon", "eCommerce", "National", 0), ("Whole Foods", "Grocery", "National", 530),
-]
-
 # Pack variants (name, price multiplier) per pack family.
 PACK_VARIANTS = {
     "Snacks": [("Single", 1.0), ("4-Pack", 3.6), ("Family Size", 2.2), ("Club Pack", 6.5)],
@@ -32,14 +23,6 @@ PACK_VARIANTS = {
 CATEGORY_PACK_FAMILY = {"SMALL": "Personal Care", "MEDIUM": "Snacks", "LARGE": "Beverages"}
 DEFAULT_PACK_FAMILY = "Snacks"
 
-RETAILER_SCHEMA = T.StructType([
-    T.StructField("retailer_id", T.LongType(), False),
-    T.StructField("retailer_name", T.StringType(), False),
-    T.StructField("channel", T.StringType(), False),
-    T.StructField("region", T.StringType(), False),
-    T.StructField("store_count", T.LongType(), False),
-])
-
 PACK_SCHEMA = T.StructType([
     T.StructField("pack_family", T.StringType(), False),
     T.StructField("variant_no", T.IntegerType(), False),
@@ -48,11 +31,6 @@ PACK_SCHEMA = T.StructType([
 ])
 
 
-def seed_retailers(spark: SparkSession) -> DataFrame:
-    rows = [(i, *r) for i, r in enumerate(RETAILERS, start=1)]
-    return spark.createDataFrame(rows, RETAILER_SCHEMA)
-
-
 def pack_variants(spark: SparkSession) -> DataFrame:
     from decimal import Decimal
     rows = [(fam, i, name, Decimal(str(m)))

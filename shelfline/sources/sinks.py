@@ -1,40 +1,43 @@
-"""Sinks and table maintenance: namespace creation (A4), overwrite write
-with a row count taken in the same job (A3), post-write counts (A11)."""
+"""Sinks and table maintenance: namespaces (A4), audited writes (A3) and row
+counts (A11)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.sources.tables import TABLE_NAMES, read_table
 
 
-def ensure_namespace(spark: SparkSession, name: str) -> None:
-    """A4: CREATE SCHEMA IF NOT EXISTS."""
+def ensure_namespace(spark: SparkSession, name: str) -> str:
+    """A4: the schema exists afterwards; returns its name."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`")
+    return name
+
 
+def publish(spark: SparkSession, namespace: str, table: str, folder: str) -> str:
+    """A1/A4: expose a parquet folder under a qualified name of the session's
+    catalog (an external table: dropping the name leaves the files)."""
+    name = f"`{ensure_namespace(spark, namespace)}`.`{table}`"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=folder, source="parquet")
+    return name
 
-def write_table(df: DataFrame, path: str, date_cols=(), partition_by=None) -> int:
-    """A3: cast date columns, overwrite the target, return the row count.
 
-    The count is an ``Observation`` on the write itself, so the data is not
-    read a second time."""
-    for c in date_cols:
-        df = df.withColumn(c, F.to_date(F.col(c)))
-    obs = Observation("write_audit")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode("overwrite").option("overwriteSchema", "true")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return int(obs.get["rows"])
+def write_audit(df: DataFrame, table: str, path: str, dates: tuple[str, ...] = ()) -> DataFrame:
+    """A3: write a table (columns ``dates`` as dates) and return its audit row
+    (table_name, n).  The count is observed by the write itself; nothing is read
+    again."""
+    typed = df.select(*[F.to_date(c).alias(c) if c in dates else F.col(c) for c in df.columns])
+    written = Observation()
+    typed.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(path, mode="overwrite")
+    return df.sparkSession.createDataFrame([(table, written.get["n"])], "table_name string, n long")
 
 
 def table_counts(spark: SparkSession, sf: str, names=TABLE_NAMES) -> DataFrame:
     """One ``(table_name, n)`` row per table, as one union plan."""
-    parts = [read_table(spark, sf, n, spread=False).agg(F.count(F.lit(1)).alias("n"))
-             .select(F.lit(n).alias("table_name"), "n") for n in names]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    counted = [read_table(spark, sf, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table_name"), "n")
+               for n in names]
+    return reduce(DataFrame.unionByName, counted)

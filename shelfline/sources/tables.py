@@ -47,51 +47,28 @@ SCHEMAS: dict[str, T.StructType] = {
 
 TABLE_NAMES = tuple(SCHEMAS)
 
-# Tables whose size grows with the data; their scans feed joins and
-# aggregations directly.
-FACT_TABLES = frozenset({"lineitem", "orders", "events", "documents", "embeddings",
-                         "conversations", "pages"})
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Scan one table; ``name`` may be qualified (``catalog.schema.table``).
-    ``spread=False`` for scans that only feed a global count/min/max."""
-    short = name.split(".")[-1]
-    df = spark.read.schema(SCHEMAS[short]).parquet(table_path(sf_dir, short))
-    return spread_small_scan(df) if spread and short in FACT_TABLES else df
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Rebalance a scan that yields fewer splits than the cluster has cores.
-
-    A file written as one row group is read by one task, and everything
-    fused behind the scan (joins, partial aggregation) would run on one
-    core.  When the scan already has at least ``defaultParallelism`` splits
-    — any large table on a cluster — the plan is left untouched, so no
-    extra shuffle is added at scale."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
-        return df
-    return df.repartition(parallelism)
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan one table of a folder of parquet tables."""
+    return spark.read.schema(SCHEMAS[name]).parquet(table_path(sf_dir, name))
 
 
-def register_tables(spark: SparkSession, sf_dir: str) -> None:
-    """Expose every table as a temp view for ``spark.sql``."""
-    for name in TABLE_NAMES:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)
+def read_named(spark: SparkSession, name: str) -> DataFrame:
+    """A1: scan a table of the session's catalog by its qualified name
+    (``schema.table`` or ``catalog.schema.table``): every part counts."""
+    return spark.table(name)
 
 
 class Tables:
     """Lazy accessor: ``Tables(spark, sf_dir).lineitem`` is a DataFrame."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = True):
-        self.spark, self.sf_dir, self.spread = spark, sf_dir, spread
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:
             raise AttributeError(name)
-        return read_table(self.spark, self.sf_dir, name, self.spread)
+        return read_table(self.spark, self.sf_dir, name)

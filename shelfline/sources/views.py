@@ -107,15 +107,6 @@ def sales_from(ln: DataFrame) -> DataFrame:
         "on_promo")
 
 
-def sales_weeks(spark: SparkSession, sf: str) -> DataFrame:
-    """Week-ending of every shipped line: the anchor source of trailing
-    windows over the sales fact.  MAX(week_ending) of the fact equals the
-    week-ending of the latest line (the mapping is monotone), and taking it
-    from the lines needs a partial max only, not the fact's aggregation
-    shuffle."""
-    return lines(spark, sf).select(C.week_ending("d").alias("week_ending"))
-
-
 def promo_type(disc) -> "F.Column":
     expr = F.when(C.col_(disc) >= F.lit(0.09), F.lit("BOGO"))
     for depth, name in PROMO_TYPES_BY_DEPTH:
@@ -123,6 +114,12 @@ def promo_type(disc) -> "F.Column":
     return expr
 
 
+def promo_weeks(order_key) -> "F.Column":
+    """A promotion runs 1, 2 or 4 weeks (dealt by the order's key)."""
+    turn = F.pmod(C.col_(order_key), F.lit(3))
+    return F.when(turn == 0, F.lit(1)).when(turn == 1, F.lit(2)).otherwise(F.lit(4))
+
+
 def promotions(spark: SparkSession, sf: str) -> DataFrame:
     """Trade promotions: lines with a funded discount, measured against the
     product's non-promoted mean quantity (baseline)."""
@@ -143,7 +140,7 @@ def promotions_from(ln: DataFrame) -> DataFrame:
         F.col("order_key"), F.col("line_number"), "product_id", "retailer_id",
         promo_type("disc").alias("promo_type"),
         F.col("d").alias("start_date"),
-        F.date_add("d", 7).alias("end_date"),
+        F.date_add("d", 7 * promo_weeks("order_key")).alias("end_date"),
         spend.cast(C.MONEY).alias("promo_spend"),
         (F.col("disc") * F.lit(100)).cast("decimal(5,1)").alias("discount_depth_pct"),
         base.alias("baseline_units"),
@@ -217,13 +214,21 @@ def memory_log(spark: SparkSession, sf: str) -> DataFrame:
         F.col("ts"), F.col("event_id").alias("seq"))
 
 
+def id_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests with up to three sources of an id, each missing on some rows."""
+    e, n = Tables(spark, sf).events, F.col("event_id")
+    uid = F.col("user_id").cast("string")
+    return e.select(n.alias("seq"), F.when(n % 3 == 0, uid).alias("user_id"),
+                    F.when(n % 3 == 1, F.concat("event_type", F.lit(".u"), uid, F.lit("@example.org"))).alias("email"),
+                    F.when(n % 6 == 2, F.concat(F.lit("session."), uid)).alias("session_id"))
+
+
 def action_items(spark: SparkSession, sf: str) -> DataFrame:
     e = Tables(spark, sf).events
-    raw_status = F.when(F.col("event_id") % 3 == 0, F.lit("closed"))
     return e.select(F.col("event_id").alias("id"),
                     F.col("user_id").cast("string").alias("session_id"),
                     F.col("event_type").alias("title"),
-                    F.coalesce(raw_status, F.lit("open")).alias("status"),
+                    F.when(F.col("event_id") % 3 == 0, F.lit("closed")).alias("status"),  # others unset
                     F.col("ts").alias("created_ts"))
 
 
@@ -247,7 +252,10 @@ def assessments(spark: SparkSession, sf: str) -> DataFrame:
                          F.struct(F.lit("quality").alias("name"),
                                   F.col("quality").cast("string").alias("value")),
                          F.struct(F.lit("toxic").alias("name"),
-                                  F.col("toxic").cast("string").alias("value")))).alias("a")
+                                  F.col("toxic").cast("string").alias("value")),
+                         F.struct(F.lit("usable").alias("name"),
+                                  F.when((F.col("quality") == 1) & (F.col("toxic") == 0), "Yes").otherwise(" no ")
+                                  .alias("value")))).alias("a")
                      ).select("trace_id", "a.name", "a.value")
 
 

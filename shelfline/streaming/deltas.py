@@ -1,11 +1,13 @@
 """I3 (streaming): assemble streamed text deltas into final items.
 
 Events ``(item_id, seq, type, text)`` arrive as files.  A stateful operator
-keyed by item (``applyInPandasWithState``) keeps each open item's deltas in
-its state and emits the item's final text once its ``output_item.done``
-event (carrying the number of parts) has arrived and all parts are present,
-then drops the state.  State per key is one message, so it stays bounded
-however many items are in flight; items spread over tasks by key.
+keyed by item (``applyInPandasWithState``) keeps an open item's parts by their
+number (a part delivered twice counts once) and emits the item's final text
+once its ``output_item.done`` event, which carries the number of parts, and all
+parts have arrived.  The parts then leave the state; a mark that the item is
+closed stays for ``CLOSED_TTL`` so that late repeats are ignored.  An item
+that gets no event for ``OPEN_TTL`` is given up, so the state is bounded by what
+arrives in that time; items spread over tasks by key.
 """
 
 from __future__ import annotations
@@ -21,38 +23,52 @@ from shelfline.session import scratch_path, ship_package
 
 EVENT_SCHEMA = "item_id string, seq long, type string, text string"
 OUT_SCHEMA = "item_id string, text string"
-STATE_SCHEMA = "seqs array<long>, texts array<string>, expected long"
+STATE_SCHEMA = "seqs array<long>, texts array<string>, expected long, closed boolean"
 DELTA, DONE = "output_text.delta", "output_item.done"
+HOUR = 3_600_000
+OPEN_TTL, CLOSED_TTL = 24 * HOUR, 24 * HOUR     # milliseconds
 
 
-def _assemble(key, pdfs, state):
+def _assemble(key, pdfs, state, open_ttl=OPEN_TTL, closed_ttl=CLOSED_TTL):
+    if state.hasTimedOut:
+        state.remove()
+        return
+    parts: dict[int, str] = {}
+    expected, closed, now = -1, False, 0
     if state.exists:
-        seqs, texts, expected = state.get
-        seqs, texts = list(seqs), list(texts)
-    else:
-        seqs, texts, expected = [], [], -1
+        seqs, texts, expected, closed = state.get
+        parts = dict(zip(seqs, texts))
     for pdf in pdfs:
-        d = pdf[pdf["type"] == DELTA]
-        seqs.extend(int(x) for x in d["seq"])
-        texts.extend(d["text"].tolist())
+        now = max(now, int(pdf["at"].max().timestamp() * 1000))
+        if closed:
+            continue
+        deltas = pdf[pdf["type"] == DELTA]
+        for seq, text in zip(deltas["seq"], deltas["text"]):
+            parts.setdefault(int(seq), text)
         done = pdf[pdf["type"] == DONE]
         if len(done):
             expected = int(done["seq"].iloc[0])
-    if 0 <= expected <= len(seqs):
-        order = sorted(range(len(seqs)), key=seqs.__getitem__)
-        state.remove()
-        yield pd.DataFrame({"item_id": [key[0]], "text": [" ".join(texts[i] for i in order)]})
-    else:
-        state.update((seqs, texts, expected))
+    if not closed and 0 <= expected <= len(parts):
+        yield pd.DataFrame({"item_id": [key[0]], "text": [" ".join(parts[i] for i in sorted(parts))]})
+        parts, closed = {}, True
+    order = sorted(parts)
+    state.update((order, [parts[i] for i in order], expected, closed))
+    state.setTimeoutTimestamp(max(now, state.getCurrentWatermarkMs()) + (closed_ttl if closed else open_ttl))
 
 
-def assemble_stream(spark: SparkSession, events_dir: str, out_dir: str, checkpoint: str) -> None:
+def assemble_stream(spark: SparkSession, events_dir: str, out_dir: str, checkpoint: str,
+                    open_ttl: int = OPEN_TTL, closed_ttl: int = CLOSED_TTL) -> None:
     """One triggered run: consume unseen event files, emit finished items."""
+    def assemble(key, pdfs, state):
+        return _assemble(key, pdfs, state, open_ttl, closed_ttl)
+
     ship_package(spark)
-    events = spark.readStream.schema(EVENT_SCHEMA).parquet(events_dir)
+    # event time is the time of arrival, so the watermark follows the clock
+    events = (spark.readStream.schema(EVENT_SCHEMA).parquet(events_dir)
+              .withColumn("at", F.current_timestamp()).withWatermark("at", "0 seconds"))
     done_items = (events.groupBy("item_id")
-                  .applyInPandasWithState(_assemble, OUT_SCHEMA, STATE_SCHEMA, "append",
-                                          GroupStateTimeout.NoTimeout))
+                  .applyInPandasWithState(assemble, OUT_SCHEMA, STATE_SCHEMA, "append",
+                                          GroupStateTimeout.EventTimeTimeout))
     q = (done_items.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start(out_dir))
     q.awaitTermination()
@@ -60,7 +76,7 @@ def assemble_stream(spark: SparkSession, events_dir: str, out_dir: str, checkpoi
 
 def done_events(deltas: DataFrame) -> DataFrame:
     """One ``output_item.done`` event per item, carrying its part count."""
-    return (deltas.groupBy("item_id").agg(F.count(F.lit(1)).alias("seq"))
+    return (deltas.groupBy("item_id").agg(F.countDistinct("seq").alias("seq"))
             .select("item_id", "seq", F.lit(DONE).alias("type"), F.lit(None).cast("string")
                     .alias("text")))
 

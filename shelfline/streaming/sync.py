@@ -67,38 +67,42 @@ def _as_changes(df: DataFrame, change_type, version: int) -> DataFrame:
 
 def sync_once(spark: SparkSession, source_dir: str, index_dir: str, checkpoint: str) -> int:
     """Run the triggered sync: consume unseen change files into the index
-    log.  Returns the number of rows appended by this run."""
-    before = _count(spark, index_dir)
+    log.  Returns the number of rows appended by this run, as the stream's own
+    progress reports it (the index is not read)."""
     stream = spark.readStream.schema(CHANGE_SCHEMA).parquet(source_dir)
     q = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start(index_dir))
     q.awaitTermination()
-    return _count(spark, index_dir) - before
+    return sum(p["numInputRows"] for p in q.recentProgress)
 
 
-def _count(spark: SparkSession, path: str) -> int:
-    try:
-        return spark.read.schema(CHANGE_SCHEMA).parquet(path).count()
-    except AnalysisException:  # nothing synced yet
-        return 0
+def compact(spark: SparkSession, index_dir: str, target: str) -> None:
+    """Write the index with one row for each document (its latest) as a new log
+    of inserts under ``target``; readers move to it when it is complete."""
+    log = spark.read.schema(CHANGE_SCHEMA).parquet(index_dir)
+    newest = log.groupBy("doc_id").agg(F.max("version").alias("version"))
+    (log.join(newest, ["doc_id", "version"]).filter(F.col("change_type") != "delete")
+     .withColumn("change_type", F.lit("insert")).select(*log.columns).dropDuplicates(["doc_id"])
+     .write.parquet(target))
 
 
 def index_state(spark: SparkSession, index_dir: str) -> DataFrame:
-    """Latest-wins read of the index log (deletes removed)."""
+    """Latest-wins read of the index log (deletes removed).  The newest version
+    of each document is found on the narrow columns; contents are fetched for
+    those rows only, not carried through the aggregation."""
     log = spark.read.schema(CHANGE_SCHEMA).parquet(index_dir)
-    last = (log.groupBy("doc_id")
-            .agg(F.max(F.struct("version", "change_type", "doc_type", "category", "content"))
-                 .alias("m")))
-    return (last.filter(F.col("m.change_type") != "delete")
-            .select("doc_id", "m.doc_type", "m.category", "m.content"))
+    last = log.groupBy("doc_id").agg(F.max(F.struct("version", "change_type")).alias("m"))
+    live = last.filter(F.col("m.change_type") != "delete").select(
+        "doc_id", F.col("m.version").alias("version"), F.col("m.change_type").alias("change_type"))
+    return (log.join(live, ["doc_id", "version", "change_type"], "left_semi")
+            .select("doc_id", "doc_type", "category", "content"))
 
 
-def docs_index_sync(spark: SparkSession, docs: DataFrame, base: str | None = None) -> DataFrame:
-    """Initial full load of the old snapshot, then the change feed to
-    the new snapshot, both through the streaming sync; returns the index."""
+def docs_index_sync(spark: SparkSession, old: DataFrame, new: DataFrame, base: str | None = None) -> DataFrame:
+    """Initial full load of one snapshot, then the change feed to another,
+    both through the streaming sync; returns the index."""
     root = base or scratch_path(spark, "docs-index-sync")
     source, index, ckpt = (os.path.join(root, p) for p in ("changes", "index", "_checkpoint"))
-    old, new = snapshots(docs)
     _as_changes(old, "insert", 0).write.mode("append").parquet(source)
     sync_once(spark, source, index, ckpt)
     _as_changes(change_feed(old, new), F.col("change_type"), 1) \

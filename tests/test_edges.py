@@ -108,12 +108,12 @@ def test_orphan_span_depth_zero_and_cycles_null(spark):
          ("c", 1, 2), ("c", 2, 1)],                                # a cycle
         "trace_id string, span_id long, parent_id long")
     got = {(r["trace_id"], r["span_id"]): r["depth"]
-           for r in traces.span_depth(spans, max_jumps=6).collect()}
+           for r in traces.span_depth(spans).collect()}
     assert got == {("t", 1): 0, ("t", 2): 1, ("t", 3): 2, ("t", 4): 0, ("c", 1): None, ("c", 2): None}
 
 
 def test_deep_chain_depth(spark):
-    n = 300
+    n = 10_000
     spans = spark.createDataFrame([("t", i, i - 1 if i else None) for i in range(n)],
                                   "trace_id string, span_id long, parent_id long")
     got = {r["span_id"]: r["depth"] for r in traces.span_depth(spans).collect()}
@@ -140,7 +140,7 @@ def test_sync_second_run_appends_nothing(spark):
     base = tempfile.mkdtemp(prefix="sync-test-")
     docs = spark.createDataFrame([(i, "t", "en", f"doc {i}") for i in range(1, 41)],
                                  "doc_id long, doc_type string, category string, content string")
-    state = sync.docs_index_sync(spark, docs, base)
+    state = sync.docs_index_sync(spark, *sync.snapshots(docs), base)
     _, new = sync.snapshots(docs)
     assert sorted(map(tuple, state.collect())) == sorted(map(tuple, new.collect()))
     src, idx, ck = (os.path.join(base, p) for p in ("changes", "index", "_checkpoint"))
@@ -165,7 +165,7 @@ def _brute_topk(vecs, q, k):
     return [d for _, d in sorted(out)[:k]]
 
 
-def test_vector_batch_paths_agree_with_brute_force(spark, monkeypatch):
+def test_vector_batch_blocks_agree_with_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(7)
     vecs = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(200)]
     docs = spark.createDataFrame([(i, v, i % 3) for i, v in vecs],
@@ -181,8 +181,8 @@ def test_vector_batch_paths_agree_with_brute_force(spark, monkeypatch):
         return got
 
     assert ranked(retrieval.vector_topk_batch(spark, docs, queries, 4)) == expect
-    monkeypatch.setattr(retrieval, "MAX_BROADCAST_QUERIES", 0)
     monkeypatch.setattr(retrieval, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(retrieval, "DOC_BLOCK", 7)
     assert ranked(retrieval.vector_topk_batch(spark, docs, queries, 4)) == expect
 
 
@@ -234,9 +234,6 @@ def test_delta_stream_waits_for_all_parts(spark):
 
 def test_seed_rows_and_namespace(spark):
     from shelfline.sources import seed, sinks
-    r = seed.seed_retailers(spark)
-    assert r.count() == 10 and r.schema["retailer_id"].dataType.typeName() == "long"
-    assert [x["retailer_id"] for x in r.orderBy("retailer_id").collect()] == list(range(1, 11))
     packs = seed.pack_variants(spark)
     assert packs.groupBy("pack_family").count().count() == 3 and packs.count() == 12
     sinks.ensure_namespace(spark, "shelfline_test_ns")
@@ -244,11 +241,12 @@ def test_seed_rows_and_namespace(spark):
     assert "shelfline_test_ns" in [d.name for d in spark.catalog.listDatabases()]
 
 
-def test_write_table_counts_in_same_job(spark):
+def test_write_audit_counts_in_same_job(spark):
     from shelfline.sources import sinks
     path = os.path.join(tempfile.mkdtemp(prefix="write-test-"), "t")
     df = spark.createDataFrame([("2024-01-0%d" % i, i) for i in range(1, 6)], "d string, v int")
-    assert sinks.write_table(df, path, date_cols=["d"]) == 5
+    audit = sinks.write_audit(df, "days", path, dates=("d",))
+    assert [tuple(r) for r in audit.collect()] == [("days", 5)]
     back = spark.read.parquet(path)
     assert dict(back.dtypes)["d"] == "date" and back.count() == 5
 
@@ -258,33 +256,9 @@ def test_dashboard_json_orders_labels(spark):
     from shelfline.plans.dashboard import dashboard_json
     payload = spark.createDataFrame([("t", 2, "b", 2.0), ("t", 1, "a", 1.5), ("u", 1, "x", 9.0)],
                                     "tile string, ord int, label string, value double")
-    got = {r["tile"]: json.loads(r["json"]) for r in dashboard_json(payload).collect()}
-    assert got == {"t": {"labels": ["a", "b"], "values": [1.5, 2.0]},
-                   "u": {"labels": ["x"], "values": [9.0]}}
-
-
-def test_lines_anchor_equals_fact_anchor(spark):
-    from tests.conftest import SMALL
-    a = V.sales(spark, SMALL).agg(F.max("week_ending")).first()[0]
-    b = V.sales_weeks(spark, SMALL).agg(F.max("week_ending")).first()[0]
-    assert a == b
-
-
-def test_chat_history_bulk_is_ordered_per_session(spark):
-    chat = spark.createDataFrame([(s, t, "user", f"{s}-{t}") for s in (3, 1, 2) for t in (2, 0, 1)]
-                                 + [(1, t, "user", f"1-{t}") for t in range(3, 60)],
-                                 "session_id long, turn long, role string, content string")
-    out = memory.chat_history_bulk(chat, partitions=4)
-    rows = [(r["session_id"], r["turn"]) for r in out.collect()]
-    assert rows == sorted(rows) and len(rows) == chat.count()
-
-
-def test_registered_tables_answer_sql(spark):
-    from shelfline.sources.tables import register_tables
-    from tests.conftest import SMALL
-    register_tables(spark, SMALL)
-    n = spark.sql("SELECT COUNT(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey").first()[0]
-    assert n == spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    rows = dashboard_json(payload).collect()
+    assert len(rows) == 1 and json.loads(rows[0]["payload"]) == {
+        "t": {"labels": ["a", "b"], "values": ["1.500", "2.000"]}, "u": {"labels": ["x"], "values": ["9.000"]}}
 
 
 def test_rejected_put_keeps_previous_value(spark):
@@ -322,3 +296,91 @@ def test_python_operators_work_from_another_working_directory():
     out = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(prefix="cwd-test-"),
                          capture_output=True, text=True, timeout=600)
     assert "ROWS 50" in out.stdout, out.stderr[-2000:]
+
+
+def test_terms_of_every_script(spark):
+    """Accents, Cyrillic, CJK and marks stay; query and memory share a tokeniser."""
+    from shelfline.functions import columns as C
+    rows = spark.createDataFrame([("Crème BRÛLÉE, 2x!",), ("Привет, мир",), ("価格 表。比較",), ("किताब-घर",), ("",), (None,)], "t string")
+    got = [[x for x in r[0] if x] if r[0] is not None else None for r in rows.select(C.terms("t")).collect()]
+    assert got == [["crème", "brûlée", "2x"], ["привет", "мир"], ["価格", "表", "比較"], ["किताब", "घर"], [], None]
+    facts = spark.createDataFrame([(1, "crème brûlée"), (2, "ПРИВЕТ"), (3, "比較")], "item_id long, text string")
+    answers = spark.createDataFrame([(10, "Une Crème Brûlée."), (11, "привет мир"), (12, "価格 比較"), (13, "creme brulee")],
+                                    "doc_id long, text string")
+    assert {r["doc_id"]: r["n_facts_found"] for r in evals.fact_coverage(facts, answers).collect()} == \
+        {10: 1, 11: 1, 12: 1, 13: 0}
+    log = _log(spark, [("u", "a", '{"v": "purchase"}', "put", 1, 1), ("u", "b", '{"v": "Ünique click"}', "put", 2, 2)])
+    def scores(query):
+        return {r["key"]: r["score"] for r in memory.memory_search(log, "u", query, 5).collect()}
+    assert scores("Purchase, click?") == {"a": 1, "b": 1} and scores("ÜNIQUE") == {"a": 0, "b": 1}
+
+
+def test_every_scorer_survives(spark):
+    import json
+    a = spark.createDataFrame([("t", "quality", "1"), ("t", "tone", "No "), ("t", "x\"y", "maybe"), ("t", "quality", "0"),
+                               ("u", "tone", "yes"), ("u", "quality", None)], "trace_id string, name string, value string")
+    got = {r["trace_id"]: (r["n_scorers"], json.loads(r["verdicts"])) for r in evals.eval_by_trace(a).collect()}
+    assert got == {"t": (3, {"quality": "pass", "tone": "fail", 'x"y': "other"}), "u": (1, {"tone": "pass"})}
+
+
+def test_message_parts_concatenate(spark):
+    schema = "session_id long, turn long, role string, parts array<struct<type:string,text:string>>"
+    chat = spark.createDataFrame([(1, 0, "assistant", [("text", "old")]),
+                                  (1, 1, "assistant", [("output_text", "a "), ("tool", "no"), ("text", "b"), ("text", None)]),
+                                  (1, 2, "user", [("text", "q")]), (2, 0, "assistant", [])], schema)
+    got = {r["session_id"]: (r["turn"], r["content"]) for r in traces.last_assistant_message(chat).collect()}
+    assert got == {1: (1, "a b"), 2: (0, "")}
+
+
+def test_repeated_parts_and_given_up_items(spark):
+    from shelfline.streaming import deltas as D
+    base = tempfile.mkdtemp(prefix="deltas-test-")
+    ev_dir, out, ck = (os.path.join(base, p) for p in ("events", "items", "_ck"))
+    batches = [[("a", 0, D.DELTA, "x"), ("a", 0, D.DELTA, "x"), ("a", 2, D.DONE, None), ("n", 0, D.DELTA, "never")],
+               [("a", 1, D.DELTA, "y")], [("a", 1, D.DELTA, "y"), ("a", 2, D.DONE, None)],
+               [("n", 1, D.DONE, None), ("b", 0, D.DELTA, "z"), ("b", 1, D.DONE, None)]]
+    for i, batch in enumerate(batches):
+        spark.createDataFrame(batch, D.EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(ev_dir)
+        D.assemble_stream(spark, ev_dir, out, ck)
+    got = sorted((r["item_id"], r["text"]) for r in spark.read.schema(D.OUT_SCHEMA).parquet(out).collect())
+    assert got == [("a", "x y"), ("b", "z"), ("n", "never")]
+    once = traces.assemble_deltas(spark.createDataFrame(batches[0] + batches[1] + batches[2], D.EVENT_SCHEMA))
+    assert {r["item_id"]: r["text"] for r in once.collect()} == {"a": "x y", "n": "never"}
+
+    class Timed:                                        # the state of an item that timed out is dropped
+        hasTimedOut, removed = True, False
+
+        def remove(self):
+            self.removed = True
+    state = Timed()
+    assert list(D._assemble(("n",), [], state)) == [] and state.removed
+
+
+def test_null_and_odd_vectors_score_nothing(spark):
+    docs = spark.createDataFrame([(1, [1.0, 0.0], 0), (2, None, 0), (3, [1.0], 1), (4, [0.0, 0.0], 0)],
+                                 "doc_id long, embedding array<float>, label int")
+    queries = spark.createDataFrame([(7, [1.0, 1.0]), (8, None)], "qid long, qvec array<float>")
+    got = [(r["qid"], r["doc_id"]) for r in retrieval.vector_topk_batch(spark, docs, queries, 3).collect()]
+    assert got == [(7, 1)]
+
+
+def test_defaults_and_id_chain(spark):
+    items = spark.createDataFrame([(1, "s", "t", None), (2, "s", "t", "closed")], "id long, session_id string, title string, status string")
+    items = items.withColumn("created_ts", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz"))
+    assert [r["status"] for r in memory.action_items_defaults(items).orderBy("item_id").collect()] == ["open", "closed"]
+    ids = spark.createDataFrame([(1, "u.1", "e", "s"), (2, None, "a.b@c.d", "s"), (3, None, None, "s"), (4, None, None, None)],
+                                "seq long, user_id string, email string, session_id string")
+    assert [r["namespace"] for r in memory.resolve_ids(ids).orderBy("seq").collect()] == [
+        "user_memories/u-1", "user_memories/a-b@c-d", "user_memories/s", "user_memories/default_user"]
+
+
+def test_index_compaction_keeps_the_state(spark):
+    from shelfline.streaming import sync
+    docs = spark.createDataFrame([(i, "t", "c", f"text {i}") for i in range(40)],
+                                 "doc_id long, doc_type string, category string, content string")
+    base = tempfile.mkdtemp(prefix="sync-test-")
+    before = sync.docs_index_sync(spark, *sync.snapshots(docs), base=base)
+    sync.compact(spark, os.path.join(base, "index"), os.path.join(base, "compacted"))
+    after = sync.index_state(spark, os.path.join(base, "compacted"))
+    assert sorted(map(tuple, before.collect())) == sorted(map(tuple, after.collect()))
+    assert spark.read.parquet(os.path.join(base, "compacted")).count() == after.count()
