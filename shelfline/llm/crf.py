@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from shelfline.llm.common import documents, held_out, labels, prepare_python
 from shelfline.llm.learning import labelled_sample, logistic, sigmoid
 
-MAX_TRAIN = 4000
+MAX_TRAIN = 3000
 BITS = 18
 #: A picked form occurs in so many toxic training documents that no form
 #: before explained, and so large a share of its documents is toxic.
@@ -207,12 +207,12 @@ def forward_backward(emit: np.ndarray, mask: np.ndarray, trans: np.ndarray, pair
     return np.where(mask, marginal.T, 0.0), expected
 
 
-def fit(sentences: list[np.ndarray], marks: list[np.ndarray], words: list[list[int]], seed: int = 5
+def fit(sentences: list[np.ndarray], marks: list[np.ndarray], words: list[np.ndarray], seed: int = 5
         ) -> tuple[np.ndarray, np.ndarray]:
     """State weights and transitions.  Sentences hold word numbers; ``words``
     their state features."""
     width = max((len(w) for w in words), default=1)
-    table = np.full((len(words), width), 1 << BITS, np.int64)        # the last weight stays 0
+    table = np.full((len(words), width), 1 << BITS, np.int32)        # the last weight stays 0
     for i, w in enumerate(words):
         table[i, :len(w)] = w
     theta = np.zeros((1 << BITS) + 1)
@@ -326,7 +326,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 5) -> Model:
     if not picked:
         return flat
     number: dict[str, int] = {}
-    words: list[list[int]] = []
+    words: list[np.ndarray] = []
     hit: list[bool] = []
     toxic_sentences, clean_sentences = [], []
     for tokens, toxic in zip(docs, y):
@@ -335,7 +335,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 5) -> Model:
         for t in set(tokens):
             if t not in number:
                 number[t] = len(words)
-                words.append(state_features(t))
+                words.append(np.array(state_features(t), np.int32))  # small: there are very many words
                 hit.append(any(f in picked for f in forms(t)))
         ids = np.fromiter((number[t] for t in tokens), np.int64, len(tokens))
         marks = np.fromiter((hit[i] for i in ids), bool, len(ids)) & bool(toxic)
