@@ -53,10 +53,11 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tables: str) -> None:
+        """Remove tables; without names all of them."""
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for table in tables:
-            p = jvm.org.apache.hadoop.fs.Path(self.path(table))
+        for path in [self.path(t) for t in tables] or [self.base]:
+            p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(conf).delete(p, True)
 
 

@@ -30,10 +30,10 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u > v").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) of every node with an edge; a component is named by
-    its least node.  ``edges``: any (u, v)."""
-    scratch = Scratch(edges.sparkSession, "components")
+    its least node.  ``edges``: any (u, v).  The result reads a table in
+    ``scratch``."""
     now = scratch.write(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                         .where("u > v").distinct(), "edges-0")
     step, seen = 0, None

@@ -51,7 +51,7 @@ SKETCH_PARTS = 16
 #: Hash ranges of the first fragment: one for so many shingles.
 RANGE_SHINGLES = 1_000_000
 FLUSH = 1_000_000
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 #: Ids of candidates are broadcast up to this many (8 bytes each); beyond, both
 #: sides are shuffled.
 BROADCAST_IDS = 1_000_000
@@ -381,7 +381,9 @@ def jaccard_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     same = _equal_ids(keyed, classes)
     while True:
         edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same)
-        joined = scratch.write(components(edges), f"components-{verifier.round}")
+        stars = Scratch(spark, "components")
+        joined = scratch.write(components(edges, stars), f"components-{verifier.round}")
+        stars.drop()
         more = scratch.write(_across(members, joined, compared), f"pairs-{verifier.round}")
         if more.isEmpty():
             break
@@ -391,9 +393,11 @@ def jaccard_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
         joined.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id"))
     rows = sets.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("digest")).alias("digest"))
-    return (rows.join(rep_of, "digest", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "doc_id").alias("component_id")))
+    out = Scratch(spark, "ngram-classes").write(
+        rows.join(rep_of, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"),
+                                                   F.coalesce("component_id", "doc_id").alias("component_id")), "classes")
+    scratch.drop()
+    return out
 
 
 def _equal_ids(keyed: DataFrame, classes: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfline.llm import components, crf, nbsvm, ngram_join, pipeline, spaced_seeds
+from shelfline.llm.common import Scratch
 from shelfline.llm.learning import auc
 from shelfline.llm.queries import QUERIES
 
@@ -40,10 +41,12 @@ def test_components(spark):
     pairs = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 700)]
     pairs += [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(250)] + [(5, 5)]
     nodes = {x for p in pairs if p[0] != p[1] for x in p}
-    got = components.components(spark.createDataFrame(pairs, "u long, v long")).collect()
+    scratch = Scratch(spark, "test")
+    got = components.components(spark.createDataFrame(pairs, "u long, v long"), scratch).collect()
     want = union_find(nodes, [p for p in pairs if p[0] != p[1]])
     assert {r.node: r.component for r in got} == want and len(got) == len(nodes)
-    assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
+    scratch.drop()
+    assert components.components(spark.createDataFrame([], "u long, v long"), scratch).count() == 0
 
 
 def shingle_set(text):
