@@ -127,6 +127,41 @@ def seasonality_index(sales: DataFrame, products: DataFrame) -> DataFrame:
                     .alias("seasonality"))
 
 
+# Factor of a pack family in the given calendar months (1 elsewhere).
+SEASON_FACTORS = (("Beverages", (6, 7, 8), "1.25"), ("Beverages", (12, 1, 2), "0.90"),
+                  ("Snacks", (11, 12), "1.20"))
+
+
+def season_factor(family, month) -> "F.Column":
+    """The factor of a pack family in a calendar month, as a rule."""
+    out = F.lit(Decimal("1.00"))
+    for name, months, factor in reversed(SEASON_FACTORS):
+        out = F.when((C.col_(family) == name) & C.col_(month).isin(*months), F.lit(Decimal(factor))).otherwise(out)
+    return out
+
+
+def seasonal_units(spark, sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Units sold by pack family and calendar month, the rule's factor and the
+    units with the factor taken out.  The fact is reduced to product x month of
+    the year before the product's family is joined."""
+    by_product = (sales.groupBy("product_id", F.month("week_ending").alias("month_of_year"))
+                  .agg(F.sum("units_sold").alias("units")))
+    families = with_pack_family(spark, products).select("product_id", "pack_family")
+    g = (by_product.join(families, "product_id").groupBy("pack_family", "month_of_year")
+         .agg(F.sum("units").alias("units")).withColumn("f", season_factor("pack_family", "month_of_year")))
+    return g.select("pack_family", "month_of_year", "units", C.as_double("f").alias("factor"),
+                    C.rounded(C.as_double("units") / C.as_double("f"), 2).alias("base_units"))
+
+
+def clamped_units(sales: DataFrame) -> DataFrame:
+    """Units left over a week, never below 0, and how many weeks of its sales
+    they are, the divisor never below 1."""
+    left = F.greatest(F.col("units_shipped") - F.col("units_sold"), F.lit(0).cast("bigint"))
+    return sales.select(
+        "product_id", "retailer_id", F.col("week_ending").cast("string").alias("week"), left.alias("units_left"),
+        C.rounded(C.as_double(left) / F.greatest(F.col("units_sold"), F.lit(1)).cast("double"), 1).alias("weeks_left"))
+
+
 def clamped_measures(ms: DataFrame) -> DataFrame:
     """Share as a fraction floored at 0.005 and capped at 99.5 percent."""
     frac = C.rounded_dec(C.as_double("dollar_share_pct") / 100.0, 4)

@@ -31,10 +31,12 @@ def first_doc_vector(vectors: DataFrame) -> list[float]:
     return [float(x) for x in row["v"]] if row and row["v"] is not None else []
 
 
-def _score(query_vec: list[float]) -> "F.Column":
+def _score(query_vec: list[float], vectors: DataFrame) -> "F.Column":
+    """Cosine to a literal query; a stored ``norm`` column is used if there is one."""
+    norm = F.col("norm") if "norm" in vectors.columns else VX.norm("embedding")
     q = F.lit(query_vec).cast("array<double>")
     qnorm = float(np.linalg.norm(np.asarray(query_vec, dtype=np.float64))) if query_vec else 0.0
-    return C.rounded(VX.cosine("embedding", q, VX.norm("embedding"), F.lit(qnorm)), SCORE_DECIMALS)
+    return C.rounded(VX.cosine("embedding", q, norm, F.lit(qnorm)), SCORE_DECIMALS)
 
 
 def vector_topk(vectors: DataFrame, query_vec: list[float], k: int = 4) -> DataFrame:
@@ -43,7 +45,7 @@ def vector_topk(vectors: DataFrame, query_vec: list[float], k: int = 4) -> DataF
     The query is a literal in the plan: one score per row in the scan, and
     TakeOrderedAndProject keeps k rows per partition before the final
     merge."""
-    scored = vectors.select("doc_id", _score(query_vec).alias("score"))
+    scored = vectors.select("doc_id", _score(query_vec, vectors).alias("score"))
     return scored.orderBy(F.desc_nulls_last("score"), "doc_id").limit(k)
 
 
@@ -52,7 +54,7 @@ def search_filtered(vectors: DataFrame, docs: DataFrame, query_vec: list[float],
     """Metadata filter on the document side, then scoring and top-k."""
     kept = docs.filter(F.col("doc_type") == doc_type).select("doc_id", "doc_type", "category")
     j = vectors.join(kept, "doc_id")
-    scored = j.select("doc_id", "doc_type", "category", _score(query_vec).alias("score"))
+    scored = j.select("doc_id", "doc_type", "category", _score(query_vec, vectors).alias("score"))
     return scored.orderBy(F.desc_nulls_last("score"), "doc_id").limit(k)
 
 

@@ -480,6 +480,30 @@ def _clamped_measures(spark, sf):
     return grid.clamped_measures(Model(spark, sf).market_share())
 
 
+@register("seasonal_units", sql(f"""
+    WITH g AS (SELECT f.pack_family, CAST(month(s.week_ending) AS INTEGER) AS month_of_year,
+                      CAST(SUM(s.units_sold) AS BIGINT) AS units
+               FROM v_sales s JOIN {_FAMILY_SQL} f ON s.product_id = f.product_id GROUP BY 1, 2),
+    r AS (SELECT *, CASE WHEN pack_family = 'Beverages' AND month_of_year IN (6, 7, 8) THEN 1.25
+                         WHEN pack_family = 'Beverages' AND month_of_year IN (12, 1, 2) THEN 0.9
+                         WHEN pack_family = 'Snacks' AND month_of_year IN (11, 12) THEN 1.2 ELSE 1.0 END AS f FROM g)
+    SELECT pack_family, month_of_year, units, CAST(f AS DOUBLE) AS factor,
+           CAST(ROUND(CAST(CAST(units AS DOUBLE) / CAST(f AS DOUBLE) AS DECIMAL(18,9)), 2) AS DOUBLE) AS base_units
+    FROM r""", "v_sales", "v_products"))
+def _seasonal_units(spark, sf):
+    return grid.seasonal_units(spark, Model(spark, sf).sales(), V.products(spark, sf))
+
+
+@register("clamped_units", sql("""
+    SELECT product_id, retailer_id, CAST(week_ending AS VARCHAR) AS week,
+           GREATEST(units_shipped - units_sold, 0) AS units_left,
+           CAST(ROUND(CAST(CAST(GREATEST(units_shipped - units_sold, 0) AS DOUBLE) /
+                GREATEST(units_sold, 1) AS DECIMAL(18,9)), 1) AS DOUBLE) AS weeks_left
+    FROM v_sales""", "v_sales"))
+def _clamped_units(spark, sf):
+    return grid.clamped_units(Model(spark, sf).sales())
+
+
 @register("account_scale", sql("""
     WITH acct AS (SELECT retailer_id, CASE WHEN SUM(units_sold) = 0 THEN 1500
                                            ELSE CAST(SUM(units_sold) AS BIGINT) END AS units
@@ -518,7 +542,7 @@ _TERMS = r"string_split(lower(trim(regexp_replace({0}, '[^\p{{L}}\p{{M}}\p{{N}}]
     SELECT doc_id, {_ROUND6.format("raw")} AS score FROM s
     ORDER BY score DESC NULLS LAST, doc_id LIMIT 4""", "v_vectors"))
 def _vector_topk(spark, sf):
-    v = V.vectors(spark, sf)
+    v = Model(spark, sf).vectors()
     return retrieval.vector_topk(v, retrieval.first_doc_vector(v), 4)
 
 
@@ -530,7 +554,7 @@ def _vector_topk(spark, sf):
     SELECT doc_id, doc_type, category, {_ROUND6.format("raw")} AS score FROM s
     ORDER BY score DESC NULLS LAST, doc_id LIMIT 4""", "v_vectors", "v_documents"))
 def _search_filtered(spark, sf):
-    v = V.vectors(spark, sf)
+    v = Model(spark, sf).vectors()
     return retrieval.search_filtered(v, Model(spark, sf).documents(), retrieval.first_doc_vector(v),
                                      SEARCH_DOC_TYPE, 4)
 

@@ -19,12 +19,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.functions import vectors as VX
 from shelfline.session import scratch_path
 from shelfline.sources import views as V
 from shelfline.sources.tables import table_path
 
 _CACHE: dict[tuple, dict[str, tuple]] = {}
-SOURCES = ("lineitem", "orders", "part", "documents")
+SOURCES = ("lineitem", "orders", "part", "documents", "embeddings")
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -33,14 +34,17 @@ def _hadoop_path(spark: SparkSession, path: str):
 
 
 def _signature(spark: SparkSession, sf: str) -> tuple:
-    """Sizes and modification times of the source files (Hadoop FileSystem,
-    so it works for any shared storage the cluster uses)."""
+    """Name, size and modification time of every source file (Hadoop
+    FileSystem, so it works for any shared storage the cluster uses), so a file
+    rewritten at the same size counts as changed wherever files carry a time."""
     sig = []
     for name in SOURCES:
         path, fs = _hadoop_path(spark, table_path(sf, name))
-        sig.append((name, fs.getContentSummary(path).getLength(),
-                    fs.getFileStatus(path).getModificationTime()))
-    return tuple(sig)
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            sig.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(sig))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -124,6 +128,11 @@ class Model:
         from shelfline.sources.tables import Tables
         return self._table("doc_norm", lambda: normalized_answers(Tables(self.spark, self.sf).documents))
 
+    def vectors(self) -> DataFrame:
+        """Document vectors with their norm, computed once."""
+        return self._table("vectors", lambda: V.vectors(self.spark, self.sf)
+                           .withColumn("norm", VX.norm("embedding")), order_by=("doc_id",))
+
     def products(self) -> DataFrame:
         return V.products(self.spark, self.sf)
 

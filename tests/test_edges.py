@@ -384,3 +384,13 @@ def test_index_compaction_keeps_the_state(spark):
     after = sync.index_state(spark, os.path.join(base, "compacted"))
     assert sorted(map(tuple, before.collect())) == sorted(map(tuple, after.collect()))
     assert spark.read.parquet(os.path.join(base, "compacted")).count() == after.count()
+
+
+def test_season_rule_and_unit_clamps(spark):
+    months = spark.createDataFrame([("Beverages", 7), ("Beverages", 1), ("Beverages", 4), ("Snacks", 12), ("Snacks", 7), (None, 7)],
+                                   "f string, m int")
+    assert [float(r[0]) for r in months.select(grid.season_factor("f", "m")).collect()] == [1.25, 0.9, 1.0, 1.2, 1.0, 1.0]
+    sales = spark.createDataFrame([(1, 1, SAT0, 10, 4), (1, 2, SAT0, 3, 9), (1, 3, SAT0, 7, 0)],
+                                  "product_id long, retailer_id long, week_ending date, units_shipped bigint, units_sold bigint")
+    got = [(r["units_left"], r["weeks_left"]) for r in grid.clamped_units(sales).orderBy("retailer_id").collect()]
+    assert got == [(6, 1.5), (0, 0.0), (7, 7.0)]
