@@ -29,15 +29,19 @@ def toxicity(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
+    """The rows that go are named by id (fewer than those that stay); up to
+    ``BROADCAST_IDS`` of them are broadcast, so texts are not shuffled; beyond,
+    both sides are."""
     scratch = Scratch(spark, "near-duplicates")
-    first = (ngram_join.jaccard_classes(docs).where("component_id = doc_id")
-             .groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")))
-    first = scratch.write(first, "kept")
-    kept = docs.join(first.where("_rows = 1").select("doc_id"), "doc_id", "left_semi")
-    repeated = first.where("_rows > 1").select("doc_id")
+    classes = ngram_join.jaccard_classes(docs)
+    gone = scratch.write(classes.where("component_id <> doc_id").select("doc_id").distinct(), "gone")
+    kept = docs.join(F.broadcast(gone) if gone.count() <= ngram_join.BROADCAST_IDS else gone, "doc_id", "left_anti")
+    repeated = scratch.write(classes.where("component_id = doc_id").groupBy("doc_id").count()
+                             .where("count > 1").select("doc_id"), "repeated")
     if not repeated.isEmpty():
-        kept = kept.unionByName(docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(docs.columns)
+        once = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        kept = kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
+    return kept.select(docs.columns)
 
 
 def decontamination(spark, docs, sf_dir):
