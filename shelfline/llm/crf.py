@@ -27,6 +27,7 @@ not read.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -103,18 +104,20 @@ def pick_forms(docs: list[list[str]], y: np.ndarray) -> set[str]:
     """Greedy cover of the toxic documents by forms that are rarely clean."""
     where: dict[str, list[int]] = defaultdict(list)
     clean: Counter = Counter()
-    memo: dict[str, list[str]] = {}
-    for i, (tokens, toxic) in enumerate(zip(docs, y)):
+    for i in np.flatnonzero(y).tolist():
+        for f in {f for t in set(docs[i]) for f in forms(t)}:
+            where[f].append(i)
+    # only forms of enough toxic documents can be picked; the others of a clean
+    # document's many tokens are not kept
+    asked = {f: f for f, at in where.items() if len(at) >= MIN_EXPLAINED}
+    memo: dict[str, tuple[str, ...]] = {}
+    for i in np.flatnonzero(np.asarray(y) == 0).tolist():
         found = set()
-        for t in set(tokens):
+        for t in set(docs[i]):
             if t not in memo:
-                memo[t] = forms(t)
+                memo[t] = tuple(asked[f] for f in forms(t) if f in asked)
             found.update(memo[t])
-        if toxic:
-            for f in found:
-                where[f].append(i)
-        else:
-            clean.update(found)
+        clean.update(found)
     share = max(float(np.mean(y)), 1e-9)
     good = {}
     for f, at in where.items():
@@ -321,7 +324,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 5) -> Model:
     flat = Model(np.zeros((1 << BITS) + 1), np.zeros((2, 2)), np.array([0, 0, 0, np.log(share / (1 - share))]))
     if len(set(y.tolist())) < 2:
         return flat
-    docs = [t.split() for t in texts]
+    docs = [[sys.intern(w) for w in t.split()] for t in texts]    # a word is held once
     picked = widen(pick_forms(docs, y), docs, y)
     if not picked:
         return flat
