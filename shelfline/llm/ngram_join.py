@@ -318,8 +318,9 @@ def first_fragment(pairs: DataFrame, classes: DataFrame, scratch: Scratch, name:
     joined = joined.withColumn("end", last)
     rest = [F.col(f"n_{x}") - F.size(F.filter(f"prefix_{x}", lambda v: v.bitwiseXOR(top) <= F.col("end"))) for x in "ab"]
     most = F.size(F.array_intersect("prefix_a", "prefix_b")) + F.least(*rest)
-    out = scratch.write(joined.where(most * (100 + PERCENT) >= PERCENT * (F.col("n_a") + F.col("n_b"))).select("a", "b"),
-                        f"possible-{name}")
+    # one id may name several classes: a pair is counted once
+    out = scratch.write(joined.where(most * (100 + PERCENT) >= PERCENT * (F.col("n_a") + F.col("n_b")))
+                        .select("a", "b").distinct(), f"possible-{name}")
     scratch.drop(f"first-{name}", f"prefixes-{name}")
     return out
 
@@ -327,10 +328,20 @@ def first_fragment(pairs: DataFrame, classes: DataFrame, scratch: Scratch, name:
 class Overlaps:
     """Exact decisions on pairs, from the texts of the classes' documents."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, scratch: Scratch, common, bits: int):
+    def __init__(self, docs: DataFrame, classes: DataFrame, repeated: DataFrame, scratch: Scratch, common, bits: int):
         self.docs, self.classes, self.scratch = docs, classes, scratch
+        self.repeated = None if repeated.isEmpty() else repeated
         self.common, self.bits, self.round = common, bits, 0
 
+    def once(self, sets: DataFrame) -> DataFrame:
+        """The fragments without the repeats of rows that have one doc_id and one
+        set; only those rows are shuffled for it."""
+        if self.repeated is None:
+            return sets
+        ids = self.repeated.withColumnRenamed("id", "rep")
+        others = sets.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "rep", "left_anti")
+        return others.unionByName(_only(sets, self.repeated, "rep").dropDuplicates(["rep", "own", "fragment"]))
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that reach the threshold: overlaps are counted in
         each fragment and summed."""
@@ -340,6 +351,7 @@ class Overlaps:
         texts = _only(self.docs, ids, "doc_id")
         sets = self.scratch.write(texts.mapInPandas(_fragments_fn(self.common, self.bits), _FRAGMENT_SCHEMA),
                                   f"fragments-{self.round}")
+        sets = self.once(sets)
         a, b = (sets.select(F.col("rep").alias(x), "fragment", *[F.col(c).alias(f"{c}_{x}") for c in ("own", "n", "items")])
                 for x in "ab")
         joined = pairs.join(a, "a").join(b, ["b", "fragment"])
@@ -375,7 +387,9 @@ def jaccard_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     found = scratch.write(found.unionByName(_common_candidates(classes.select("rep", "n", "prefix"))), "candidates")
     members = found.where("kind = 1").select(F.col("a").alias("rep"), "h", "place", "n")
 
-    verifier = Overlaps(docs, classes, scratch, common, bits)
+    repeated = scratch.write(keyed.groupBy("doc_id", "digest").count().where("count > 1")
+                             .select(F.col("doc_id").alias("id")).distinct(), "repeated")
+    verifier = Overlaps(docs, classes, repeated, scratch, common, bits)
     compared = scratch.write(found.where("kind = 0").select("a", "b").distinct(), "pairs-0")
     links = verifier.links(compared)
     same = _equal_ids(keyed, classes)

@@ -117,6 +117,28 @@ def test_join_near_copies_passages_and_thresholds(spark):
     check_join(spark, rows)
 
 
+def test_join_repeated_rows_below_the_threshold(spark):
+    """Rows that occur twice, and ids with two texts, do not count an overlap
+    more than once: pairs at J = 0.74 and 0.7 stay apart."""
+    rng = random.Random(21)
+    words = lambda n: ["w%d" % rng.randrange(10 ** 9) for _ in range(n)]
+    rows, k = [], 0
+    for shared, own in ((85, 15), (82, 18)):
+        for case in range(8):
+            passage, k = words(shared + 4), k + 10
+            left, right = " ".join(passage + words(own)), " ".join(passage + words(own))
+            rows += [(k, left), (k + 1, right)]
+            if case % 4 == 0:                           # one side, or both, repeated
+                rows += [(k, left)]
+            elif case % 4 == 1:
+                rows += [(k, left), (k + 1, right)]
+            elif case % 4 == 2:                         # the same set in other letters
+                rows += [(k, left.upper())]
+            else:                                       # one id with two similar sets
+                rows += [(k, " ".join(passage + words(own)))]
+    check_join(spark, rows)
+
+
 def test_prefix_and_bounds():
     for n in range(1, 400):
         p = ngram_join.prefix_length(n)
