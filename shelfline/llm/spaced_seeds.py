@@ -10,9 +10,9 @@ AROUND`` aligned tokens, at least ``MATCH_PERCENT`` must be equal.
 The benchmark's hashes are broadcast in parts of at most ``BROADCAST_SEEDS``
 (a documented bound); a larger benchmark takes one pass over the documents for
 each part, so the exploded corpus is never shuffled.  Seeds with the same hash
-and the same window are one seed (with the least item id and the number of
-items), so a passage that many items share costs one match a document, not one
-for each item.
+and the same window are one seed, so a passage that many items share costs one
+match a document, not one for each item; a second table names all items of each
+window, and the verified (document, window) rows are joined with it.
 
 Defined cases: null and empty texts, and texts of fewer than ``SPAN`` tokens,
 match nothing, on either side; an empty benchmark leaves every document clean;
@@ -59,17 +59,23 @@ def _hashes(words: str, at: str) -> Column:
         for k, mask in enumerate(MASKS)])
 
 
-def seeds(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """(hash, window tokens, place of the hit in the window, least item, items)."""
+def seeds(benchmark: DataFrame, scratch: Scratch, item: str = "item_id", text: str = "text"
+          ) -> tuple[DataFrame, DataFrame]:
+    """(hash, window tokens, place of the hit in the window, window id) and the
+    items of each window (window id, item), both written."""
     words = F.filter(tokens(F.col(text)), lambda w: w != "")
     at = F.greatest(F.col("_at") - AROUND, F.lit(0))
     n = F.least(F.size("_words"), F.col("_at") + SPAN + AROUND) - at
-    return (benchmark.select(F.col(item).alias("_item"), words.alias("_words"))
-            .select("_item", "_words", _positions("_words").alias("_at"))
-            .select("_item", F.explode(_hashes("_words", "_at")).alias("_hash"),
-                    F.slice("_words", at + 1, n).alias("_window"), (F.col("_at") - at).alias("_in"))
-            .groupBy("_hash", "_window", "_in")
-            .agg(F.min("_item").alias("_item"), F.countDistinct("_item").alias("_items")))
+    each = scratch.write(
+        benchmark.select(F.col(item).alias("_item"), words.alias("_words"))
+        .select("_item", "_words", _positions("_words").alias("_at"))
+        .select("_item", F.slice("_words", at + 1, n).alias("_window"), (F.col("_at") - at).alias("_in"))
+        .distinct(), "each")
+    windows = scratch.write(each.groupBy("_window", "_in").agg(F.countDistinct("_item").alias("_items"))
+                            .withColumn("_id", F.monotonically_increasing_id()), "windows")
+    members = scratch.write(each.join(windows, ["_window", "_in"]).select("_id", "_item"), "members")
+    known = windows.select(F.explode(_hashes("_window", "_in")).alias("_hash"), "_window", "_in", "_id", "_items")
+    return scratch.write(known, "seeds"), members
 
 
 def _matched(words: str) -> Column:
@@ -81,12 +87,13 @@ def _matched(words: str) -> Column:
     return reduce(lambda a, b: a + b, equal)
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Verified overlaps: (doc, text hash, item, items, first token, tokens,
-    matched), one row for each document text and item: its best."""
+def matches(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text"
+            ) -> tuple[DataFrame, DataFrame]:
+    """Verified hits, one row for each document text and window (written), and
+    the items of each window."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "spaced-seeds")
-    known = scratch.write(seeds(benchmark), "seeds")
+    known, members = seeds(benchmark, scratch)
     parts = max(1, -(-known.count() // BROADCAST_SEEDS))
     rows = docs.select(F.col(doc).alias("_doc"), F.xxhash64(F.col(text)).alias("_text_hash"),
                        tokens(F.col(text)).alias("_tokens"))
@@ -99,25 +106,39 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: s
         found.append(hashed.join(F.broadcast(part), "_hash")
                      # an explode of one value keeps the comparison out of the join's own
                      # condition: the probe loop stays small enough to be compiled
-                     .select("_doc", "_text_hash", "_item", "_items", "_pos", "_in",
+                     .select("_doc", "_text_hash", "_id", "_items", "_pos", "_in",
                              F.size("_window").alias("_size"),
                              F.explode(F.array(_matched("_tokens"))).alias("_matched"))
                      .where(F.col("_matched") * 100 >= F.col("_size") * MATCH_PERCENT)
-                     .select("_doc", "_text_hash", "_item", "_items", "_matched", "_size",
+                     .select("_doc", "_text_hash", "_id", "_items", "_matched", "_size",
                              (F.col("_pos") - F.col("_in")).alias("_first")))
     every = reduce(DataFrame.unionByName, found)
-    return (every.groupBy("_doc", "_text_hash", "_item")
+    hits = (every.groupBy("_doc", "_text_hash", "_id")
             .agg(F.max("_items").alias("items"), F.count(F.lit(1)).alias("hits"),
                  F.min("_first").alias("first_token"), F.max(F.col("_first") + F.col("_size")).alias("last_token"),
                  F.max("_matched").alias("matched"))
-            .withColumnRenamed("_doc", "doc_id").withColumnRenamed("_text_hash", "text_hash")
-            .withColumnRenamed("_item", "item_id"))
+            .withColumnRenamed("_doc", "doc_id").withColumnRenamed("_text_hash", "text_hash"))
+    return scratch.write(hits, "hits"), members
+
+
+def _by_item(hits: DataFrame, members: DataFrame) -> DataFrame:
+    return (hits.join(members, "_id").groupBy("doc_id", "text_hash", F.col("_item").alias("item_id"))
+            .agg(F.max("items").alias("items"), F.sum("hits").alias("hits"),
+                 F.min("first_token").alias("first_token"), F.max("last_token").alias("last_token"),
+                 F.max("matched").alias("matched")))
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Verified overlaps: (doc, text hash, item, items, hits, first token, last
+    token, matched), one row for each document text and item: its best.  A hit on
+    a window that several items share counts for each of them."""
+    return _by_item(*matches(docs, benchmark, doc, text))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text overlaps no benchmark item, all columns."""
     scratch = Scratch(docs.sparkSession, "decontaminate")
-    bad = scratch.write(overlaps(docs, benchmark, doc, text).select("doc_id", "text_hash").distinct(), "bad")
+    bad = scratch.write(matches(docs, benchmark, doc, text)[0].select("doc_id", "text_hash").distinct(), "bad")
     b = bad.select(F.col("doc_id").alias("_bad_doc"), F.col("text_hash").alias("_bad_text"))
     return docs.join(b, F.col(doc).eqNullSafe(F.col("_bad_doc"))
                      & (F.xxhash64(F.col(text)) == F.col("_bad_text")), "left_anti")
@@ -127,10 +148,14 @@ def op5_spaced_seeds(spark, sf_dir):
     """One row a document: whether it is contaminated, by which items."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     benchmark = spark.read.parquet(table_path(sf_dir, "benchmark"))
-    bad = (overlaps(docs, benchmark).groupBy("doc_id", "text_hash")
-           .agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.sum("hits").alias("hits"),
-                F.max("matched").alias("matched")))
-    b = bad.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), "item_ids", "hits", "matched")
+    hits, members = matches(docs, benchmark)
+    key = ["doc_id", "text_hash"]
+    # a hit is counted once for the document, however many items share it
+    bad = hits.groupBy(*key).agg(F.sum("hits").alias("hits"), F.max("matched").alias("matched")).select(
+        F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), "hits", "matched")
+    items = _by_item(hits, members).groupBy(*key).agg(F.sort_array(F.collect_set("item_id")).alias("item_ids")).select(
+        F.col("doc_id").alias("_di"), F.col("text_hash").alias("_ti"), "item_ids")
+    b = bad.join(items, F.col("_d").eqNullSafe(F.col("_di")) & (F.col("_t") == F.col("_ti")))
     rows = docs.select("doc_id", F.xxhash64("text").alias("_h"))
     none = F.array().cast("array<bigint>")
     return (rows.join(b, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_t")), "left")

@@ -191,6 +191,23 @@ def test_decontamination_tolerates_substitutions(spark):
     assert spaced_seeds.decontaminate(spark.createDataFrame([], DOC), bench).count() == 0
 
 
+def test_every_item_that_shares_a_passage_is_reported(spark):
+    """Items with equal texts and items that share only some windows."""
+    words = ["s%d" % i for i in range(40)]
+    own = lambda k: " ".join("%s%d" % (k, i) for i in range(20))
+    bench = spark.createDataFrame([(1, " ".join(words[:20])), (2, " ".join(words[:20])), (3, " ".join(words[:20]) + " " + own("p")),
+                                   (4, own("q") + " " + " ".join(words[20:])), (5, own("r"))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a b " + " ".join(words[:20]) + " c"), (2, "d " + " ".join(words[20:])),
+                                  (3, "e " + own("q")), (None, "f " + " ".join(words)), (4, "nothing")], DOC)
+    rows = spaced_seeds.overlaps(docs, bench).collect()
+    found = defaultdict(set)
+    for r in rows:
+        found[r.doc_id].add(r.item_id)
+    assert found == {1: {1, 2, 3}, 2: {4}, 3: {4}, None: {1, 2, 3, 4}} and len(rows) == 9
+    by = {(r.doc_id, r.item_id): r for r in rows}
+    assert by[1, 1][3:] == by[1, 2][3:] and by[1, 1].first_token == 2 and by[1, 1].last_token == 22
+
+
 def test_decontamination_in_several_passes(spark, monkeypatch):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
