@@ -5,7 +5,9 @@ mask picks some of ``SPAN`` successive tokens; the picked ones are hashed, so a
 substitution at an ignored place does not hide a passage.  Every position of
 every text is hashed under every mask and joined with the benchmark's hashes.
 A hit is verified on the tokens around it: of the window of up to ``SPAN + 2 *
-AROUND`` aligned tokens, at least ``MATCH_PERCENT`` must be equal.
+AROUND`` aligned tokens, at least ``MATCH_PERCENT`` must be equal.  Items of
+fewer than ``SPAN`` tokens are hashed whole; positions are hashed under those of
+these lengths that occur, in the same join, and all tokens must be equal.
 
 The benchmark's hashes are broadcast in parts of at most ``BROADCAST_SEEDS``
 (a documented bound); a larger benchmark takes one pass over the documents for
@@ -14,8 +16,9 @@ and the same window are one seed, so a passage that many items share costs one
 match a document, not one for each item; a second table names all items of each
 window, and the verified (document, window) rows are joined with it.
 
-Defined cases: null and empty texts, and texts of fewer than ``SPAN`` tokens,
-match nothing, on either side; an empty benchmark leaves every document clean;
+Defined cases: null and empty texts match nothing, on either side; an item of
+one token matches every document that has it; an empty benchmark leaves every
+document clean;
 rows with a null doc_id are judged by their text like any other; repeated rows
 get the same verdict; extra columns are kept by ``decontaminate`` and not read.
 """
@@ -47,35 +50,53 @@ def tokens(text: Column) -> Column:
     return F.split(F.lower(text), _SEPARATORS)
 
 
-def _positions(words: str) -> Column:
+def _positions(words: str, span: int = SPAN) -> Column:
     n = F.size(words)
-    return F.explode(F.when(n >= SPAN, F.sequence(F.lit(0), n - SPAN)))
+    return F.explode(F.when(n >= span, F.sequence(F.lit(0), n - span)))
 
 
-def _hashes(words: str, at: str) -> Column:
-    """One hash for each mask at this position."""
-    return F.array(*[
-        F.xxhash64(F.lit(k), *[F.get(F.col(words), F.col(at) + o) for o in mask])
-        for k, mask in enumerate(MASKS)])
+def _hash(k: int, words: str, at: str, places) -> Column:
+    return F.xxhash64(F.lit(k), *[F.get(F.col(words), F.col(at) + o) for o in places])
+
+
+def _whole(words: str, at: str, length: int) -> Column:
+    """The hash of ``length`` successive tokens."""
+    return _hash(len(MASKS) + length, words, at, range(length))
+
+
+def _hashes(words: str, at: str, lengths: tuple[int, ...] = ()) -> Column:
+    """One hash for each mask, and each length of short items, at this position.
+    Beyond the text's end the hash misses tokens; what it may hit is verified."""
+    return F.array(*[_hash(k, words, at, mask) for k, mask in enumerate(MASKS)],
+                   *[_whole(words, at, length) for length in lengths])
 
 
 def seeds(benchmark: DataFrame, scratch: Scratch, item: str = "item_id", text: str = "text"
-          ) -> tuple[DataFrame, DataFrame]:
+          ) -> tuple[DataFrame, DataFrame, tuple[int, ...]]:
     """(hash, window tokens, place of the hit in the window, window id) and the
-    items of each window (window id, item), both written."""
+    items of each window (window id, item), both written; the lengths of the items
+    that have fewer than SPAN tokens, each of which is one window."""
     words = F.filter(tokens(F.col(text)), lambda w: w != "")
     at = F.greatest(F.col("_at") - AROUND, F.lit(0))
     n = F.least(F.size("_words"), F.col("_at") + SPAN + AROUND) - at
+    items = benchmark.select(F.col(item).alias("_item"), words.alias("_words"))
+    short = (items.where(F.size("_words").between(1, SPAN - 1))
+             .select("_item", F.col("_words").alias("_window"), F.lit(0).alias("_in")))
     each = scratch.write(
-        benchmark.select(F.col(item).alias("_item"), words.alias("_words"))
-        .select("_item", "_words", _positions("_words").alias("_at"))
+        items.select("_item", "_words", _positions("_words").alias("_at"))
         .select("_item", F.slice("_words", at + 1, n).alias("_window"), (F.col("_at") - at).alias("_in"))
-        .distinct(), "each")
+        .unionByName(short).distinct(), "each")
     windows = scratch.write(each.groupBy("_window", "_in").agg(F.countDistinct("_item").alias("_items"))
                             .withColumn("_id", F.monotonically_increasing_id()), "windows")
     members = scratch.write(each.join(windows, ["_window", "_in"]).select("_id", "_item"), "members")
-    known = windows.select(F.explode(_hashes("_window", "_in")).alias("_hash"), "_window", "_in", "_id", "_items")
-    return scratch.write(known, "seeds"), members
+    size = F.size("_window")
+    lengths = tuple(sorted(r[0] for r in windows.where(size < SPAN).select(size).distinct().collect()))
+    rest = ["_window", "_in", "_id", "_items"]
+    known = windows.where(size >= SPAN).select(F.explode(_hashes("_window", "_in")).alias("_hash"), *rest)
+    for length in lengths:
+        known = known.unionByName(windows.where(size == length).select(
+            _whole("_window", "_in", length).alias("_hash"), *rest))
+    return scratch.write(known, "seeds"), members, lengths
 
 
 def _matched(words: str) -> Column:
@@ -93,13 +114,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: st
     the items of each window."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "spaced-seeds")
-    known, members = seeds(benchmark, scratch)
+    known, members, lengths = seeds(benchmark, scratch)
     parts = max(1, -(-known.count() // BROADCAST_SEEDS))
     rows = docs.select(F.col(doc).alias("_doc"), F.xxhash64(F.col(text)).alias("_text_hash"),
                        tokens(F.col(text)).alias("_tokens"))
-    hashed = (rows.select("_doc", "_text_hash", "_tokens", _positions("_tokens").alias("_pos"))
+    hashed = (rows.select("_doc", "_text_hash", "_tokens", _positions("_tokens", min((SPAN, *lengths))).alias("_pos"))
               .select("_doc", "_text_hash", "_tokens", "_pos",
-                      F.explode(_hashes("_tokens", "_pos")).alias("_hash")))
+                      F.explode(_hashes("_tokens", "_pos", lengths)).alias("_hash")))
+    percent = F.when(F.col("_size") < SPAN, 100).otherwise(MATCH_PERCENT)
     found = []
     for k in range(parts):
         part = known.where(F.pmod("_hash", F.lit(parts)) == k) if parts > 1 else known
@@ -109,7 +131,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: st
                      .select("_doc", "_text_hash", "_id", "_items", "_pos", "_in",
                              F.size("_window").alias("_size"),
                              F.explode(F.array(_matched("_tokens"))).alias("_matched"))
-                     .where(F.col("_matched") * 100 >= F.col("_size") * MATCH_PERCENT)
+                     .where(F.col("_matched") * 100 >= F.col("_size") * percent)
                      .select("_doc", "_text_hash", "_id", "_items", "_matched", "_size",
                              (F.col("_pos") - F.col("_in")).alias("_first")))
     every = reduce(DataFrame.unionByName, found)

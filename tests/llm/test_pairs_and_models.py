@@ -208,6 +208,22 @@ def test_every_item_that_shares_a_passage_is_reported(spark):
     assert by[1, 1][3:] == by[1, 2][3:] and by[1, 1].first_token == 2 and by[1, 1].last_token == 22
 
 
+def test_short_items_are_found_whole(spark):
+    bench = spark.createDataFrame([(1, "What is the capital of Peru?"), (2, "Lima."), (3, "one two three four five six seven eight"),
+                                   (4, "what is the CAPITAL of peru"), (5, " ".join("t%d" % i for i in range(9)))],
+                                  "item_id long, text string")
+    rows = [(1, "x y what is the capital of Peru"), (2, "Lima"), (3, "one two three four five six seven"),
+            (4, "(one two three four five six seven eight)"), (5, "what is the capital of all Peru"), (6, "limas"), (7, None),
+            (8, ""), (9, "zero one two three four five six seven eight nine ten " + " ".join("t%d" % i for i in range(9))),
+            (10, "capital of peru, what is the")]
+    docs = spark.createDataFrame(rows, DOC)
+    found = defaultdict(set)
+    for r in spaced_seeds.overlaps(docs, bench).collect():
+        found[r.doc_id].add(r.item_id)
+    assert found == {1: {1, 4}, 2: {2}, 4: {3}, 9: {3, 5}}
+    assert sorted(r.doc_id for r in spaced_seeds.decontaminate(docs, bench).collect()) == [3, 5, 6, 7, 8, 10]
+
+
 def test_decontamination_in_several_passes(spark, monkeypatch):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
