@@ -5,10 +5,13 @@ long run of key characters is encoded with a tiktoken vocabulary: text that
 people write costs few tokens for its characters, a random string many.  A run
 with few characters per token is reported as ``random`` unless it is a known
 digest (hex of a digest's length, a UUID, a git-style ``sha256:`` value) or an
-identifier (words joined by case, ``_``, ``-`` or ``.``; a plain number).
+identifier (words joined by case, ``_``, ``-`` or ``.``; a plain number).  Words
+would dilute a random string in the same run, so of a run that passes as a whole
+the pieces between separators are tested too, and then sliding windows of what is
+left between words.
 
-Spans count code points, end exclusive.  Base spans always stay; a run that
-meets a base span is not reported again.
+Spans count code points, end exclusive.  Base spans always stay; of a run that
+meets a base span, what lies outside is tested on its own.
 
 Defined cases: a null text is an empty one; texts without finds give counts 0,
 an empty ``spans`` and the digest of the empty string; an empty table gives an
@@ -40,7 +43,8 @@ MIN_VALUE, MIN_ACCESS = 12, 18
 
 #: Runs the token test looks at, and the most characters per token of a random
 #: one.  Prose has 3 to 5 characters a token, random base64 under 2.
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+MIN_RUN = 20
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
 MAX_CHARS_PER_TOKEN = 2.0
 DIGEST_LENGTHS = frozenset({32, 40, 48, 56, 64, 96, 128})
 _HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
@@ -48,6 +52,16 @@ _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 #: One word of an identifier: letters with a vowel, or a short number.
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _WORD = re.compile(r"[A-Za-z]*[aeiouyAEIOUY][A-Za-z]*|[0-9]{1,4}")
+#: Letters that no word has: five consonants in succession, or too many.
+_NO_WORD = re.compile(r"[b-df-hj-np-tv-xzB-DF-HJ-NP-TV-XZ]{5}|[A-Za-z]{20}")
+_PIECE = re.compile(r"[^/_=-]+")
+_UUID_INSIDE = re.compile(rf"(?<![0-9A-Za-z]){_UUID.pattern}(?![0-9A-Za-z])")
+#: A sliding window has at most so many separators and at least so many letters
+#: (dates and version numbers have few characters a token, too); a piece of so
+#: many characters that is known parts what windows slide over.
+MAX_SEPARATORS, MIN_LETTERS, MIN_KNOWN_PIECE = 2, 4, 5
+#: For windows of letters of one case: rare compounds come near 2 in places.
+MAX_ONE_CASE = 1.6
 
 SCHEMA = ("n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, "
           "spans string, found array<struct<kind:string,start:int,end:int>>")
@@ -60,12 +74,14 @@ def known(run: str) -> bool:
     body = run.strip("=_-/+")
     if not body or body.isdigit() or len(set(body)) <= 4:
         return True
-    if not (any(c.isdigit() for c in body) and any(c.isalpha() for c in body)):
-        return True  # words only, or digits and signs only
+    if not any(c.isalpha() for c in body):
+        return True  # digits and signs only
+    if sum(ord(d) - ord(c) == 1 for c, d in zip(body, body[1:])) * 5 >= len(body) * 4:
+        return True  # an alphabet
     if "+" in body or "=" in run:
         return False
     parts = [p for x in re.split(r"[_/-]", body) for p in _PART.findall(x)]
-    return all(_WORD.fullmatch(p) for p in parts) and len(body) >= 4 * len(parts)
+    return (all(_WORD.fullmatch(p) and not _NO_WORD.search(p) for p in parts) and len(body) >= 4 * len(parts))
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -77,14 +93,57 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return sorted(found, key=lambda f: (f[0], KINDS.index(f[1])))
 
 
+def _outside(a: int, b: int, spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of a..b of at least MIN_RUN that no span meets."""
+    for x, y in [*sorted(s for s in spans if s[0] < b and a < s[1]), (b, b)]:
+        if x - a >= MIN_RUN:
+            yield a, x
+        a = max(a, y)
+
+
+def _dense(run: str, encode, most: float = MAX_CHARS_PER_TOKEN) -> bool:
+    return len(run) <= most * len(encode(run)) and not known(run)
+
+
+def _windows(run: str, encode) -> list[tuple[int, int]]:
+    """Unions of the random windows of MIN_RUN characters."""
+    out: list[tuple[int, int]] = []
+    for a in range(len(run) - MIN_RUN + 1):
+        window = run[a:a + MIN_RUN]
+        one_case = not any(c.isdigit() for c in window) and (window[1:].islower() or window.isupper())
+        if (sum(c in "/_=-" for c in window) <= MAX_SEPARATORS and sum(c.isalpha() for c in window) >= MIN_LETTERS
+                and _dense(window, encode, MAX_ONE_CASE if one_case else MAX_CHARS_PER_TOKEN)):
+            if out and a <= out[-1][1]:
+                out[-1] = out[-1][0], a + MIN_RUN
+            else:
+                out.append((a, a + MIN_RUN))
+    return out
+
+
+def random_parts(run: str, encode) -> list[tuple[int, int]]:
+    """The random spans of a run: the whole, else its pieces and windows."""
+    if known(run):
+        return []
+    if _dense(run, encode):
+        return [(0, len(run))]
+    uuids = [m.span() for m in _UUID_INSIDE.finditer(run)]
+    found, words = [], []
+    for a, b in _outside(0, len(run), uuids):
+        for m in _PIECE.finditer(run, a, b):
+            if m.end() - m.start() >= MIN_RUN and _dense(m.group(), encode):
+                found.append(m.span())
+            elif m.end() - m.start() >= MIN_KNOWN_PIECE and known(m.group()):
+                words.append(m.span())
+    for a, b in _outside(0, len(run), uuids + found + words):
+        found += [(a + x, a + y) for x, y in _windows(run[a:b], encode)]
+    return sorted(found)
+
+
 def random_spans(text: str, base: list, encode) -> list[tuple[int, str, int]]:
-    out = []
+    out, spans = [], [(s, e) for s, _, e in base]
     for m in RUN.finditer(text):
-        a, b = m.span()
-        if any(s < b and a < e for s, _, e in base) or known(m.group()):
-            continue
-        if b - a <= MAX_CHARS_PER_TOKEN * len(encode(m.group())):
-            out.append((a, "random", b))
+        for a, b in _outside(*m.span(), spans):
+            out += [(a + x, "random", a + y) for x, y in random_parts(text[a:b], encode)]
     return out
 
 

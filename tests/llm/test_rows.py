@@ -84,6 +84,32 @@ def test_random_strings_and_exclusions():
     assert token_efficiency.masked(None, encode) is None
 
 
+def test_random_strings_inside_runs():
+    """Keys beside words in one run, without digits, and beside base spans."""
+    import random
+    import string
+    encode = token_efficiency.encoder()
+    rng = random.Random(7)
+    base62 = string.ascii_letters + string.digits
+    def lost(before, n, letters=base62, after=""):
+        count = 0
+        for _ in range(200):
+            key = "".join(rng.choices(letters, k=n))
+            count += key[2:-2] in token_efficiency.masked(f"see {before}{key}{after} here", encode)
+        return count
+    for before, n in (("/home/service/config/production/database/credentials/", 24), ("customer_production_account_", 24),
+                      ("/home/service/config/production/database/credentials/", 40), ("internationalcustomerservice", 32),
+                      ("/services/webhooks/incoming/production/", 32), ("", 24), ("deadbeefdeadbeef/", 24),
+                      ("/users/550e8400-e29b-41d4-a716-446655440000/settings/", 24)):
+        assert lost(before, n) == 0, before
+    assert lost("/services/webhooks/incoming/", 24, after="/production/settings/documents") == 0
+    assert lost("", 32, string.ascii_letters) == 0 and lost("", 32, string.ascii_lowercase) <= 4
+    for clean in ("the/quick/brown-fox_jumps/over_the_lazy_dog", "/wp-content/uploads/2019/03/summer-holiday-pictures",
+                  "Donaudampfschifffahrtsgesellschaft", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "HTTPSConnectionPoolRequestHandler",
+                  "/users/550e8400-e29b-41d4-a716-446655440000/profile/settings", "release-2023-01-15-production-build"):
+        assert token_efficiency.scan(clean, encode)[3] == 0, clean
+
+
 def test_secret_edges(spark):
     rows = token_efficiency.scan_secrets(edges(spark)).collect()
     assert len(rows) == len(EDGES)
