@@ -264,6 +264,28 @@ def test_license_cosine_against_hand(spark):
             assert line not in got
 
 
+def test_real_licence_texts_headers_and_spdx(spark):
+    texts = {r.license: r.text for r in license_tfidf.full_texts(spark).collect()}
+    mit = texts["MIT"].replace(texts["MIT"].split("\n")[2], "Copyright (c) 2019-2021 Some Other Holder, Inc.")
+    gnu = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU {0}General "
+           "Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n"
+           "# (at your option) any later version.\nimport os")
+    files = [("m/LICENSE", mit), ("m/src/a.py", "x = 1"), ("p/LICENSE.txt", texts["Apache-2.0"][:4000]), ("p/b.py", "y"),
+             ("n/COPYING", "All rights of the owner are reserved. No part of this work may be copied, sold or lent."),
+             ("n/c.py", "z"), ("s/1.c", "// SPDX-License-Identifier: MIT\nint x;"), ("s/2.c", "# SPDX-License-Identifier: GPL-3.0-or-later"),
+             ("t/3.c", "/* SPDX-License-Identifier: (Apache-2.0 OR MIT) */\nint y;"), ("t/4.c", "// SPDX-License-Identifier: Zlib\nint z;"),
+             ("t/5.py", gnu.format("")), ("t/6.py", gnu.format("Lesser "))]
+    files += [(f"full/{k}/LICENSE", t) for k, t in texts.items()]
+    got = {r.path: (r.license, r.via) for r in license_tfidf.license_scan(
+        spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got["m/LICENSE"] == ("MIT", "header") and got["m/src/a.py"] == ("MIT", "inherited")
+    assert got["p/LICENSE.txt"] == ("Apache-2.0", "header") and got["p/b.py"] == ("Apache-2.0", "inherited")
+    assert got["n/COPYING"] == got["n/c.py"] == got["t/4.c"] == (None, None)
+    assert [got[k][0] for k in ("s/1.c", "s/2.c", "t/3.c", "t/5.py", "t/6.py")] == [
+        "MIT", "GPL-3.0", "Apache-2.0", "GPL-3.0", "LGPL-3.0"]
+    assert all(got[f"full/{k}/LICENSE"][0] == k for k in texts)
+
+
 def test_license_query(spark):
     rows = QUERIES["op3_license_tfidf"](spark, SMALL).collect()
     texts = docs_of(spark)
