@@ -1,20 +1,23 @@
-"""Every registered query against its DuckDB oracle on the sf0.001 tables:
+"""Every query of the catalog against its DuckDB oracle on the sf0.001 tables:
 same column names, same row count, same multiset of rounded values."""
 
 import pytest
 
 import __spark_entry__ as entry
+from shelfline.plans.catalog import ORACLE, QUERIES
 from tests.conftest import SMALL
 from tools.check import rows_of
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-
 
 def test_every_query_has_an_oracle():
     assert sorted(QUERIES) == sorted(ORACLE)
 
 
+def test_entry_registers_the_whole_catalog():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_matches_oracle(spark, duck, key):
     df = QUERIES[key](spark, SMALL)

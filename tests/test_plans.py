@@ -5,12 +5,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from shelfline.plans.catalog import QUERIES
 from shelfline.sources import views as V
 from tests.conftest import SMALL
 
-QUERIES = entry.queries()
-
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
