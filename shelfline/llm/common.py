@@ -75,3 +75,12 @@ def words_of(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8 bytes (``bytes.split`` splits on
     exactly those six characters)."""
     return (text or "").encode("utf-8", "surrogatepass").split()
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of a text's UTF-8 bytes (null: null):
+    bit by bit with the reversed polynomial 0xEDB88320."""
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return (f"xor(list_reduce(list_transform(range(1, 2 * strlen({text}), 2), lambda k: "
+            f"('0x' || substr(hex(encode({text})), k, 2))::BIGINT), "
+            f"lambda a, b: list_reduce(range(8), lambda c, i: {step}, xor(a, b)), 4294967295::BIGINT), 4294967295)")

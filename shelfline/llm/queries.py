@@ -4,7 +4,7 @@ of it is ``QUERIES`` and ``ORACLE``."""
 from __future__ import annotations
 
 from shelfline.llm import (compression_bands, crf, cutting_stock, digest_array, external_shuffle,
-                           license_tfidf, nbsvm, ngram_join, spaced_seeds, token_efficiency)
+                           heavy_hitters, license_tfidf, merkle, nbsvm, ngram_join, spaced_seeds, token_efficiency)
 
 QUERIES = {f.__name__: f for f in (
     cutting_stock.op1_cutting_stock,
@@ -17,6 +17,9 @@ QUERIES = {f.__name__: f for f in (
     external_shuffle.op8_external_shuffle,
     digest_array.op9_digest_array,
     ngram_join.op10_ngram_join,
+    merkle.op11_merkle,
+    heavy_hitters.op12_heavy_hitters,
 )}
 
-ORACLE: dict[str, str] = {"op9_digest_array": digest_array.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op9_digest_array": digest_array.ORACLE_SQL, "op11_merkle": merkle.ORACLE_SQL,
+                          "op12_heavy_hitters": heavy_hitters.ORACLE_SQL}
