@@ -3,8 +3,8 @@ of it is ``QUERIES`` and ``ORACLE``."""
 
 from __future__ import annotations
 
-from shelfline.llm import (compression_bands, crf, cutting_stock, digest_array, external_shuffle,
-                           heavy_hitters, license_tfidf, merkle, nbsvm, ngram_join, spaced_seeds, token_efficiency)
+from shelfline.llm import (compression_bands, conversation_repair, crf, cutting_stock, digest_array,
+                           external_shuffle, heavy_hitters, license_tfidf, merkle, nbsvm, ngram_join, spaced_seeds, token_efficiency)
 
 QUERIES = {f.__name__: f for f in (
     cutting_stock.op1_cutting_stock,
@@ -19,6 +19,7 @@ QUERIES = {f.__name__: f for f in (
     ngram_join.op10_ngram_join,
     merkle.op11_merkle,
     heavy_hitters.op12_heavy_hitters,
+    conversation_repair.op13_conversation_repair,
 )}
 
 ORACLE: dict[str, str] = {"op9_digest_array": digest_array.ORACLE_SQL, "op11_merkle": merkle.ORACLE_SQL,
