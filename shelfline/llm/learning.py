@@ -10,20 +10,18 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.common import fold_of
 
-#: Training texts longer than this are left out of the sample (scoring reads
-#: texts of any length whole).
-MAX_TRAIN_CHARS = 200_000
-
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, most: int) -> DataFrame:
-    """At most ``most`` labelled rows (doc_id, y) outside the held-out fold, the
-    first in the order of a hash of the id, with the texts of those documents.
-    The ids are a table of at most ``most`` rows, so it is broadcast."""
+    """At most ``most`` labelled rows (doc_id, y, text) outside the held-out fold,
+    the first in the order of a hash of the id; texts are whole.  The ids are a
+    table of at most ``most`` rows, so it is broadcast.  Of several rows of one
+    doc_id the least text counts, so repeated rows do not add to the sample; an id
+    without a document adds nothing."""
     ids = (labels.where(F.col(target).isin(0, 1) & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id")) != 0))
            .groupBy("doc_id").agg(F.max(target).cast("int").alias("y"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     return (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-            .where(F.coalesce(F.length("text"), F.lit(0)) <= MAX_TRAIN_CHARS))
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")))
 
 
 def sigmoid(x):

@@ -1,5 +1,6 @@
 """Pair operators (Jaccard join, decontamination), trained operators, pipeline."""
 
+import hashlib
 import random
 import zlib
 from collections import defaultdict
@@ -357,3 +358,34 @@ def test_pipeline_edges(spark, tmp_path):
         # ids 5, 5, 6 are one text: one row stays
         assert len({(r.doc_id, r.start) for r in got}) == len(got)
         assert {r.doc_id for r in got} == ({1, 2, 3, None, 4, 5, 7, 8} if content else set())
+
+
+@pytest.mark.parametrize("broadcast", [0, 1_000_000])
+def test_pipeline_keeps_unlinked_texts_of_one_id(spark, monkeypatch, broadcast):
+    """Rows of one doc_id stay apart where their texts do not link, whichever way
+    the ids are joined; equal rows are one."""
+    monkeypatch.setattr(ngram_join, "BROADCAST_IDS", broadcast)
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(5, text(1)), (5, text(2)), (5, text(2)), (3, text(1)), (9, text(2) + " more"), (8, text(3)), (None, text(3)),
+            (6, None), (6, ""), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("rep", F.lit("clash"))
+    got = pipeline.near_duplicates(spark, docs, None)
+    assert got.columns == docs.columns
+    first = min(text(1), text(2), key=lambda t: hashlib.sha256(t.encode()).digest())    # the text that goes by id 5
+    second = (5, text(2)) if first == text(2) else (9, text(2) + " more")
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(
+        [(3, text(1)), (8, text(3)), second, (None, text(3)), (6, None)], key=repr)
+
+
+def test_the_sample_is_bounded_in_rows(spark):
+    """One labelled id on very many rows adds one row; long texts are whole."""
+    from shelfline.llm.common import fold_of
+    from shelfline.llm.learning import labelled_sample
+    ids = [r.id for r in spark.range(60).where(fold_of(F.col("id")) != 0).collect()]
+    docs = spark.range(3000).select(F.lit(ids[0]).alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 3).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(i, "x" * 500_000) for i in ids[1:]], docs.schema))
+    marks = spark.createDataFrame([(i, 1, 0) for i in ids] * 2, "doc_id long, quality int, toxic int")
+    for most in (1, 20, 1000):
+        got = labelled_sample(docs, marks, "quality", most).collect()
+        assert len(got) == min(most, len(ids)) == len({r.doc_id for r in got})
+    assert {len(r.text) for r in got} == {2, 500_000}
