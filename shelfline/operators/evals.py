@@ -37,50 +37,58 @@ def eval_pass_rates(assess: DataFrame) -> DataFrame:
 
 
 def eval_by_trace(assess: DataFrame) -> DataFrame:
-    """One row per trace with the verdicts of all its scorers, whatever
-    they are called, as a JSON object with the names in order.  Of several
-    verdicts of one scorer the last in sort order counts."""
-    v = verdict_normalize(assess).groupBy("trace_id", "name").agg(F.max("verdict").alias("verdict"))
-    pairs = F.sort_array(F.collect_list(F.struct("name", "verdict")))
-    return (v.filter(F.col("name").isNotNull()).groupBy("trace_id")
-            .agg(F.count(F.lit(1)).alias("n_scorers"), F.to_json(F.map_from_entries(pairs)).alias("verdicts")))
-
-
-def normalized_answers(answers: DataFrame) -> DataFrame:
-    """``(doc_id, at)``: answer text as space-delimited lower-case terms."""
-    return answers.select("doc_id", C.terms_text("text").alias("at"))
-
-
-def fact_coverage(facts: DataFrame, answers: DataFrame, index: DataFrame | None = None,
-                  norm: DataFrame | None = None) -> DataFrame:
+    """One row per trace with the values of all its scorers, whatever they are
+    called, trimmed and in lower case, as a JSON object with the names in order.  Of
+    several values of one scorer the last (by ``seq``) counts; a value that is null
+    does not."""
+    said = assess.filter(F.col("value").isNotNull() & F.col("name").isNotNull()).select(
+        "trace_id", "name", "seq", F.lower(F.trim(F.col("value").cast("string"))).alias("value"))
+    last = said.groupBy("trace_id", "name").agg(F.max(F.struct("seq", "value"))["value"].alias("value"))
+    pairs = F.sort_array(F.collect_list(F.struct("name", "value")))
+    return last.groupBy("trace_id").agg(F.count(F.lit(1)).alias("n_scorers"),
+                                        F.to_json(F.map_from_entries(pairs)).alias("scores"))
+
+
+def phrase_hits(phrases: DataFrame, positions: DataFrame) -> DataFrame:
+    """Distinct ``(item_id, doc_id)`` where a document holds the phrase's terms at
+    consecutive places.  ``phrases``: (item_id, terms), without empty ones;
+    ``positions``: a ``text.term_positions`` of the documents.
+
+    A phrase is looked up by its rarest pair of adjacent terms.  Where that pair
+    occurs fixes where the phrase would begin; its other pairs (every second one and
+    the last, which cover all its terms) must then occur at their places, an
+    equi-join on document, place and both terms.  No text is read."""
+    sized = phrases.withColumn("n", F.size("terms"))
+    pairs = sized.where("n > 1").select("item_id", "n", F.inline(F.transform(
+        F.slice("terms", 1, F.col("n") - 1),
+        lambda t, i: F.struct(i.cast("long").alias("off"), t.alias("term"), F.get("terms", i + 1).alias("following")))))
+    asked = positions.join(pairs.select("term", "following").distinct(), ["term", "following"], "left_semi")
+    df = asked.groupBy("term", "following").agg(F.count(F.lit(1)).alias("df"))
+    anchor = (pairs.join(df, ["term", "following"]).groupBy("item_id")
+              .agg(F.min(F.struct("df", "off", "term", "following")).alias("a")).select("item_id", "a.*"))
+    begins = (anchor.join(asked, ["term", "following"])
+              .select("item_id", "doc_id", (F.col("pos") - F.col("off")).alias("start")).where("start >= 0"))
+    needed = pairs.where("off % 2 = 0 or off = n - 2").select("item_id", "off", "term", "following")
+    counted = needed.groupBy("item_id").agg(F.count(F.lit(1)).alias("k"))
+    found = (begins.join(needed, "item_id").withColumn("pos", F.col("start") + F.col("off"))
+             .join(asked.select("doc_id", "pos", "term", "following").distinct(), ["doc_id", "pos", "term", "following"])
+             .groupBy("item_id", "doc_id", "start").agg(F.count(F.lit(1)).alias("got"))
+             .join(counted, "item_id").where("got = k").select("item_id", "doc_id"))
+    single = sized.where("n = 1").select("item_id", F.element_at("terms", 1).alias("term"))
+    return found.unionByName(single.join(positions, "term").select("item_id", "doc_id")).distinct()
+
+
+def fact_coverage(facts: DataFrame, answers: DataFrame, positions: DataFrame | None = None) -> DataFrame:
     """Share of expected facts whose text occurs (word-aligned, case- and
-    punctuation-insensitive) in each answer.  A deterministic stand-in for
-    an LLM correctness judge; its numbers are not comparable to one.
-
-    Candidate (fact, answer) pairs come from an equi-join on each fact's
-    rarest term (an answer containing the fact must contain that term), and
-    every candidate is then verified by substring test — exact, with no
-    all-pairs product.  ``index`` (a ``text.term_index`` of the answers) and
-    ``norm`` (``normalized_answers``) may be prebuilt tables."""
-    from shelfline.operators.text import term_index
-    a = norm if norm is not None else normalized_answers(answers)
-    idx = index if index is not None else term_index(answers, "text")
-    f = (facts.select(F.col("item_id"), C.terms_text("text").alias("ft"))
-         .filter(F.trim("ft") != ""))
-    f_terms = f.select("item_id", F.explode(F.split(F.trim("ft"), " ")).alias("term")).distinct()
-    vocab = f_terms.select("term").distinct()
-    a_terms = idx.select("doc_id", "term").join(vocab, "term", "left_semi")
-    df = a_terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    anchor = (f_terms.join(df, "term", "left")
-              .groupBy("item_id")
-              .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term")).alias("m"))
-              .select("item_id", F.col("m.term").alias("term")))
-    cand = anchor.join(a_terms, "term").select("item_id", "doc_id")
-    hits = (cand.join(f, "item_id").join(a, "doc_id")
-            .filter(F.instr("at", F.col("ft")) > 0)
-            .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_facts_found")))
+    punctuation-insensitive) in each answer.  A deterministic stand-in for an LLM
+    correctness judge; its numbers are not comparable to one.  ``positions`` (a
+    ``text.term_positions`` of the answers' text) may be a prebuilt table."""
+    from shelfline.operators.text import term_positions
+    index = positions if positions is not None else term_positions(answers, "text")
+    f = (facts.select("item_id", F.filter(C.terms("text"), lambda t: t != "").alias("terms"))
+         .where(F.size("terms") > 0))
+    hits = phrase_hits(f, index).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_facts_found"))
     total = f.select(F.count(F.lit(1))).scalar()
-    return (a.select("doc_id").join(hits, "doc_id", "left")
-            .select("doc_id", F.coalesce("n_facts_found", F.lit(0).cast("long"))
-                    .alias("n_facts_found"))
+    return (answers.select("doc_id").join(hits, "doc_id", "left")
+            .select("doc_id", F.coalesce("n_facts_found", F.lit(0).cast("long")).alias("n_facts_found"))
             .withColumn("coverage", C.safe_ratio("n_facts_found", total, 6)))

@@ -60,10 +60,12 @@ def negative_roi_promos(promos: DataFrame, products: DataFrame, retailers: DataF
         "promoted_units", "product_name", "retailer_name", "promo_type",
         C.as_double("discount_depth_pct").alias("discount_depth_pct"),
         C.money_out("promo_spend").alias("promo_spend"),
-        C.as_double("lift_pct").alias("lift_pct"), C.as_double("roi").alias("roi"))
+        C.as_double("lift_pct").alias("lift_pct"), C.as_double("roi").alias("roi")).orderBy(*WORST_FIRST)
+
+
+WORST_FIRST = ("roi", "order_key", "line_number", "product_id", "retailer_id", "start_date", "promoted_units", "promo_spend")
 
 
 def worst_promos(neg: DataFrame, k: int = 5) -> DataFrame:
     """The k worst of ``negative_roi_promos`` (full-key tie-break)."""
-    return neg.orderBy("roi", "order_key", "line_number", "product_id", "retailer_id",
-                       "start_date", "promoted_units", "promo_spend").limit(k)
+    return neg.orderBy(*WORST_FIRST).limit(k)

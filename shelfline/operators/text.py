@@ -53,6 +53,16 @@ def term_index(docs: DataFrame, text_col: str = "content", id_col: str = "doc_id
             .agg(F.count(F.lit(1)).alias("tf")))
 
 
+def term_positions(docs: DataFrame, text_col: str = "content", id_col: str = "doc_id") -> DataFrame:
+    """Positional index ``(doc_id, pos, term, following)`` over whole texts: every
+    term occurrence with its place and the term after it (null at the end).  Row by
+    row, without a shuffle."""
+    terms = F.filter(C.terms(text_col), lambda t: t != "")
+    placed = F.transform(terms, lambda t, i: F.struct(
+        i.cast("long").alias("pos"), t.alias("term"), F.get(terms, i + 1).alias("following")))
+    return docs.select(F.col(id_col), F.inline(placed))
+
+
 #: Distinct terms of one query that become literals.
 PUSHED_TERMS = 1000
 

@@ -4,11 +4,12 @@ latest traces (G5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.session import checkpoint_dir
 
+
 def span_depth(spans: DataFrame) -> DataFrame:
     """Depth of every span = number of existing ancestors above it.
 
@@ -45,15 +46,56 @@ def span_depth(spans: DataFrame) -> DataFrame:
                       F.when(F.col("ptr").isNull(), F.col("depth")).cast("int").alias("depth"))
 
 
-def trace_tree(spans: DataFrame, depths: DataFrame) -> DataFrame:
-    """One indented line per span plus the trace's span count.  Lines
-    stay rows (ordered by span id) rather than one collected list, so a huge
+def tree_order(spans: DataFrame, depths: DataFrame) -> DataFrame:
+    """``(trace_id, span_id, ord)``: each span's place (from 0) when the trees of its
+    trace are walked depth first, children and roots by span id.
+
+    The walk as a linked list (Euler tour): a span is entered, then its first child or
+    its own leaving follows; after a span is left comes its next sibling or its
+    parent's leaving.  The list is ranked by pointer doubling: each round adds up the
+    entered spans ahead and doubles the pointers, so a walk of n steps takes about
+    log2(n) equi-joins, whatever the tree's shape, and no trace is gathered.  Spans on or
+    below a cycle (null depth) have no place."""
+    checkpoint_dir(spans.sparkSession)
+    tree = (spans.select("trace_id", "span_id", "parent_id").join(depths.where("depth is not null"), ["trace_id", "span_id"])
+            .withColumn("up", F.when(F.col("depth") > 0, F.col("parent_id"))))
+    siblings = Window.partitionBy("trace_id", "up").orderBy("span_id")
+    first = tree.where("up is not null").groupBy("trace_id", "up").agg(F.min("span_id").alias("child"))
+    linked = (tree.withColumn("next", F.lead("span_id").over(siblings)).alias("s")
+              .join(first.select("trace_id", F.col("up").alias("span_id"), "child"), ["trace_id", "span_id"], "left"))
+
+    def step(span, leaving) -> F.Column:
+        return F.struct(span.alias("span"), F.lit(leaving).alias("leaving"))
+
+    into = F.when(F.col("child").isNotNull(), step(F.col("child"), False)).otherwise(step(F.col("span_id"), True))
+    out = F.when(F.col("next").isNotNull(), step(F.col("next"), False)).when(F.col("up").isNotNull(), step(F.col("up"), True))
+    cur = linked.select("trace_id", F.inline(F.array(
+        F.struct(step(F.col("span_id"), False).alias("at"), into.alias("ptr"), F.lit(1).cast("long").alias("ahead")),
+        F.struct(step(F.col("span_id"), True).alias("at"), out.alias("ptr"), F.lit(0).cast("long").alias("ahead")))))
+    while True:
+        cur = cur.checkpoint(eager=True)
+        if cur.where("ptr is not null").isEmpty():
+            break
+        a, b = cur.alias("a"), cur.alias("b")
+        cur = (a.join(b, (F.col("a.trace_id") == F.col("b.trace_id")) & (F.col("a.ptr") == F.col("b.at")), "left")
+               .select("a.trace_id", "a.at", F.col("b.ptr").alias("ptr"),
+                       (F.col("a.ahead") + F.coalesce("b.ahead", F.lit(0))).alias("ahead")))
+    spans_of = cur.where("not at.leaving").groupBy("trace_id").agg(F.max("ahead").alias("all"))
+    return (cur.where("not at.leaving").join(spans_of, "trace_id")
+            .select("trace_id", F.col("at.span").alias("span_id"), (F.col("all") - F.col("ahead")).alias("ord")))
+
+
+def trace_tree(spans: DataFrame, depths: DataFrame, order: DataFrame | None = None) -> DataFrame:
+    """One indented line per span with its place in the printed tree (``ord``), plus
+    the trace's span count.  Lines stay rows rather than one collected list, so a huge
     trace is never gathered into a single value."""
+    order = order if order is not None else tree_order(spans, depths)
     counts = spans.groupBy("trace_id").agg(F.count(F.lit(1)).alias("num_spans"))
-    j = spans.join(depths, ["trace_id", "span_id"]).join(counts, "trace_id")
+    j = (spans.join(depths, ["trace_id", "span_id"]).join(order, ["trace_id", "span_id"], "left")
+         .join(counts, "trace_id"))
     line = F.concat(F.expr("repeat('  ', depth)"), F.lit("- "), F.col("name"), F.lit(" ["),
                     F.col("span_type"), F.lit("]"))
-    return j.select("trace_id", "span_id", "depth", "num_spans", line.alias("line"))
+    return j.select("trace_id", "span_id", "ord", "depth", "num_spans", line.alias("line"))
 
 
 def sessions_with_turns(chat: DataFrame) -> DataFrame:

@@ -111,16 +111,18 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT conv_id AS session_id, turn, role, text AS content FROM conversations"""),
     "v_spans": ((), """
         SELECT conv_id AS trace_id, turn AS span_id,
-               CASE WHEN turn > 0 THEN turn - 1 END AS parent_id,
+               CASE WHEN turn > 0 THEN (turn - 1) // 2 END AS parent_id,
                role AS name, 'CHAT_TURN' AS span_type
         FROM conversations"""),
     "v_assessments": ((), """
-        SELECT doc_id AS trace_id, 'quality' AS name, CAST(quality AS VARCHAR) AS value FROM labels
+        SELECT doc_id AS trace_id, 0 AS seq, 'quality' AS name, CAST(quality AS VARCHAR) AS value FROM labels
         UNION ALL
-        SELECT doc_id AS trace_id, 'toxic' AS name, CAST(toxic AS VARCHAR) AS value FROM labels
+        SELECT doc_id AS trace_id, 1, 'toxic' AS name, CAST(toxic AS VARCHAR) AS value FROM labels
         UNION ALL
-        SELECT doc_id AS trace_id, 'usable' AS name,
-               CASE WHEN quality = 1 AND toxic = 0 THEN 'Yes' ELSE ' no ' END AS value FROM labels"""),
+        SELECT doc_id AS trace_id, 2, 'usable' AS name,
+               CASE WHEN quality = 1 AND toxic = 0 THEN 'Yes' ELSE ' no ' END AS value FROM labels
+        UNION ALL
+        SELECT doc_id AS trace_id, 3, 'usable', CASE WHEN toxic = 1 THEN 'Blocked' END FROM labels"""),
     "v_deltas": ((), f"""
         SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS item_id,
                CAST(pos - 1 AS BIGINT) AS seq, 'output_text.delta' AS type, w AS text

@@ -137,12 +137,25 @@ def _dashboard_payload(spark, sf):
     return dashboard.dashboard_payload(spark, sf)
 
 
+def _series_sql(tile: str, values: str = "values", kind: str = "DECIMAL(38,0)") -> str:
+    labels = "string_agg(CAST(to_json(label) AS VARCHAR), ',' ORDER BY ord)"
+    numbers = f"string_agg(CAST(CAST(value AS {kind}) AS VARCHAR), ',' ORDER BY ord)"
+    return (f"(SELECT '{{\"labels\":[' || coalesce({labels}, '') || '],\"{values}\":[' || coalesce({numbers}, '') || ']' "
+            f"FROM p WHERE tile = '{tile}')")
+
+
 @register("dashboard_json", f"""
-    SELECT '{{' || string_agg('"' || tile || '":{{"labels":[' || labels || '],"values":[' || vals || ']}}', ','
-                             ORDER BY tile) || '}}' AS payload
-    FROM (SELECT tile, string_agg('"' || label || '"', ',' ORDER BY ord) AS labels,
-                 string_agg('"' || printf('%.3f', value) || '"', ',' ORDER BY ord) AS vals
-          FROM ({ORACLE["dashboard_payload"]}) p GROUP BY tile) t""")
+    WITH p AS MATERIALIZED ({ORACLE["dashboard_payload"]}),
+    k AS ({ORACLE["kpi_cards"]})
+    SELECT '{{"kpis":[' || (SELECT string_agg('{{"label":' || CAST(to_json(label) AS VARCHAR) || ',"value":'
+                            || CAST(to_json(value) AS VARCHAR) || '}}', ',' ORDER BY ord) FROM k) || '],'
+           || '"revenue_trend":' || {_series_sql("revenue_trend")} || '}},'
+           || '"roi_by_type":' || {_series_sql("roi_by_type", "avg_roi", "DECIMAL(18,3)")} || ',"counts":['
+           || (SELECT coalesce(string_agg(CAST(CAST(value AS BIGINT) AS VARCHAR), ',' ORDER BY ord), '') FROM p
+               WHERE tile = 'roi_counts') || ']}},'
+           || '"sales_by_category":' || {_series_sql("sales_by_category")} || '}},'
+           || '"top_retailers":' || {_series_sql("top_retailers")} || '}},'
+           || '"share_by_brand":' || {_series_sql("share_by_brand", kind="DECIMAL(18,2)")} || '}}}}' AS payload""")
 def _dashboard_json(spark, sf):
     return dashboard.dashboard_json(dashboard.dashboard_payload(spark, sf))
 
@@ -738,10 +751,17 @@ def _span_depth(spark, sf):
 
 @register("trace_tree", sql(f"""
     WITH RECURSIVE {_DEPTH_SQL},
-    cnt AS (SELECT trace_id, COUNT(*) AS num_spans FROM v_spans GROUP BY 1)
-    SELECT s.trace_id, s.span_id, d.depth, c.num_spans,
+    cnt AS (SELECT trace_id, COUNT(*) AS num_spans FROM v_spans GROUP BY 1),
+    way AS (SELECT trace_id, span_id, [span_id] AS path FROM v_spans s WHERE NOT EXISTS (
+                SELECT 1 FROM v_spans p WHERE p.trace_id = s.trace_id AND p.span_id = s.parent_id)
+            UNION ALL
+            SELECT s.trace_id, s.span_id, list_append(w.path, s.span_id)
+            FROM way w JOIN v_spans s ON s.trace_id = w.trace_id AND s.parent_id = w.span_id),
+    ord AS (SELECT trace_id, span_id, row_number() OVER (PARTITION BY trace_id ORDER BY path) - 1 AS ord FROM way)
+    SELECT s.trace_id, s.span_id, o.ord, d.depth, c.num_spans,
            repeat('  ', d.depth) || '- ' || s.name || ' [' || s.span_type || ']' AS line
     FROM v_spans s JOIN dep d ON s.trace_id = d.trace_id AND s.span_id = d.span_id
+                   JOIN ord o ON s.trace_id = o.trace_id AND s.span_id = o.span_id
                    JOIN cnt c ON s.trace_id = c.trace_id""", "v_spans"))
 def _trace_tree(spark, sf):
     s = V.spans(spark, sf)
@@ -766,7 +786,7 @@ def _assistant_messages(spark, sf):
     SELECT session_id, MAX(turn) AS turn, arg_max(content, turn) AS content
     FROM v_chat WHERE role = 'assistant' GROUP BY session_id""", "v_chat"))
 def _last_assistant_message(spark, sf):
-    return traces.last_assistant_message(V.chat(spark, sf))
+    return traces.last_assistant_message(V.chat_parts(spark, sf))
 
 
 @register("assemble_deltas", sql("""
@@ -807,8 +827,9 @@ def _eval_pass_rates(spark, sf):
 
 @register("eval_by_trace", sql(f"""
     SELECT trace_id, COUNT(*) AS n_scorers,
-           '{{' || string_agg('"' || name || '":"' || verdict || '"', ',' ORDER BY name) || '}}' AS verdicts
-    FROM (SELECT trace_id, name, MAX(verdict) AS verdict FROM {_VERDICTS} v GROUP BY 1, 2) w
+           '{{' || string_agg('"' || name || '":"' || value || '"', ',' ORDER BY name) || '}}' AS scores
+    FROM (SELECT trace_id, name, arg_max(lower(trim(value)), seq) AS value FROM v_assessments
+          WHERE value IS NOT NULL GROUP BY 1, 2) w
     GROUP BY trace_id""", "v_assessments"))
 def _eval_by_trace(spark, sf):
     return evals.eval_by_trace(V.assessments(spark, sf))
@@ -827,7 +848,7 @@ _NORM = r"' ' || lower(trim(regexp_replace({0}, '[^\p{{L}}\p{{M}}\p{{N}}]+', ' '
     FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id""")
 def _fact_coverage(spark, sf):
     t, m = Tables(spark, sf), Model(spark, sf)
-    return evals.fact_coverage(t.benchmark, t.documents, index=m.doc_index(), norm=m.doc_norm())
+    return evals.fact_coverage(t.benchmark, t.documents, positions=m.doc_positions())
 
 
 # ------------------------------------------------------- sync, sinks, scans (A)
@@ -850,13 +871,19 @@ _SNAP = f"""
        OR o.category IS DISTINCT FROM n.category OR o.content IS DISTINCT FROM n.content""",
                                   "v_documents"))
 def _docs_change_feed(spark, sf):
-    old, new = sync.snapshots(Model(spark, sf).documents())
-    return sync.change_feed(old, new)
+    return sync.docs_change_feed(spark, *sync.snapshots(Model(spark, sf).documents()))
 
 
 @register("docs_index_sync", sql(f"WITH {_SNAP} SELECT * FROM new", "v_documents"))
 def _docs_index_sync(spark, sf):
-    return sync.docs_index_sync(spark, *sync.snapshots(Model(spark, sf).documents()))
+    return sync.docs_index_sync(spark, *sync.snapshots(Model(spark, sf).documents())).state()
+
+
+@register("docs_index_compacted", ORACLE["docs_index_sync"])
+def _docs_index_compacted(spark, sf):
+    index = sync.docs_index_sync(spark, *sync.snapshots(Model(spark, sf).documents()))
+    index.compact()
+    return index.state()
 
 
 @register("table_counts", " UNION ALL ".join(
@@ -868,14 +895,14 @@ def _table_counts(spark, sf):
 @register("write_audit", "SELECT 'products' AS table_name, COUNT(*) AS n FROM part")
 def _write_audit(spark, sf):
     from shelfline.session import scratch_path
-    return sinks.write_audit(V.products(spark, sf), "products", scratch_path(spark, "products"))
+    return sinks.write_audit(V.products(spark, sf), "products", scratch_path(spark, "products"), namespace="shelfline_out")
 
 
 @register("scan_products", """
     SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS brand, p_type AS category,
            p_retailprice AS list_price FROM part""")
 def _scan_products(spark, sf):
-    name = sinks.publish(spark, "shelfline_cpg", "part", table_path(sf, "part"))
+    name = sinks.publish_source(spark, "shelfline_cpg", "part", table_path(sf, "part"))
     return read_named(spark, name).select(
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
         F.col("p_brand").alias("brand"), F.col("p_type").alias("category"),

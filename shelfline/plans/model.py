@@ -1,137 +1,264 @@
-"""Compute the shared model tables once, then serve every query from
-them.
-
-The shipped lines (lineitem joined to orders), the weekly sales fact, the
-promotions and the market-share table are each written once per session and
-source folder as parquet under the shared checkpoint folder, and read back
-as ordinary scans.  Every metric, dashboard tile and curated question then
-scans the materialised table — one join of the raw facts instead of one per
-query, and a durable copy that survives the loss of any executor (unlike a
-cache).  The read-back keeps column pruning and filter pushdown; the fact is
-sorted by week so trailing-window filters skip row groups.
-
-A cached table is reused only while the source files are unchanged: the
-cache key includes their sizes and modification times.
+"""The model tables, computed once and shared by all sessions.
+
+The shipped lines (lineitem joined to orders), the weekly sales sums, promotions,
+market share and the document tables are parquet under the shared folder
+(``session.shared_root``), named by a versioned manifest (``sources.versions``).  The
+manifest records for each table the parts it consists of and the inputs each was
+made from: files of the source tables, or parts of another model table.  A second
+session finds the manifest and builds nothing.  When inputs were only added, a table
+is maintained, not rebuilt:
+
+* lines: new lineitem files are joined to all orders, and the lineitem files known
+  before to the new orders files; the result is one more part.
+* sales: the new parts of lines alone are aggregated; their sums are merged with the
+  stored ones in the months they touch, other months stay as they are.  Sums are
+  stored unrounded, so the merge is exact.
+* documents, their term positions, vectors: the new files alone are read.
+
+Other tables (promotions, whose baseline is a mean over all lines; market share; the
+term index) are rebuilt from the maintained ones.  An input that was changed or
+removed rebuilds what depends on it.  ``Model.build`` builds explicitly; an accessor
+whose table is current only returns a scan.  Parts are immutable, so a session that
+reads an older version is not disturbed; versions are removed with the parts only
+they name when they were replaced more than ``KEEP_SECONDS`` ago.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from shelfline.functions import columns as C
 from shelfline.functions import vectors as VX
-from shelfline.session import scratch_path
+from shelfline.session import shared_root
 from shelfline.sources import views as V
-from shelfline.sources.tables import table_path
+from shelfline.sources.tables import SCHEMAS, table_path
+from shelfline.sources.versions import KEEP_SECONDS, Files, Versions
 
-_CACHE: dict[tuple, dict[str, tuple]] = {}
-SOURCES = ("lineitem", "orders", "part", "documents", "embeddings")
+#: Raised when a table's definition changes, so that older parts are not read.
+FORMAT = 1
+#: What a table is made from: source tables, or model tables.
+INPUTS = {"lines": ("lineitem", "orders"), "sales": ("lines",), "promotions": ("lines",),
+          "market_share": ("lines", "part"), "documents": ("documents",), "doc_index": ("documents",),
+          "doc_positions": ("documents",), "vectors": ("embeddings",)}
+MODEL_INPUTS = {("sales", "lines"), ("promotions", "lines"), ("market_share", "lines")}
+ORDER = {"promotions": ("start_date", "product_id"), "market_share": ("month", "brand"), "documents": ("doc_id",),
+         "doc_index": ("term", "doc_id"), "doc_positions": ("term", "following", "doc_id"), "vectors": ("doc_id",)}
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"              # the folder of rows without a date
+#: The greatest value of a column is recorded with the table, so that trailing
+#: windows are literals.
+GREATEST = {"sales": "week_ending", "promotions": "start_date", "market_share": "month"}
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+class Model:
+    """The consumer-goods model over one source folder."""
 
+    def __init__(self, spark: SparkSession, sf: str, keep_seconds: float = KEEP_SECONDS):
+        self.spark, self.sf, self.keep_seconds = spark, sf.rstrip("/"), keep_seconds
+        self.root = f"{shared_root(spark)}/shelfline-model-{FORMAT}/{hashlib.md5(self.sf.encode()).hexdigest()}"
+        self.files, self.versions = Files(spark), Versions(spark, f"{self.root}/manifest")
+        self.made: list[str] = []                       # tables built or maintained by this handle
+        self._entries: dict[str, dict] = {}
 
-def _signature(spark: SparkSession, sf: str) -> tuple:
-    """Name, size and modification time of every source file (Hadoop
-    FileSystem, so it works for any shared storage the cluster uses), so a file
-    rewritten at the same size counts as changed wherever files carry a time."""
-    sig = []
-    for name in SOURCES:
-        path, fs = _hadoop_path(spark, table_path(sf, name))
-        files = fs.listFiles(path, True)
-        while files.hasNext():
-            f = files.next()
-            sig.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
-    return tuple(sorted(sig))
+    # ---- the manifest
 
+    def build(self, *tables: str) -> Model:
+        """Bring tables (without names: all) up to date now; returns the handle."""
+        for name in tables or INPUTS:
+            self._entry(name)
+        return self
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _hadoop_path(spark, path)
-    return bool(fs.exists(p))
+    def _entry(self, name: str) -> dict:
+        """The current manifest entry of a table, built or maintained if need be.
+        A handle looks at a table's inputs once: it reads one state of them."""
+        if name in self._entries:
+            return self._entries[name]
+        known = self.versions.latest()[1].get(name)
+        inputs = {source: self._entry(source)["parts"] if (name, source) in MODEL_INPUTS
+                  else self.files.listing(table_path(self.sf, source)) for source in INPUTS[name]}
+        if known and not all(self.files.exists(p) for p in {self._folder(p) for p in known["parts"]}):
+            known = None                                # removed from outside
+        if not known or known["inputs"] != inputs:
+            entry = self._make(name, inputs, known)
+            self.made.append(name)
+            self.versions.publish(lambda current: current | {name: entry})
+            self._clean()
+        else:
+            entry = known
+        self._entries[name] = entry
+        return entry
 
+    def _folder(self, part: str) -> str:
+        """The written folder that a part is, or lies in."""
+        return "/".join(part.split("/")[:self.root.count("/") + 2])
 
-def materialize(df: DataFrame, name: str, order_by: tuple[str, ...] = ()) -> tuple[str, object]:
-    """Write ``df`` as parquet under the shared checkpoint folder; returns
-    the folder and the schema to read it back with.
+    def _clean(self) -> None:
+        """Remove old versions and the parts that no version names any more."""
+        gone = [e for version in self.versions.retire(self.keep_seconds) for e in version.values()]
+        if gone:
+            kept = {p for n in self.versions._numbers() for e in json.loads(
+                self.files.read(self.versions._path(n)))["content"].values() for p in e["parts"]}
+            folders = {self._folder(p) for p in kept}
+            for part in {p for e in gone for p in e["parts"]} - kept:
+                self.files.delete(self._folder(part) if self._folder(part) not in folders else part)
 
-    With ``order_by`` the rows are range-partitioned and sorted on those
-    columns first, so each file (and each row group) covers a narrow range
-    of the leading column and range filters on it skip whole files."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    out = df
-    if order_by:
-        # No fixed number of ranges: adaptive execution merges them by bytes
-        # (spark.sql.adaptive.advisoryPartitionSizeInBytes).
-        out = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    out.write.mode("overwrite").parquet(path)
-    return path, df.schema
+    # ---- building and maintaining
 
+    def _make(self, name: str, inputs: dict, known: dict | None) -> dict:
+        added = {s: [i for i in inputs[s] if i not in known["inputs"][s]] for s in inputs} if known else {}
+        grown = bool(known) and all(all(i in inputs[s] for i in known["inputs"][s]) for s in inputs)
+        extend = getattr(self, f"_extend_{name}", None) if grown else None
+        if extend:
+            parts, fresh, schema = extend(inputs, added, known)
+        else:
+            df = getattr(self, f"_make_{name}")(inputs)
+            parts = fresh = self._write(df, name, months=name == "sales")
+            schema = df.schema.json()
+        entry = {"inputs": inputs, "parts": parts, "schema": schema}
+        if name in GREATEST:
+            top = self._read(fresh, schema).agg(F.max(GREATEST[name])).first()[0] if fresh else None
+            before = known["greatest"] if extend else None
+            entry["greatest"] = max(filter(None, (before, top and top.isoformat())), default=None)
+        return entry
 
-class Model:
-    """The consumer-goods model over one source folder, built on demand."""
-
-    def __init__(self, spark: SparkSession, sf: str):
-        self.spark, self.sf = spark, sf
-        key = (spark.sparkContext.applicationId, sf.rstrip("/"), _signature(spark, sf))
-        self._paths = _CACHE.setdefault(key, {})
-
-    def _table(self, name: str, build, order_by: tuple[str, ...] = ()) -> DataFrame:
-        if name not in self._paths or not _exists(self.spark, self._paths[name][0]):
-            # Built tables are immutable; a table removed from the shared
-            # folder is simply rebuilt (with its recorded maxima).
-            for k in [k for k in self._paths if k.startswith(f"max:{name}:")]:
-                del self._paths[k]
-            self._paths[name] = materialize(build(), f"model-{name}", order_by)
-        path, schema = self._paths[name]
-        return self.spark.read.schema(schema).parquet(path)
-
-    def max_of(self, table: str, col: str):
-        """MAX(col) of a model table, computed once per built table (one
-        value to the driver) so window filters can use it as a literal."""
-        key = f"max:{table}:{col}"
-        if key not in self._paths:
-            self._paths[key] = getattr(self, table)().agg(F.max(col)).first()[0]
-        return self._paths[key]
+    def _write(self, df: DataFrame, name: str, months: bool = False) -> list[str]:
+        """Write immutable parts; their paths.  Sorted rows let range filters on
+        the leading column skip files and row groups; adaptive execution merges
+        ranges by bytes."""
+        path = f"{self.root}/model-{name}-{uuid.uuid4().hex[:12]}"
+        if months:
+            by = ("month", "week_ending", "product_id")
+            df = df.withColumn("month", C.month_start("week_ending"))
+            df.repartitionByRange(*by).sortWithinPartitions(*by).write.partitionBy("month").parquet(path)
+            found = [f"{path}/{n}" for n in self.files.names(path) if n.startswith("month=")]
+            return found or [path]
+        if name in ORDER:
+            df = df.repartitionByRange(*ORDER[name]).sortWithinPartitions(*ORDER[name])
+        df.write.parquet(path)
+        return [path]
+
+    def _read(self, parts: list[str], schema: str) -> DataFrame:
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*parts)
+
+    def _source(self, name: str, files: list[list]) -> DataFrame:
+        """Some files of a source table."""
+        if not files:
+            return self.spark.createDataFrame([], SCHEMAS[name])
+        return self.spark.read.schema(SCHEMAS[name]).parquet(*[path for path, _, _ in files])
+
+    def _one_more(self, known: dict, df: DataFrame, name: str) -> tuple[list[str], list[str], str]:
+        fresh = self._write(df, name)
+        return known["parts"] + fresh, fresh, known["schema"]
+
+    def _make_lines(self, inputs):
+        return V.lines_from(self._source("lineitem", inputs["lineitem"]), self._source("orders", inputs["orders"]))
+
+    def _extend_lines(self, inputs, added, known):
+        new = V.lines_from(self._source("lineitem", added["lineitem"]), self._source("orders", inputs["orders"]))
+        if added["orders"]:
+            old = self._source("lineitem", known["inputs"]["lineitem"])
+            new = new.unionByName(V.lines_from(old, self._source("orders", added["orders"])))
+        return self._one_more(known, new, "lines")
+
+    def _make_sales(self, inputs):
+        return V.sales_sums(self.lines())
+
+    def _extend_sales(self, inputs, added, known):
+        """Only the months that the new lines touch are read and written."""
+        sums = V.sales_sums(self._read(added["lines"], self._entry("lines")["schema"]))
+        # one row for each month of the calendar at most
+        months = {f"month={r[0] or NO_MONTH}" for r in sums.select(C.month_start("week_ending")).distinct().collect()}
+        touched = [p for p in known["parts"] if p.rsplit("/", 1)[1] in months]
+        if touched:
+            sums = V.merged_sums(sums.unionByName(self._read(touched, known["schema"])))
+        fresh = self._write(sums, "sales", months=True) if months else []
+        return [p for p in known["parts"] if p not in touched] + fresh, fresh, known["schema"]
+
+    def _make_promotions(self, inputs):
+        return V.promotions_from(self.lines())
+
+    def _make_market_share(self, inputs):
+        return V.market_share_from(self.lines(), self.products())
+
+    def _documents(self, files):
+        return V.documents_from(self._source("documents", files))
+
+    def _make_documents(self, inputs):
+        return self._documents(inputs["documents"])
+
+    def _extend_documents(self, inputs, added, known):
+        return self._one_more(known, self._documents(added["documents"]), "documents")
+
+    def _make_doc_index(self, inputs):
+        from shelfline.operators.text import term_index
+        return term_index(self._documents(inputs["documents"]))
+
+    def _positions(self, files):
+        from shelfline.operators.text import term_positions
+        return term_positions(self._source("documents", files), "text")
+
+    def _make_doc_positions(self, inputs):
+        return self._positions(inputs["documents"])
+
+    def _extend_doc_positions(self, inputs, added, known):
+        return self._one_more(known, self._positions(added["documents"]), "doc_positions")
+
+    def _vectors(self, files):
+        return V.vectors_from(self._source("embeddings", files)).withColumn("norm", VX.norm("embedding"))
+
+    def _make_vectors(self, inputs):
+        return self._vectors(inputs["embeddings"])
+
+    def _extend_vectors(self, inputs, added, known):
+        return self._one_more(known, self._vectors(added["embeddings"]), "vectors")
+
+    # ---- scans
+
+    def _table(self, name: str) -> DataFrame:
+        entry = self._entry(name)
+        return self._read(entry["parts"], entry["schema"])
+
+    def max_of(self, table: str, col: str) -> dt.date | None:
+        """MAX(col) as the manifest records it (None: the table is empty)."""
+        if GREATEST.get(table) != col:
+            raise ValueError(f"no maximum of {table}.{col} is recorded")
+        value = self._entry(table)["greatest"]
+        return value and dt.date.fromisoformat(value)
 
     def lines(self) -> DataFrame:
-        return self._table("lines", lambda: V.lines(self.spark, self.sf))
+        return self._table("lines")
 
     def sales(self) -> DataFrame:
-        return self._table("sales", lambda: V.sales_from(self.lines()),
-                           order_by=("week_ending", "product_id"))
+        """The weekly sales fact: a projection of the stored sums."""
+        return V.sales_of(self._table("sales"))
 
     def promotions(self) -> DataFrame:
-        return self._table("promotions", lambda: V.promotions_from(self.lines()),
-                           order_by=("start_date", "product_id"))
+        return self._table("promotions")
 
     def market_share(self) -> DataFrame:
-        return self._table("market_share",
-                           lambda: V.market_share_from(self.lines(), self.products()),
-                           order_by=("month", "brand"))
+        return self._table("market_share")
 
     def documents(self) -> DataFrame:
         """Documents with whitespace-collapsed content, ordered by id."""
-        return self._table("documents", lambda: V.documents(self.spark, self.sf),
-                           order_by=("doc_id",))
+        return self._table("documents")
 
     def doc_index(self) -> DataFrame:
         """Inverted term index ``(doc_id, term, tf)`` of the documents."""
-        from shelfline.operators.text import term_index
-        return self._table("doc_index", lambda: term_index(self.documents()), order_by=("term", "doc_id"))
+        return self._table("doc_index")
 
-    def doc_norm(self) -> DataFrame:
-        """Documents as normalised term text ``(doc_id, at)``."""
-        from shelfline.operators.evals import normalized_answers
-        from shelfline.sources.tables import Tables
-        return self._table("doc_norm", lambda: normalized_answers(Tables(self.spark, self.sf).documents))
+    def doc_positions(self) -> DataFrame:
+        """Positional index ``(doc_id, pos, term, following)`` of the documents."""
+        return self._table("doc_positions")
 
     def vectors(self) -> DataFrame:
         """Document vectors with their norm, computed once."""
-        return self._table("vectors", lambda: V.vectors(self.spark, self.sf)
-                           .withColumn("norm", VX.norm("embedding")), order_by=("doc_id",))
+        return self._table("vectors")
 
     def products(self) -> DataFrame:
         return V.products(self.spark, self.sf)

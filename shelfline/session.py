@@ -64,6 +64,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder that all sessions of the cluster share: the one that
+    ``spark.checkpoint.dir`` names (each session has a checkpoint folder of its own
+    inside); where it is unset, the private folder of a local run."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)).rstrip("/")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)

@@ -64,9 +64,14 @@ def retailers(spark: SparkSession, sf: str) -> DataFrame:
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """One row per shipped line with its account (lineitem joined to orders)."""
     t = Tables(spark, sf)
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+    return lines_from(t.lineitem, t.orders)
+
+
+def lines_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """The shipped lines of some lineitem and orders rows (see ``lines``)."""
+    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
                            "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
-    o = t.orders.select("o_orderkey", "o_custkey")
+    o = orders.select("o_orderkey", "o_custkey")
     return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
             .select(F.col("l_orderkey").alias("order_key"),
                     F.col("l_linenumber").alias("line_number"),
@@ -86,25 +91,40 @@ def sales(spark: SparkSession, sf: str) -> DataFrame:
 
 def sales_from(ln: DataFrame) -> DataFrame:
     """The sales fact from shipped lines (see ``lines``)."""
+    return sales_of(sales_sums(ln))
+
+
+SUM = "decimal(38,4)"                # exact sums of money, before they are rounded
+
+
+def sales_sums(ln: DataFrame) -> DataFrame:
+    """Sums by product x retailer x week that can be added up (``merged_sums``).
+    ``pos_sum`` is null where every line was returned."""
     kept = ~F.col("returned")
-    agg = (ln
-           .groupBy("product_id", "retailer_id", C.week_ending("d").alias("week_ending"))
-           .agg(F.sum("qty").cast("bigint").alias("units_shipped"),
-                F.sum(F.col("gross") * F.lit(SHIP_COST_SHARE)).cast(C.MONEY)
-                .alias("shipment_revenue"),
-                F.sum(F.when(kept, F.col("qty")).otherwise(F.lit(0.0)))
-                .cast("bigint").alias("units_sold"),
-                F.sum(F.when(kept, F.col("gross") * (F.lit(1) - F.col("disc"))))
-                .cast(C.MONEY).alias("pos_revenue_raw"),
-                (F.max("disc") >= F.lit(PROMO_MIN_DISCOUNT)).alias("on_promo")))
-    return agg.select(
-        "product_id", "retailer_id", "week_ending", "units_shipped", "shipment_revenue",
-        "units_sold",
-        F.coalesce("pos_revenue_raw", F.lit(0).cast(C.MONEY)).alias("pos_revenue"),
-        F.round((C.as_double("pos_revenue_raw") /
-                 F.when(F.col("units_sold") != 0, C.as_double("units_sold"))).cast(C.RATIO), 2)
+    return (ln.groupBy("product_id", "retailer_id", C.week_ending("d").alias("week_ending"))
+            .agg(F.sum("qty").alias("qty"),
+                 F.sum(F.col("gross") * F.lit(SHIP_COST_SHARE)).cast(SUM).alias("ship_sum"),
+                 F.sum(F.when(kept, F.col("qty")).otherwise(F.lit(0.0))).alias("kept_qty"),
+                 F.sum(F.when(kept, F.col("gross") * (F.lit(1) - F.col("disc")))).cast(SUM).alias("pos_sum"),
+                 F.max("disc").alias("disc")))
+
+
+def merged_sums(sums: DataFrame) -> DataFrame:
+    """Sums of several sets of lines added up."""
+    total = [F.sum(c).cast(t).alias(c) for c, t in (("qty", "double"), ("ship_sum", SUM), ("kept_qty", "double"), ("pos_sum", SUM))]
+    return sums.groupBy("product_id", "retailer_id", "week_ending").agg(*total, F.max("disc").alias("disc"))
+
+
+def sales_of(sums: DataFrame) -> DataFrame:
+    """The sales fact of its sums: a projection, so filters on the keys reach the scan."""
+    raw, units = F.col("pos_sum").cast(C.MONEY), F.col("kept_qty").cast("bigint")
+    return sums.select(
+        "product_id", "retailer_id", "week_ending", F.col("qty").cast("bigint").alias("units_shipped"),
+        F.col("ship_sum").cast(C.MONEY).alias("shipment_revenue"), units.alias("units_sold"),
+        F.coalesce(raw, F.lit(0).cast(C.MONEY)).alias("pos_revenue"),
+        F.round((C.as_double(raw) / F.when(units != 0, C.as_double(units))).cast(C.RATIO), 2)
         .cast(C.MONEY).alias("avg_selling_price"),
-        "on_promo")
+        (F.col("disc") >= F.lit(PROMO_MIN_DISCOUNT)).alias("on_promo"))
 
 
 def promo_type(disc) -> "F.Column":
@@ -192,14 +212,20 @@ def market_share_from(lines_df: DataFrame, products_df: DataFrame) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    d = Tables(spark, sf).documents
+    return documents_from(Tables(spark, sf).documents)
+
+
+def documents_from(d: DataFrame) -> DataFrame:
     return d.select("doc_id", F.col("source").alias("doc_type"),
                     F.col("lang").alias("category"),
                     C.collapse_ws("text").alias("content"))
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
-    e = Tables(spark, sf).embeddings
+    return vectors_from(Tables(spark, sf).embeddings)
+
+
+def vectors_from(e: DataFrame) -> DataFrame:
     return e.select(F.col("vec_id").alias("doc_id"), "embedding", "label")
 
 
@@ -238,25 +264,40 @@ def chat(spark: SparkSession, sf: str) -> DataFrame:
                     F.col("text").alias("content"))
 
 
+def chat_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The chat as messages of parts (type, text): the lines of a text with a tool call
+    between them, which is no text."""
+    c = Tables(spark, sf).conversations
+    pieces = F.transform(F.regexp_extract_all("text", F.lit(r"[^\n]+|\n"), F.lit(0)),
+                         lambda t: F.struct(F.lit("output_text").alias("type"), t.alias("text")))
+    call = F.array(F.struct(F.lit("tool_call").alias("type"), F.lit("search()").alias("text")))
+    parts = F.concat(F.slice(pieces, 1, 1), call, F.slice(pieces, 2, F.size(pieces)))
+    return c.select(F.col("conv_id").alias("session_id"), "turn", "role", parts.alias("parts"))
+
+
 def spans(spark: SparkSession, sf: str) -> DataFrame:
     c = Tables(spark, sf).conversations
     return c.select(F.col("conv_id").alias("trace_id"), F.col("turn").alias("span_id"),
-                    F.when(F.col("turn") > 0, F.col("turn") - 1).alias("parent_id"),
+                    F.when(F.col("turn") > 0, F.expr("(turn - 1) div 2")).alias("parent_id"),
                     F.col("role").alias("name"), F.lit("CHAT_TURN").alias("span_type"))
 
 
 def assessments(spark: SparkSession, sf: str) -> DataFrame:
+    """Assessments in order (``seq``); where a document is toxic, its usability is
+    assessed once more."""
     lb = Tables(spark, sf).labels
     return lb.select(F.col("doc_id").alias("trace_id"),
-                     F.explode(F.array(
+                     F.posexplode(F.array(
                          F.struct(F.lit("quality").alias("name"),
                                   F.col("quality").cast("string").alias("value")),
                          F.struct(F.lit("toxic").alias("name"),
                                   F.col("toxic").cast("string").alias("value")),
                          F.struct(F.lit("usable").alias("name"),
                                   F.when((F.col("quality") == 1) & (F.col("toxic") == 0), "Yes").otherwise(" no ")
-                                  .alias("value")))).alias("a")
-                     ).select("trace_id", "a.name", "a.value")
+                                  .alias("value")),
+                         F.struct(F.lit("usable").alias("name"),
+                                  F.when(F.col("toxic") == 1, "Blocked").alias("value")))).alias("seq", "a")
+                     ).select("trace_id", F.col("seq").cast("long").alias("seq"), "a.name", "a.value")
 
 
 def deltas(spark: SparkSession, sf: str) -> DataFrame:

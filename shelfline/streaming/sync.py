@@ -1,10 +1,14 @@
 """Change feed (A5) and triggered incremental index sync.
 
-Without a table format that keeps a change feed, changes are derived by
-comparing two snapshots on the key.  The index is an append-only parquet
-log fed by a Structured Streaming query with ``trigger(availableNow=True)``
-and a checkpoint: each run consumes only files it has not seen, so a second
-run with no new input appends nothing.  Readers apply latest-wins per key.
+Without a table format that keeps a change feed, changes are derived by comparing
+two snapshots.  A snapshot is written in buckets of its key with a digest of each
+bucket; digests are compared on two levels (groups of buckets, then the buckets of
+differing groups), and only rows of buckets that differ are read and joined.
+
+The index is a keyed table in bucketed snapshots (``streaming.buckets``), fed by a
+Structured Streaming query with ``trigger(availableNow=True)``, a checkpoint and
+``foreachBatch``: each run consumes only files it has not seen, and a batch rewrites
+only the buckets it touches.  A batch that is replayed leaves the index as it is.
 """
 
 from __future__ import annotations
@@ -13,24 +17,22 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from shelfline.session import scratch_path
+from shelfline.streaming.buckets import BUCKETS, Buckets
 
 DOC_COLS = ["doc_id", "doc_type", "category", "content"]
-CHANGE_SCHEMA = T.StructType([
-    T.StructField("doc_id", T.LongType()),
-    T.StructField("change_type", T.StringType()),
-    T.StructField("version", T.LongType()),
-    T.StructField("doc_type", T.StringType()),
-    T.StructField("category", T.StringType()),
-    T.StructField("content", T.StringType()),
-])
+CHANGE_SCHEMA = "doc_id long, change_type string, version long, doc_type string, category string, content string"
 
 # Fixed value: marker appended to revised documents in the test snapshots.
 REVISION_MARK = " (revised)"
 
+# ---- change feed
+
+
+#: Buckets of a snapshot, and how many share a digest of the upper level.
+SNAPSHOT_BUCKETS, GROUP = 256, 16
+
 
 def snapshots(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two versions of the documents table: ``old`` lacks ids ending in 0,
@@ -43,13 +45,56 @@ def snapshots(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return old, new
 
 
-def change_feed(old: DataFrame, new: DataFrame, key: str = "doc_id",
-                cols=("doc_type", "category", "content")) -> DataFrame:
-    """A5: insert / update / delete rows between two snapshots (full outer
-    join on the key; columns compared null-safely, so no hash collisions)."""
-    o = old.select(key, F.struct(*cols).alias("o"))
-    n = new.select(key, F.struct(*cols).alias("n"))
-    j = o.join(n, key, "full_outer")
+class Snapshot:
+    """A written version of a keyed table: rows in folders by bucket, and a table of
+    their digests (number of rows, and two independent 64-bit sums over the rows)."""
+
+    def __init__(self, spark: SparkSession, folder: str, key: str, cols: tuple[str, ...]):
+        self.spark, self.folder, self.key, self.cols = spark, folder.rstrip("/"), key, tuple(cols)
+        self.digests = spark.read.parquet(f"{self.folder}/digests")
+        self._schema = spark.read.parquet(f"{self.folder}/rows").schema
+
+    @classmethod
+    def write(cls, df: DataFrame, folder: str, key: str = "doc_id", cols: tuple[str, ...] = tuple(DOC_COLS[1:]),
+              buckets: int = SNAPSHOT_BUCKETS) -> Snapshot:
+        spark, folder = df.sparkSession, folder.rstrip("/")
+        rows = df.select(key, *cols, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket"))
+        rows.repartition("bucket").write.partitionBy("bucket").parquet(f"{folder}/rows")
+        # nulls do not change xxhash64, so whether a column is null is hashed too
+        seen = [x for c in (key, *cols) for x in (F.col(c), F.col(c).isNull())]
+        hashed = spark.read.schema(rows.schema).parquet(f"{folder}/rows").select(
+            "bucket", F.xxhash64(F.lit(1), *seen).alias("a"), F.xxhash64(F.lit(2), *seen).cast("decimal(20,0)").alias("b"))
+        hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("a").alias("a"), F.sum("b").alias("b")) \
+            .write.parquet(f"{folder}/digests")
+        return cls(spark, folder, key, cols)
+
+    def rows(self, buckets: list[int]) -> DataFrame:
+        """The rows of some buckets: a partition filter, other folders are not read."""
+        return self.spark.read.schema(self._schema).parquet(f"{self.folder}/rows").where(F.col("bucket").isin(buckets))
+
+
+def changed_buckets(old: Snapshot, new: Snapshot, group: int = GROUP) -> list[int]:
+    """The buckets whose digests differ (at most their number): groups of buckets are
+    compared first, then the buckets of groups that differ."""
+    def differ(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+        a, b = (x.select(key, F.struct("n", "a", "b").alias(name)) for x, name in ((a, "x"), (b, "y")))
+        return a.join(b, key, "full_outer").where(~F.col("x").eqNullSafe(F.col("y"))).select(key)
+
+    def upper(digests: DataFrame) -> DataFrame:
+        return digests.withColumn("group", F.expr(f"bucket div {group}")).groupBy("group").agg(
+            F.sum("n").alias("n"), F.bit_xor("a").alias("a"), F.sum("b").alias("b"))
+
+    groups = differ(upper(old.digests), upper(new.digests), "group")
+    some = [x.digests.join(groups, F.expr(f"bucket div {group}") == F.col("group"), "left_semi") for x in (old, new)]
+    return sorted(r[0] for r in differ(*some, "bucket").collect())
+
+
+def change_feed(old: Snapshot, new: Snapshot) -> DataFrame:
+    """A5: insert / update / delete rows between two snapshots, from a full outer join
+    on the key within the buckets that differ; columns are compared null-safely."""
+    key, cols, buckets = new.key, new.cols, changed_buckets(old, new)
+    o, n = (x.rows(buckets).select("bucket", key, F.struct(*cols).alias(name)) for x, name in ((old, "o"), (new, "n")))
+    j = o.join(n, ["bucket", key], "full_outer")
     kind = (F.when(F.col("o").isNull(), F.lit("insert"))
             .when(F.col("n").isNull(), F.lit("delete"))
             .when(~F.col("o").eqNullSafe(F.col("n")), F.lit("update")))
@@ -58,54 +103,75 @@ def change_feed(old: DataFrame, new: DataFrame, key: str = "doc_id",
             .select(key, "change_type", *[F.col(f"n.{c}").alias(c) for c in cols]))
 
 
-def _as_changes(df: DataFrame, change_type, version: int) -> DataFrame:
+def docs_change_feed(spark: SparkSession, old: DataFrame, new: DataFrame, base: str | None = None) -> DataFrame:
+    """A5 over two versions of the documents, each written as a snapshot."""
+    root = base or scratch_path(spark, "docs-snapshots")
+    return change_feed(*(Snapshot.write(df, os.path.join(root, name)) for df, name in ((old, "old"), (new, "new"))))
+
+
+# ---- index
+
+
+class Index:
+    """The document index.  A row is the latest change of its key; a deletion stays
+    as a mark until ``compact``, so a change that arrives late does not undo it."""
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = BUCKETS):
+        self.spark, self.store = spark, Buckets(spark, folder, {"rows": CHANGE_SCHEMA}, buckets)
+
+    def upsert(self, changes: DataFrame, stream: str, batch: int) -> None:
+        """Apply a batch of changes: of a key's rows the one of the highest version
+        counts (then by change type and content).  A batch that the pointer already
+        contains is skipped."""
+        store = self.store
+        if store.contains(stream, batch):
+            return
+        changes = changes.withColumn("bucket", store.bucket("doc_id"))
+        touched = store.touched(changes)
+        held = store.read("rows", touched).withColumn("bucket", store.bucket("doc_id"))
+        names = [c.split()[0] for c in CHANGE_SCHEMA.split(", ")]
+        last = F.max(F.struct("version", "change_type", *DOC_COLS[1:])).alias("last")
+        merged = held.unionByName(changes).groupBy("bucket", "doc_id").agg(last).select("bucket", "doc_id", "last.*")
+        store.switch(touched, {"rows": store.written("rows", merged.select("bucket", *names))},
+                     stream=stream, batch=batch, rows=changes.count())
+
+    def state(self) -> DataFrame:
+        """The documents in the index."""
+        return self.store.read("rows").where("change_type <> 'delete'").select(DOC_COLS)
+
+    def compact(self) -> None:
+        """Drop the marks of deleted documents and write each bucket as one table."""
+        live = self.store.read("rows").where("change_type <> 'delete'").withColumn("bucket", self.store.bucket("doc_id"))
+        self.store.compact("rows", live)
+
+
+def as_changes(df: DataFrame, change_type, version: int) -> DataFrame:
     ct = change_type if not isinstance(change_type, str) else F.lit(change_type)
     return df.select(F.col("doc_id").cast("long"), ct.alias("change_type"),
                      F.lit(version).cast("long").alias("version"),
                      "doc_type", "category", "content")
 
 
-def sync_once(spark: SparkSession, source_dir: str, index_dir: str, checkpoint: str) -> int:
-    """Run the triggered sync: consume unseen change files into the index
-    log.  Returns the number of rows appended by this run, as the stream's own
-    progress reports it (the index is not read)."""
-    stream = spark.readStream.schema(CHANGE_SCHEMA).parquet(source_dir)
-    q = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start(index_dir))
+def sync_once(index: Index, source_dir: str, checkpoint: str) -> int:
+    """Run the triggered sync: consume unseen change files into the index.  Returns the
+    number of rows that this run brought, as the index counts them."""
+    before = index.store.rows_in()
+    q = (index.spark.readStream.schema(CHANGE_SCHEMA).parquet(source_dir).writeStream
+         .foreachBatch(lambda df, batch: index.upsert(df, checkpoint, batch))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return sum(p["numInputRows"] for p in q.recentProgress)
-
-
-def compact(spark: SparkSession, index_dir: str, target: str) -> None:
-    """Write the index with one row for each document (its latest) as a new log
-    of inserts under ``target``; readers move to it when it is complete."""
-    log = spark.read.schema(CHANGE_SCHEMA).parquet(index_dir)
-    newest = log.groupBy("doc_id").agg(F.max("version").alias("version"))
-    (log.join(newest, ["doc_id", "version"]).filter(F.col("change_type") != "delete")
-     .withColumn("change_type", F.lit("insert")).select(*log.columns).dropDuplicates(["doc_id"])
-     .write.parquet(target))
-
-
-def index_state(spark: SparkSession, index_dir: str) -> DataFrame:
-    """Latest-wins read of the index log (deletes removed).  The newest version
-    of each document is found on the narrow columns; contents are fetched for
-    those rows only, not carried through the aggregation."""
-    log = spark.read.schema(CHANGE_SCHEMA).parquet(index_dir)
-    last = log.groupBy("doc_id").agg(F.max(F.struct("version", "change_type")).alias("m"))
-    live = last.filter(F.col("m.change_type") != "delete").select(
-        "doc_id", F.col("m.version").alias("version"), F.col("m.change_type").alias("change_type"))
-    return (log.join(live, ["doc_id", "version", "change_type"], "left_semi")
-            .select("doc_id", "doc_type", "category", "content"))
+    return index.store.rows_in() - before
 
 
-def docs_index_sync(spark: SparkSession, old: DataFrame, new: DataFrame, base: str | None = None) -> DataFrame:
+def docs_index_sync(spark: SparkSession, old: DataFrame, new: DataFrame, base: str | None = None) -> Index:
     """Initial full load of one snapshot, then the change feed to another,
     both through the streaming sync; returns the index."""
     root = base or scratch_path(spark, "docs-index-sync")
-    source, index, ckpt = (os.path.join(root, p) for p in ("changes", "index", "_checkpoint"))
-    _as_changes(old, "insert", 0).write.mode("append").parquet(source)
-    sync_once(spark, source, index, ckpt)
-    _as_changes(change_feed(old, new), F.col("change_type"), 1) \
-        .write.mode("append").parquet(source)
-    sync_once(spark, source, index, ckpt)
-    return index_state(spark, index)
+    source, ckpt = os.path.join(root, "changes"), os.path.join(root, "_checkpoint")
+    index = Index(spark, os.path.join(root, "index"))
+    as_changes(old, "insert", 0).write.mode("append").parquet(source)
+    sync_once(index, source, ckpt)
+    feed = docs_change_feed(spark, old, new, os.path.join(root, "snapshots"))
+    as_changes(feed, F.col("change_type"), 1).write.mode("append").parquet(source)
+    sync_once(index, source, ckpt)
+    return index

@@ -140,18 +140,18 @@ def test_sync_second_run_appends_nothing(spark):
     base = tempfile.mkdtemp(prefix="sync-test-")
     docs = spark.createDataFrame([(i, "t", "en", f"doc {i}") for i in range(1, 41)],
                                  "doc_id long, doc_type string, category string, content string")
-    state = sync.docs_index_sync(spark, *sync.snapshots(docs), base)
+    index = sync.docs_index_sync(spark, *sync.snapshots(docs), base)
     _, new = sync.snapshots(docs)
-    assert sorted(map(tuple, state.collect())) == sorted(map(tuple, new.collect()))
-    src, idx, ck = (os.path.join(base, p) for p in ("changes", "index", "_checkpoint"))
-    assert sync.sync_once(spark, src, idx, ck) == 0
+    assert sorted(map(tuple, index.state().collect())) == sorted(map(tuple, new.collect()))
+    assert index.store.rows_in() == 36 + 12
+    assert sync.sync_once(index, os.path.join(base, "changes"), os.path.join(base, "_checkpoint")) == 0
 
 
 def test_change_feed_kinds(spark):
     docs = spark.createDataFrame([(i, "t", "en", f"doc {i}") for i in range(1, 31)],
                                  "doc_id long, doc_type string, category string, content string")
     old, new = sync.snapshots(docs)
-    kinds = {r["doc_id"]: r["change_type"] for r in sync.change_feed(old, new).collect()}
+    kinds = {r["doc_id"]: r["change_type"] for r in sync.docs_change_feed(spark, old, new).collect()}
     assert kinds == {10: "insert", 20: "insert", 30: "insert", 1: "delete", 11: "delete",
                      21: "delete", 2: "update", 12: "update", 22: "update"}
 
@@ -219,14 +219,15 @@ def test_sales_grid_fills_gaps(spark):
 def test_delta_stream_waits_for_all_parts(spark):
     from shelfline.streaming import deltas as D
     base = tempfile.mkdtemp(prefix="deltas-test-")
-    ev_dir, out, ck = (os.path.join(base, p) for p in ("events", "items", "_ck"))
+    ev_dir, ck = (os.path.join(base, p) for p in ("events", "_ck"))
+    items = D.Items(spark, os.path.join(base, "items"))
     rows = [("a", 0, D.DELTA, "hello"), ("a", 2, D.DELTA, "world"), ("b", 0, D.DELTA, "solo")]
     late = [("a", 1, D.DELTA, "big")]
     done = [("a", 3, D.DONE, None), ("b", 1, D.DONE, None)]
     for batch in (rows, done, late):       # done for "a" arrives before its last part
         spark.createDataFrame(batch, D.EVENT_SCHEMA).write.mode("append").parquet(ev_dir)
-        D.assemble_stream(spark, ev_dir, out, ck)
-        got = {r["item_id"]: r["text"] for r in spark.read.schema(D.OUT_SCHEMA).parquet(out).collect()}
+        D.assemble_stream(items, ev_dir, ck)
+        got = {r["item_id"]: r["text"] for r in items.finished().collect()}
         if batch is done:
             assert got == {"b": "solo"}
     assert got == {"a": "hello big world", "b": "solo"}
@@ -253,12 +254,17 @@ def test_write_audit_counts_in_same_job(spark):
 
 def test_dashboard_json_orders_labels(spark):
     import json
-    from shelfline.plans.dashboard import dashboard_json
-    payload = spark.createDataFrame([("t", 2, "b", 2.0), ("t", 1, "a", 1.5), ("u", 1, "x", 9.0)],
-                                    "tile string, ord int, label string, value double")
-    rows = dashboard_json(payload).collect()
-    assert len(rows) == 1 and json.loads(rows[0]["payload"]) == {
-        "t": {"labels": ["a", "b"], "values": ["1.500", "2.000"]}, "u": {"labels": ["x"], "values": ["9.000"]}}
+    from shelfline.plans.dashboard import KPI_KEYS, KPI_LABELS, dashboard_json
+    rows = [("kpis", i + 1, k, float(v)) for i, (k, v) in enumerate(zip(KPI_KEYS, (1234567, 2345, 12, 3, 1000)))]
+    rows += [("revenue_trend", 2, "2024-01-13", 2.0), ("revenue_trend", 1, "2024-01-06", 12345678901.0), ("roi_by_type", 1, "B\"O", -0.125),
+             ("roi_counts", 1, "B\"O", 7.0), ("share_by_brand", 1, "x", 9.5)]
+    got = dashboard_json(spark.createDataFrame(rows, "tile string, ord int, label string, value double").repartition(3)).collect()
+    assert len(got) == 1 and json.loads(got[0]["payload"]) == {
+        "kpis": [{"label": a, "value": b} for a, b in zip(KPI_LABELS, ("$1,234,567", "2,345", "12", "3", "1000"))],
+        "revenue_trend": {"labels": ["2024-01-06", "2024-01-13"], "values": [12345678901, 2]},
+        "roi_by_type": {"labels": ["B\"O"], "avg_roi": [-0.125], "counts": [7]},
+        "sales_by_category": {"labels": [], "values": []}, "top_retailers": {"labels": [], "values": []},
+        "share_by_brand": {"labels": ["x"], "values": [9.5]}}
 
 
 def test_rejected_put_keeps_previous_value(spark):
@@ -273,11 +279,10 @@ def test_model_rebuilds_a_missing_table(spark):
     from tests.conftest import SMALL
     m = Model(spark, SMALL)
     n = m.promotions().count()
-    _, schema = m._paths["promotions"]
-    missing = os.path.join(tempfile.mkdtemp(prefix="model-test-"), "never-written")
-    m._paths["promotions"] = (missing, schema)   # as if the folder had vanished
-    assert Model(spark, SMALL).promotions().count() == n
-    assert m._paths["promotions"][0] != missing
+    folder = m._entry("promotions")["parts"][0]
+    m.files.delete(folder)                              # removed from outside
+    again = Model(spark, SMALL)
+    assert again.promotions().count() == n and again.made == ["promotions"]
 
 
 def test_python_operators_work_from_another_working_directory():
@@ -315,12 +320,13 @@ def test_terms_of_every_script(spark):
     assert scores("Purchase, click?") == {"a": 1, "b": 1} and scores("ÜNIQUE") == {"a": 0, "b": 1}
 
 
-def test_every_scorer_survives(spark):
+def test_every_scorer_survives_with_its_last_value(spark):
     import json
-    a = spark.createDataFrame([("t", "quality", "1"), ("t", "tone", "No "), ("t", "x\"y", "maybe"), ("t", "quality", "0"),
-                               ("u", "tone", "yes"), ("u", "quality", None)], "trace_id string, name string, value string")
-    got = {r["trace_id"]: (r["n_scorers"], json.loads(r["verdicts"])) for r in evals.eval_by_trace(a).collect()}
-    assert got == {"t": (3, {"quality": "pass", "tone": "fail", 'x"y': "other"}), "u": (1, {"tone": "pass"})}
+    a = spark.createDataFrame([("t", 0, "quality", "1"), ("t", 1, "tone", "No "), ("t", 2, "x\"y", "maybe"), ("t", 3, "quality", " Fail"),
+                               ("t", 4, "quality", None), ("u", 0, "tone", "yes"), ("u", 1, "quality", None), ("v", 0, "tone", None)],
+                              "trace_id string, seq long, name string, value string").repartition(3)
+    got = {r["trace_id"]: (r["n_scorers"], json.loads(r["scores"])) for r in evals.eval_by_trace(a).collect()}
+    assert got == {"t": (3, {"quality": "fail", "tone": "no", 'x"y': "maybe"}), "u": (1, {"tone": "yes"})}
 
 
 def test_message_parts_concatenate(spark):
@@ -332,28 +338,28 @@ def test_message_parts_concatenate(spark):
     assert got == {1: (1, "a b"), 2: (0, "")}
 
 
-def test_repeated_parts_and_given_up_items(spark):
+def test_repeated_parts_and_no_item_is_given_up(spark):
+    """Parts come twice, late and after the done event; a replayed batch and events of
+    a finished item change nothing; open parts stay however many runs pass."""
     from shelfline.streaming import deltas as D
     base = tempfile.mkdtemp(prefix="deltas-test-")
-    ev_dir, out, ck = (os.path.join(base, p) for p in ("events", "items", "_ck"))
-    batches = [[("a", 0, D.DELTA, "x"), ("a", 0, D.DELTA, "x"), ("a", 2, D.DONE, None), ("n", 0, D.DELTA, "never")],
-               [("a", 1, D.DELTA, "y")], [("a", 1, D.DELTA, "y"), ("a", 2, D.DONE, None)],
+    ev_dir, ck = (os.path.join(base, p) for p in ("events", "_ck"))
+    items = D.Items(spark, os.path.join(base, "items"), buckets=3)
+    batches = [[("a", 0, D.DELTA, "x"), ("a", 0, D.DELTA, "x"), ("a", 2, D.DONE, None), ("n", 0, D.DELTA, "never"),
+                ("e", 0, D.DONE, None), ("o", 0, D.DELTA, "open"), ("o", 5, "other", "?")],
+               [("a", 1, D.DELTA, "y")], [("a", 1, D.DELTA, "late"), ("a", 2, D.DONE, None)],
                [("n", 1, D.DONE, None), ("b", 0, D.DELTA, "z"), ("b", 1, D.DONE, None)]]
-    for i, batch in enumerate(batches):
+    for batch in batches:
         spark.createDataFrame(batch, D.EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(ev_dir)
-        D.assemble_stream(spark, ev_dir, out, ck)
-    got = sorted((r["item_id"], r["text"]) for r in spark.read.schema(D.OUT_SCHEMA).parquet(out).collect())
-    assert got == [("a", "x y"), ("b", "z"), ("n", "never")]
-    once = traces.assemble_deltas(spark.createDataFrame(batches[0] + batches[1] + batches[2], D.EVENT_SCHEMA))
-    assert {r["item_id"]: r["text"] for r in once.collect()} == {"a": "x y", "n": "never"}
-
-    class Timed:                                        # the state of an item that timed out is dropped
-        hasTimedOut, removed = True, False
-
-        def remove(self):
-            self.removed = True
-    state = Timed()
-    assert list(D._assemble(("n",), [], state)) == [] and state.removed
+        D.assemble_stream(items, ev_dir, ck)
+    want = [("a", "x y"), ("b", "z"), ("e", ""), ("n", "never")]
+    assert sorted((r["item_id"], r["text"]) for r in items.finished().collect()) == want
+    assert [(r["item_id"], r["text"]) for r in items.open_parts().collect()] == [("o", "open")]
+    items.take(spark.createDataFrame(batches[3], D.EVENT_SCHEMA), ck, 3)          # replayed
+    items.take(spark.createDataFrame(batches[0][:1], D.EVENT_SCHEMA), ck, 4)      # an event of a finished item
+    assert sorted((r["item_id"], r["text"]) for r in items.finished().collect()) == want
+    once = traces.assemble_deltas(spark.createDataFrame(batches[0] + batches[1], D.EVENT_SCHEMA))
+    assert {r["item_id"]: r["text"] for r in once.collect()} == {"a": "x y", "n": "never", "o": "open"}
 
 
 def test_null_and_odd_vectors_score_nothing(spark):
@@ -374,18 +380,6 @@ def test_defaults_and_id_chain(spark):
         "user_memories/u-1", "user_memories/a-b@c-d", "user_memories/s", "user_memories/default_user"]
 
 
-def test_index_compaction_keeps_the_state(spark):
-    from shelfline.streaming import sync
-    docs = spark.createDataFrame([(i, "t", "c", f"text {i}") for i in range(40)],
-                                 "doc_id long, doc_type string, category string, content string")
-    base = tempfile.mkdtemp(prefix="sync-test-")
-    before = sync.docs_index_sync(spark, *sync.snapshots(docs), base=base)
-    sync.compact(spark, os.path.join(base, "index"), os.path.join(base, "compacted"))
-    after = sync.index_state(spark, os.path.join(base, "compacted"))
-    assert sorted(map(tuple, before.collect())) == sorted(map(tuple, after.collect()))
-    assert spark.read.parquet(os.path.join(base, "compacted")).count() == after.count()
-
-
 def test_season_rule_and_unit_clamps(spark):
     months = spark.createDataFrame([("Beverages", 7), ("Beverages", 1), ("Beverages", 4), ("Snacks", 12), ("Snacks", 7), (None, 7)],
                                    "f string, m int")
