@@ -19,16 +19,20 @@ from shelfline.operators.ids import sequential_ids
 NAMESPACE_PREFIX = "user_memories"
 
 
-def is_json_object(c) -> "F.Column":
-    """True when the text parses as JSON and its top level is an object."""
-    v = F.try_parse_json(C.col_(c))
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+def parsed(log: DataFrame) -> DataFrame:
+    """The log with ``value``, the JSON text parsed once into a VARIANT (null where it is no
+    JSON), and ``object``, whether its top level is an object.  A log stored like this is
+    read without parsing again."""
+    if "object" in log.columns:
+        return log
+    with_value = log.withColumn("value", F.try_parse_json("value_json"))
+    return with_value.withColumn("object", F.coalesce(F.schema_of_variant("value").startswith("OBJECT"), F.lit(False)))
 
 
 def accepted(log: DataFrame) -> DataFrame:
     """Writes the store accepts: deletes, and puts whose value is a JSON
     object (a rejected put leaves the stored value unchanged)."""
-    return log.filter((F.col("op") == "delete") | is_json_object("value_json"))
+    return parsed(log).filter((F.col("op") == "delete") | F.col("object"))
 
 
 def latest_state(log: DataFrame, keys=("user_id", "key")) -> DataFrame:
@@ -47,15 +51,28 @@ def live_memories(log: DataFrame) -> DataFrame:
             .select("user_id", "key", "value_json", "ts"))
 
 
+def memory_fields(log: DataFrame) -> DataFrame:
+    """The keys inside the live memories' objects, one row each: ``(user_id, key, field,
+    text)``; a string as its text, anything else as JSON.  Values are VARIANT all the way
+    (``variant_explode``): the newest row of a key is found on (ts, seq), then its fields
+    are taken out."""
+    rows = accepted(log)
+    last = rows.groupBy("user_id", "key").agg(F.max(F.struct("ts", "seq")).alias("last"))
+    live = (rows.join(last, ["user_id", "key"]).where("op = 'put' and ts = last.ts and seq = last.seq")
+            .select("user_id", "key", "value"))
+    fields = live.lateralJoin(live.sparkSession.tvf.variant_explode(F.col("value").outer()))
+    one = F.col("_field")
+    text = F.when(F.schema_of_variant(one) == "STRING", F.variant_get(one, "$", "string")).otherwise(F.to_json(one))
+    return fields.toDF("user_id", "key", "value", "pos", "field", "_field").select("user_id", "key", "field", text.alias("text"))
+
+
 def json_validate(log: DataFrame) -> DataFrame:
     """A stored value must be a JSON object; others are rejected with
     a reason."""
-    v = F.try_parse_json("value_json")
-    kind = F.schema_of_variant(v)
     reason = (F.when(F.col("value_json").isNull(), F.lit("missing value"))
-              .when(v.isNull(), F.lit("invalid JSON"))
-              .when(~kind.startswith("OBJECT"), F.lit("not a JSON object")))
-    return (log.filter(F.col("op") == "put")
+              .when(F.col("value").isNull(), F.lit("invalid JSON"))
+              .when(~F.col("object"), F.lit("not a JSON object")))
+    return (parsed(log).filter(F.col("op") == "put")
             .select("seq", "user_id", "key", reason.isNull().alias("is_valid"),
                     reason.alias("reason")))
 
@@ -63,9 +80,8 @@ def json_validate(log: DataFrame) -> DataFrame:
 def to_text(log: DataFrame) -> DataFrame:
     """Value as text — a JSON string is unquoted, anything else keeps
     its JSON text."""
-    v = F.try_parse_json("value_json")
-    as_str = F.when(F.schema_of_variant(v) == "STRING", F.variant_get(v, "$", "string"))
-    return log.select("seq", F.coalesce(as_str, F.col("value_json")).alias("text"))
+    as_str = F.when(F.schema_of_variant("value") == "STRING", F.variant_get("value", "$", "string"))
+    return parsed(log).select("seq", F.coalesce(as_str, F.col("value_json")).alias("text"))
 
 
 def resolve_ids(log: DataFrame) -> DataFrame:

@@ -22,6 +22,9 @@ SCORE_DECIMALS = 6
 # them: a product of at most QUERY_BLOCK x DOC_BLOCK scores is in memory.
 QUERY_BLOCK = 2048
 DOC_BLOCK = 1024
+# Blocks of queries that go through the documents together: one scan serves up to
+# QUERY_BLOCK x SCAN_BLOCKS queries (of 64 dimensions 32 MB, shipped a block at a time).
+SCAN_BLOCKS = 32
 
 
 def first_doc_vector(vectors: DataFrame) -> list[float]:
@@ -58,7 +61,7 @@ def search_filtered(vectors: DataFrame, docs: DataFrame, query_vec: list[float],
     return scored.orderBy(F.desc_nulls_last("score"), "doc_id").limit(k)
 
 
-PARTIAL_SCHEMA = "label int, n long, s array<double>"
+PARTIAL_SCHEMA = "label int, dim int, n long, s array<double>"
 
 
 def _partial_sums(it):
@@ -67,24 +70,29 @@ def _partial_sums(it):
     task as one row."""
     acc: dict = {}
     for pdf in it:
-        for label, grp in pdf[pdf["embedding"].notna()].groupby("label", dropna=False):
+        pdf = pdf[pdf["embedding"].notna()]
+        for (label, dim), grp in pdf.groupby([pdf["label"], pdf["embedding"].map(len)], dropna=False):
             m = np.stack([np.asarray(v, dtype=np.float64) for v in grp["embedding"]])
-            n0, s0 = acc.get(label, (0, 0.0))
-            acc[label] = (n0 + len(grp), s0 + m.sum(axis=0))
-    yield pd.DataFrame({"label": pd.Series([None if pd.isna(k) else int(k) for k in acc],
-                                           dtype="Int32"),
+            at = None if pd.isna(label) else int(label), int(dim)
+            n0, s0 = acc.get(at, (0, 0.0))
+            acc[at] = (n0 + len(grp), s0 + m.sum(axis=0))
+    yield pd.DataFrame({"label": pd.Series([k[0] for k in acc], dtype="Int32"), "dim": [k[1] for k in acc],
                         "n": [v[0] for v in acc.values()],
                         "s": [v[1].tolist() for v in acc.values()]})
 
 
 def label_centroids(vectors: DataFrame) -> DataFrame:
-    """Mean vector per label: one query per label (qid = label).
+    """Mean vector per label: one query per label (qid = label).  Of vectors of
+    several dimensions those of the label's commonest count (of equals the largest).
 
     Partial vector sums per partition (NumPy), then the few partials per
     label are summed component-wise — no per-component row explosion of
     the full table."""
     ship_package(vectors.sparkSession)
     parts = vectors.select("label", "embedding").mapInPandas(_partial_sums, PARTIAL_SCHEMA)
+    sizes = parts.groupBy("label", "dim").agg(F.sum("n").alias("n"))
+    kept = sizes.groupBy("label").agg(F.max(F.struct("n", "dim"))["dim"].alias("_dim"))
+    parts = parts.join(kept.withColumnRenamed("label", "_label"), F.col("label").eqNullSafe(F.col("_label"))).where("dim = _dim")
     comp = (parts.select("label", "n", F.posexplode("s").alias("pos", "x"))
             .groupBy("label", "pos").agg(F.sum("x").alias("sx"), F.sum("n").alias("n")))
     return (comp.groupBy("label")
@@ -132,8 +140,9 @@ def vector_topk_batch(spark: SparkSession, vectors: DataFrame, queries: DataFram
     The queries are written once and taken in blocks; each block is shipped to
     the tasks, which score it against their own documents (never shuffled) with
     NumPy and emit only candidates, so no (query, document) pair table is
-    materialised.  A larger batch takes more blocks of the same kind.  Null
-    vectors, and vectors of another dimension than the queries', score nothing."""
+    materialised.  SCAN_BLOCKS blocks share one scan of the documents; a larger batch
+    takes more scans of the same kind.  Null
+    vectors, and vectors of another dimension than the query's, score nothing."""
     ship_package(spark)
     path = scratch_path(spark, "topk-queries")
     numbered = sequential_ids(queries.filter(F.col("qvec").isNotNull()).select("qid", "qvec"), ["qid"], "_no")
@@ -141,20 +150,26 @@ def vector_topk_batch(spark: SparkSession, vectors: DataFrame, queries: DataFram
     written = spark.read.parquet(path)
     n_blocks = (written.agg(F.max("_block")).first()[0] or 0) + 1
     docs = vectors.filter(F.col("embedding").isNotNull()).select("doc_id", "embedding")
-    cand = None
-    for block in range(n_blocks):
+    def shipped(block: int):
         qp = written.filter(F.col("_block") == block).toPandas()  # at most QUERY_BLOCK rows
-        qmat, qnorm = _unit_rows(list(qp["qvec"]))
-        shared = spark.sparkContext.broadcast((qp["qid"].to_numpy(dtype=np.int64), qmat, qnorm))
+        by_size = qp.groupby(qp["qvec"].map(len))
+        return spark.sparkContext.broadcast([(some["qid"].to_numpy(dtype=np.int64), *_unit_rows(list(some["qvec"])))
+                                             for _, some in by_size])
+
+    cand = None
+    for first in range(0, n_blocks, SCAN_BLOCKS):
+        blocks = [shipped(b) for b in range(first, min(first + SCAN_BLOCKS, n_blocks))]
 
-        def per_batch(it, shared=shared):
-            qi, qm, qn = shared.value
+        def per_batch(it, blocks=blocks):
             for pdf in it:
-                pdf = pdf[pdf["embedding"].map(len) == qm.shape[1]]
-                for lo in range(0, len(pdf), DOC_BLOCK):
-                    some = pdf.iloc[lo:lo + DOC_BLOCK]
-                    dm, dn = _unit_rows(list(some["embedding"]))
-                    yield _local_topk(some["doc_id"].to_numpy(), dm, dn, qi, qm, qn, k)
+                for dim, same in pdf.groupby(pdf["embedding"].map(len)):
+                    for lo in range(0, len(same), DOC_BLOCK):
+                        some = same.iloc[lo:lo + DOC_BLOCK]
+                        dm, dn = _unit_rows(list(some["embedding"]))
+                        for block in blocks:
+                            for qi, qm, qn in block.value:
+                                if qm.shape[1] == dim:
+                                    yield _local_topk(some["doc_id"].to_numpy(), dm, dn, qi, qm, qn, k)
 
         found = docs.mapInPandas(per_batch, CAND_SCHEMA)
         cand = found if cand is None else cand.unionByName(found)

@@ -38,6 +38,42 @@ def share_trend(ms: DataFrame, brand: str, category: str) -> DataFrame:
             .orderBy("month"))
 
 
+#: log2 of a sketch's registers, and the bound its estimates are held to: five standard
+#: errors of 1.04 / sqrt(registers).
+SKETCH_BITS = 12
+SKETCH_BOUND = 5 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def store_sketches(lines: DataFrame) -> DataFrame:
+    """F13 at scale: ``(product_id, month, stores)``, a HyperLogLog sketch of the accounts
+    with shipped lines in the month (of the line's week, as in the sales fact).  Sketches of
+    several sets of lines are merged by ``stores_over``, so new lines add rows and
+    nothing is counted again."""
+    month = C.month_start(C.week_ending("d"))
+    return (lines.groupBy("product_id", month.alias("month"))
+            .agg(F.hll_sketch_agg("retailer_id", SKETCH_BITS).alias("stores")))
+
+
+def stores_over(sketches: DataFrame, months: int, latest=None) -> DataFrame:
+    """``(product_id, stores_estimate)`` over the last ``months`` months up to ``latest``
+    (a date; without it all months): sketches are merged, no account is counted twice
+    however many months it sold in."""
+    if latest is not None:
+        start = F.add_months(F.trunc(F.lit(latest), "month"), 1 - months)
+        sketches = sketches.where(F.col("month").between(start, F.lit(latest)))
+    return sketches.groupBy("product_id").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("stores")).alias("stores_estimate"))
+
+
+def stores_exact(sales: DataFrame, months: int, latest=None) -> DataFrame:
+    """``(product_id, stores_selling)`` over the same window, counted from the fact."""
+    month = C.month_start("week_ending")
+    if latest is not None:
+        start = F.add_months(F.trunc(F.lit(latest), "month"), 1 - months)
+        sales = sales.where(month.between(start, F.lit(latest)))
+    return sales.groupBy("product_id").agg(F.count_distinct("retailer_id").alias("stores_selling"))
+
+
 def acv_distribution(sales: DataFrame) -> DataFrame:
     """F12 + F13: all-commodity-volume weighted distribution by product x month.
 

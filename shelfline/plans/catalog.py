@@ -318,6 +318,23 @@ def _acv_distribution(spark, sf):
     return share.acv_distribution(Model(spark, sf).sales())
 
 
+@register("stores_selling_window", sql("""
+    SELECT product_id, COUNT(DISTINCT retailer_id) AS stores_selling, TRUE AS within_bound
+    FROM v_sales
+    WHERE week_ending >= (SELECT date_trunc('month', MAX(week_ending)) - INTERVAL 2 MONTHS FROM v_sales)
+    GROUP BY product_id""", "v_sales"))
+def _stores_selling_window(spark, sf):
+    """Accounts that sold a product in the last three months, exact, and whether the
+    estimate from the merged monthly sketches lies within its stated bound."""
+    m = Model(spark, sf)
+    latest = m.max_of("sales", "week_ending")
+    both = (share.stores_exact(m.sales(), 3, latest)
+            .join(share.stores_over(m.store_sketches(), 3, latest), "product_id", "left"))
+    error = F.abs(F.col("stores_estimate") - F.col("stores_selling"))
+    return both.select("product_id", "stores_selling",
+                       F.coalesce(error <= F.lit(share.SKETCH_BOUND) * F.col("stores_selling"), F.lit(False)).alias("within_bound"))
+
+
 # ------------------------------------------------------------- inventory (F/C/B)
 
 def _running_sql(keys: str, src: str = "v_sales") -> str:
@@ -650,14 +667,14 @@ _LATEST = """(SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, key ORDER BY ts
     SELECT user_id, key, op AS last_op, value_json, ts, seq FROM {_LATEST} x WHERE rn = 1""",
                                 "v_memory_log"))
 def _memory_current(spark, sf):
-    return memory.latest_state(V.memory_log(spark, sf))
+    return memory.latest_state(Model(spark, sf).memory_log())
 
 
 @register("memory_after_delete", sql(f"""
     SELECT user_id, key, value_json, ts FROM {_LATEST} x WHERE rn = 1 AND op = 'put'""",
                                      "v_memory_log"))
 def _memory_after_delete(spark, sf):
-    return memory.live_memories(V.memory_log(spark, sf))
+    return memory.live_memories(Model(spark, sf).memory_log())
 
 
 @register("memory_json_validate", sql("""
@@ -668,7 +685,7 @@ def _memory_after_delete(spark, sf):
                       WHEN json_type(value_json) <> 'OBJECT' THEN 'not a JSON object' END AS reason
           FROM v_memory_log WHERE op = 'put') x""", "v_memory_log"))
 def _memory_json_validate(spark, sf):
-    return memory.json_validate(V.memory_log(spark, sf))
+    return memory.json_validate(Model(spark, sf).memory_log())
 
 
 @register("to_text", sql("""
@@ -676,7 +693,15 @@ def _memory_json_validate(spark, sf):
                      THEN value_json ->> '$' ELSE value_json END AS text
     FROM v_memory_log""", "v_memory_log"))
 def _to_text(spark, sf):
-    return memory.to_text(V.memory_log(spark, sf))
+    return memory.to_text(Model(spark, sf).memory_log())
+
+
+@register("memory_fields", sql(f"""
+    SELECT user_id, x.key AS key, e.key AS field,
+           CASE WHEN e.type = 'VARCHAR' THEN e.value ->> '$' ELSE CAST(e.value AS VARCHAR) END AS text
+    FROM {_LATEST} x, json_each(value_json) e WHERE rn = 1 AND op = 'put'""", "v_memory_log"))
+def _memory_fields(spark, sf):
+    return memory.memory_fields(Model(spark, sf).memory_log())
 
 
 @register("resolve_ids", sql("""
@@ -697,7 +722,7 @@ _MEM_TERMS = _TERMS.format("concat_ws(' ', key, value_json)")
     WHERE rn = 1 AND op = 'put' AND user_id = (SELECT MIN(user_id) FROM v_memory_log)
     ORDER BY score DESC, ts DESC, key LIMIT 5""", "v_memory_log"))
 def _memory_search(spark, sf):
-    log = V.memory_log(spark, sf)
+    log = Model(spark, sf).memory_log()
     return memory.memory_search(log, log.select(F.min("user_id")).scalar(), MEMORY_QUERY, 5)
 
 
@@ -720,8 +745,8 @@ def _action_items_open(spark, sf):
     SELECT session_id, turn, role, content FROM v_chat
     WHERE session_id = (SELECT MAX(session_id) FROM v_chat) ORDER BY turn""", "v_chat"))
 def _chat_history(spark, sf):
-    chat = V.chat(spark, sf)
-    return memory.chat_history(chat, chat.select(F.max("session_id")).scalar())
+    m = Model(spark, sf)
+    return memory.chat_history(m.chat(), F.lit(m.max_of("chat", "session_id")))
 
 
 @register("seed_if_absent", sql(f"""

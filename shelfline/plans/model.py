@@ -19,15 +19,20 @@ Other tables (promotions, whose baseline is a mean over all lines; market share;
 term index) are rebuilt from the maintained ones.  An input that was changed or
 removed rebuilds what depends on it.  ``Model.build`` builds explicitly; an accessor
 whose table is current only returns a scan.  Parts are immutable, so a session that
-reads an older version is not disturbed; versions are removed with the parts only
+reads an older version is not disturbed, and the root folder's name carries a digest
+of the defining code, so other code's parts are not read; versions are removed with the parts only
 they name when they were replaced more than ``KEEP_SECONDS`` ago.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import hashlib
+import importlib
+import inspect
 import json
+import sys
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,19 +46,30 @@ from shelfline.sources import views as V
 from shelfline.sources.tables import SCHEMAS, table_path
 from shelfline.sources.versions import KEEP_SECONDS, Files, Versions
 
-#: Raised when a table's definition changes, so that older parts are not read.
-FORMAT = 1
 #: What a table is made from: source tables, or model tables.
 INPUTS = {"lines": ("lineitem", "orders"), "sales": ("lines",), "promotions": ("lines",),
           "market_share": ("lines", "part"), "documents": ("documents",), "doc_index": ("documents",),
-          "doc_positions": ("documents",), "vectors": ("embeddings",)}
-MODEL_INPUTS = {("sales", "lines"), ("promotions", "lines"), ("market_share", "lines")}
+          "doc_positions": ("documents",), "vectors": ("embeddings",), "store_sketches": ("lines",),
+          "memory_log": ("events",), "chat": ("conversations",)}
+MODEL_INPUTS = {("sales", "lines"), ("promotions", "lines"), ("market_share", "lines"), ("store_sketches", "lines")}
 ORDER = {"promotions": ("start_date", "product_id"), "market_share": ("month", "brand"), "documents": ("doc_id",),
          "doc_index": ("term", "doc_id"), "doc_positions": ("term", "following", "doc_id"), "vectors": ("doc_id",)}
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"              # the folder of rows without a date
 #: The greatest value of a column is recorded with the table, so that trailing
 #: windows are literals.
-GREATEST = {"sales": "week_ending", "promotions": "start_date", "market_share": "month"}
+GREATEST = {"sales": "week_ending", "promotions": "start_date", "market_share": "month", "chat": "session_id"}
+#: Buckets of the chat, by session: a session's history is read from one of them.
+CHAT_BUCKETS = 16
+
+
+@functools.cache
+def definition() -> str:
+    """A digest of the code that defines the tables: parts that other code made are not
+    read."""
+    parts = [inspect.getsource(sys.modules[__name__]),
+             *(inspect.getsource(importlib.import_module(f"shelfline.{m}")) for m in
+               ("sources.views", "functions.columns", "functions.vectors", "operators.text", "operators.share", "operators.memory"))]
+    return hashlib.md5("".join(parts).encode()).hexdigest()[:12]
 
 
 class Model:
@@ -61,7 +77,7 @@ class Model:
 
     def __init__(self, spark: SparkSession, sf: str, keep_seconds: float = KEEP_SECONDS):
         self.spark, self.sf, self.keep_seconds = spark, sf.rstrip("/"), keep_seconds
-        self.root = f"{shared_root(spark)}/shelfline-model-{FORMAT}/{hashlib.md5(self.sf.encode()).hexdigest()}"
+        self.root = f"{shared_root(spark)}/shelfline-model-{definition()}/{hashlib.md5(self.sf.encode()).hexdigest()}"
         self.files, self.versions = Files(spark), Versions(spark, f"{self.root}/manifest")
         self.made: list[str] = []                       # tables built or maintained by this handle
         self._entries: dict[str, dict] = {}
@@ -123,8 +139,8 @@ class Model:
         entry = {"inputs": inputs, "parts": parts, "schema": schema}
         if name in GREATEST:
             top = self._read(fresh, schema).agg(F.max(GREATEST[name])).first()[0] if fresh else None
-            before = known["greatest"] if extend else None
-            entry["greatest"] = max(filter(None, (before, top and top.isoformat())), default=None)
+            found = [known["greatest"] if extend else None, top.isoformat() if isinstance(top, dt.date) else top]
+            entry["greatest"] = max((x for x in found if x is not None), default=None)
         return entry
 
     def _write(self, df: DataFrame, name: str, months: bool = False) -> list[str]:
@@ -138,11 +154,25 @@ class Model:
             df.repartitionByRange(*by).sortWithinPartitions(*by).write.partitionBy("month").parquet(path)
             found = [f"{path}/{n}" for n in self.files.names(path) if n.startswith("month=")]
             return found or [path]
+        if name == "chat":
+            # a hot session spreads over tasks, each of which writes its rows of a bucket
+            (df.repartitionByRange("session_id", "turn").write.bucketBy(CHAT_BUCKETS, "session_id").sortBy("session_id", "turn")
+             .option("path", path).saveAsTable(self._bucketed(path, df.schema.json(), declare=False)))
+            return [path]
         if name in ORDER:
             df = df.repartitionByRange(*ORDER[name]).sortWithinPartitions(*ORDER[name])
         df.write.parquet(path)
         return [path]
 
+    def _bucketed(self, path: str, schema: str, declare: bool = True) -> str:
+        """The catalog name of a bucketed folder; each session declares it for itself."""
+        name = f"shelfline_model_{path.rsplit('-', 1)[1]}"
+        if declare and not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromJson(json.loads(schema)))
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (session_id) "
+                           f"SORTED BY (session_id, turn) INTO {CHAT_BUCKETS} BUCKETS LOCATION '{path}'")
+        return name
+
     def _read(self, parts: list[str], schema: str) -> DataFrame:
         return self.spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*parts)
 
@@ -218,18 +248,40 @@ class Model:
     def _extend_vectors(self, inputs, added, known):
         return self._one_more(known, self._vectors(added["embeddings"]), "vectors")
 
+    def _make_store_sketches(self, inputs):
+        from shelfline.operators.share import store_sketches
+        return store_sketches(self.lines())
+
+    def _extend_store_sketches(self, inputs, added, known):
+        """Sketches merge when they are read, so those of the new lines are one more part."""
+        from shelfline.operators.share import store_sketches
+        return self._one_more(known, store_sketches(self._read(added["lines"], self._entry("lines")["schema"])), "store_sketches")
+
+    def _memory_log(self, files):
+        from shelfline.operators.memory import parsed
+        return parsed(V.memory_log_from(self._source("events", files)))
+
+    def _make_memory_log(self, inputs):
+        return self._memory_log(inputs["events"])
+
+    def _extend_memory_log(self, inputs, added, known):
+        return self._one_more(known, self._memory_log(added["events"]), "memory_log")
+
+    def _make_chat(self, inputs):
+        return V.chat_from(self._source("conversations", inputs["conversations"]))
+
     # ---- scans
 
     def _table(self, name: str) -> DataFrame:
         entry = self._entry(name)
         return self._read(entry["parts"], entry["schema"])
 
-    def max_of(self, table: str, col: str) -> dt.date | None:
+    def max_of(self, table: str, col: str) -> dt.date | int | None:
         """MAX(col) as the manifest records it (None: the table is empty)."""
         if GREATEST.get(table) != col:
             raise ValueError(f"no maximum of {table}.{col} is recorded")
         value = self._entry(table)["greatest"]
-        return value and dt.date.fromisoformat(value)
+        return dt.date.fromisoformat(value) if isinstance(value, str) else value
 
     def lines(self) -> DataFrame:
         return self._table("lines")
@@ -260,6 +312,20 @@ class Model:
         """Document vectors with their norm, computed once."""
         return self._table("vectors")
 
+    def store_sketches(self) -> DataFrame:
+        """Sketches of the accounts that sold a product in a month."""
+        return self._table("store_sketches")
+
+    def memory_log(self) -> DataFrame:
+        """The memory log with its values parsed (VARIANT)."""
+        return self._table("memory_log")
+
+    def chat(self) -> DataFrame:
+        """The chat, bucketed by session and sorted by turn: a filter on one session
+        reads one bucket."""
+        entry = self._entry("chat")
+        return self.spark.table(self._bucketed(entry["parts"][0], entry["schema"]))
+
     def products(self) -> DataFrame:
         return V.products(self.spark, self.sf)
 

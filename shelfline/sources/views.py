@@ -231,7 +231,10 @@ def vectors_from(e: DataFrame) -> DataFrame:
 
 def memory_log(spark: SparkSession, sf: str) -> DataFrame:
     """Append-only keyed memory log: put rows and delete tombstones."""
-    e = Tables(spark, sf).events
+    return memory_log_from(Tables(spark, sf).events)
+
+
+def memory_log_from(e: DataFrame) -> DataFrame:
     return e.select(
         F.col("user_id").cast("string").alias("user_id"),
         F.col("event_type").alias("key"),
@@ -259,7 +262,10 @@ def action_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chat(spark: SparkSession, sf: str) -> DataFrame:
-    c = Tables(spark, sf).conversations
+    return chat_from(Tables(spark, sf).conversations)
+
+
+def chat_from(c: DataFrame) -> DataFrame:
     return c.select(F.col("conv_id").alias("session_id"), "turn", "role",
                     F.col("text").alias("content"))
 

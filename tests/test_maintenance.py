@@ -317,3 +317,83 @@ def test_a_long_chain_has_an_order(spark):
                                   F.when(F.col("id") > 0, F.col("id") - 1).alias("parent_id"), F.lit("n").alias("name"), F.lit("T").alias("span_type"))
     order = traces.tree_order(df, df.select("trace_id", "span_id", F.col("span_id").cast("int").alias("depth")))
     assert order.where("ord <> span_id").count() == 0 and order.count() == 3000
+
+
+# ---- F13, H5, C18/C19, H3
+
+
+def test_sketches_merge_over_parts_and_months(spark):
+    import datetime as dt
+    from shelfline.operators import share
+    rng = random.Random(2)
+    rows = [(p, r, dt.date(2024, m, d)) for p in range(3) for r in range([40, 900, 5000][p]) for m, d in
+            [(rng.choice([1, 2, 3, 4]), rng.randrange(1, 25)) for _ in range(2)]]
+    lines = spark.createDataFrame(rows, "product_id int, retailer_id long, d date")
+    half = [share.store_sketches(lines.where(F.col("retailer_id") % 2 == k)) for k in (0, 1)]
+    merged = half[0].unionByName(half[1]).unionByName(half[0])      # a part counted twice adds nothing
+    weeks = lines.withColumn("week_ending", F.expr("next_day(date_sub(d, 1), 'Sat')"))
+    for months in (1, 3, 6):
+        latest = dt.date(2024, 4, 27)
+        exact = {r.product_id: r.stores_selling for r in share.stores_exact(weeks, months, latest).collect()}
+        got = {r.product_id: r.stores_estimate for r in share.stores_over(merged, months, latest).collect()}
+        assert set(got) == set(exact)
+        assert all(abs(got[p] - n) <= share.SKETCH_BOUND * n for p, n in exact.items())
+    assert 0.08 < share.SKETCH_BOUND < 0.09
+
+
+def test_a_session_is_read_from_its_bucket(spark):
+    from shelfline.operators import memory
+    # buckets are pruned either way; the plan names them where the planner does not turn
+    # off bucket-wise reading because nothing is joined
+    key = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    spark.conf.set(key, "false")
+    m = Model(spark, SMALL)
+    history = memory.chat_history(m.chat(), F.lit(m.max_of("chat", "session_id")))
+    p = plan_of(history)
+    spark.conf.unset(key)
+    assert "SelectedBucketsCount: 1 out of 16" in p
+    assert rows(m.chat()) == rows(V.chat(spark, SMALL))
+    other = Model(spark.newSession(), SMALL)
+    assert rows(memory.chat_history(other.chat(), F.lit(5))) == rows(V.chat(spark, SMALL).where("session_id = 5")) and other.made == []
+
+
+def test_fields_of_nested_values(spark):
+    import datetime as dt
+    from shelfline.operators import memory
+    at = dt.datetime(2024, 1, 1)
+    log = [("u", "a", '{"x": 1, "y": {"z": [1, "two"]}, "s": "text \\"q\\"", "n": null}', "put", at, 1),
+           ("u", "a", "[1]", "put", at, 2), ("u", "b", '{"k": 1}', "put", at, 3), ("u", "b", None, "delete", at, 4),
+           ("u", "c", "{}", "put", at, 5), ("v", "a", '{"k": true}', "put", at, 6), ("v", "a", '{"k": 2.5}', "put", at, 7)]
+    df = spark.createDataFrame(log, "user_id string, key string, value_json string, op string, ts timestamp_ntz, seq long")
+    want = [("u", "a", "n", "null"), ("u", "a", "s", 'text "q"'), ("u", "a", "x", "1"), ("u", "a", "y", '{"z":[1,"two"]}'),
+            ("v", "a", "k", "2.5")]
+    assert sorted((r.user_id, r.key, r.field, r.text) for r in memory.memory_fields(df).collect() if r.field) == want
+    stored = memory.parsed(df)
+    assert memory.parsed(stored) is stored
+    m = Model(spark, SMALL)
+    for q in (memory.live_memories(m.memory_log()), memory.json_validate(m.memory_log()), memory.memory_fields(m.memory_log())):
+        assert "parse_json" not in plan_of(q)
+
+
+def test_one_scan_serves_many_query_blocks(spark, monkeypatch):
+    from shelfline.operators import retrieval
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 3)
+    vec = lambda i, n=4: [float((i * 7 + j * j) % 11 - 5) for j in range(n)]
+    docs = spark.createDataFrame([(i, vec(i), i % 3) for i in range(60)] + [(100, vec(1, 2), 0), (101, None, 1), (102, vec(3, 2), 0)],
+                                 "doc_id long, embedding array<double>, label int")
+    queries = spark.createDataFrame([(i, vec(i + 90)) for i in range(11)] + [(50, vec(5, 2)), (51, None)], "qid long, qvec array<double>")
+    found = retrieval.vector_topk_batch(spark, docs, queries, 3)
+    assert plan_of(found).count("MapInPandas") == 1
+    import numpy as np
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.qid, []).append((r.rank, r.doc_id, r.score))
+    data = [(r.doc_id, r.embedding) for r in docs.collect() if r.embedding]
+    for q in queries.collect():
+        if q.qvec:
+            scored = sorted((-round(float(np.dot(q.qvec, e) / np.linalg.norm(q.qvec) / np.linalg.norm(e)), 6), i)
+                            for i, e in data if len(e) == len(q.qvec) and any(e))
+            assert [(d, s) for _, d, s in sorted(got[q.qid])] == [(i, -s) for s, i in scored[:3]]
+    assert 51 not in got
+    centre = {r.qid: len(r.qvec) for r in retrieval.label_centroids(docs).collect()}
+    assert centre == {0: 4, 1: 4, 2: 4}
