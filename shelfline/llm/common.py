@@ -3,8 +3,11 @@ folder, the held-out fold and ASCII-exact word splitting."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,10 @@ from shelfline.sources.tables import table_path
 #: of a worker when texts are long).
 SLICE_ROWS = 256
 
+#: Bytes of a batch of rows on its way to Python.
+BATCH_BYTES = 6 << 20
+_BATCH, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 FOLDS = 5
 
 
@@ -31,8 +38,23 @@ def session_of(df: DataFrame) -> SparkSession:
 
 
 def prepare_python(spark: SparkSession) -> None:
-    """Make this package importable in the executors' Python workers."""
+    """Make this package importable in the executors' Python workers, and let rows go
+    to them in batches of BATCH_BYTES (unless the session says otherwise), so that a
+    worker's memory does not depend on how long the texts are."""
     ship_package(spark)
+    if spark.conf.get(_BATCH, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
+def release() -> None:
+    """Give freed memory back to the system.  An executor's Python workers outlive
+    their tasks and wait, idle, beside the JVM; so does the driver's Python."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):                   # another C library
+        pass
 
 
 class Scratch:

@@ -25,15 +25,18 @@ arise as only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import gc
+import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import Scratch, documents, prepare_python
+from shelfline.llm.common import Scratch, documents, prepare_python, release
 
 LENGTH = 4096
 END = 2
@@ -43,13 +46,14 @@ STEPS = 16
 #: number of sequences that could hold all tokens.
 GAP = 1e-3
 MAX_COLUMNS = 4000
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 1_000_000
+#: Bytes of text that are tokenised together; a word is encoded once for them.
+SLICE_BYTES = 12 << 20
 #: A table of pieces a task and class is broadcast up to this many rows.
 BROADCAST_ROWS = 200_000
+#: Signs that are a part of their own after a word.
+MARKS = tuple(".,;:!?")
 
-PIECE_SCHEMA = ("doc_id string, start long, length long, doc_tokens long, cls int, part int, "
-                "local long, tokens binary")
+PIECE_SCHEMA = "doc_id long, start long, length long, doc_tokens long, cls int, part int, local long"
 
 
 def standard_lengths(length: int = LENGTH, steps: int = STEPS) -> list[int]:
@@ -77,11 +81,11 @@ def cuts(n: int, lengths: list[int]) -> list[int]:
 # ---- tokens
 
 
-class WordIds(dict):
-    """Ids of a word as little-endian bytes; the tokenizer drops white space
-    before it encodes, so a text's ids are those of its words in turn.  A word
-    of Latin letters is looked up by the parts that the tokenizer's own pattern
-    cuts it into, any other word is encoded whole."""
+class WordIds:
+    """Ids of words.  The tokenizer drops white space before it encodes, so a
+    text's ids are those of its words in turn.  A word of Latin letters has the ids
+    of the parts that the tokenizer's own pattern cuts it into, any other word is
+    encoded whole.  Nothing is remembered from one call to the next."""
 
     def __init__(self, path: str | None = None):
         import os
@@ -97,18 +101,24 @@ class WordIds(dict):
         # fixed value: the vocabulary's split pattern, after lower-casing
         self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
 
-    def learn(self, words: set[str]) -> None:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        new = [w for w in words if w not in self]
-        cut = {w: self.parts(w.lower()) for w in new if w.isascii() or (max(w) < "\u0250" and "\u0130" not in w)}
-        whole = [w for w in new if w not in cut]
-        for w, e in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
-            self[w] = np.array(e.ids, "<u4").tobytes()
-        parts = list({p for found in cut.values() for p in found if p not in self})
-        self.update(zip(parts, self.ids_of(parts)))
-        for w, found in cut.items():
-            self[w] = b"".join([self[p] for p in found])
+    def cut(self, word: str) -> tuple[str, ...] | list[str]:
+        low = word.lower()
+        if low.isalpha():
+            return (low,)
+        if low[-1:] in MARKS and low[:-1].isalpha():
+            return low[:-1], low[-1]
+        return self.parts(low)
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words as little-endian bytes."""
+        cut = {w: self.cut(w) for w in words if w.isascii() or (max(w) < "\u0250" and "\u0130" not in w)}
+        parts = list({p for found in cut.values() for p in found})
+        known = dict(zip(parts, self.ids_of(parts)))
+        whole = [w for w in words if w not in cut]
+        coded = self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)
+        other = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(whole, coded)}
+        return [other[w] if w in other else known[cut[w][0]] if len(cut[w]) == 1 else
+                b"".join([known[p] for p in cut[w]]) for w in words]
 
     def ids_of(self, parts: list[str]) -> list[bytes]:
         """Ids of single parts: all encoded in one text and cut at the ids that
@@ -120,9 +130,22 @@ class WordIds(dict):
         return [data[i:j] for i, j in zip(ends, ends[1:])]
 
     def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        self.learn(set(words))
-        return b"".join([self[w] for w in words])
+        ids, _ = self.encode_all(pa.array([text]))
+        return ids.tobytes()
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and where each text's begin (with
+        the end).  Words are told apart and put together again in Arrow and NumPy;
+        Python meets each distinct word once."""
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        found = self.words(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts, which = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        n = sizes[which]
+        ends = np.cumsum(n)
+        at = np.repeat(starts[which] - (ends - n), n) + np.arange(n.sum())
+        return np.frombuffer(b"".join(found), "<u4")[at], np.r_[0, ends][split.offsets.to_numpy()]
 
 
 _IDS: dict = {}
@@ -134,39 +157,55 @@ def word_ids(path: str | None) -> WordIds:
     return _IDS[path]
 
 
-def _pieces_fn(path: str | None, lengths: list[int]):
-    end = np.array([END], "<u4").tobytes()
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of SLICE_BYTES or less (a longer text is one range)."""
+    sizes = pc.binary_length(texts).to_numpy()
+    ends, lo = np.cumsum(sizes), 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE_BYTES, "right")))
+        yield lo, hi
+        lo = hi
+
+
+def _pieces_fn(path: str | None, lengths: list[int], content, kind: pa.DataType):
     cls = {n: i for i, n in enumerate(lengths)}
-    names = [c.split()[0] for c in PIECE_SCHEMA.split(", ")]
+    end = np.array([END], "<u4").tobytes()
+    names = [*(c.split()[0] for c in PIECE_SCHEMA.split(", ")), "content"]
+    kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64(), kind]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, ids, used = TaskContext.get().partitionId(), word_ids(path), [0] * len(lengths)
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                tokens = ids.encode(text or "") + end
-                n, at = len(tokens) // 4, 0
-                for m in cuts(n, lengths):
-                    c = cls[m]
-                    rows.append((doc_id, at, m, n, c, part, used[c], tokens[4 * at:4 * (at + m)]))
-                    used[c] += 1
-                    at += m
-                if len(rows) >= 4000:
-                    yield pd.DataFrame(rows, columns=names)
+        gc.disable()                                    # many words at once, and no cycles among them
+        try:
+            for batch in batches:
+                doc_ids, texts = batch.column("doc_id"), pc.fill_null(batch.column("text"), "")
+                for lo, hi in _slices(texts):
+                    found, edges = ids.encode_all(texts.slice(lo, hi - lo))
                     rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=names)
+                    for doc_id, a, b in zip(doc_ids.slice(lo, hi - lo).to_pylist(), edges.tolist(), edges[1:].tolist()):
+                        tokens, at = found[a:b].tobytes() + end, 0
+                        for m in cuts(b - a + 1, lengths):
+                            c = cls[m]
+                            rows.append((doc_id, at, m, b - a + 1, c, part, used[c], content(tokens[4 * at:4 * (at + m)])))
+                            used[c] += 1
+                            at += m
+                    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names)
+        finally:
+            gc.enable()
+            release()
     return run
 
 
-def pieces(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, checksums: bool = False) -> DataFrame:
     """Pieces of all documents, with the task that made a piece and the piece's
-    place among those of its class there.  Write it before reading it twice."""
+    place among those of its class there; with their ``tokens`` (little-endian 32-bit
+    ids) or those tokens' ``ids_crc32`` alone.  Write it before reading it twice."""
     prepare_python(docs.sparkSession)
-    return (docs.select(F.col("doc_id").cast("string"), F.col("text").cast("string"))
-            .mapInPandas(_pieces_fn(tokenizer, standard_lengths(length)), PIECE_SCHEMA)
-            .withColumn("doc_id", F.col("doc_id").cast("long")))  # a text in between: pandas has no null long
+    made = _pieces_fn(tokenizer, standard_lengths(length), *((zlib.crc32, pa.int64()) if checksums else (bytes, pa.binary())))
+    schema = f"{PIECE_SCHEMA}, content {'long' if checksums else 'binary'}"
+    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(made, schema)
+            .withColumnRenamed("content", "ids_crc32" if checksums else "tokens"))
 
 
 # ---- patterns
@@ -332,10 +371,11 @@ def place(cut: DataFrame, length: int = LENGTH) -> DataFrame:
             .drop("_c", "_p", "_before", "_first", "_ranks", "_each", "_sequence", "_at"))
 
 
-def cut_documents(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) -> DataFrame:
+def cut_documents(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH,
+                  checksums: bool = False) -> DataFrame:
     """The written table of pieces."""
     scratch = Scratch(docs.sparkSession, "pieces")
-    return scratch.write(pieces(docs, tokenizer, length), "pieces")
+    return scratch.write(pieces(docs, tokenizer, length, checksums), "pieces")
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) -> DataFrame:
@@ -353,8 +393,8 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def placements(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """The digest rows of ``pack``: ids as a checksum."""
-    cut = cut_documents(docs, tokenizer).withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
+    """The digest rows of ``pack``: ids as a checksum, taken where they are made."""
+    cut = cut_documents(docs, tokenizer, checksums=True)
     return place(cut).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
