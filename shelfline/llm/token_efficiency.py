@@ -24,6 +24,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -43,7 +44,7 @@ MIN_VALUE, MIN_ACCESS = 12, 18
 
 #: Runs the token test looks at, and the most characters per token of a random
 #: one.  Prose has 3 to 5 characters a token, random base64 under 2.
-MIN_RUN = 20
+MIN_RUN = 16
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
 MAX_CHARS_PER_TOKEN = 2.0
 DIGEST_LENGTHS = frozenset({32, 40, 48, 56, 64, 96, 128})
@@ -56,6 +57,8 @@ _WORD = re.compile(r"[A-Za-z]*[aeiouyAEIOUY][A-Za-z]*|[0-9]{1,4}")
 _NO_WORD = re.compile(r"[b-df-hj-np-tv-xzB-DF-HJ-NP-TV-XZ]{5}|[A-Za-z]{20}")
 _PIECE = re.compile(r"[^/_=-]+")
 _UUID_INSIDE = re.compile(rf"(?<![0-9A-Za-z]){_UUID.pattern}(?![0-9A-Za-z])")
+#: Characters of a sliding window over a longer run.
+WINDOW = 20
 #: A sliding window has at most so many separators and at least so many letters
 #: (dates and version numbers have few characters a token, too); a piece of so
 #: many characters that is known parts what windows slide over.
@@ -93,30 +96,53 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return sorted(found, key=lambda f: (f[0], KINDS.index(f[1])))
 
 
-def _outside(a: int, b: int, spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """The parts of a..b of at least MIN_RUN that no span meets."""
-    for x, y in [*sorted(s for s in spans if s[0] < b and a < s[1]), (b, b)]:
-        if x - a >= MIN_RUN:
-            yield a, x
-        a = max(a, y)
+class Gaps:
+    """What spans leave free.  Spans are merged once; a question then costs what lies
+    in its range, so a text with very many runs and spans takes linear time."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for x, y in sorted(spans):
+            if self.ends and x <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], y)
+            else:
+                self.starts.append(x)
+                self.ends.append(y)
+
+    def within(self, a: int, b: int, least: int) -> Iterator[tuple[int, int]]:
+        """The parts of a..b of at least ``least`` that no span meets."""
+        i = bisect_right(self.ends, a)
+        while a < b:
+            x, y = (self.starts[i], self.ends[i]) if i < len(self.starts) else (b, b)
+            if min(x, b) - a >= least:
+                yield a, min(x, b)
+            a, i = max(a, y), i + 1
 
 
 def _dense(run: str, encode, most: float = MAX_CHARS_PER_TOKEN) -> bool:
     return len(run) <= most * len(encode(run)) and not known(run)
 
 
+def _window(run: str, encode) -> bool:
+    """Whether a run of at most WINDOW characters is random by itself.  Letters of one
+    case are judged in WINDOW characters only: a shorter compound is too often dense."""
+    one_case = not any(c.isdigit() for c in run) and (run[1:].islower() or run.isupper())
+    if one_case and len(run) < WINDOW:
+        return False
+    return (sum(c in "/_=-" for c in run) <= MAX_SEPARATORS and sum(c.isalpha() for c in run) >= MIN_LETTERS
+            and _dense(run, encode, MAX_ONE_CASE if one_case else MAX_CHARS_PER_TOKEN))
+
+
 def _windows(run: str, encode) -> list[tuple[int, int]]:
-    """Unions of the random windows of MIN_RUN characters."""
+    """Unions of the random windows of WINDOW characters."""
     out: list[tuple[int, int]] = []
-    for a in range(len(run) - MIN_RUN + 1):
-        window = run[a:a + MIN_RUN]
-        one_case = not any(c.isdigit() for c in window) and (window[1:].islower() or window.isupper())
-        if (sum(c in "/_=-" for c in window) <= MAX_SEPARATORS and sum(c.isalpha() for c in window) >= MIN_LETTERS
-                and _dense(window, encode, MAX_ONE_CASE if one_case else MAX_CHARS_PER_TOKEN)):
+    for a in range(len(run) - WINDOW + 1):
+        if _window(run[a:a + WINDOW], encode):
             if out and a <= out[-1][1]:
-                out[-1] = out[-1][0], a + MIN_RUN
+                out[-1] = out[-1][0], a + WINDOW
             else:
-                out.append((a, a + MIN_RUN))
+                out.append((a, a + WINDOW))
     return out
 
 
@@ -124,25 +150,26 @@ def random_parts(run: str, encode) -> list[tuple[int, int]]:
     """The random spans of a run: the whole, else its pieces and windows."""
     if known(run):
         return []
-    if _dense(run, encode):
+    if (_window if len(run) < WINDOW else _dense)(run, encode):
         return [(0, len(run))]
     uuids = [m.span() for m in _UUID_INSIDE.finditer(run)]
     found, words = [], []
-    for a, b in _outside(0, len(run), uuids):
+    for a, b in Gaps(uuids).within(0, len(run), MIN_RUN):
         for m in _PIECE.finditer(run, a, b):
-            if m.end() - m.start() >= MIN_RUN and _dense(m.group(), encode):
+            n = m.end() - m.start()
+            if n >= MIN_RUN and (_window if n < WINDOW else _dense)(m.group(), encode):
                 found.append(m.span())
             elif m.end() - m.start() >= MIN_KNOWN_PIECE and known(m.group()):
                 words.append(m.span())
-    for a, b in _outside(0, len(run), uuids + found + words):
+    for a, b in Gaps(uuids + found + words).within(0, len(run), WINDOW):
         found += [(a + x, a + y) for x, y in _windows(run[a:b], encode)]
     return sorted(found)
 
 
 def random_spans(text: str, base: list, encode) -> list[tuple[int, str, int]]:
-    out, spans = [], [(s, e) for s, _, e in base]
+    out, gaps = [], Gaps([(s, e) for s, _, e in base])
     for m in RUN.finditer(text):
-        for a, b in _outside(*m.span(), spans):
+        for a, b in gaps.within(*m.span(), MIN_RUN):
             out += [(a + x, "random", a + y) for x, y in random_parts(text[a:b], encode)]
     return out
 
