@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import documents, held_out, labels, prepare_python
+from shelfline.llm.common import documents, held_out, labels, prepare_python, release
 from shelfline.llm.learning import labelled_sample, logistic, sigmoid
 
 MAX_TRAIN = 3000
@@ -55,7 +55,7 @@ EPOCHS, BATCH, RATE, L2 = 8, 256, 0.3, 1e-5
 THRESHOLD = 0.5
 #: Marginal from which a token's offsets are reported.
 SPAN_MARGINAL = 0.5
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 
 _TOKEN = re.compile(r"\S+")
 _SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¡¿«»“”‘’…–—"
@@ -364,7 +364,10 @@ def train_on(docs: DataFrame, labelled: DataFrame, target: str = "toxic", most:
     # at most ``most`` labelled documents
     got = labelled_sample(docs, labelled, target, most).toPandas().sort_values("doc_id", kind="stable")
     got = got.drop_duplicates("text")
-    return train([t or "" for t in got["text"]], got["y"].to_numpy(int))
+    model = train([t or "" for t in got["text"]], got["y"].to_numpy(int))
+    del got
+    release()
+    return model
 
 
 _SCHEMA = "score double, spans array<struct<start:int,end:int,marginal:double>>"
@@ -395,6 +398,7 @@ def toxicity(docs: DataFrame, model: Model, text: str = "text", column: str = "_
                 some = texts.iloc[lo:lo + 256].tolist()
                 rows = [(s, spans_of(t, f)) for t, (s, f) in zip(some, m.of(some))]
                 yield pd.DataFrame(rows, columns=["score", "spans"])
+        release()
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return docs.withColumn(column, F.pandas_udf(run, _SCHEMA)(F.col(text)))
 
@@ -409,4 +413,6 @@ def op6_crf(spark, sf_dir):
     scored = toxicity(docs, train_on(docs, labels(spark, sf_dir)))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_crf_toxic.score").alias("score"),
                          (F.col("_crf_toxic.score") >= THRESHOLD).cast("int").alias("predicted"),
-                         F.size("_crf_toxic.spans").alias("n_spans"))
+                         F.size("_crf_toxic.spans").alias("n_spans"),
+                         F.array_join(F.transform("_crf_toxic.spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+                         .alias("spans"))
