@@ -8,10 +8,11 @@ end to end are one random order of all records; shard ``s`` of ``S`` holds the
 records whose index ``i`` has ``floor(i * S / N) = s`` (law ``rows``: counts
 differ by at most one, whatever the keys are).
 
-The hash takes the key, the text's hash and the record's place in the input
-scan, so a key or a text that holds a third of all rows is scattered as evenly
-as any other.  The input should be a deterministic scan (a table); cut the
-lineage of a computed frame first.
+The hash takes all columns of the record and, among equal records, a running
+number, so a key or a text that holds a third of all rows is scattered as evenly
+as any other, and the same records take the same places however they are spread
+over files and tasks.  Equal records are numbered by counting them and making
+that many again, in chunks that spread over tasks.
 
 Defined cases: null key or text are ordinary values (a null text has no
 bytes); an empty table gives an empty result; repeated rows each get a slot of
@@ -34,6 +35,8 @@ MIN_BUCKETS = 64
 #: Offsets are one 16-byte row a bucket: broadcast up to this many buckets.
 BROADCAST_BUCKETS = 1_000_000
 GROUP = 4096
+#: Equal records that one task makes again at a time.
+CHUNK = 1000
 
 ADDED = ("size", "law", "shard", "slot", "grown_shard")
 
@@ -53,6 +56,24 @@ def _offsets(written: DataFrame) -> DataFrame:
         "_bucket", (F.col("_base") + F.col("_inside")).alias("_offset"))
 
 
+def _numbered(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """``rows`` (_row, _hash) with ``_place``, the number of a row among its equals (0 for
+    most).  Rows whose hash repeats are counted (partially aggregated) and made again:
+    chunks of ``CHUNK`` copies are dealt to tasks, which spell them out."""
+    repeated = scratch.write(rows.groupBy("_hash").count().where("count > 1").select("_hash"), "repeated")
+    few = repeated.count()
+    if not few:
+        return rows.withColumn("_place", F.lit(0).cast("long"))
+    ids = F.broadcast(repeated) if few <= BROADCAST_BUCKETS else repeated
+    counted = (rows.join(ids, "_hash", "left_semi").groupBy("_hash", "_row").agg(F.count(F.lit(1)).alias("_n"))
+               .select("*", F.explode(F.sequence(F.lit(0), F.expr(f"(_n - 1) div {CHUNK}"))).alias("_chunk"))
+               .repartition("_hash", "_chunk"))
+    again = counted.select("_row", "_hash", F.explode(F.sequence(
+        F.col("_chunk") * CHUNK, F.least((F.col("_chunk") + 1) * CHUNK, F.col("_n")) - 1)).alias("_place"))
+    return rows.join(ids, "_hash", "left_anti").withColumn("_place", F.lit(0).cast("long")).select(
+        "_row", "_hash", "_place").unionByName(again)
+
+
 def external_shuffle(df: DataFrame, key: str = "doc_id", text: str = "text",
                      n_shards: int = SHARDS, seed: int = SEED,
                      bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -66,12 +87,11 @@ def external_shuffle(df: DataFrame, key: str = "doc_id", text: str = "text",
     n_buckets = max(MIN_BUCKETS, -(-total // bucket_bytes))
 
     payload = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    mixed = F.xxhash64(F.lit(seed), F.col(f"_row.{key}"), F.xxhash64(f"_row.{text}"), F.col("_place"))
-    scattered = (rows.select(payload.alias("_row"), F.monotonically_increasing_id().alias("_place"))
-                 .select("_row", mixed.alias("_mixed"))
-                 .withColumn("_bucket", F.pmod(F.col("_mixed"), F.lit(n_buckets)))
-                 .repartition(n_buckets, "_bucket")
-                 .sortWithinPartitions("_bucket", "_mixed"))
+    numbered = _numbered(rows.select(payload.alias("_row"), F.xxhash64(payload).alias("_hash")), scratch)
+    scattered = (numbered.select("_row", F.xxhash64(F.lit(seed), "_hash", "_place").alias("_mixed"))
+                 .withColumn("_bucket", F.pmod(F.col("_mixed"), F.lit(n_buckets)).cast("int"))
+                 .repartitionById(n_buckets, "_bucket")           # one bucket a task
+                 .sortWithinPartitions("_mixed"))
     shuffled = (scattered.groupBy("_bucket")
                 .agg(F.shuffle(F.collect_list("_row"), seed).alias("_rows"))
                 .select("_bucket", F.posexplode("_rows").alias("_pos", "_row")))
