@@ -4,9 +4,9 @@ The list holds rules: a host and a path prefix with an action.  Spark hashes
 each rule's string (xxhash64), range-partitions the rules by digest and
 writes each range as one slice: sorted digests, the full strings, their
 actions.  The slices are shipped to the executors as files and memory-mapped
-there.  A url's candidate strings (every suffix of its host at a dot, times
-every path prefix of a length that occurs in the list) are hashed and probed by
-vectorised binary search; a digest that matches counts only if the stored
+there.  A url's candidate strings (for each pair of a number of host labels and a
+path length that occurs in the list, the host's last labels and the path's prefix)
+are hashed and probed by vectorised binary search; a digest that matches counts only if the stored
 string is equal, so collisions decide nothing.  Of the rules that fit, the least
 ``rank`` wins (an optional column, 0 if absent), then the longest.
 
@@ -15,8 +15,9 @@ slice and no list passes through the driver.
 
 Defined cases: a null url, or one without ``://``, has empty host and path and
 fits no rule; rules with a null or empty host or a null action are dropped, a
-null path is the empty prefix; of equal rules the least (rank, action) counts; an empty list or an empty table of urls is fine; repeated urls
-are judged each on their own; other columns are not read.
+null path is the empty prefix; of equal rules the least (rank, action) counts; an empty
+list or an empty table of urls is fine; repeated urls are judged each on their own; urls
+of any length are judged whole; other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ SEED = 42
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _SLICE_SCHEMA = ("n long, digests binary, ends binary, strings binary, action_ends binary, "
-                 "actions binary, path_lengths array<int>")
+                 "actions binary, shapes array<struct<labels:int,path:int>>")
 
 
 def url_parts(url):
@@ -68,7 +69,7 @@ def _slice(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({
         "n": [len(rows)], "digests": [rows["digest"].to_numpy(np.int64).tobytes()], "ends": [ends],
         "strings": [strings], "action_ends": [action_ends], "actions": [actions],
-        "path_lengths": [sorted(set(rows["path_length"].astype(int)))]})
+        "shapes": [[{"labels": a, "path": b} for a, b in sorted(set(zip(rows["labels"].tolist(), rows["path_length"].tolist())))]]})
 
 
 class DigestArray:
@@ -89,7 +90,8 @@ class DigestArray:
                          F.struct(rank.cast("int").alias("rank"), F.col("action").alias("action")).alias("say"))
                  .groupBy("key", "path_length").agg(F.min("say").alias("say"))
                  .select("key", "path_length", F.concat_ws("\t", "say.rank", "say.action").alias("action"),
-                         F.xxhash64("key").alias("digest")))
+                         F.xxhash64("key").alias("digest"),
+                         F.size(F.split(F.expr("substring(key, 1, length(key) - path_length)"), r"\.")).alias("labels")))
         scratch = Scratch(spark, "digest-array")
         keyed = scratch.write(keyed, "rules")
         n = max(1, -(-keyed.count() // SLICE_RULES))
@@ -137,19 +139,20 @@ def _open(name: str) -> tuple:
         r = row[0] if row else None
         _OPEN[name] = (_mapped(r["digests"], np.int64), _mapped(r["ends"], np.int64),
                        _mapped(r["strings"], np.uint8), _mapped(r["action_ends"], np.int64),
-                       _mapped(r["actions"], np.uint8), tuple(r["path_lengths"])) if r else ()
+                       _mapped(r["actions"], np.uint8), tuple((x["labels"], x["path"]) for x in r["shapes"])) if r else ()
     return _OPEN[name]
 
 
-def candidates(host: str, path: str, path_lengths) -> list[str]:
-    """Rule strings that would fit the url, longest first."""
+def candidates(host: str, path: str, shapes) -> list[str]:
+    """Rule strings that would fit the url, longest first.  ``shapes``: the (host
+    labels, path length) of the list's rules; no other string can be in it, so a very
+    long host or path makes no more candidates than another."""
     if not host:
         return []
-    labels = host.split(".")
-    hosts = [".".join(labels[i:]) for i in range(len(labels))]
-    prefixes = [path[:n] for n in sorted(path_lengths, reverse=True) if n <= len(path)]
-    found = [h + p for h in hosts if h for p in prefixes]
-    return sorted(found, key=len, reverse=True)
+    labels = host.rsplit(".", max((n for n, _ in shapes), default=0))
+    most = len(labels) if len(labels) <= max((n for n, _ in shapes), default=0) else len(labels) - 1
+    found = {".".join(labels[-n:]) + path[:m] for n, m in shapes if n <= most and m <= len(path)}
+    return sorted(found - {""}, key=len, reverse=True)
 
 
 def _field(ends: np.ndarray, data: np.ndarray, i: int) -> bytes:
@@ -175,11 +178,11 @@ def probe(keys: list[bytes], slices: list[tuple]) -> list[str | None]:
 def _match_column(names: list[str]):
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         slices = [s for s in map(_open, names) if s]
-        lengths = sorted({n for s in slices for n in s[5]})
+        shapes = sorted({n for s in slices for n in s[5]})
         for hosts, paths in batches:
             keys, owner = [], []
             for i, (h, p) in enumerate(zip(hosts, paths)):
-                for c in candidates(h, p, lengths):
+                for c in candidates(h, p, shapes):
                     keys.append(c.encode())
                     owner.append(i)
             best: list[tuple | None] = [None] * len(hosts)
