@@ -16,10 +16,13 @@ a count sketch of the whole corpus shows to lie clearly above the average
    most candidates end there.  The sets of the others are cut vertically into
    ranges of the order; a pair's overlap is counted in each fragment on its own
    and the counts are summed; the sum decides exactly.
-4. Links join classes into components.  Candidates of one shingle that lie in
-   different components, and were not compared yet, are compared in the same way,
-   until there are none: no link between different components is lost, and
-   links inside a component need not be looked at.
+4. Links join classes into components.  In rounds, the classes of a shingle that
+   come first (CENTRES of them, twice as many in each further round) are compared
+   in the same way with its classes in other components; after its round a class
+   is done with under that shingle.  Rounds go on until no shingle has classes of
+   two components left: no link between different components is lost, links inside
+   a component are not looked at, and a round makes a number of pairs in proportion
+   to the classes, not to their square.
 
 Defined cases: null and empty texts have empty sets and link with nothing;
 fewer than five words are one shingle; equal doc_ids are treated as one node
@@ -35,23 +38,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import Scratch, documents, prepare_python
+from shelfline.llm.common import Scratch, documents, prepare_python, release
 from shelfline.llm.components import components
 
 WORDS = 5
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 80
 FRAGMENTS = 4
-#: Counters of the sketch (a fixed size; more for larger corpora, to 2^22).
-SKETCH_BITS = 20
 SKETCH_PARTS = 16
 #: Hash ranges of the first fragment: one for so many shingles.
-RANGE_SHINGLES = 1_000_000
-FLUSH = 1_000_000
-CACHE_WORDS = 400_000
+RANGE_SHINGLES = 500_000
+#: Classes of a shingle that the first round of step 4 compares with the others.
+CENTRES = 8
+FLUSH = 500_000
+CACHE_WORDS = 100_000
 #: Ids of candidates are broadcast up to this many (8 bytes each); beyond, both
 #: sides are shuffled.
 BROADCAST_IDS = 1_000_000
@@ -75,6 +78,12 @@ class WordHash(dict):
 _WORD_HASH = WordHash()
 
 
+def forget() -> None:
+    """What a task leaves behind in its worker."""
+    _WORD_HASH.clear()
+    release()
+
+
 def _finish(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(30))
     x = x * np.uint64(0xBF58476D1CE4E5B9)
@@ -128,6 +137,7 @@ def _sketch_fn(bits: int):
         if counts.any():
             yield pd.DataFrame({"part": range(SKETCH_PARTS),
                                 "counts": [c.tobytes() for c in np.split(counts, SKETCH_PARTS)]})
+        forget()
     return run
 
 
@@ -168,6 +178,7 @@ def _sets_column(common_bytes, bits: int):
                 n = len(s)
                 rows.append((n, hashlib.md5(s.tobytes()).digest(), s[:prefix_length(n)].view(np.int64).copy() if n else None))
             yield pd.DataFrame(rows, columns=["n", "digest", "prefix"])
+        forget()
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return F.pandas_udf(run, "n long, digest binary, prefix array<long>")
 
@@ -207,6 +218,7 @@ def _deal_fn(ranges: int):
                     held, size = [], 0
         if held:
             yield from pack(held)
+        release()
     return run
 
 
@@ -242,6 +254,7 @@ def _buckets_fn(table: pd.DataFrame) -> pd.DataFrame:
     many = size > 2
     members = pd.DataFrame({"a": rep[many], "b": 0, "kind": 1, "h": h[many].view(np.int64), "place": place[many],
                             "n": n[many]})
+    release()
     return pd.concat([star, members])[["kind", "a", "b", "h", "place", "n"]]
 
 
@@ -288,6 +301,7 @@ def _fragments_fn(common_bytes, bits: int):
                         if edges[k + 1] > edges[k]:
                             rows.append((doc_id, own, k, len(s), s[edges[k]:edges[k + 1]].view(np.int64)))
                 yield pd.DataFrame(rows, columns=["rep", "own", "fragment", "n", "items"])
+        forget()
     return run
 
 
@@ -393,16 +407,23 @@ def jaccard_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     compared = scratch.write(found.where("kind = 0").select("a", "b").distinct(), "pairs-0")
     links = verifier.links(compared)
     same = _equal_ids(keyed, classes)
+    joined, used, turn = None, None, 0
     while True:
-        edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same)
-        stars = Scratch(spark, "components")
-        joined = scratch.write(components(edges, stars), f"components-{verifier.round}")
-        stars.drop()
-        more = scratch.write(_across(members, joined, compared), f"pairs-{verifier.round}")
-        if more.isEmpty():
+        if joined is None:
+            edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same)
+            stars = Scratch(spark, "components")
+            joined = scratch.write(components(edges, stars), f"components-{turn}")
+            stars.drop()
+        alive = scratch.write(_open_members(members, joined, used), f"open-{turn}")
+        if alive.isEmpty():
             break
-        compared = compared.unionByName(more)
-        links = links.unionByName(verifier.links(more))
+        centres = scratch.write(_first_members(alive, CENTRES << turn), f"centres-{turn}")
+        more = scratch.write(_across(alive, centres, compared), f"across-{turn}")
+        done = centres.select("h", "rep")
+        used, turn = done if used is None else used.unionByName(done), turn + 1
+        if not more.isEmpty():
+            compared = compared.unionByName(more)
+            links, joined = links.unionByName(verifier.links(more)), None
     rep_of = classes.select("digest", "rep").join(
         joined.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id"))
@@ -422,11 +443,12 @@ def _equal_ids(keyed: DataFrame, classes: DataFrame) -> DataFrame:
             .select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).distinct())
 
 
-def _across(members: DataFrame, joined: DataFrame, compared: DataFrame) -> DataFrame:
-    """Pairs under one shingle that lie in different components, that sizes and
-    places allow, and that were not compared.  Members that no partner under
-    their shingle could link with are dropped first, then shingles whose members
-    lie in one component."""
+def _open_members(members: DataFrame, joined: DataFrame, used: DataFrame | None) -> DataFrame:
+    """Classes under a shingle (rep, h, place, n, component) that may have to be compared
+    yet: not done with, of a size and place that some partner there could link with,
+    and under a shingle whose such classes lie in several components."""
+    if used is not None:
+        members = members.join(used, ["h", "rep"], "left_anti")
     named = (members.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
              .select("rep", "h", "place", "n", F.coalesce("component", "rep").alias("component")))
     bounds = named.groupBy("h").agg(F.min("n").alias("least"), F.max(F.col("n") - F.col("place")).alias("room"))
@@ -435,13 +457,52 @@ def _across(members: DataFrame, joined: DataFrame, compared: DataFrame) -> DataF
         F.least(F.col("n") - F.col("place"), F.col("room")) * (100 + PERCENT) >= PERCENT * (F.col("n") + smallest))
     open_ = (alive.groupBy("h").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
              .where("c1 <> c2").select("h"))
-    alive = alive.join(open_, "h", "left_semi")
-    x = alive.select("h", *[F.col(c).alias(f"x_{c}") for c in ("rep", "place", "n", "component")])
+    return alive.join(open_, "h", "left_semi").select("rep", "h", "place", "n", "component")
+
+
+def _first_members(alive: DataFrame, most: int) -> DataFrame:
+    """The ``most`` classes of each shingle that come first; each task keeps so many
+    before the shuffle."""
+    first = Window.partitionBy("h").orderBy("place", "rep", "n")
+    return alive.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= most).drop("_k")
+
+
+def _across(alive: DataFrame, centres: DataFrame, compared: DataFrame) -> DataFrame:
+    """Pairs of a centre and a class of its shingle in another component that sizes and
+    places allow and that were not compared."""
+    x = centres.select("h", *[F.col(c).alias(f"x_{c}") for c in ("rep", "place", "n", "component")])
     y = alive.select("h", *[F.col(c).alias(f"y_{c}") for c in ("rep", "place", "n", "component")])
-    pairs = x.join(y, "h").where(F.expr("x_component <> y_component and x_rep < y_rep and " + _POSSIBLE))
-    return (pairs.select(F.col("x_rep").alias("a"), F.col("y_rep").alias("b")).distinct()
+    pairs = y.join(x, "h").where(F.expr("x_component <> y_component and " + _POSSIBLE))
+    return (pairs.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
             .join(compared, ["a", "b"], "left_anti"))
 
 
 def op10_ngram_join(spark, sf_dir):
     return jaccard_classes(documents(spark, sf_dir))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: The links by counting the shared shingles of every pair that shares one, the
+#: components by following links from each document.
+ORACLE_SQL = rf"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + {WORDS - 1}], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {WORDS - 1}, 1) + 1)) AS i FROM split WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY 1, 2),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared.n >= {PERCENT} * (x.n + y.n - shared.n)),
+both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (
+  SELECT a, a FROM both_ways UNION SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON l.a = r.other)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(least(d.doc_id, min(r.other)), d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reached r ON r.doc_id = d.doc_id
+GROUP BY d.doc_id, s.n
+"""

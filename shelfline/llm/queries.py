@@ -22,5 +22,9 @@ QUERIES = {f.__name__: f for f in (
     conversation_repair.op13_conversation_repair,
 )}
 
-ORACLE: dict[str, str] = {"op9_digest_array": digest_array.ORACLE_SQL, "op11_merkle": merkle.ORACLE_SQL,
-                          "op12_heavy_hitters": heavy_hitters.ORACLE_SQL}
+ORACLE: dict[str, str] = {
+    "op9_digest_array": digest_array.ORACLE_SQL,
+    "op10_ngram_join": ngram_join.ORACLE_SQL,
+    "op11_merkle": merkle.ORACLE_SQL,
+    "op12_heavy_hitters": heavy_hitters.ORACLE_SQL,
+}
