@@ -315,6 +315,34 @@ def test_toxic_spans():
     assert [text[s["start"]:s["end"]] for s in spans] == ["Horrid", "grotnew", "vilest"]
 
 
+def test_unlinked_classes_of_one_shingle_make_few_pairs_a_round(spark, monkeypatch):
+    """Many sets share their first shingles, of sizes and places that do not rule a link
+    out, and few link: rounds make pairs in proportion to the classes, and the
+    components are exact."""
+    rng = random.Random(6)
+    common = "the first five words stay common to all of these rows".split()
+    rows = []
+    for i in range(90):
+        own = [f"w{i}x{j}" for j in range(12)]
+        rows.append((i, " ".join(common + own)))
+        if i % 9 == 0:
+            rows.append((1000 + i, " ".join(common + own + ["more"])))
+    counts, real = [], ngram_join._across
+
+    def counted(alive, centres, compared):
+        out = real(alive, centres, compared)
+        counts.append((out.count(), alive.select("rep").distinct().count()))
+        return out
+    monkeypatch.setattr(ngram_join, "_across", counted)
+    monkeypatch.setattr(ngram_join, "CENTRES", 2)
+    monkeypatch.setattr(ngram_join, "_POSSIBLE", "true")       # nothing is ruled out by size and place
+    rng.shuffle(rows)
+    got = sorted(map(tuple, ngram_join.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == sorted(jaccard_by_hand(rows))
+    shingles = len(common) - 4
+    assert all(n <= (2 << turn) * shingles * k for turn, (n, k) in enumerate(counts))
+
+
 # ---- pipeline
 
 

@@ -118,6 +118,29 @@ def test_secret_edges(spark):
     assert token_efficiency.scan_secrets(spark.createDataFrame([], DOC)).count() == 0
 
 
+def test_short_random_strings_and_linear_time():
+    """Random strings of 16 to 19 characters are found; a text of very many runs and
+    spans takes time in proportion to its length."""
+    import random
+    import string
+    import time
+    encode, rng = token_efficiency.encoder(), random.Random(4)
+    keys = ["".join(rng.choices(string.ascii_letters + string.digits, k=rng.randrange(16, 20))) for _ in range(300)]
+    found = sum(bool(token_efficiency.scan(f"the key {k} is", encode)[3]) for k in keys)
+    assert found >= 285
+    plain = ["internationalisation_options", "getConfigurationValue", "2024-01-05T12-30-00", "under_score_names", "src/main/java/Files",
+             "Donaudampfschifffahrt", "anticonstitutionnellement", "http_request_headers", "-----------------", "1234567890123456"]
+    assert [p for p in plain if token_efficiency.scan(f"see {p} there", encode)[3]] == []
+
+    def seconds(n):
+        text = " ".join("".join(rng.choices("0123456789abcdef", k=18)) + "/" + "word" * 5 for _ in range(n))
+        t0 = time.process_time()
+        token_efficiency.scan(text, encode)
+        return time.process_time() - t0
+    seconds(200)
+    assert seconds(8000) < 10 * max(seconds(1600), 0.05)
+
+
 # ---- op7
 
 
@@ -210,10 +233,23 @@ def test_digest_slices_and_collisions(spark, monkeypatch):
     import xxhash
     same = np.array([xxhash.xxh64_intdigest(b"a", seed=42)] * 2, np.uint64).view(np.int64)
     ends = np.array([1, 2], np.int64)
-    piece = (same, ends, np.frombuffer(b"ba", np.uint8), ends, np.frombuffer(b"xy", np.uint8), (0,))
+    piece = (same, ends, np.frombuffer(b"ba", np.uint8), ends, np.frombuffer(b"xy", np.uint8), ())
     assert digest_array.probe(keys, [piece]) == ["y", None]
 
 
+def test_urls_of_very_many_labels(spark):
+    """Candidates follow the list's rules, not the url: a long host or path costs no more."""
+    shapes = ((1, 1), (2, 0), (2, 4), (3, 0))
+    host, path = "a." * 50_000 + "example.org", "/es/" + "x/" * 100_000
+    assert digest_array.candidates(host, path, shapes) == ["example.org/es/", "a.example.org", "example.org", "org/"]
+    assert digest_array.candidates("org", "/", shapes) == ["org/"] and digest_array.candidates("", path, shapes) == []
+    assert digest_array.candidates("b.org", "", shapes) == ["b.org"] and digest_array.candidates("a.b.c", "", ()) == []
+    rules = spark.createDataFrame([*digest_array.RULES, ("a.example.org", "", "allow")], "host string, path string, action string")
+    df = spark.createDataFrame([(1, f"http://{host}{path}"), (2, f"http://{host}"), (3, "http://x.a.example.org/q")], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.action) for r in digest_array.url_filter(df, rules).collect()}
+    assert got == {1: ("example.org/es/", "block"), 2: ("a.example.org", "allow"), 3: ("a.example.org", "allow")}
+
+
 def test_url_oracle(spark, duck):
     from shelfline.llm.queries import ORACLE
     got = sorted(map(tuple, QUERIES["op9_digest_array"](spark, SMALL).collect()))
@@ -298,6 +334,22 @@ def test_license_query(spark):
         assert r.license in stated if stated else r.license is None
 
 
+def test_a_notice_licenses_its_file_alone(spark):
+    """One document that is nothing but a notice says nothing of its neighbours."""
+    rows = [("web/en/1", "Released under the MIT License."), ("web/en/2", "Prose without a word of it."), ("web/en/3", None),
+            ("lib/LICENSE", "Released under the MIT License."), ("lib/a/b.txt", "code")]
+    df = spark.createDataFrame(rows, "path string, text string")
+    got = {r.path: (r.license, r.via) for r in license_tfidf.license_scan(df).collect()}
+    assert got == {"web/en/1": ("MIT", "header"), "web/en/2": (None, None), "web/en/3": (None, None),
+                   "lib/LICENSE": ("MIT", "header"), "lib/a/b.txt": ("MIT", "inherited")}
+
+
+def test_license_of_a_very_long_text(spark):
+    long = "plain words of no meaning here\n" * 20_000
+    df = spark.createDataFrame([("a/1", long + "Released under the MIT License.\n" + long), ("a/2", long)], "path string, text string")
+    assert {r.path: r.license for r in license_tfidf.license_scan(df).collect()} == {"a/1": "MIT", "a/2": None}
+
+
 # ---- op8
 
 
@@ -335,6 +387,22 @@ def test_sharding_edges_and_files(spark, tmp_path):
     laws(external_shuffle.external_shuffle(hot, bucket_bytes=512).select("shard", "slot").collect(), 3000)
 
 
+def test_sharding_does_not_depend_on_the_layout(spark, monkeypatch):
+    """The same rows, a third of them equal, in other files and tasks: the same places."""
+    monkeypatch.setattr(external_shuffle, "CHUNK", 70)
+    rows = [(i, f"text {i}") for i in range(600)] + [(7, "same")] * 300 + [(None, None)] * 3 + [(1, "twice")] * 2
+    places = []
+    for parts in (1, 3, 7):
+        rng = np.random.default_rng(parts)
+        df = spark.createDataFrame([rows[i] for i in rng.permutation(len(rows))], DOC).repartition(parts)
+        got = external_shuffle.external_shuffle(df).collect()
+        laws(got, len(rows))
+        places.append(sorted(((r.doc_id, r.text, r.shard, r.slot) for r in got), key=repr))
+    assert places[0] == places[1] == places[2]
+    hot = Counter(s for _, t, s, _ in places[0] if t == "same")
+    assert len(hot) == 16 and max(hot.values()) < 50
+
+
 # ---- op1
 
 
