@@ -63,30 +63,66 @@ def term_positions(docs: DataFrame, text_col: str = "content", id_col: str = "do
     return docs.select(F.col(id_col), F.inline(placed))
 
 
-#: Distinct terms of one query that become literals.
-PUSHED_TERMS = 1000
+#: Documents of successive ids that share a posting block.
+BLOCK_DOCS = 256
+
+
+def with_blocks(index: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """A term index with ``block``: postings of a term and BLOCK_DOCS successive ids."""
+    return index.withColumn("block", F.floor(F.col(id_col) / BLOCK_DOCS))
+
+
+def posting_blocks(index: DataFrame) -> DataFrame:
+    """``(term, block, max_tf, n)`` of an index ``with_blocks``: the greatest count a block
+    holds bounds what its documents can score for the term."""
+    return index.groupBy("term", "block").agg(F.max("tf").alias("max_tf"), F.count(F.lit(1)).alias("n"))
+
+
+#: Distinct terms of one query, and blocks, that become literals.
+PUSHED_TERMS = PUSHED_BLOCKS = 1000
+
+
+def _literal(rows: DataFrame, key: str, wanted: DataFrame, most: int) -> DataFrame:
+    """The rows whose key is wanted: up to ``most`` keys are literals of an ``IN`` filter,
+    which the scan of an ordered table uses to skip files and row groups; more are
+    semi-joined."""
+    few = [r[0] for r in wanted.limit(most + 1).collect()]
+    return rows.filter(F.col(key).isin(few)) if len(few) <= most else rows.join(wanted, key, "left_semi")
 
 
 def text_search(docs: DataFrame, query_terms: DataFrame, k: int = 10,
-                index: DataFrame | None = None) -> DataFrame:
+                index: DataFrame | None = None, blocks: DataFrame | None = None) -> DataFrame:
     """H2: TF-IDF ranking of documents for one query, top k.
 
     score(d) = sum over distinct query terms t of tf(t, d) * ln(N / df(t)).
-    The terms of a query of up to ``PUSHED_TERMS`` distinct terms are literals
-    of an ``IN`` filter, which the scan of a term-ordered index uses to skip files
-    and row groups; a longer one is semi-joined.  ``index`` is a prebuilt
-    ``term_index(docs)``; without it the index is derived on the fly."""
+    ``index`` is a prebuilt ``term_index(docs)``; without it the index is derived on the
+    fly.  With ``blocks`` (``posting_blocks`` of an index ``with_blocks``) postings that
+    cannot matter are not scored: the sum of a block's greatest counts bounds its
+    documents' scores; the documents of the k most promising blocks are scored first, and
+    the k-th best of them is a threshold that the other blocks must reach.  The result is
+    the same."""
     idx = index if index is not None else term_index(docs)
-    n_docs = docs.select(F.count(F.lit(1)).cast("double")).scalar()
     q = query_terms.select("term").distinct()
-    few = [r["term"] for r in q.limit(PUSHED_TERMS + 1).collect()]
-    tf = (idx.filter(F.col("term").isin(few)) if len(few) <= PUSHED_TERMS
-          else idx.join(q, "term", "left_semi"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    scored = (tf.join(df, "term")
-              .groupBy("doc_id")
-              .agg(F.sum(F.col("tf") * F.log(n_docs / F.col("df"))).alias("raw")))
-    return (scored.select("doc_id", C.rounded("raw", 6).alias("score"))
+    n_docs = docs.select(F.count(F.lit(1)).cast("double")).scalar()
+    tf = _literal(idx, "term", q, PUSHED_TERMS)
+    if blocks is None:
+        df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    else:
+        mine = _literal(blocks, "term", q, PUSHED_TERMS)
+        df = mine.groupBy("term").agg(F.sum("n").alias("df"))
+    idf = df.select("term", F.log(n_docs / F.col("df")).alias("idf"))
+
+    def scored(postings: DataFrame) -> DataFrame:
+        return postings.join(idf, "term").groupBy("doc_id").agg(F.sum(F.col("tf") * F.col("idf")).alias("raw"))
+
+    if blocks is not None:
+        bound = mine.join(idf, "term").groupBy("block").agg(F.sum(F.col("max_tf") * F.col("idf")).alias("most"))
+        # each block of the query's terms has a document, so k blocks have k or more
+        first = scored(_literal(tf, "block", bound.orderBy(F.desc("most"), "block").limit(k).select("block"), PUSHED_BLOCKS))
+        least = first.orderBy(F.desc("raw")).limit(k).agg(F.min("raw"), F.count(F.lit(1))).first()
+        if least[1] == k:                               # scores are compared after rounding to 6 decimals
+            tf = _literal(tf, "block", bound.where(F.col("most") >= least[0] - 1e-6).select("block"), PUSHED_BLOCKS)
+    return (scored(tf).select("doc_id", C.rounded("raw", 6).alias("score"))
             .orderBy(F.desc("score"), "doc_id").limit(k))
 
 

@@ -48,12 +48,13 @@ from shelfline.sources.versions import KEEP_SECONDS, Files, Versions
 
 #: What a table is made from: source tables, or model tables.
 INPUTS = {"lines": ("lineitem", "orders"), "sales": ("lines",), "promotions": ("lines",),
-          "market_share": ("lines", "part"), "documents": ("documents",), "doc_index": ("documents",),
+          "market_share": ("lines", "part"), "documents": ("documents",), "doc_index": ("documents",), "doc_blocks": ("doc_index",),
           "doc_positions": ("documents",), "vectors": ("embeddings",), "store_sketches": ("lines",),
           "memory_log": ("events",), "chat": ("conversations",)}
-MODEL_INPUTS = {("sales", "lines"), ("promotions", "lines"), ("market_share", "lines"), ("store_sketches", "lines")}
+MODEL_INPUTS = {("sales", "lines"), ("promotions", "lines"), ("market_share", "lines"), ("store_sketches", "lines"),
+                ("doc_blocks", "doc_index")}
 ORDER = {"promotions": ("start_date", "product_id"), "market_share": ("month", "brand"), "documents": ("doc_id",),
-         "doc_index": ("term", "doc_id"), "doc_positions": ("term", "following", "doc_id"), "vectors": ("doc_id",)}
+         "doc_index": ("term", "doc_id"), "doc_blocks": ("term", "block"), "doc_positions": ("term", "following", "doc_id"), "vectors": ("doc_id",)}
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"              # the folder of rows without a date
 #: The greatest value of a column is recorded with the table, so that trailing
 #: windows are literals.
@@ -226,8 +227,12 @@ class Model:
         return self._one_more(known, self._documents(added["documents"]), "documents")
 
     def _make_doc_index(self, inputs):
-        from shelfline.operators.text import term_index
-        return term_index(self._documents(inputs["documents"]))
+        from shelfline.operators.text import term_index, with_blocks
+        return with_blocks(term_index(self._documents(inputs["documents"])))
+
+    def _make_doc_blocks(self, inputs):
+        from shelfline.operators.text import posting_blocks
+        return posting_blocks(self.doc_index())
 
     def _positions(self, files):
         from shelfline.operators.text import term_positions
@@ -301,9 +306,13 @@ class Model:
         return self._table("documents")
 
     def doc_index(self) -> DataFrame:
-        """Inverted term index ``(doc_id, term, tf)`` of the documents."""
+        """Inverted term index ``(doc_id, term, tf, block)`` of the documents."""
         return self._table("doc_index")
 
+    def doc_blocks(self) -> DataFrame:
+        """The index's posting blocks ``(term, block, max_tf, n)``."""
+        return self._table("doc_blocks")
+
     def doc_positions(self) -> DataFrame:
         """Positional index ``(doc_id, pos, term, following)`` of the documents."""
         return self._table("doc_positions")

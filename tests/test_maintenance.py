@@ -397,3 +397,43 @@ def test_one_scan_serves_many_query_blocks(spark, monkeypatch):
     assert 51 not in got
     centre = {r.qid: len(r.qvec) for r in retrieval.label_centroids(docs).collect()}
     assert centre == {0: 4, 1: 4, 2: 4}
+
+
+# ---- H2
+
+
+def test_posting_blocks_leave_the_ranking_as_it_is(spark, monkeypatch):
+    """Same rows as without blocks, from fewer postings; with literals and with joins."""
+    rng = random.Random(9)
+    vocabulary = [f"t{i}" for i in range(30)]
+    docs = []
+    for i in range(1500):
+        words = rng.choices(vocabulary, weights=[1 / (j + 1) for j in range(30)], k=rng.randrange(0, 20))
+        docs.append((i * 3 if i % 2 else -i, " ".join(words + (["t5"] * rng.randrange(20, 40) if i in (40, 41, 700, 901) else []))))
+    d = spark.createDataFrame(docs, "doc_id long, content string")
+    monkeypatch.setattr(text, "BLOCK_DOCS", 32)
+    index = text.with_blocks(text.term_index(d)).cache()
+    blocks = text.posting_blocks(index).cache()
+    read, real = [], text._literal
+
+    def counted(rows, key, wanted, most):
+        out = real(rows, key, wanted, most)
+        if key == "block":
+            read.append(out.count())
+        return out
+    for words, k in ((["t5", "t1"], 3), (["t5"], 4), (["t0", "t2", "t29"], 10), (["zzz"], 3), (["zzz", "t9"], 5), (["t29"], 5000)):
+        q = spark.createDataFrame([(w,) for w in words], "term string")
+        want = rows_in_order(text.text_search(d, q, k, index))
+        for most in (0, 1000):
+            monkeypatch.setattr(text, "PUSHED_TERMS", most)
+            monkeypatch.setattr(text, "PUSHED_BLOCKS", most)
+            monkeypatch.setattr(text, "_literal", counted)
+            read.clear()
+            assert rows_in_order(text.text_search(d, q, k, index, blocks)) == want
+            if words == ["t5", "t1"]:
+                assert sum(read) < index.where(F.col("term").isin(words)).count() / 4
+            monkeypatch.setattr(text, "_literal", real)
+
+
+def rows_in_order(df):
+    return [tuple(r) for r in df.collect()]

@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from shelfline.plans import catalog  # noqa: E402
 from shelfline.session import local_session  # noqa: E402
 
 PATTERNS = {
@@ -49,7 +49,7 @@ def summarise(plan: str) -> dict:
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
-    qs = entry.queries()
+    qs = catalog.QUERIES
     print("# PLANS — physical plan shape per registered query\n")
     print(f"Generated by `tools/plans.py` at `{sf}` on local[8] after one execution (AQE final plans).")
     print("Shuffles = hash/range/round-robin/single-partition exchanges; BHJ/SMJ/SHJ = broadcast-hash /"
