@@ -42,16 +42,73 @@ def _score(query_vec: list[float], vectors: DataFrame) -> "F.Column":
     return C.rounded(VX.cosine("embedding", q, norm, F.lit(qnorm)), SCORE_DECIMALS)
 
 
-def vector_topk(vectors: DataFrame, query_vec: list[float], k: int = 4) -> DataFrame:
+def vector_topk(vectors: DataFrame, query_vec: list[float], k: int = 4,
+                pivots: list[list[float]] | None = None) -> DataFrame:
     """H1: the k nearest documents to one query vector.
 
     The query is a literal in the plan: one score per row in the scan, and
     TakeOrderedAndProject keeps k rows per partition before the final
-    merge."""
-    scored = vectors.select("doc_id", _score(query_vec, vectors).alias("score"))
+    merge.  With ``pivots`` (those of the vectors' stored ``pivot_distances``) only
+    vectors that can be among the k are scored (``nearby``); the result is the same."""
+    near = vectors if pivots is None else nearby(vectors, query_vec, k, pivots)
+    scored = near.select("doc_id", _score(query_vec, vectors).alias("score"))
     return scored.orderBy(F.desc_nulls_last("score"), "doc_id").limit(k)
 
 
+# ---- pivots: a vector's distances to a few fixed ones bound its distance to any other
+
+PIVOTS = 8
+#: Vectors that pivots are chosen from (a documented sample; any choice is correct).
+PIVOT_SAMPLE = 2000
+
+
+def choose_pivots(vectors: DataFrame, n: int = PIVOTS, most: int = PIVOT_SAMPLE) -> list[list[float]]:
+    """Unit vectors far from one another: of at most ``most`` vectors (the first by a hash
+    of the id) each next pivot is the one farthest from those before."""
+    some = (vectors.where(F.col("embedding").isNotNull()).select("doc_id", "embedding")
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).toPandas())
+    if not len(some):
+        return []
+    dim = int(some["embedding"].map(len).mode().iloc[0])
+    m = np.array([np.asarray(v, np.float64) for v in some["embedding"] if len(v) == dim])
+    m = m[np.linalg.norm(m, axis=1) > 0]
+    m = m / np.linalg.norm(m, axis=1)[:, None]
+    chosen, far = [], np.full(len(m), np.inf)
+    while len(chosen) < min(n, len(m)):
+        chosen.append(int(np.argmax(far)))
+        far = np.minimum(far, np.linalg.norm(m - m[chosen[-1]], axis=1))
+    return m[chosen].tolist()
+
+
+def pivot_distances(pivots: list[list[float]]) -> "F.Column":
+    """Distances of ``embedding`` / ``norm`` on the unit sphere to the pivots; null where
+    there is none (no vector, of length 0, or of another dimension)."""
+    def distance(p: list[float]):
+        cosine = VX.cosine("embedding", F.lit(p).cast("array<double>"), F.col("norm"), F.lit(1.0))
+        return F.sqrt(F.greatest(F.lit(2.0) - F.lit(2.0) * cosine, F.lit(0.0)))
+    usable = (F.size("embedding") == (len(pivots[0]) if pivots else -1)) & (F.col("norm") > 0)
+    return F.when(usable, F.array(*[distance(p) for p in pivots])) if pivots else F.lit(None).cast("array<double>")
+
+
+def nearby(vectors: DataFrame, query_vec: list[float], k: int, pivots: list[list[float]]) -> DataFrame:
+    """The vectors that can be among the k nearest: by the triangle inequality a vector is
+    at least ``|d(query, pivot) - d(vector, pivot)|`` away, whichever the pivot.  The
+    vectors of the least such bound are scored first; the k-th best of them is a distance
+    that the bound of any other must not exceed.  All vectors, if fewer than k have a
+    score."""
+    q = np.asarray(query_vec, np.float64)
+    if not pivots or len(q) != len(pivots[0]) or not np.linalg.norm(q):
+        return vectors
+    away = np.linalg.norm(np.array(pivots) - q / np.linalg.norm(q), axis=1)
+    bound = F.greatest(F.lit(0.0), *[F.abs(F.get("pivot_distances", F.lit(i)) - F.lit(float(d))) for i, d in enumerate(away)])
+    some = vectors.where("pivot_distances is not null").orderBy(bound, "doc_id").limit(8 * k)
+    best = [r[0] for r in some.select(_score(query_vec, vectors).alias("s")).orderBy(F.desc_nulls_last("s")).limit(k).collect()]
+    if len(best) < k or best[-1] is None:
+        return vectors
+    reach = float(np.sqrt(max(0.0, 2.0 - 2.0 * (best[-1] - 2e-6)))) + 1e-9      # scores are rounded to 6 decimals
+    return vectors.where(bound <= reach)
+
+
 def search_filtered(vectors: DataFrame, docs: DataFrame, query_vec: list[float], doc_type: str,
                     k: int = 4) -> DataFrame:
     """Metadata filter on the document side, then scoring and top-k."""

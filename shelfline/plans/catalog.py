@@ -572,8 +572,9 @@ _TERMS = r"string_split(lower(trim(regexp_replace({0}, '[^\p{{L}}\p{{M}}\p{{N}}]
     SELECT doc_id, {_ROUND6.format("raw")} AS score FROM s
     ORDER BY score DESC NULLS LAST, doc_id LIMIT 4""", "v_vectors"))
 def _vector_topk(spark, sf):
-    v = Model(spark, sf).vectors()
-    return retrieval.vector_topk(v, retrieval.first_doc_vector(v), 4)
+    m = Model(spark, sf)
+    v = m.vectors()
+    return retrieval.vector_topk(v, retrieval.first_doc_vector(v), 4, m.pivots())
 
 
 @register("search_filtered", sql(f"""

@@ -49,10 +49,10 @@ from shelfline.sources.versions import KEEP_SECONDS, Files, Versions
 #: What a table is made from: source tables, or model tables.
 INPUTS = {"lines": ("lineitem", "orders"), "sales": ("lines",), "promotions": ("lines",),
           "market_share": ("lines", "part"), "documents": ("documents",), "doc_index": ("documents",), "doc_blocks": ("doc_index",),
-          "doc_positions": ("documents",), "vectors": ("embeddings",), "store_sketches": ("lines",),
+          "doc_positions": ("documents",), "pivots": ("embeddings",), "vectors": ("embeddings", "pivots"), "store_sketches": ("lines",),
           "memory_log": ("events",), "chat": ("conversations",)}
 MODEL_INPUTS = {("sales", "lines"), ("promotions", "lines"), ("market_share", "lines"), ("store_sketches", "lines"),
-                ("doc_blocks", "doc_index")}
+                ("doc_blocks", "doc_index"), ("vectors", "pivots")}
 ORDER = {"promotions": ("start_date", "product_id"), "market_share": ("month", "brand"), "documents": ("doc_id",),
          "doc_index": ("term", "doc_id"), "doc_blocks": ("term", "block"), "doc_positions": ("term", "following", "doc_id"), "vectors": ("doc_id",)}
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"              # the folder of rows without a date
@@ -69,7 +69,8 @@ def definition() -> str:
     read."""
     parts = [inspect.getsource(sys.modules[__name__]),
              *(inspect.getsource(importlib.import_module(f"shelfline.{m}")) for m in
-               ("sources.views", "functions.columns", "functions.vectors", "operators.text", "operators.share", "operators.memory"))]
+               ("sources.views", "functions.columns", "functions.vectors", "operators.text", "operators.share", "operators.memory",
+                "operators.retrieval"))]
     return hashlib.md5("".join(parts).encode()).hexdigest()[:12]
 
 
@@ -244,8 +245,23 @@ class Model:
     def _extend_doc_positions(self, inputs, added, known):
         return self._one_more(known, self._positions(added["documents"]), "doc_positions")
 
+    def _make_pivots(self, inputs):
+        from shelfline.operators.retrieval import choose_pivots
+        found = choose_pivots(V.vectors_from(self._source("embeddings", inputs["embeddings"])))
+        return self.spark.createDataFrame(list(enumerate(found)), "n int, pivot array<double>")
+
+    def _extend_pivots(self, inputs, added, known):
+        """Pivots stay as they are, so stored distances hold."""
+        return known["parts"], [], known["schema"]
+
+    def pivots(self) -> list[list[float]]:
+        """The pivots (a few vectors) of the stored distances."""
+        return [r["pivot"] for r in self._table("pivots").orderBy("n").collect()]
+
     def _vectors(self, files):
-        return V.vectors_from(self._source("embeddings", files)).withColumn("norm", VX.norm("embedding"))
+        from shelfline.operators.retrieval import pivot_distances
+        normed = V.vectors_from(self._source("embeddings", files)).withColumn("norm", VX.norm("embedding"))
+        return normed.withColumn("pivot_distances", pivot_distances(self.pivots()))
 
     def _make_vectors(self, inputs):
         return self._vectors(inputs["embeddings"])
@@ -318,7 +334,7 @@ class Model:
         return self._table("doc_positions")
 
     def vectors(self) -> DataFrame:
-        """Document vectors with their norm, computed once."""
+        """Document vectors with their norm and distances to the pivots, computed once."""
         return self._table("vectors")
 
     def store_sketches(self) -> DataFrame:

@@ -437,3 +437,37 @@ def test_posting_blocks_leave_the_ranking_as_it_is(spark, monkeypatch):
 
 def rows_in_order(df):
     return [tuple(r) for r in df.collect()]
+
+
+# ---- H1
+
+
+@pytest.mark.parametrize("spread, most", [(0.05, 0.4), (5.0, 1.0)])
+def test_pivots_leave_the_nearest_as_they_are(spark, spread, most):
+    """Equal to brute force; of clustered vectors a fraction is scored, of scattered ones
+    up to all."""
+    import numpy as np
+    from shelfline.functions import vectors as VX
+    from shelfline.operators import retrieval
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(12, 16))
+    data = [(i, (centres[i % 12] + spread * rng.normal(size=16)).tolist()) for i in range(1200)]
+    data += [(5000, None), (5001, [0.0] * 16), (5002, [1.0, 2.0]), (5003, data[7][1])]
+    v = spark.createDataFrame(data, "doc_id long, embedding array<double>").withColumn("norm", VX.norm("embedding"))
+    pivots = retrieval.choose_pivots(v)
+    assert len(pivots) == retrieval.PIVOTS
+    stored = v.withColumn("pivot_distances", retrieval.pivot_distances(pivots)).cache()
+    scored = []
+    for i in (0, 7, 100):
+        q = data[i][1]
+        want = [tuple(r) for r in retrieval.vector_topk(v, q, 4).collect()]
+        assert [tuple(r) for r in retrieval.vector_topk(stored, q, 4, pivots).collect()] == want
+        scored.append(retrieval.nearby(stored, q, 4, pivots).count() / len(data))
+    print(f"fraction scored, spread {spread}: {max(scored):.3f}")
+    assert max(scored) <= most
+    every = [tuple(r) for r in retrieval.vector_topk(stored, data[0][1], 3000, pivots).collect()]
+    assert every == [tuple(r) for r in retrieval.vector_topk(v, data[0][1], 3000).collect()]
+    for odd in ([0.0] * 16, [1.0, 2.0]):
+        assert [tuple(r) for r in retrieval.vector_topk(stored, odd, 4, pivots).collect()] == [
+            tuple(r) for r in retrieval.vector_topk(v, odd, 4).collect()]
+    assert retrieval.choose_pivots(v.limit(0)) == []
