@@ -343,6 +343,44 @@ def test_unlinked_classes_of_one_shingle_make_few_pairs_a_round(spark, monkeypat
     assert all(n <= (2 << turn) * shingles * k for turn, (n, k) in enumerate(counts))
 
 
+def test_dual_coordinate_descent_reaches_the_optimum():
+    """The primal value of its weights equals the dual optimum of a plain projected
+    gradient; the bias is a weight like any other."""
+    rng = np.random.default_rng(3)
+    for trial in range(4):
+        n, size = 50, 12
+        rows = [np.sort(rng.choice(size, rng.integers(1, 6), replace=False)) for _ in range(n)]
+        values = [rng.normal(size=len(r)) for r in rows]
+        y = (rng.random(n) < 0.4).astype(int)
+        c = np.where(y == 1, 0.8, 0.5)
+        w, bias = nbsvm.dual_coordinate_descent(rows, values, y, size, c, 2000)
+        x = np.zeros((n, size + 1))
+        for i, (r, v) in enumerate(zip(rows, values)):
+            x[i, r] = v
+        x[:, -1] = 1
+        sign = np.where(y == 1, 1.0, -1.0)
+        primal = 0.5 * (w @ w + bias * bias) + c @ np.maximum(0, 1 - sign * (x @ np.r_[w, bias]))
+        q = (sign[:, None] * x) @ (sign[:, None] * x).T
+        alpha, rate = np.zeros(n), 1 / np.linalg.eigvalsh(q)[-1]
+        for _ in range(20_000):
+            alpha = np.clip(alpha - rate * (q @ alpha - 1), 0, c)
+        dual = alpha.sum() - 0.5 * alpha @ q @ alpha
+        assert primal == pytest.approx(dual, rel=2e-3) and primal >= dual - 1e-6
+
+
+def test_log_count_ratios_by_hand():
+    rows = [np.array(r, np.int32) for r in ([1, 2], [1, 3], [1], [2, 3], [3], [3])]
+    y = np.array([1, 1, 1, 0, 0, 0])
+    got = nbsvm.log_count_ratio(rows, y)
+    size, s = 1 << nbsvm.BITS, nbsvm.SMOOTH
+    counts = {1: (3, 0), 2: (1, 1), 3: (1, 3)}
+    total = 5 + s * size, 4 + s * size
+    for f, (p, q) in counts.items():
+        want = np.log((p + s) / total[0]) - np.log((q + s) / total[1]) if p + q >= nbsvm.MIN_DOCUMENTS else 0
+        assert got[f] == pytest.approx(want)
+    assert np.count_nonzero(got) <= 3
+
+
 # ---- pipeline
 
 
