@@ -65,9 +65,10 @@ def leaf(**changed: Column) -> Column:
 
 
 def tampered() -> Column:
-    """n_chars as the query's tampering leaves it (null: this row is not touched)."""
+    """n_chars as the query's tampering leaves it (null: this row is not touched; so is
+    one whose n_chars has no successor)."""
     hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % EVERY == 0
-    return F.when(hit, F.col("n_chars") + 1)
+    return F.when(hit, F.try_add("n_chars", F.lit(1).cast("long")))
 
 
 def leaves(docs: DataFrame, claimed_n_chars: Column | None = None) -> DataFrame:
