@@ -52,7 +52,7 @@ SKETCH_PARTS = 16
 #: Hash ranges of the first fragment: one for so many shingles.
 RANGE_SHINGLES = 500_000
 #: Classes of a shingle that the first round of step 4 compares with the others.
-CENTRES = 8
+CENTRES = 32
 FLUSH = 500_000
 CACHE_WORDS = 100_000
 #: Ids of candidates are broadcast up to this many (8 bytes each); beyond, both
@@ -407,23 +407,26 @@ def jaccard_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     compared = scratch.write(found.where("kind = 0").select("a", "b").distinct(), "pairs-0")
     links = verifier.links(compared)
     same = _equal_ids(keyed, classes)
-    joined, used, turn = None, None, 0
+    joined, turn = None, 0
     while True:
         if joined is None:
             edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same)
             stars = Scratch(spark, "components")
             joined = scratch.write(components(edges, stars), f"components-{turn}")
             stars.drop()
-        alive = scratch.write(_open_members(members, joined, used), f"open-{turn}")
+        # what is open shrinks from round to round, so a round reads the one before
+        alive = scratch.write(_open_members(members, joined), f"open-{turn}")
         if alive.isEmpty():
             break
         centres = scratch.write(_first_members(alive, CENTRES << turn), f"centres-{turn}")
         more = scratch.write(_across(alive, centres, compared), f"across-{turn}")
-        done = centres.select("h", "rep")
-        used, turn = done if used is None else used.unionByName(done), turn + 1
+        members = scratch.write(alive.join(centres.select("h", "rep"), ["h", "rep"], "left_anti"), f"members-{turn}")
+        scratch.drop(f"open-{turn}", f"centres-{turn}", *([f"members-{turn - 1}"] if turn else ["candidates"]))
+        turn += 1
         if not more.isEmpty():
             compared = compared.unionByName(more)
             links, joined = links.unionByName(verifier.links(more)), None
+            scratch.drop(f"components-{turn - 1}")
     rep_of = classes.select("digest", "rep").join(
         joined.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id"))
@@ -443,13 +446,11 @@ def _equal_ids(keyed: DataFrame, classes: DataFrame) -> DataFrame:
             .select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).distinct())
 
 
-def _open_members(members: DataFrame, joined: DataFrame, used: DataFrame | None) -> DataFrame:
+def _open_members(members: DataFrame, joined: DataFrame) -> DataFrame:
     """Classes under a shingle (rep, h, place, n, component) that may have to be compared
-    yet: not done with, of a size and place that some partner there could link with,
-    and under a shingle whose such classes lie in several components."""
-    if used is not None:
-        members = members.join(used, ["h", "rep"], "left_anti")
-    named = (members.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    yet: of a size and place that some partner there could link with, and under a shingle
+    whose such classes lie in several components."""
+    named = (members.select("rep", "h", "place", "n").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
              .select("rep", "h", "place", "n", F.coalesce("component", "rep").alias("component")))
     bounds = named.groupBy("h").agg(F.min("n").alias("least"), F.max(F.col("n") - F.col("place")).alias("room"))
     smallest = F.greatest(F.col("least"), F.ceil(F.col("n") * PERCENT / 100))
