@@ -52,7 +52,7 @@ SKETCH_PARTS = 16
 #: Hash ranges of the first fragment: one for so many shingles.
 RANGE_SHINGLES = 500_000
 #: Classes of a shingle that the first round of step 4 compares with the others.
-CENTRES = 32
+CENTRES = 256
 FLUSH = 500_000
 CACHE_WORDS = 100_000
 #: Ids of candidates are broadcast up to this many (8 bytes each); beyond, both
