@@ -57,10 +57,11 @@ def term_positions(docs: DataFrame, text_col: str = "content", id_col: str = "do
     """Positional index ``(doc_id, pos, term, following)`` over whole texts: every
     term occurrence with its place and the term after it (null at the end).  Row by
     row, without a shuffle."""
-    terms = F.filter(C.terms(text_col), lambda t: t != "")
-    placed = F.transform(terms, lambda t, i: F.struct(
-        i.cast("long").alias("pos"), t.alias("term"), F.get(terms, i + 1).alias("following")))
-    return docs.select(F.col(id_col), F.inline(placed))
+    # a column of its own: inside the lambda the text would be split for every term again
+    split = docs.select(F.col(id_col), F.filter(C.terms(text_col), lambda t: t != "").alias("_terms"))
+    placed = F.transform("_terms", lambda t, i: F.struct(
+        i.cast("long").alias("pos"), t.alias("term"), F.get("_terms", i + 1).alias("following")))
+    return split.select(id_col, F.inline(placed))
 
 
 #: Documents of successive ids that share a posting block.
