@@ -133,9 +133,10 @@ def _partial_sums(it):
             at = None if pd.isna(label) else int(label), int(dim)
             n0, s0 = acc.get(at, (0, 0.0))
             acc[at] = (n0 + len(grp), s0 + m.sum(axis=0))
-    yield pd.DataFrame({"label": pd.Series([k[0] for k in acc], dtype="Int32"), "dim": [k[1] for k in acc],
-                        "n": [v[0] for v in acc.values()],
-                        "s": [v[1].tolist() for v in acc.values()]})
+    if acc:                                             # an empty column of lists has no type that Arrow converts
+        yield pd.DataFrame({"label": pd.Series([k[0] for k in acc], dtype="Int32"), "dim": [k[1] for k in acc],
+                            "n": [v[0] for v in acc.values()],
+                            "s": [v[1].tolist() for v in acc.values()]})
 
 
 def label_centroids(vectors: DataFrame) -> DataFrame:
@@ -203,8 +204,9 @@ def vector_topk_batch(spark: SparkSession, vectors: DataFrame, queries: DataFram
     ship_package(spark)
     path = scratch_path(spark, "topk-queries")
     numbered = sequential_ids(queries.filter(F.col("qvec").isNotNull()).select("qid", "qvec"), ["qid"], "_no")
-    numbered.withColumn("_block", F.floor((F.col("_no") - 1) / QUERY_BLOCK)).write.partitionBy("_block").parquet(path)
-    written = spark.read.parquet(path)
+    blocked = numbered.withColumn("_block", F.floor((F.col("_no") - 1) / QUERY_BLOCK))
+    blocked.write.partitionBy("_block").parquet(path)
+    written = spark.read.schema(blocked.schema).parquet(path)
     n_blocks = (written.agg(F.max("_block")).first()[0] or 0) + 1
     docs = vectors.filter(F.col("embedding").isNotNull()).select("doc_id", "embedding")
     def shipped(block: int):
