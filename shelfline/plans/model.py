@@ -53,12 +53,16 @@ INPUTS = {"lines": ("lineitem", "orders"), "sales": ("lines",), "promotions": ("
           "memory_log": ("events",), "chat": ("conversations",)}
 MODEL_INPUTS = {("sales", "lines"), ("promotions", "lines"), ("market_share", "lines"), ("store_sketches", "lines"),
                 ("doc_blocks", "doc_index"), ("vectors", "pivots")}
-ORDER = {"promotions": ("start_date", "product_id"), "market_share": ("month", "brand"), "documents": ("doc_id",),
+ORDER = {"market_share": ("month", "brand"),
          "doc_index": ("term", "doc_id"), "doc_blocks": ("term", "block"), "doc_positions": ("term", "following", "doc_id"), "vectors": ("doc_id",)}
+#: Tables of which each file is in order: pages of a file are skipped, and rows are not
+#: shuffled once more for it.
+FILE_ORDER = {"promotions": ("start_date", "product_id"), "documents": ("doc_id",)}
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"              # the folder of rows without a date
 #: The greatest value of a column is recorded with the table, so that trailing
 #: windows are literals.
 GREATEST = {"sales": "week_ending", "promotions": "start_date", "market_share": "month", "chat": "session_id"}
+CODEC = "zstd"
 #: Buckets of the chat, by session: a session's history is read from one of them.
 CHAT_BUCKETS = 16
 
@@ -137,7 +141,7 @@ class Model:
         else:
             df = getattr(self, f"_make_{name}")(inputs)
             parts = fresh = self._write(df, name, months=name == "sales")
-            schema = df.schema.json()
+            schema = df.drop("month").schema.json() if name == "sales" else df.schema.json()
         entry = {"inputs": inputs, "parts": parts, "schema": schema}
         if name in GREATEST:
             top = self._read(fresh, schema).agg(F.max(GREATEST[name])).first()[0] if fresh else None
@@ -151,9 +155,8 @@ class Model:
         ranges by bytes."""
         path = f"{self.root}/model-{name}-{uuid.uuid4().hex[:12]}"
         if months:
-            by = ("month", "week_ending", "product_id")
-            df = df.withColumn("month", C.month_start("week_ending"))
-            df.repartitionByRange(*by).sortWithinPartitions(*by).write.partitionBy("month").parquet(path)
+            (df.sortWithinPartitions("month", "week_ending", "product_id").write.option("compression", CODEC)
+             .partitionBy("month").parquet(path))
             found = [f"{path}/{n}" for n in self.files.names(path) if n.startswith("month=")]
             return found or [path]
         if name == "chat":
@@ -163,7 +166,9 @@ class Model:
             return [path]
         if name in ORDER:
             df = df.repartitionByRange(*ORDER[name]).sortWithinPartitions(*ORDER[name])
-        df.write.parquet(path)
+        if name in FILE_ORDER:
+            df = df.sortWithinPartitions(*FILE_ORDER[name])
+        df.write.option("compression", CODEC).parquet(path)
         return [path]
 
     def _bucketed(self, path: str, schema: str, declare: bool = True) -> str:
@@ -205,10 +210,10 @@ class Model:
         """Only the months that the new lines touch are read and written."""
         sums = V.sales_sums(self._read(added["lines"], self._entry("lines")["schema"]))
         # one row for each month of the calendar at most
-        months = {f"month={r[0] or NO_MONTH}" for r in sums.select(C.month_start("week_ending")).distinct().collect()}
+        months = {f"month={r[0] or NO_MONTH}" for r in sums.select("month").distinct().collect()}
         touched = [p for p in known["parts"] if p.rsplit("/", 1)[1] in months]
         if touched:
-            sums = V.merged_sums(sums.unionByName(self._read(touched, known["schema"])))
+            sums = V.merged_sums(sums.drop("month").unionByName(self._read(touched, known["schema"])))
         fresh = self._write(sums, "sales", months=True) if months else []
         return [p for p in known["parts"] if p not in touched] + fresh, fresh, known["schema"]
 
@@ -318,7 +323,7 @@ class Model:
         return self._table("market_share")
 
     def documents(self) -> DataFrame:
-        """Documents with whitespace-collapsed content, ordered by id."""
+        """Documents with whitespace-collapsed content, each file ordered by id."""
         return self._table("documents")
 
     def doc_index(self) -> DataFrame:

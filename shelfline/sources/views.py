@@ -69,19 +69,18 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def lines_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """The shipped lines of some lineitem and orders rows (see ``lines``)."""
-    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
-                           "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
-    o = orders.select("o_orderkey", "o_custkey")
-    return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-            .select(F.col("l_orderkey").alias("order_key"),
-                    F.col("l_linenumber").alias("line_number"),
-                    F.col("l_partkey").alias("product_id"),
-                    F.col("o_custkey").alias("retailer_id"),
-                    F.to_date("l_shipdate").alias("d"),
-                    F.col("l_quantity").alias("qty"),
-                    C.money("l_extendedprice").alias("gross"),
-                    C.discount("l_discount").alias("disc"),
-                    (F.col("l_returnflag") == "R").alias("returned")))
+    # the narrow types before the join: they are what is shuffled
+    li = lineitem.select(F.col("l_orderkey").alias("order_key"),
+                         F.col("l_linenumber").alias("line_number"),
+                         F.col("l_partkey").alias("product_id"),
+                         F.to_date("l_shipdate").alias("d"),
+                         F.col("l_quantity").alias("qty"),
+                         C.money("l_extendedprice").alias("gross"),
+                         C.discount("l_discount").alias("disc"),
+                         (F.col("l_returnflag") == "R").alias("returned"))
+    o = orders.select("o_orderkey", F.col("o_custkey").alias("retailer_id"))
+    return (li.join(o, F.col("order_key") == F.col("o_orderkey"))
+            .select("order_key", "line_number", "product_id", "retailer_id", "d", "qty", "gross", "disc", "returned"))
 
 
 def sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,22 +96,36 @@ def sales_from(ln: DataFrame) -> DataFrame:
 SUM = "decimal(38,4)"                # exact sums of money, before they are rounded
 
 
+#: Shares of a month's sums: a task holds some of them, a month lies in this many files at most.
+MONTH_SHARES = 16
+_CELL = ("product_id", "retailer_id", "week_ending")
+
+
+def _cells(rows: DataFrame):
+    """Rows grouped by product x retailer x week, dealt by month and share: one shuffle
+    both gathers a cell's rows and leaves a month in few tasks, so that the sums are
+    written by month where they are made."""
+    month = C.month_start("week_ending").alias("month")
+    share = F.pmod(F.xxhash64(*_CELL), F.lit(MONTH_SHARES)).cast("int").alias("share")
+    return rows.select("*", month, share).repartition("month", "share").groupBy("month", "share", *_CELL)
+
+
 def sales_sums(ln: DataFrame) -> DataFrame:
-    """Sums by product x retailer x week that can be added up (``merged_sums``).
-    ``pos_sum`` is null where every line was returned."""
+    """Sums by product x retailer x week that can be added up (``merged_sums``), with
+    their month.  ``pos_sum`` is null where every line was returned."""
     kept = ~F.col("returned")
-    return (ln.groupBy("product_id", "retailer_id", C.week_ending("d").alias("week_ending"))
+    return (_cells(ln.select("product_id", "retailer_id", C.week_ending("d").alias("week_ending"), "qty", "gross", "disc", "returned"))
             .agg(F.sum("qty").alias("qty"),
                  F.sum(F.col("gross") * F.lit(SHIP_COST_SHARE)).cast(SUM).alias("ship_sum"),
                  F.sum(F.when(kept, F.col("qty")).otherwise(F.lit(0.0))).alias("kept_qty"),
                  F.sum(F.when(kept, F.col("gross") * (F.lit(1) - F.col("disc")))).cast(SUM).alias("pos_sum"),
-                 F.max("disc").alias("disc")))
+                 F.max("disc").alias("disc")).drop("share"))
 
 
 def merged_sums(sums: DataFrame) -> DataFrame:
     """Sums of several sets of lines added up."""
     total = [F.sum(c).cast(t).alias(c) for c, t in (("qty", "double"), ("ship_sum", SUM), ("kept_qty", "double"), ("pos_sum", SUM))]
-    return sums.groupBy("product_id", "retailer_id", "week_ending").agg(*total, F.max("disc").alias("disc"))
+    return _cells(sums).agg(*total, F.max("disc").alias("disc")).drop("share")
 
 
 def sales_of(sums: DataFrame) -> DataFrame:
@@ -189,14 +202,13 @@ def market_share(spark: SparkSession, sf: str) -> DataFrame:
 
 def market_share_from(lines_df: DataFrame, products_df: DataFrame) -> DataFrame:
     """Market share from shipped lines and products (see ``market_share``)."""
-    # Lines are reduced to product x month before the product join, so the
-    # join sees one row per product-month instead of every shipped line.
-    by_product = (lines_df.groupBy("product_id", C.month_start("d").alias("month"))
-                  .agg(F.sum("gross").alias("g")))
+    # A product has few lines a month, so sums by product and month first would be
+    # shuffled twice and hardly be fewer; sums by brand are made before the shuffle.
+    by_line = lines_df.select("product_id", C.month_start("d").alias("month"), "gross")
     p = products_df.select("product_id", "brand", "category")
-    brand_month = (by_product.join(p, "product_id")
+    brand_month = (by_line.join(p, "product_id")
                    .groupBy("month", "brand", "category")
-                   .agg(F.sum("g").alias("brand_dollar_sales")))
+                   .agg(F.sum("gross").alias("brand_dollar_sales")))
     # At most one row per brand inside a (month, category) partition.
     w = Window.partitionBy("month", "category")
     with_cat = brand_month.withColumn("category_dollar_sales",
