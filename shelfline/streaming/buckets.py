@@ -51,10 +51,12 @@ class Buckets:
     def contains(self, stream: str, batch: int) -> bool:
         return batch <= self.pointer().get("streams", {}).get(stream, -1)
 
-    def written(self, kind: str, rows: DataFrame) -> dict[str, list[str]]:
-        """Write rows (with ``bucket``) to a fresh folder; the paths by bucket."""
+    def written(self, kind: str, rows: DataFrame, dealt: bool = False) -> dict[str, list[str]]:
+        """Write rows (with ``bucket``) to a fresh folder; the paths by bucket.  ``dealt``:
+        a task has rows of few buckets, they are written where they are."""
         path = f"{self.folder}/data/{kind}-{uuid.uuid4().hex[:12]}"
-        rows.repartition("bucket").write.partitionBy("bucket").parquet(path)
+        rows = rows if dealt else rows.repartition("bucket")
+        rows.write.option("compression", "zstd").partitionBy("bucket").parquet(path)
         return {n.split("=")[1]: [f"{path}/{n}"] for n in self.files.names(path) if n.startswith("bucket=")}
 
     def switch(self, touched: list[int], replaced: dict[str, dict], added: dict[str, dict] | None = None,
@@ -77,9 +79,9 @@ class Buckets:
         """Rows that all batches together brought."""
         return self.pointer().get("rows", 0)
 
-    def compact(self, kind: str, rows: DataFrame) -> None:
+    def compact(self, kind: str, rows: DataFrame, dealt: bool = False) -> None:
         """Write all buckets of a kind anew, as ``rows`` of the key's buckets."""
-        self.switch(list(range(self.buckets)), {kind: self.written(kind, rows)})
+        self.switch(list(range(self.buckets)), {kind: self.written(kind, rows, dealt)})
 
     def retire(self, keep_seconds: float = KEEP_SECONDS) -> None:
         """Remove pointers replaced long enough ago, and the folders only they name."""

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.session import scratch_path
@@ -59,7 +59,7 @@ class Snapshot:
               buckets: int = SNAPSHOT_BUCKETS) -> Snapshot:
         spark, folder = df.sparkSession, folder.rstrip("/")
         rows = df.select(key, *cols, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket"))
-        rows.repartition("bucket").write.partitionBy("bucket").parquet(f"{folder}/rows")
+        rows.repartition("bucket").write.option("compression", "zstd").partitionBy("bucket").parquet(f"{folder}/rows")
         # nulls do not change xxhash64, so whether a column is null is hashed too
         seen = [x for c in (key, *cols) for x in (F.col(c), F.col(c).isNull())]
         hashed = spark.read.schema(rows.schema).parquet(f"{folder}/rows").select(
@@ -89,15 +89,23 @@ def changed_buckets(old: Snapshot, new: Snapshot, group: int = GROUP) -> list[in
     return sorted(r[0] for r in differ(*some, "bucket").collect())
 
 
+def _sha256(cols: tuple[str, ...]) -> Column:
+    """sha256 of a row's values: each its byte count, ``:`` and itself, or ``-`` if null."""
+    text = [F.col(c).cast("string") for c in cols]
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text]), 256)
+
+
 def change_feed(old: Snapshot, new: Snapshot) -> DataFrame:
     """A5: insert / update / delete rows between two snapshots, from a full outer join
-    on the key within the buckets that differ; columns are compared null-safely."""
+    on the key within the buckets that differ; columns are compared null-safely, by
+    their sha256, so the old rows' columns are not shuffled."""
     key, cols, buckets = new.key, new.cols, changed_buckets(old, new)
-    o, n = (x.rows(buckets).select("bucket", key, F.struct(*cols).alias(name)) for x, name in ((old, "o"), (new, "n")))
+    o = old.rows(buckets).select("bucket", key, _sha256(cols).alias("o"))
+    n = new.rows(buckets).select("bucket", key, F.struct(*cols).alias("n"), _sha256(cols).alias("sha"))
     j = o.join(n, ["bucket", key], "full_outer")
     kind = (F.when(F.col("o").isNull(), F.lit("insert"))
-            .when(F.col("n").isNull(), F.lit("delete"))
-            .when(~F.col("o").eqNullSafe(F.col("n")), F.lit("update")))
+            .when(F.col("sha").isNull(), F.lit("delete"))
+            .when(F.col("o") != F.col("sha"), F.lit("update")))
     return (j.select(key, kind.alias("change_type"), F.col("n").alias("n"))
             .filter(F.col("change_type").isNotNull())
             .select(key, "change_type", *[F.col(f"n.{c}").alias(c) for c in cols]))
@@ -112,6 +120,10 @@ def docs_change_feed(spark: SparkSession, old: DataFrame, new: DataFrame, base:
 # ---- index
 
 
+#: Shares of a bucket of the index, each written by one task.
+BUCKET_SHARES = 8
+
+
 class Index:
     """The document index.  A row is the latest change of its key; a deletion stays
     as a mark until ``compact``, so a change that arrives late does not undo it."""
@@ -131,8 +143,11 @@ class Index:
         held = store.read("rows", touched).withColumn("bucket", store.bucket("doc_id"))
         names = [c.split()[0] for c in CHANGE_SCHEMA.split(", ")]
         last = F.max(F.struct("version", "change_type", *DOC_COLS[1:])).alias("last")
-        merged = held.unionByName(changes).groupBy("bucket", "doc_id").agg(last).select("bucket", "doc_id", "last.*")
-        store.switch(touched, {"rows": store.written("rows", merged.select("bucket", *names))},
+        # one shuffle gathers a key's rows and leaves a bucket in few tasks, which write it
+        share = F.pmod(F.hash("doc_id"), F.lit(BUCKET_SHARES)).alias("share")
+        rows = held.unionByName(changes).select("*", share).repartition("bucket", "share")
+        merged = rows.groupBy("bucket", "share", "doc_id").agg(last).select("bucket", "doc_id", "last.*")
+        store.switch(touched, {"rows": store.written("rows", merged.select("bucket", *names), dealt=True)},
                      stream=stream, batch=batch, rows=changes.count())
 
     def state(self) -> DataFrame:
@@ -140,9 +155,10 @@ class Index:
         return self.store.read("rows").where("change_type <> 'delete'").select(DOC_COLS)
 
     def compact(self) -> None:
-        """Drop the marks of deleted documents and write each bucket as one table."""
+        """Drop the marks of deleted documents and write each bucket as one table.  Its rows
+        lie in the bucket's own folder, from which they are written without a shuffle."""
         live = self.store.read("rows").where("change_type <> 'delete'").withColumn("bucket", self.store.bucket("doc_id"))
-        self.store.compact("rows", live)
+        self.store.compact("rows", live, dealt=True)
 
 
 def as_changes(df: DataFrame, change_type, version: int) -> DataFrame:
@@ -169,9 +185,9 @@ def docs_index_sync(spark: SparkSession, old: DataFrame, new: DataFrame, base: s
     root = base or scratch_path(spark, "docs-index-sync")
     source, ckpt = os.path.join(root, "changes"), os.path.join(root, "_checkpoint")
     index = Index(spark, os.path.join(root, "index"))
-    as_changes(old, "insert", 0).write.mode("append").parquet(source)
+    as_changes(old, "insert", 0).write.mode("append").option("compression", "zstd").parquet(source)
     sync_once(index, source, ckpt)
     feed = docs_change_feed(spark, old, new, os.path.join(root, "snapshots"))
-    as_changes(feed, F.col("change_type"), 1).write.mode("append").parquet(source)
+    as_changes(feed, F.col("change_type"), 1).write.mode("append").option("compression", "zstd").parquet(source)
     sync_once(index, source, ckpt)
     return index
