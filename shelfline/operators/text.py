@@ -73,6 +73,27 @@ def with_blocks(index: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return index.withColumn("block", F.floor(F.col(id_col) / BLOCK_DOCS))
 
 
+def row_terms(docs: DataFrame, text_col: str = "content", id_col: str = "doc_id") -> DataFrame:
+    """``(doc_id, term, tf)`` of each row by itself: its terms in order, where runs of
+    equal ones are counted.  Row by row, so a task holds one text at a time."""
+    # columns of their own: inside the lambdas they would be computed for every term again
+    terms = docs.select(F.col(id_col), F.sort_array(C.terms(text_col)).alias("_terms"))
+    ends = terms.select(id_col, "_terms", F.filter(
+        F.sequence(F.lit(0), F.size("_terms") - 1), lambda i: ~F.get("_terms", i).eqNullSafe(F.get("_terms", i + 1))).alias("_ends"))
+    counts = F.transform("_ends", lambda end, j: F.struct(
+        F.get("_terms", end).alias("term"), (end - F.coalesce(F.get("_ends", j - 1), F.lit(-1))).cast("long").alias("tf")))
+    return ends.select(id_col, F.inline(counts)).filter(F.col("term") != "")
+
+
+def block_index(docs: DataFrame, text_col: str = "content", id_col: str = "doc_id") -> DataFrame:
+    """``with_blocks(term_index(docs))`` by one shuffle, after which the postings of a
+    block lie together.  Only where an id comes twice are the counts of its rows added."""
+    dealt = with_blocks(row_terms(docs, text_col, id_col), id_col).repartition("term", "block")
+    if not docs.groupBy(id_col).count().where("count > 1").isEmpty():
+        dealt = dealt.groupBy(id_col, "term", "block").agg(F.sum("tf").alias("tf"))
+    return dealt.select(id_col, "term", "tf", "block")
+
+
 def posting_blocks(index: DataFrame) -> DataFrame:
     """``(term, block, max_tf, n)`` of an index ``with_blocks``: the greatest count a block
     holds bounds what its documents can score for the term."""

@@ -622,7 +622,7 @@ def _text_search(spark, sf):
     first = b.select(F.min("item_id")).scalar()
     q = text.query_terms_of(b.filter(F.col("item_id") == first))
     m = Model(spark, sf)
-    return text.text_search(m.documents(), q, 10, index=m.doc_index(), blocks=m.doc_blocks())
+    return text.text_search(m.indexed_documents(), q, 10, index=m.doc_index(), blocks=m.doc_blocks())
 
 
 @register("doc_normalize", f"""

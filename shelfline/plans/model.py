@@ -54,10 +54,11 @@ INPUTS = {"lines": ("lineitem", "orders"), "sales": ("lines",), "promotions": ("
 MODEL_INPUTS = {("sales", "lines"), ("promotions", "lines"), ("market_share", "lines"), ("store_sketches", "lines"),
                 ("doc_blocks", "doc_index"), ("vectors", "pivots")}
 ORDER = {"market_share": ("month", "brand"),
-         "doc_index": ("term", "doc_id"), "doc_blocks": ("term", "block"), "doc_positions": ("term", "following", "doc_id"), "vectors": ("doc_id",)}
+         "doc_positions": ("term", "following", "doc_id"), "vectors": ("doc_id",)}
 #: Tables of which each file is in order: pages of a file are skipped, and rows are not
 #: shuffled once more for it.
-FILE_ORDER = {"promotions": ("start_date", "product_id"), "documents": ("doc_id",)}
+FILE_ORDER = {"promotions": ("start_date", "product_id"), "documents": ("doc_id",), "doc_index": ("term", "doc_id"),
+              "doc_blocks": ("term", "block")}
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"              # the folder of rows without a date
 #: The greatest value of a column is recorded with the table, so that trailing
 #: windows are literals.
@@ -233,8 +234,9 @@ class Model:
         return self._one_more(known, self._documents(added["documents"]), "documents")
 
     def _make_doc_index(self, inputs):
-        from shelfline.operators.text import term_index, with_blocks
-        return with_blocks(term_index(self._documents(inputs["documents"])))
+        from shelfline.operators.text import block_index
+        # collapsed white space separates terms as it did before, so the texts are read as they are
+        return block_index(self._source("documents", inputs["documents"]), "text")
 
     def _make_doc_blocks(self, inputs):
         from shelfline.operators.text import posting_blocks
@@ -330,6 +332,10 @@ class Model:
         """Inverted term index ``(doc_id, term, tf, block)`` of the documents."""
         return self._table("doc_index")
 
+    def indexed_documents(self) -> DataFrame:
+        """The source's documents that the term index was made from."""
+        return self._source("documents", self._entry("doc_index")["inputs"]["documents"])
+
     def doc_blocks(self) -> DataFrame:
         """The index's posting blocks ``(term, block, max_tf, n)``."""
         return self._table("doc_blocks")
