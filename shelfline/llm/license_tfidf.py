@@ -87,6 +87,9 @@ HEADER = r"(?i)\b(licen[cs]\w*|unlicen[cs]\w*|copyright|spdx|cc0|public domain)\
 #: Files with such a name, and no others, state the licence of their directory: a
 #: notice in any other file speaks for that file alone.
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicen[cs]e)([._-][^/]*)?$"
+#: A document's source that names a licence file in a directory.  A bare name is a label
+#: like any other source: as a file it would license every document.
+SOURCE_FILE = r"[^/]/+" + LICENCE_FILE.replace("(?i)(^|/)", "(?i)")
 
 
 def _terms(text: Column) -> Column:
@@ -229,11 +232,13 @@ def license_scan(files: DataFrame, templates: DataFrame | None = None) -> DataFr
 
 
 def op3_license_tfidf(spark, sf_dir):
-    """Documents as files ``source/lang/doc_id``."""
+    """Documents as files ``source/lang/doc_id``; where the source names a licence file
+    (``repo/LICENSE``) the document is that file."""
     none = F.lit("")
+    below = F.concat_ws("/", F.coalesce("source", none), F.coalesce("lang", none),
+                        F.coalesce(F.col("doc_id").cast("string"), none))
     docs = documents(spark, sf_dir).select(
-        "doc_id", F.concat_ws("/", F.coalesce("source", none), F.coalesce("lang", none),
-                              F.coalesce(F.col("doc_id").cast("string"), none)).alias("path"), "text")
+        "doc_id", F.when(F.col("source").rlike(SOURCE_FILE), F.col("source")).otherwise(below).alias("path"), "text")
     out = license_scan(docs)
     return out.select("doc_id", "path", "license", "score", "via",
                       F.coalesce(F.col("license").isin(*OPEN), F.lit(False)).alias("open"))
