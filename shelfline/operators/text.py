@@ -87,11 +87,15 @@ def row_terms(docs: DataFrame, text_col: str = "content", id_col: str = "doc_id"
 
 def block_index(docs: DataFrame, text_col: str = "content", id_col: str = "doc_id") -> DataFrame:
     """``with_blocks(term_index(docs))`` by one shuffle, after which the postings of a
-    block lie together.  Only where an id comes twice are the counts of its rows added."""
+    block lie together.  Where no id comes twice, so that a block has BLOCK_DOCS texts at
+    most, the texts are shuffled; else their postings, and counts of one id are added."""
+    if docs.groupBy(id_col).count().where("count > 1").isEmpty():
+        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))     # by number: texts grow to many rows
+        dealt = with_blocks(docs, id_col).repartition(parts, "block").select(id_col, text_col)
+        return with_blocks(row_terms(dealt, text_col, id_col), id_col)
     dealt = with_blocks(row_terms(docs, text_col, id_col), id_col).repartition("term", "block")
-    if not docs.groupBy(id_col).count().where("count > 1").isEmpty():
-        dealt = dealt.groupBy(id_col, "term", "block").agg(F.sum("tf").alias("tf"))
-    return dealt.select(id_col, "term", "tf", "block")
+    return (dealt.groupBy(id_col, "term", "block").agg(F.sum("tf").alias("tf"))
+            .select(id_col, "term", "tf", "block"))
 
 
 def posting_blocks(index: DataFrame) -> DataFrame:
